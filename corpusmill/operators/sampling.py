@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 from corpusmill.functions.keys import order_key
 from corpusmill.operators.ranking import bucket_chars_for, group_sizes, take_first_n
 
-# Broadcast a selected-id list only when its proven size (sum of n) is below this.
-BROADCAST_IDS_LIMIT = 2_000_000
+# Broadcast a selected-id list only when its proven size (sum of n rows) is below this.
+BROADCAST_IDS_LIMIT = 500_000  # ~100 B per narrow id row -> ~50 MB
 
 LIMIT_SCHEMA = T.StructType([T.StructField("source", T.StringType(), False),
                              T.StructField("n", T.LongType(), False)])
