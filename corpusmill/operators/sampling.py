@@ -61,7 +61,10 @@ def apply_selection(wide: DataFrame, selection: DataFrame, bound: int, id_col: s
 def sample_exact_n(df: DataFrame, sample_sizes: dict[str, int | None], *, seed: int = 42,
                    id_col: str = "sample_id") -> tuple[DataFrame, dict]:
     """A1: exactly min(sample_size, N) raw rows per source, drawn before any
-    formatting.  Returns (rows, report) with report[source] = (N, n)."""
+    formatting.  Returns (rows, report) with report[source] = (N, n); the
+    report is None when no source has a cap (no counting pass is needed)."""
+    if all(sample_sizes.get(s) is None for s in sample_sizes):
+        return df, None
     sizes = {k[0]: v for k, v in group_sizes(df.select("source"), ["source"]).items()}
     report = {}
     binding = {}

@@ -223,3 +223,4 @@ ORACLE_SQL = {
         f"SELECT epoch, pos, pos // 1 AS micro_batch, pos // 16 AS step, row_id FROM g"),
 }
 ORACLE_SQL["tokenize_udf"] = ORACLE_SQL["tokenize_truncate"]
+ORACLE_SQL["length_band_stream"] = ORACLE_SQL["length_band"]

@@ -56,12 +56,16 @@ def render_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
     from corpusmill.sources.scan import load_sources
 
     loaded, skipped = load_sources(spark, specs, mix, frames)
-    parts, raw_counts = [], {}
+    parts, raw_counts, lazy_counts = [], {}, []
     for members, raw in loaded:
         sampled, rep = sample_exact_n(raw, {m.name: m.sample_size for m in members}, seed=mix.seed)
-        raw_counts.update(rep)
+        if rep is None:  # no cap: total = sampled, counted lazily (source column only)
+            lazy_counts.append(raw.groupBy("source").agg(F.count(F.lit(1)).alias("total")))
+        else:
+            raw_counts.update(rep)
         head = members[0]
         parts.append(render_samples(sampled, head.format, mix, template, head.text_column))
+    raw_counts["_lazy"] = union_all(lazy_counts) if lazy_counts else None
     return (union_all(parts) if parts else None), raw_counts, skipped
 
 
@@ -72,6 +76,7 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
     specs = validate_sources(specs, mix)
     config = source_config_df(spark, specs)
     rendered, raw_counts, skipped = render_sources(spark, specs, mix, frames, template)
+    lazy_totals = raw_counts.pop("_lazy")
     if rendered is None:
         raise RuntimeError(f"no source could be loaded: {skipped}")
 
@@ -112,6 +117,9 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
     kept_df = counts_df(spark, kept_counts, "kept")
     raw_total = counts_df(spark, {k: v[0] for k, v in raw_counts.items()}, "total")
     raw_sampled = counts_df(spark, {k: v[1] for k, v in raw_counts.items()}, "sampled")
+    if lazy_totals is not None:
+        raw_total = raw_total.unionByName(lazy_totals)
+        raw_sampled = raw_sampled.unionByName(lazy_totals.withColumnRenamed("total", "sampled"))
     selected = counts_df(spark, limits, "selected")
     after = index.groupBy("source").agg(F.count(F.lit(1)).alias("after_dedup"))
     funnel = prep_funnel(config, [raw_total, raw_sampled, kept_df, selected, after])

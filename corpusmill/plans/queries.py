@@ -145,6 +145,18 @@ def q_length_band(spark, sf_dir):
     return d.where(in_length_band("text")).select("sample_id", "source", _big(F.length("text")).alias("n_chars"))
 
 
+def q_length_band_stream(spark, sf_dir):
+    """F1 (with P7) run as an incremental streaming query over the documents
+    files, then read back from its sink."""
+    from corpusmill.streaming import run_available_now, stream_samples
+    docs = catalog.documents(spark, sf_dir)
+    # a file stream watches a folder; the glob picks the table's file(s)
+    spec = SourceSpec(name="documents", path=sf_dir, format="text", source_column="source",
+                      id_column="doc_id", options=(("pathGlobFilter", "documents*.parquet"),))
+    out = run_available_now(stream_samples(spark, spec, docs.schema, MIX), _scratch(spark, "stream_band"))
+    return spark.read.parquet(out).select("sample_id", "source", _big("n_chars").alias("n_chars"))
+
+
 def q_malformed_drop(spark, sf_dir):
     specs, frames = catalog.mixed_format(spark, sf_dir)
     rendered, _, _ = render_sources(spark, specs, MIX, frames)
@@ -316,6 +328,7 @@ QUERIES = {
     "strip_text": q_strip_text,
     "line_explode": q_line_explode,
     "length_band": q_length_band,
+    "length_band_stream": q_length_band_stream,
     "malformed_drop": q_malformed_drop,
     "sample_exact_n": q_sample_exact_n,
     "mix_fraction": q_mix_fraction,
