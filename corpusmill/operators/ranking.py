@@ -58,19 +58,39 @@ def exact_rank(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str,
     return d.withColumn(rank_col, F.col(OFF) + F.row_number().over(w)).drop(BKT, OFF)
 
 
+def candidate_buckets(df: DataFrame, group_cols: list[str], key_col: str, limits: DataFrame,
+                      bucket_chars: int) -> DataFrame:
+    """(group.., _bkt, _off, n) of the buckets that hold at least one of the
+    first n rows of their group (at most groups x 16^h rows)."""
+    offsets = bucket_offsets(df, group_cols, key_col, bucket_chars)
+    return (offsets.join(F.broadcast(limits.select(*group_cols, "n")), group_cols, "inner")
+            .where(F.col(OFF) < F.col("n"))
+            .select(*group_cols, BKT, OFF, "n"))
+
+
+def in_candidate_buckets(wide: DataFrame, cand: DataFrame, group_cols: list[str], key: Column,
+                         bucket_chars: int, n_groups: int) -> DataFrame:
+    """Drop rows of `wide` outside the candidate buckets before any shuffle
+    (broadcast semi-join on a table of at most groups x 16^h rows); rows
+    are kept whole, only never-selectable ones are removed."""
+    bound = n_groups * 16 ** bucket_chars
+    if bound > BROADCAST_ROW_LIMIT:
+        return wide
+    d = wide.withColumn(BKT, F.substring(key, 1, bucket_chars))
+    return d.join(F.broadcast(cand.select(*group_cols, BKT)), [*group_cols, BKT], "left_semi").drop(BKT)
+
+
 def take_first_n(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str,
                  limits: DataFrame, *, bucket_chars: int = 3, n_groups: int = 1,
-                 rank_col: str = "rank") -> DataFrame:
+                 rank_col: str = "rank", cand: DataFrame | None = None) -> DataFrame:
     """Rows with rank <= n per group, n from `limits` (group.., n).
 
     Buckets whose offset already reaches n are dropped before the window's
     shuffle, so only selected rows plus one boundary bucket per group are
     sorted.  Groups absent from `limits` select nothing.
     """
-    offsets = bucket_offsets(df, group_cols, key_col, bucket_chars)
-    cand = (offsets.join(F.broadcast(limits.select(*group_cols, "n")), group_cols, "inner")
-            .where(F.col(OFF) < F.col("n"))
-            .select(*group_cols, BKT, OFF, "n"))
+    if cand is None:
+        cand = candidate_buckets(df, group_cols, key_col, limits, bucket_chars)
     bound = n_groups * 16 ** bucket_chars
     d = df.withColumn(BKT, F.substring(F.col(key_col), 1, bucket_chars))
     d = d.join(_maybe_broadcast(cand, bound), [*group_cols, BKT], "inner")

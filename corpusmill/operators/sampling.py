@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions.keys import order_key
-from corpusmill.operators.ranking import bucket_chars_for, group_sizes, take_first_n
+from corpusmill.operators.ranking import (bucket_chars_for, candidate_buckets, group_sizes,
+                                         in_candidate_buckets, take_first_n)
 
 # Broadcast a selected-id list only when its proven size (sum of n rows) is below this.
 BROADCAST_IDS_LIMIT = 500_000  # ~100 B per narrow id row -> ~50 MB
@@ -32,9 +33,23 @@ def _limits_df(spark: SparkSession, limits: dict[str, int]) -> DataFrame:
     return spark.createDataFrame([(k, int(v)) for k, v in limits.items()], LIMIT_SCHEMA)
 
 
-def ranked_selection(df: DataFrame, limits: dict[str, int], *, seed: int, stage: str,
-                     id_col: str = "sample_id", rank_col: str = "rank",
-                     sizes: dict[str, int] | None = None, carry: list[str] | None = None) -> DataFrame:
+class Selection:
+    """A narrow ranked selection plus what is needed to prune wide rows
+    before joining it back: the candidate (source, bucket) table."""
+
+    def __init__(self, df: DataFrame, cand: DataFrame, seed: int, stage: str, bucket_chars: int,
+                 n_groups: int, bound: int, id_col: str):
+        self.df, self.cand, self.seed, self.stage = df, cand, seed, stage
+        self.bucket_chars, self.n_groups, self.bound, self.id_col = bucket_chars, n_groups, bound, id_col
+
+    def prune(self, wide: DataFrame) -> DataFrame:
+        key = order_key(self.seed, self.stage, F.col(self.id_col))
+        return in_candidate_buckets(wide, self.cand, ["source"], key, self.bucket_chars, self.n_groups)
+
+
+def select_first_n(df: DataFrame, limits: dict[str, int], *, seed: int, stage: str,
+                   id_col: str = "sample_id", rank_col: str = "rank",
+                   sizes: dict[str, int] | None = None, carry: list[str] | None = None) -> Selection:
     """(source, id, rank, *carry) of the first n[source] ids in
     md5(seed:stage:id) order.  `carry` should stay narrow (hashes, ords)."""
     spark = df.sparkSession
@@ -42,20 +57,29 @@ def ranked_selection(df: DataFrame, limits: dict[str, int], *, seed: int, stage:
     narrow = df.select("source", id_col, *carry).withColumn("_key", order_key(seed, stage, F.col(id_col)))
     max_rows = max(sizes.values()) if sizes else max(limits.values(), default=0)
     h = bucket_chars_for(max_rows)
+    n_groups = max(1, len(limits))
+    cand = candidate_buckets(narrow, ["source"], "_key", _limits_df(spark, limits), h)
     sel = take_first_n(narrow, ["source"], "_key", id_col, _limits_df(spark, limits),
-                       bucket_chars=h, n_groups=max(1, len(limits)), rank_col=rank_col)
-    return sel.select("source", id_col, rank_col, *carry)
+                       bucket_chars=h, n_groups=n_groups, rank_col=rank_col, cand=cand)
+    return Selection(sel.select("source", id_col, rank_col, *carry), cand, seed, stage, h, n_groups,
+                     sum(limits.values()), id_col)
 
 
-def apply_selection(wide: DataFrame, selection: DataFrame, bound: int, id_col: str = "sample_id",
-                    keep: list[str] | None = None) -> DataFrame:
-    """Join the narrow selection back to wide rows on the id.  The selection
-    is broadcast only when `bound` (its proven maximum row count) is small."""
-    sel = selection.select(id_col, *(keep or []))
-    if bound <= BROADCAST_IDS_LIMIT:
-        sel = F.broadcast(sel)
+def ranked_selection(df: DataFrame, limits: dict[str, int], **kw) -> DataFrame:
+    return select_first_n(df, limits, **kw).df
+
+
+def apply_selection(wide: DataFrame, selection: Selection, id_col: str = "sample_id",
+                    keep: list[str] | None = None, index: DataFrame | None = None) -> DataFrame:
+    """Join the narrow selection (or a narrow `index` derived from it) back to
+    wide rows on the id.  Broadcast when its proven size (sum of n rows) is
+    small; otherwise wide rows outside the candidate buckets are dropped
+    first, so the shuffle join moves only selectable rows."""
+    sel = (index if index is not None else selection.df).select(id_col, *(keep or []))
     how = "inner" if keep else "left_semi"
-    return wide.join(sel, id_col, how)
+    if selection.bound <= BROADCAST_IDS_LIMIT:
+        return wide.join(F.broadcast(sel), id_col, how)
+    return selection.prune(wide).join(sel, id_col, how)
 
 
 def sample_exact_n(df: DataFrame, sample_sizes: dict[str, int | None], *, seed: int = 42,
@@ -76,10 +100,10 @@ def sample_exact_n(df: DataFrame, sample_sizes: dict[str, int | None], *, seed:
             binding[src] = n
     if not binding:
         return df, report
-    sel = ranked_selection(df.where(F.col("source").isin(list(binding))), binding, seed=seed,
-                           stage="sample", id_col=id_col, sizes={k: sizes[k] for k in binding})
-    picked = apply_selection(df.where(F.col("source").isin(list(binding))), sel,
-                             sum(binding.values()), id_col)
+    capped = df.where(F.col("source").isin(list(binding)))
+    sel = select_first_n(capped, binding, seed=seed, stage="sample", id_col=id_col,
+                         sizes={k: sizes[k] for k in binding})
+    picked = apply_selection(capped, sel, id_col)
     free = [s for s in sizes if s not in binding]
     if free:
         picked = picked.unionByName(df.where(F.col("source").isin(free)))
@@ -91,15 +115,20 @@ def mix_limits(sizes: dict[str, int], weights: dict[str, float]) -> dict[str, in
     return {s: fraction_count(n, weights[s]) for s, n in sizes.items() if s in weights}
 
 
-def mix_fraction(samples: DataFrame, weights: dict[str, float], *, seed: int = 42,
-                 id_col: str = "sample_id", sizes: dict[str, int] | None = None,
-                 carry: list[str] | None = None) -> tuple[DataFrame, dict[str, int]]:
+def mix_selection(samples: DataFrame, weights: dict[str, float], *, seed: int = 42,
+                  id_col: str = "sample_id", sizes: dict[str, int] | None = None,
+                  carry: list[str] | None = None) -> tuple[Selection, dict[str, int]]:
     """A2: per source keep min(N, int(N*weight)) of the kept samples, N counted
-    after the length band.  Returns the narrow selection (source, id, mix_rank)
-    and the per-source n."""
+    after the length band.  Returns the Selection (source, id, mix_rank) and
+    the per-source n."""
     if sizes is None:
         sizes = {k[0]: v for k, v in group_sizes(samples.select("source"), ["source"]).items()}
     limits = mix_limits(sizes, weights)
-    sel = ranked_selection(samples, limits, seed=seed, stage="mix", id_col=id_col,
-                           rank_col="mix_rank", sizes=sizes, carry=carry)
+    sel = select_first_n(samples, limits, seed=seed, stage="mix", id_col=id_col,
+                         rank_col="mix_rank", sizes=sizes, carry=carry)
     return sel, limits
+
+
+def mix_fraction(samples: DataFrame, weights: dict[str, float], **kw) -> tuple[DataFrame, dict[str, int]]:
+    sel, limits = mix_selection(samples, weights, **kw)
+    return sel.df, limits

@@ -23,7 +23,7 @@ from corpusmill.operators.dedup import dedup_exact
 from corpusmill.operators.filters import length_band, stage_counts
 from corpusmill.operators.render import render_samples
 from corpusmill.operators.report import corpus_stats, counts_df, prep_funnel
-from corpusmill.operators.sampling import BROADCAST_IDS_LIMIT, mix_fraction, sample_exact_n
+from corpusmill.operators.sampling import apply_selection, mix_selection, sample_exact_n
 from corpusmill.operators.shuffle import global_positions, with_ord_key
 from corpusmill.session import StageStore
 
@@ -91,8 +91,9 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
     # A2 on the narrow projection; N per source is one small collect.
     kept_counts = {r["source"]: r["count"] for r in samples.groupBy("source").count().collect()}
     weights = {s.name: float(s.weight) for s in specs}
-    mixed, limits = mix_fraction(samples, weights, seed=mix.seed, sizes=kept_counts,
-                                 carry=["source_ord", "text_hash"])
+    selection, limits = mix_selection(samples, weights, seed=mix.seed, sizes=kept_counts,
+                                      carry=["source_ord", "text_hash"])
+    mixed = selection.df
     if mix.shuffle:
         mixed = with_ord_key(mixed, mix.seed)
     else:
@@ -107,12 +108,11 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
     if store is not None:
         index = store.put("index", index)
 
-    # One join of the wide text onto the narrow index (broadcast when the
-    # index is provably small: at most sum(n) rows).
-    idx = index.select("sample_id", "mix_rank", "ord_key", "pos")
-    if bound <= BROADCAST_IDS_LIMIT:
-        idx = F.broadcast(idx)
-    corpus = (samples.select("sample_id", "source", "source_ord", "text").join(idx, "sample_id", "inner"))
+    # One join of the wide text onto the narrow index: broadcast when the
+    # index is provably small (at most sum(n) rows), else a shuffle join of
+    # only the rows in the mix's candidate buckets.
+    corpus = apply_selection(samples.select("sample_id", "source", "source_ord", "text"), selection,
+                             keep=["mix_rank", "ord_key", "pos"], index=index)
 
     kept_df = counts_df(spark, kept_counts, "kept")
     raw_total = counts_df(spark, {k: v[0] for k, v in raw_counts.items()}, "total")

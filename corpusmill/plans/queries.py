@@ -218,7 +218,8 @@ def q_source_union(spark, sf_dir):
 
 # ----------------------------------------------------- prepare (whole job)
 def run_prepare(spark, sf_dir, specs=None, frames=None) -> Prepared:
-    return prepare(spark, specs or catalog.docs_mix(sf_dir), MIX, frames)
+    """The production path: stage tables are written under spark.checkpoint.dir."""
+    return prepare(spark, specs or catalog.docs_mix(sf_dir), MIX, frames, store=StageStore(spark))
 
 
 def q_dedup_exact(spark, sf_dir):
@@ -233,7 +234,7 @@ def q_dedup_report(spark, sf_dir):
 
 
 def q_prep_funnel(spark, sf_dir):
-    p = prepare(spark, catalog.docs_capped(sf_dir), MIX)
+    p = prepare(spark, catalog.docs_capped(sf_dir), MIX, store=StageStore(spark))
     return p.funnel
 
 

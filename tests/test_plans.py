@@ -107,3 +107,18 @@ def test_oracle_all_queries(spark, sf):
     res = compare(spark, sf, verbose=False)
     bad = {k: v for k, v in res.items() if v[0] != "ok"}
     assert not bad, bad
+
+
+def test_shuffle_join_path_equals_broadcast_path(spark, monkeypatch):
+    import corpusmill.operators.sampling as S
+    specs = catalog.docs_capped(SF01, cap=40)
+    a = prepare(spark, specs, MixSpec())
+    rows_a = sorted(tuple(r) for r in a.corpus.select("sample_id", "pos", "mix_rank", F.md5("text")).collect())
+    monkeypatch.setattr(S, "BROADCAST_IDS_LIMIT", 0)
+    b = prepare(spark, specs, MixSpec())
+    rows_b = sorted(tuple(r) for r in b.corpus.select("sample_id", "pos", "mix_rank", F.md5("text")).collect())
+    assert rows_a == rows_b and len(rows_a) > 0
+    with static_plans(spark):
+        plan = b.corpus._jdf.queryExecution().executedPlan().toString()
+    # wide rows are pruned by a broadcast semi-join on candidate buckets before the shuffle join
+    assert "LeftSemi" in plan and "SortMergeJoin" in plan
