@@ -8,7 +8,9 @@ plus our own keys for where each source's files are.
 
 from __future__ import annotations
 
+import dataclasses
 import json
+import logging
 import os
 import time
 from dataclasses import dataclass, field
@@ -19,11 +21,13 @@ from pyspark.sql import functions as F
 from corpusmill.config import ConfigError, MixSpec, SourceSpec, TrainSpec
 from corpusmill.operators.batches import batch_assign, epoch_plan, length_grouped
 from corpusmill.operators.tokens import causal_labels, pad_and_mask, tokenize_truncate
-from corpusmill.plans.prepare import Prepared, prepare
+from corpusmill.operators.lines import line_explode
+from corpusmill.plans.prepare import NoSourceLoaded, Prepared, prepare
 from corpusmill.session import StageStore
 from corpusmill.sources.sinks import export_text, write_corpus, write_stats
 
 SPEC_KEYS = {f for f in SourceSpec.__dataclass_fields__}
+log = logging.getLogger(__name__)
 
 
 def load_yaml_config(path: str) -> tuple[list[SourceSpec], MixSpec, TrainSpec]:
@@ -63,7 +67,12 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
     t = {}
     t0 = time.time()
     store = StageStore(spark)
-    p = prepare(spark, specs, mix or MixSpec(), frames, store=store)
+    mix = mix or MixSpec()
+    try:
+        p = prepare(spark, specs, mix, frames, store=store)
+    except NoSourceLoaded as e:
+        log.error("no dataset could be loaded, nothing written: %s", e)
+        return JobResult(prepared=None, paths={}, timings={"total": time.time() - t0})
     t["select"] = time.time() - t0
     paths = {"corpus": os.path.join(out_dir, "corpus"), "stats": os.path.join(out_dir, "dataset_stats"),
              "funnel": os.path.join(out_dir, "prep_funnel"), "store": store.root}
@@ -75,7 +84,9 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
         paths["text"] = export_text(p.corpus, os.path.join(out_dir, "training_data_txt"))
         t["export_text"] = time.time() - t1
     t1 = time.time()
-    write_stats(p.stats, paths["stats"])
+    echo = json.dumps({"sources": [dataclasses.asdict(s) for s in specs], "mixing": dataclasses.asdict(mix)},
+                      default=str)
+    write_stats(p.stats, paths["stats"], p.corpus, echo)
     p.funnel.write.mode("overwrite").json(paths["funnel"])
     t["reports"] = time.time() - t1
     t["total"] = time.time() - t0
@@ -87,6 +98,14 @@ def train_rows_from_corpus(corpus: DataFrame) -> DataFrame:
     return corpus.where(F.col("text") != F.lit("")).select(F.col("sample_id").alias("row_id"), "text")
 
 
+def train_rows_from_lines(corpus: DataFrame) -> DataFrame:
+    """Parity path: one train row per non-blank stripped line, as reading the
+    text export line by line gives; row ids stay stable (sample_id#line)."""
+    lines = line_explode(corpus, keep=["sample_id"])
+    return lines.select(F.concat("sample_id", F.lit("#"), F.col("line_no").cast("string")).alias("row_id"),
+                        F.col("line").alias("text"))
+
+
 def run_train_input_job(spark: SparkSession, rows: DataFrame, out_dir: str,
                         spec: TrainSpec | None = None) -> dict:
     """T1 (+T2/T3 at export) and B1-B3: writes unpadded token ids and the

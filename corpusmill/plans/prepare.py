@@ -43,6 +43,10 @@ class Prepared:
     skipped: dict = field(default_factory=dict)
 
 
+class NoSourceLoaded(RuntimeError):
+    pass
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL by column name; duplicates kept."""
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -78,7 +82,7 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
     rendered, raw_counts, skipped = render_sources(spark, specs, mix, frames, template)
     lazy_totals = raw_counts.pop("_lazy")
     if rendered is None:
-        raise RuntimeError(f"no source could be loaded: {skipped}")
+        raise NoSourceLoaded(f"no source could be loaded: {skipped}")
 
     # F2 + F1, then J1: the config lookup (broadcast: one row per source).
     kept = length_band(rendered, mix.min_chars, mix.max_chars)

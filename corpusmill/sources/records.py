@@ -3,10 +3,13 @@
 A record needs all turns of its conversation in one group (collect_list).
 To keep that group bounded, conversations whose turns alone already make the
 rendered text too long for the length band are not collected: the stripped
-rendering contains every turn's stripped text, so sum(len(strip(turn))) >=
-max_chars means the band drops the sample whatever the template.  Such
-conversations stay as records (they count as raw rows for exact-n sampling)
-with `oversize = true` and no turns; the band stage rejects them.
+rendering contains every turn's stripped text, and every message marker
+with at least `min_chars_per_turn` non-blank characters (ChatML has 22), so
+sum(len(strip(turn))) + turns * min_chars_per_turn >= max_chars means the
+band drops the sample.  Such conversations stay as records (they count as
+raw rows for exact-n sampling) with `oversize = true` and no turns; the band
+stage rejects them.  Pass min_chars_per_turn=0 for templates whose markers
+are blank.
 """
 
 from __future__ import annotations
@@ -20,20 +23,23 @@ from corpusmill.functions.text import DEFAULT_MAX_CHARS, strip_ws
 SHAREGPT_FROM = {"user": "human", "assistant": "gpt", "system": "system"}
 
 
-def _bounded_turns(long_df: DataFrame, key: str, max_chars: int | None) -> tuple[DataFrame, DataFrame]:
+def _bounded_turns(long_df: DataFrame, key: str, max_chars: int | None,
+                   min_chars_per_turn: int = 1) -> tuple[DataFrame, DataFrame]:
     """(turns of collectable conversations, oversize conversation keys)."""
     if max_chars is None:
         return long_df, long_df.select(key).limit(0)
     stats = long_df.groupBy(key).agg(
-        F.sum(F.length(strip_ws(F.coalesce(F.col("text"), F.lit(""))))).alias("_core"))
-    over = F.col("_core") >= F.lit(max_chars)
+        F.sum(F.length(strip_ws(F.coalesce(F.col("text"), F.lit(""))))).alias("_core"),
+        F.count(F.lit(1)).alias("_turns"))
+    over = (F.col("_core") + F.col("_turns") * F.lit(min_chars_per_turn)) >= F.lit(max_chars)
     small = stats.where(~over).select(key)
     big = stats.where(over).select(key)
     return long_df.join(small, key, "left_semi"), big
 
 
-def _collect(long_df: DataFrame, key: str, elem, max_chars: int | None, out_col: str) -> DataFrame:
-    turns, big = _bounded_turns(long_df, key, max_chars)
+def _collect(long_df: DataFrame, key: str, elem, max_chars: int | None, out_col: str,
+             min_chars_per_turn: int = 1) -> DataFrame:
+    turns, big = _bounded_turns(long_df, key, max_chars, min_chars_per_turn)
     rec = (turns.groupBy(key)
            .agg(F.array_sort(F.collect_list(F.struct(F.col("turn"), elem.alias("_e")))).alias("_t"))
            .select(key, F.transform("_t", lambda x: x["_e"]).alias(out_col),
@@ -42,21 +48,21 @@ def _collect(long_df: DataFrame, key: str, elem, max_chars: int | None, out_col:
     return rec.unionByName(big.select(key, empty.alias(out_col), F.lit(True).alias("oversize")))
 
 
-def messages_records(long_df: DataFrame, key: str = "conv_id",
-                     max_chars: int | None = DEFAULT_MAX_CHARS) -> DataFrame:
+def messages_records(long_df: DataFrame, key: str = "conv_id", max_chars: int | None = DEFAULT_MAX_CHARS,
+                     min_chars_per_turn: int = 1) -> DataFrame:
     """(key, messages array<struct<role, content>>, oversize) in turn order."""
     elem = F.struct(F.col("role").alias("role"), F.col("text").alias("content"))
-    return _collect(long_df, key, elem, max_chars, "messages")
+    return _collect(long_df, key, elem, max_chars, "messages", min_chars_per_turn)
 
 
-def sharegpt_records(long_df: DataFrame, key: str = "conv_id",
-                     max_chars: int | None = DEFAULT_MAX_CHARS) -> DataFrame:
+def sharegpt_records(long_df: DataFrame, key: str = "conv_id", max_chars: int | None = DEFAULT_MAX_CHARS,
+                     min_chars_per_turn: int = 1) -> DataFrame:
     """(key, conversations array<struct<from, value>>, oversize)."""
     speaker = F.lit(None).cast("string")
     for role, frm in SHAREGPT_FROM.items():
         speaker = F.when(F.col("role") == F.lit(role), F.lit(frm)).otherwise(speaker)
     elem = F.struct(speaker.alias("from"), F.col("text").alias("value"))
-    return _collect(long_df, key, elem, max_chars, "conversations")
+    return _collect(long_df, key, elem, max_chars, "conversations", min_chars_per_turn)
 
 
 def _first_text(role: str) -> F.Column:

@@ -8,7 +8,7 @@ pos and sorted inside partitions, so part files concatenate in order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import strip_ws
@@ -44,11 +44,23 @@ def line_count(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).agg(F.count(F.lit(1)).alias("text_lines"))
 
 
-def write_stats(stats: DataFrame, path: str) -> str:
-    """One JSON document {total_samples, datasets: {source: kept}}."""
+def corpus_size(corpus: DataFrame) -> Column:
+    """Bytes of the one-sample-per-line text file, as a scalar subquery."""
+    return corpus.agg(F.sum(F.octet_length("text") + F.lit(1))).scalar()
+
+
+def write_stats(stats: DataFrame, path: str, corpus: DataFrame | None = None,
+                config_json: str | None = None) -> str:
+    """One JSON document {total_samples, datasets: {source: kept},
+    size_mb, config}.  `stats` has one row per source, so the document is
+    config-sized."""
     doc = stats.agg(
         F.max("total_samples").alias("total_samples"),
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("source", "kept")))).alias("datasets"))
-    doc.select(F.to_json(F.struct("total_samples", "datasets")).alias("value")) \
-        .write.mode("overwrite").text(path)
+    fields = [F.col("total_samples"), F.col("datasets")]
+    if corpus is not None:
+        fields.append(F.round(F.coalesce(corpus_size(corpus), F.lit(0)) / F.lit(1048576.0), 2).alias("size_mb"))
+    if config_json is not None:
+        fields.append(F.parse_json(F.lit(config_json)).alias("config"))
+    doc.select(F.to_json(F.struct(*fields)).alias("value")).write.mode("overwrite").text(path)
     return path
