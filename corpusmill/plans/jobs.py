@@ -86,7 +86,8 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
     t1 = time.time()
     echo = json.dumps({"sources": [dataclasses.asdict(s) for s in specs], "mixing": dataclasses.asdict(mix)},
                       default=str)
-    write_stats(p.stats, paths["stats"], p.corpus, echo)
+    write_stats(p.stats, paths["stats"], spark.read.parquet(paths["corpus"]) if corpus_format == "parquet"
+                else p.corpus, echo)
     p.funnel.write.mode("overwrite").json(paths["funnel"])
     t["reports"] = time.time() - t1
     t["total"] = time.time() - t0
