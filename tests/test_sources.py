@@ -72,3 +72,32 @@ def test_oversize_conversation_counts_for_sampling_but_fails_band(spark):
     full = messages_records(long, max_chars=None).withColumn("source", F.lit("c")) \
         .withColumn("sample_id", F.concat(F.lit("c/"), F.col("conv_id").cast("string")))
     assert [r["sample_id"] for r in length_band(render_samples(full, "chatml")).collect()] == ["c/1"]
+
+
+def test_json_alpaca_source_roundtrip(spark):
+    from corpusmill.plans.prepare import prepare
+    from corpusmill.sources.records import alpaca_records
+    d = tempfile.mkdtemp(prefix="cm-json-")
+    recs = alpaca_records(spark.read.parquet(f"{SF01}/conversations.parquet"))
+    recs.write.mode("overwrite").json(os.path.join(d, "alpaca"))
+    spec = SourceSpec(name="alp", format="alpaca", path=os.path.join(d, "alpaca"), reader="json",
+                      id_column="conv_id", weight=1.0)
+    p = prepare(spark, [spec], MixSpec(deduplicate=False))
+    # JSON drops NULL fields: an absent `input` renders the two-section form, as NULL does
+    direct = render_samples(recs.withColumn("source", F.lit("alp"))
+                            .withColumn("sample_id", F.concat(F.lit("alp/"), F.col("conv_id").cast("string"))), "alpaca")
+    want = sorted(r[0] for r in length_band(direct).select("sample_id").collect())
+    assert sorted(r[0] for r in p.corpus.select("sample_id").collect()) == want
+
+
+def test_odd_config_funnel(spark):
+    from corpusmill.plans.prepare import prepare
+    p = prepare(spark, catalog.docs_odd(SF01), MixSpec())
+    f = {r["source"]: r.asDict() for r in p.funnel.collect()}
+    assert set(f) == {"src0", "src1", "src2", "src_missing"}
+    assert f["src_missing"] == {"source": "src_missing", "total": 0, "sampled": 0, "kept": 0, "selected": 0,
+                                "after_dedup": 0}
+    assert f["src0"]["selected"] == int(f["src0"]["kept"] * 0.29)
+    assert f["src1"]["selected"] == f["src1"]["kept"] and f["src2"]["selected"] == 0
+    stats = {r["source"] for r in p.stats.collect()}
+    assert "src_missing" not in stats
