@@ -69,6 +69,8 @@ class SourceSpec:
                                              or not isinstance(self.sample_size, int)
                                              or self.sample_size < 0):
             raise ConfigError(f"{self.name}: sample_size must be a non-negative int or None")
+        if not isinstance(self.source_ord, int) or self.source_ord < 0:
+            raise ConfigError(f"{self.name}: source_ord must be a non-negative int")
 
 
 @dataclass(frozen=True)

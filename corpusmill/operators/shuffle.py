@@ -18,13 +18,28 @@ def with_ord_key(df: DataFrame, seed: int, id_col: str = "sample_id") -> DataFra
 
 
 def global_positions(df: DataFrame, n_rows: int, id_col: str = "sample_id",
-                     key_col: str = "ord_key") -> DataFrame:
-    """Add pos = row_number() over (order by key, id) - 1, bucketed."""
+                     key_col: str = "ord_key", fixed_prefix: int = 0, prefix_values: int = 1) -> DataFrame:
+    """Add pos = row_number() over (order by key, id) - 1, bucketed.
+
+    The key must be uniform hex after `fixed_prefix` characters (which take
+    at most `prefix_values` distinct values); buckets are the fixed prefix
+    plus h hash characters, so they stay even and order-compatible."""
     h = bucket_chars_for(n_rows)
-    ranked = exact_rank(df, [], key_col, id_col, bucket_chars=h, n_groups=1, rank_col="_r")
+    ranked = exact_rank(df, [], key_col, id_col, bucket_chars=fixed_prefix + h, n_groups=prefix_values,
+                        rank_col="_r")
     return ranked.withColumn("pos", F.col("_r") - F.lit(1)).drop("_r")
 
 
+ORD_PREFIX = 11  # '%010d:' of source_ord
+
+
+def with_source_order_key(df: DataFrame, seed: int, id_col: str = "sample_id") -> DataFrame:
+    """Order without shuffling: sources in config order, each in its mix
+    order (md5(seed:mix:id), i.e. mix_rank order)."""
+    return df.withColumn("ord_key", F.concat(F.format_string("%010d:", F.col("source_ord")),
+                                             order_key(seed, "mix", F.col(id_col))))
+
+
 def global_shuffle(df: DataFrame, seed: int, id_col: str = "sample_id",
                    n_rows: int | None = None) -> DataFrame:
     keyed = with_ord_key(df, seed, id_col)

@@ -24,7 +24,7 @@ from corpusmill.operators.filters import length_band, stage_counts
 from corpusmill.operators.render import render_samples
 from corpusmill.operators.report import corpus_stats, counts_df, prep_funnel
 from corpusmill.operators.sampling import apply_selection, mix_selection, sample_exact_n
-from corpusmill.operators.shuffle import global_positions, with_ord_key
+from corpusmill.operators.shuffle import ORD_PREFIX, global_positions, with_ord_key, with_source_order_key
 from corpusmill.session import StageStore
 
 
@@ -101,14 +101,18 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
     if mix.shuffle:
         mixed = with_ord_key(mixed, mix.seed)
     else:
-        mixed = mixed.withColumn("ord_key", F.format_string("%010d:%020d", "source_ord", "mix_rank"))
+        mixed = with_source_order_key(mixed, mix.seed)
     if store is not None:
         mixed = store.put("mixed", mixed)
 
     # O1 + G1 on the narrow index, then positions 0..M-1.
     survivors = dedup_exact(mixed) if mix.deduplicate else mixed
     bound = sum(limits.values())
-    index = global_positions(survivors, max(bound, 1))
+    if mix.shuffle:
+        index = global_positions(survivors, max(bound, 1))
+    else:
+        index = global_positions(survivors, max(bound, 1), fixed_prefix=ORD_PREFIX,
+                                 prefix_values=max(1, len(specs)))
     if store is not None:
         index = store.put("index", index)
 

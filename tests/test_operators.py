@@ -139,3 +139,11 @@ def test_row_index_ids_are_stable(spark):
     a = [r[0] for r in scan_source(spark, spec).select("sample_id").collect()]
     b = [r[0] for r in scan_source(spark, spec).select("sample_id").collect()]
     assert len(set(a)) == len(a) == 536 and sorted(a) == sorted(b)
+
+
+def test_no_shuffle_order_is_config_then_mix_rank(spark):
+    p = prepare(spark, catalog.docs_mix(SF01), MixSpec(shuffle=False, deduplicate=False))
+    rows = p.index.select("pos", "source_ord", "mix_rank").collect()
+    by_pos = [(r["source_ord"], r["mix_rank"]) for r in sorted(rows, key=lambda r: r["pos"])]
+    assert by_pos == sorted(by_pos) and [r["pos"] for r in rows] != [] \
+        and sorted(r["pos"] for r in rows) == list(range(len(rows)))
