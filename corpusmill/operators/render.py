@@ -21,3 +21,38 @@ def render_samples(df: DataFrame, fmt: str, mix: MixSpec | None = None,
                            text_column=text_column, strict_shape=mix.strict_shape))
     oversize = F.coalesce(F.col("oversize"), F.lit(False)) if "oversize" in df.columns else F.lit(False)
     return df.select("sample_id", "source", text.alias("text"), oversize.alias("oversize"))
+
+
+def chatml_template_factory():
+    """Reference factory for `render_with_factory`: ChatML in plain Python,
+    equal to the built-in CHATML expression."""
+    def render_batch(conversations):
+        return ["".join(f"<|im_start|>{m['role']}\n{m['content']}<|im_end|>\n" for m in msgs)
+                if msgs is not None else None for msgs in conversations]
+    return render_batch
+
+
+def render_with_factory(df: DataFrame, factory, mix: MixSpec | None = None) -> DataFrame:
+    """P5 for template code no declarative ChatTemplate can express (e.g. a
+    model's own template): messages are normalised by the built-in
+    expressions, then `factory()` (built once per task) renders Arrow
+    batches of message lists in mapInPandas.  Output as render_samples."""
+    from corpusmill.functions.templates import normalized_messages
+    mix = mix or MixSpec()
+    msgs = normalized_messages(df, mix.null_as)
+    oversize = F.coalesce(F.col("oversize"), F.lit(False)) if "oversize" in df.columns else F.lit(False)
+    src = df.select("sample_id", "source", msgs.alias("messages"), oversize.alias("oversize"))
+
+    def run(batches):
+        import pandas as pd
+        from corpusmill.functions.text import WHITESPACE
+        render_batch = factory()
+        for pdf in batches:
+            conv = [None if m is None else [dict(role=x["role"], content=x["content"]) for x in m]
+                    for m in pdf["messages"]]
+            texts = render_batch(conv)
+            yield pd.DataFrame({"sample_id": pdf["sample_id"], "source": pdf["source"],
+                                "text": [None if t is None else t.strip(WHITESPACE) for t in texts],
+                                "oversize": pdf["oversize"]})
+
+    return src.mapInPandas(run, "sample_id string, source string, text string, oversize boolean")

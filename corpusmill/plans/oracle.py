@@ -224,3 +224,4 @@ ORACLE_SQL = {
 }
 ORACLE_SQL["tokenize_udf"] = ORACLE_SQL["tokenize_truncate"]
 ORACLE_SQL["length_band_stream"] = ORACLE_SQL["length_band"]
+ORACLE_SQL["chat_template_factory"] = ORACLE_SQL["format_chatml"]

@@ -124,6 +124,16 @@ def q_chat_template_custom(spark, sf_dir):
     return df.select("sample_id", "text")
 
 
+def q_chat_template_factory(spark, sf_dir):
+    """A template given as Python code (here ChatML), run per Arrow
+    batch; must equal the built-in ChatML rendering after strip and band."""
+    from corpusmill.operators.render import chatml_template_factory, render_with_factory
+    recs = messages_records(catalog.conversations(spark, sf_dir))
+    df = recs.withColumn("source", F.lit("messages")).withColumn(
+        "sample_id", F.concat(F.lit("messages/"), F.col("conv_id").cast("string")))
+    return length_band(render_with_factory(df, chatml_template_factory, MIX)).select("sample_id", "text")
+
+
 def q_format_dispatch(spark, sf_dir):
     specs, frames = catalog.mixed_format(spark, sf_dir)
     rendered, _, _ = render_sources(spark, specs, MIX, frames)
@@ -325,6 +335,7 @@ QUERIES = {
     "sharegpt_to_messages": q_sharegpt_to_messages,
     "format_openorca": q_format_openorca,
     "chat_template_custom": q_chat_template_custom,
+    "chat_template_factory": q_chat_template_factory,
     "format_dispatch": q_format_dispatch,
     "strip_text": q_strip_text,
     "line_explode": q_line_explode,

@@ -144,3 +144,22 @@ def test_render_of_real_conversations_matches_row_model(spark):
     for r in rows:
         rec = {"messages": [m.asDict() for m in r["messages"]]}
         assert r["t"] == rm.chatml(rec)
+
+
+def test_template_factory_path(spark):
+    from corpusmill.operators.render import render_samples, render_with_factory
+
+    def factory():
+        def render_batch(convs):
+            return [None if c is None else "|".join(f"{m['role']}={m['content']}" for m in c) + "  " for c in convs]
+        return render_batch
+
+    schema = "sample_id string, source string, messages array<struct<role:string,content:string>>"
+    df = spark.createDataFrame([("a", "s", [("user", "hi"), ("assistant", None)]), ("b", "s", None)], schema)
+    got = {r["sample_id"]: r["text"] for r in render_with_factory(df, factory).collect()}
+    assert got == {"a": "user=hi|assistant=None", "b": None}
+    # the ChatML factory equals the built-in expression
+    from corpusmill.operators.render import chatml_template_factory
+    a = {r["sample_id"]: r["text"] for r in render_with_factory(df, chatml_template_factory).collect()}
+    b = {r["sample_id"]: r["text"] for r in render_samples(df, "chatml").collect()}
+    assert a == b
