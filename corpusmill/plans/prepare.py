@@ -21,7 +21,7 @@ from corpusmill.functions.keys import text_hash
 from corpusmill.functions.templates import CHATML, ChatTemplate
 from corpusmill.operators.dedup import dedup_exact
 from corpusmill.operators.filters import length_band, stage_counts
-from corpusmill.operators.render import render_samples
+from corpusmill.operators.render import render_samples, render_with_factory
 from corpusmill.operators.report import corpus_stats, counts_df, prep_funnel
 from corpusmill.operators.sampling import apply_selection, mix_selection, sample_exact_n
 from corpusmill.operators.shuffle import ORD_PREFIX, global_positions, with_ord_key, with_source_order_key
@@ -53,10 +53,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def render_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
-                   frames: dict[str, DataFrame] | None = None,
-                   template: ChatTemplate = CHATML) -> tuple[DataFrame | None, dict, dict]:
+                   frames: dict[str, DataFrame] | None = None, template: ChatTemplate = CHATML,
+                   template_factory=None) -> tuple[DataFrame | None, dict, dict]:
     """S1/S2 + A1 + P6: per source group scan, exact-n sample on raw rows,
-    render with the group's format.  Returns (rendered, raw_counts, skipped)."""
+    render with the group's format (chat formats through `template_factory`
+    when one is given).  Returns (rendered, raw_counts, skipped)."""
     from corpusmill.sources.scan import load_sources
 
     loaded, skipped = load_sources(spark, specs, mix, frames)
@@ -68,18 +69,21 @@ def render_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
         else:
             raw_counts.update(rep)
         head = members[0]
-        parts.append(render_samples(sampled, head.format, mix, template, head.text_column))
+        if head.format == "chatml" and template_factory is not None:
+            parts.append(render_with_factory(sampled, template_factory, mix))
+        else:
+            parts.append(render_samples(sampled, head.format, mix, template, head.text_column))
     raw_counts["_lazy"] = union_all(lazy_counts) if lazy_counts else None
     return (union_all(parts) if parts else None), raw_counts, skipped
 
 
 def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None = None,
             frames: dict[str, DataFrame] | None = None, template: ChatTemplate = CHATML,
-            store: StageStore | None = None) -> Prepared:
+            store: StageStore | None = None, template_factory=None) -> Prepared:
     mix = mix or MixSpec()
     specs = validate_sources(specs, mix)
     config = source_config_df(spark, specs)
-    rendered, raw_counts, skipped = render_sources(spark, specs, mix, frames, template)
+    rendered, raw_counts, skipped = render_sources(spark, specs, mix, frames, template, template_factory)
     lazy_totals = raw_counts.pop("_lazy")
     if rendered is None:
         raise NoSourceLoaded(f"no source could be loaded: {skipped}")

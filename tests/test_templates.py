@@ -163,3 +163,15 @@ def test_template_factory_path(spark):
     a = {r["sample_id"]: r["text"] for r in render_with_factory(df, chatml_template_factory).collect()}
     b = {r["sample_id"]: r["text"] for r in render_samples(df, "chatml").collect()}
     assert a == b
+
+
+def test_prepare_with_template_factory_equals_builtin(spark):
+    from corpusmill.operators.render import chatml_template_factory
+    from corpusmill.plans import catalog
+    from corpusmill.plans.prepare import prepare
+    specs, frames = catalog.mixed_format(spark, "/root/testdata/sf0.001")
+    a = prepare(spark, specs, MixSpec(), frames)
+    b = prepare(spark, specs, MixSpec(), frames, template_factory=chatml_template_factory)
+    ra = sorted(tuple(r) for r in a.corpus.select("sample_id", "pos", "text").collect())
+    rb = sorted(tuple(r) for r in b.corpus.select("sample_id", "pos", "text").collect())
+    assert ra == rb and len(ra) > 0
