@@ -24,7 +24,7 @@ from corpusmill.operators.tokens import causal_labels, pad_and_mask, tokenize_tr
 from corpusmill.operators.dedup import dedup_report
 from corpusmill.operators.lines import line_explode
 from corpusmill.plans.prepare import NoSourceLoaded, Prepared, prepare
-from corpusmill.session import StageStore
+from corpusmill.session import StageStore, job_description
 from corpusmill.sources.sinks import export_text, write_corpus, write_stats
 
 SPEC_KEYS = {f for f in SourceSpec.__dataclass_fields__}
@@ -78,11 +78,13 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
     paths = {"corpus": os.path.join(out_dir, "corpus"), "stats": os.path.join(out_dir, "dataset_stats"),
              "funnel": os.path.join(out_dir, "prep_funnel"), "store": store.root}
     t1 = time.time()
-    write_corpus(p.corpus, paths["corpus"], corpus_format)
+    with job_description(spark, "corpusmill write corpus"):
+        write_corpus(p.corpus, paths["corpus"], corpus_format)
     t["write_corpus"] = time.time() - t1
     if text_export:
         t1 = time.time()
-        paths["text"] = export_text(p.corpus, os.path.join(out_dir, "training_data_txt"))
+        with job_description(spark, "corpusmill export text"):
+            paths["text"] = export_text(p.corpus, os.path.join(out_dir, "training_data_txt"))
         t["export_text"] = time.time() - t1
     t1 = time.time()
     echo = json.dumps({"sources": [dataclasses.asdict(s) for s in specs], "mixing": dataclasses.asdict(mix)},
@@ -125,17 +127,20 @@ def run_train_input_job(spark: SparkSession, rows: DataFrame, out_dir: str,
     t = {}
     t0 = time.time()
     tok_path = os.path.join(out_dir, "tokenized")
-    tokenize_truncate(rows, spec).write.mode("overwrite").parquet(tok_path)
+    with job_description(spark, "corpusmill tokenize"):
+        tokenize_truncate(rows, spec).write.mode("overwrite").parquet(tok_path)
     tok = spark.read.parquet(tok_path)
     t["tokenize"] = time.time() - t0
     t1 = time.time()
     n = tok.count()
     plan = epoch_plan(tok, n, spec, carry=["n_tokens"])
     batches = length_grouped(plan, spec) if spec.group_by_length else batch_assign(plan, spec)
-    batches.write.mode("overwrite").parquet(os.path.join(out_dir, "batches"))
+    with job_description(spark, "corpusmill batches"):
+        batches.write.mode("overwrite").parquet(os.path.join(out_dir, "batches"))
     t["batches"] = time.time() - t1
     t1 = time.time()
-    causal_labels(pad_and_mask(tok, spec), spec).write.mode("overwrite").parquet(os.path.join(out_dir, "padded"))
+    with job_description(spark, "corpusmill pad and labels"):
+        causal_labels(pad_and_mask(tok, spec), spec).write.mode("overwrite").parquet(os.path.join(out_dir, "padded"))
     t["pad_labels"] = time.time() - t1
     t["total"] = time.time() - t0
     t["rows"] = n

@@ -57,5 +57,20 @@ class StageStore:
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         p = self.path(name)
-        df.write.mode("overwrite").parquet(p)
+        with job_description(self.spark, f"corpusmill stage {name}"):
+            df.write.mode("overwrite").parquet(p)
         return self.spark.read.parquet(p)
+
+
+class job_description:
+    """Label the Spark jobs run inside the block (visible in event logs)."""
+
+    def __init__(self, spark: SparkSession, text: str):
+        self.sc, self.text = spark.sparkContext, text
+
+    def __enter__(self):
+        self.prev = self.sc.getLocalProperty("spark.job.description")
+        self.sc.setJobDescription(self.text)
+
+    def __exit__(self, *exc):
+        self.sc.setJobDescription(self.prev)

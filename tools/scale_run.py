@@ -24,7 +24,10 @@ def main():
     from corpusmill.plans.jobs import run_prepare_job, run_train_input_job, train_rows_from_corpus
     from corpusmill.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=4 * cpus, app="corpusmill-scale")
+    extra = {}
+    if os.environ.get("EVENT_LOG_DIR"):
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["EVENT_LOG_DIR"]}
+    spark = local_session(cpus, shuffle_partitions=4 * cpus, app="corpusmill-scale", extra=extra)
     specs = catalog.docs_mix(data) + [
         SourceSpec(name="src_hot", sample_size=50_000, weight=0.3, format="text",
                    path=catalog.table(data, "documents"), source_column="source", id_column="doc_id",
