@@ -22,25 +22,34 @@ TOKENIZED_SCHEMA = T.StructType([
 ])
 
 
-def codepoint_ids(text: Column) -> Column:
-    """Built-in tokenizer: one id per Unicode code point (JVM-side).  The
-    whole text is tokenized; truncation is a separate slice."""
-    return F.transform(F.split(text, ""), lambda c: F.ascii(c))
+def codepoint_tokens(text: Column) -> Column:
+    """Built-in tokenizer: the whole text split into Unicode code points
+    (JVM-side; non-BMP characters stay whole)."""
+    return F.split(text, "")
+
+
+def codepoint_ids(tokens: Column) -> Column:
+    """Token -> id: the code point.  (`transform` runs its lambda per element,
+    so it is applied after truncation, to at most max_seq_length tokens.)"""
+    return F.transform(tokens, lambda c: F.ascii(c))
 
 
 def tokenize_truncate(rows: DataFrame, spec: TrainSpec = TrainSpec(), text_col: str = "text",
                       id_col: str = "row_id") -> DataFrame:
     """(row_id, input_ids[:max_seq_length], n_tokens); `text` is dropped.
     Rows must be non-blank (an empty string would give one token)."""
-    ids = F.slice(codepoint_ids(F.col(text_col)), 1, spec.max_seq_length)
+    ids = codepoint_ids(F.slice(codepoint_tokens(F.col(text_col)), 1, spec.max_seq_length))
     return (rows.select(F.col(id_col).alias("row_id"), ids.alias("input_ids"))
             .withColumn("n_tokens", F.size("input_ids").cast("int")))
 
 
-def codepoint_tokenizer_factory() -> Callable[[list[str]], list[list[int]]]:
-    """Default U1 factory; equals T1's built-in expression."""
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [[ord(c) for c in t] for t in texts]
+def codepoint_tokenizer_factory() -> Callable[[list[str]], list]:
+    """Default U1 factory; equals T1's built-in expression.  Each whole text
+    is decoded to code points in one vectorised step (UTF-32 buffer)."""
+    import numpy as np
+
+    def encode(texts: list[str]) -> list:
+        return [np.frombuffer(t.encode("utf-32-le"), dtype="<u4").astype(np.int32) for t in texts]
     return encode
 
 
@@ -54,7 +63,7 @@ def tokenize_with(rows: DataFrame, factory: Callable[[], Callable[[list[str]], l
         import pandas as pd
         encode = factory()
         for pdf in batches:
-            ids = [list(map(int, x[:max_len])) for x in encode(pdf[text_col].tolist())]
+            ids = [x[:max_len] for x in encode(pdf[text_col].tolist())]
             yield pd.DataFrame({"row_id": pdf[id_col].astype(str), "input_ids": ids,
                                 "n_tokens": [len(x) for x in ids]})
 
@@ -76,6 +85,10 @@ def causal_labels(padded: DataFrame, spec: TrainSpec = TrainSpec()) -> DataFrame
     ign = F.lit(spec.ignore_index)
     if spec.mask_by == "pad_id":
         labels = F.transform("input_ids", lambda i: F.when(i == F.lit(spec.pad_id), ign).otherwise(i))
+    elif "n_tokens" in padded.columns:
+        # T2 pads on the right, so the mask is n ones then zeros: no per-element lambda needed
+        pad = F.greatest(F.size("input_ids") - F.col("n_tokens"), F.lit(0))
+        labels = F.concat(F.slice("input_ids", 1, F.col("n_tokens")), F.array_repeat(ign, pad))
     else:
         labels = F.zip_with("input_ids", "attention_mask", lambda i, m: F.when(m == 1, i).otherwise(ign))
     return padded.select("row_id", "input_ids", "attention_mask", labels.alias("labels"), "n_tokens")
