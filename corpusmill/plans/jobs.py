@@ -84,7 +84,8 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
     if text_export:
         t1 = time.time()
         with job_description(spark, "corpusmill export text"):
-            paths["text"] = export_text(p.corpus, os.path.join(out_dir, "training_data_txt"))
+            paths["text"] = export_text(p.corpus, os.path.join(out_dir, "training_data_txt"),
+                                        n_rows=sum(p.mix_counts.values()))
         t["export_text"] = time.time() - t1
     t1 = time.time()
     echo = json.dumps({"sources": [dataclasses.asdict(s) for s in specs], "mixing": dataclasses.asdict(mix)},
