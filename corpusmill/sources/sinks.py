@@ -25,9 +25,15 @@ def write_corpus(corpus: DataFrame, path: str, fmt: str = "parquet") -> str:
     return path
 
 
-def export_text(corpus: DataFrame, path: str, n_files: int | None = None) -> str:
-    """Samples as text lines in pos order (each sample + '\\n')."""
-    n = n_files or corpus.sparkSession.sparkContext.defaultParallelism
+# Rows per text part file when the file count follows the data (~0.5 GB at 1 KB/row).
+ROWS_PER_TEXT_FILE = 500_000
+
+
+def export_text(corpus: DataFrame, path: str, n_files: int | None = None, n_rows: int | None = None) -> str:
+    """Samples as text lines in pos order (each sample + '\\n').  The file
+    count grows with the rows (`n_rows`, e.g. the mix's sum of n)."""
+    par = corpus.sparkSession.sparkContext.defaultParallelism
+    n = n_files or max(par, -(-(n_rows or 0) // ROWS_PER_TEXT_FILE))
     (corpus.repartitionByRange(n, "pos").sortWithinPartitions("pos")
      .select("text").write.mode("overwrite").option("lineSep", "\n").text(path))
     return path
