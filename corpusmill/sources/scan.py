@@ -9,7 +9,9 @@ reader, and only the columns a format reads survive column pruning.
 from __future__ import annotations
 
 import logging
+import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,8 +85,28 @@ def _share_key(spec: SourceSpec):
             spec.subset_column, spec.split, spec.split_column, spec.id_column, spec.text_column)
 
 
+def _resolve_with_retry(build, retries: int, backoff_s: float) -> DataFrame:
+    """Build a scan and resolve its schema, retrying transient failures with
+    a growing pause (backoff * attempt).  Analysis errors (missing path,
+    bad schema) are definitive and raised at once; task-level retries
+    during execution are Spark's own."""
+    for attempt in range(1, retries + 1):
+        try:
+            df = build()
+            df.schema  # forces path and schema resolution now
+            return df
+        except (AnalysisException, ConfigError):
+            raise
+        except Exception as e:  # noqa: BLE001 - transient storage/network errors
+            if attempt == retries:
+                raise
+            log.warning("attempt %d failed: %s; retrying", attempt, str(e).splitlines()[0][:200])
+            time.sleep(backoff_s * attempt)
+    raise AssertionError("unreachable")
+
+
 def load_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None = None,
-                 frames: dict[str, DataFrame] | None = None
+                 frames: dict[str, DataFrame] | None = None, retries: int = 3, backoff_s: float = 5.0
                  ) -> tuple[list[tuple[list[SourceSpec], DataFrame]], dict[str, str]]:
     """Build one scan per source group; a source whose read or schema
     analysis fails is logged, reported and skipped, the rest go on.
@@ -105,8 +127,9 @@ def load_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | No
                         skipped[m.name] = f"unknown format {head.format!r}"
                     continue
                 raise ConfigError(f"{head.name}: unknown format {head.format!r}")
-            df = scan_source(spark, head, mix, frames.get(head.name), [m.name for m in members])
-            df.schema  # forces path and schema resolution now
+            df = _resolve_with_retry(
+                lambda: scan_source(spark, head, mix, frames.get(head.name), [m.name for m in members]),
+                retries, backoff_s)
             loaded.append((members, df))
         except ConfigError:
             raise

@@ -101,3 +101,24 @@ def test_odd_config_funnel(spark):
     assert f["src1"]["selected"] == f["src1"]["kept"] and f["src2"]["selected"] == 0
     stats = {r["source"] for r in p.stats.collect()}
     assert "src_missing" not in stats
+
+
+def test_transient_read_errors_are_retried(spark, monkeypatch):
+    import corpusmill.sources.scan as S
+    calls = {"n": 0}
+    real = S._read
+
+    def flaky(spark_, spec):
+        calls["n"] += 1
+        if calls["n"] < 3:
+            raise OSError("transient storage error")
+        return real(spark_, spec)
+
+    monkeypatch.setattr(S, "_read", flaky)
+    spec = SourceSpec(name="d", path=f"{SF001}/documents.parquet", id_column="doc_id")
+    loaded, skipped = S.load_sources(spark, [spec], backoff_s=0.0)
+    assert calls["n"] == 3 and len(loaded) == 1 and not skipped
+    calls["n"] = -10  # keeps failing past the retries -> isolated as skipped
+    monkeypatch.setattr(S, "_read", lambda *a: (_ for _ in ()).throw(OSError("down")))
+    loaded, skipped = S.load_sources(spark, [spec], backoff_s=0.0)
+    assert not loaded and "d" in skipped
