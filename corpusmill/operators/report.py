@@ -1,4 +1,9 @@
-"""R1 preparation funnel and S5 corpus stats as DataFrames."""
+"""R1 preparation funnel, S5 corpus stats and G2 numbers from per-source counts.
+
+Every stage count is one row per source (config-sized): the counts that
+selection already needed are collected anyway, the rest are single narrow
+aggregates.  The reports are assembled from them without further jobs.
+"""
 
 from __future__ import annotations
 
@@ -6,31 +11,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COUNT_SCHEMA = T.StructType([T.StructField("source", T.StringType(), False),
-                             T.StructField("n", T.LongType(), False)])
+FUNNEL_SCHEMA = T.StructType([T.StructField(c, T.StringType() if c == "source" else T.LongType(), False)
+                              for c in ("source", "total", "sampled", "kept", "selected", "after_dedup")])
+STATS_SCHEMA = T.StructType([T.StructField("source", T.StringType(), False),
+                             T.StructField("kept", T.LongType(), False),
+                             T.StructField("total_samples", T.LongType(), False)])
+
+
+def per_source(df: DataFrame, name: str = "n") -> dict[str, int]:
+    """Row count per source, collected (one row per source)."""
+    return {r["source"]: int(r[name]) for r in df.groupBy("source").agg(F.count(F.lit(1)).alias(name)).collect()}
+
+
+def funnel_rows(sources: list[str], stages: dict[str, dict[str, int]]) -> list[tuple]:
+    """One row per configured source, in config order, zeros where a stage
+    has no rows.  `stages` maps total/sampled/kept/selected/after_dedup to
+    per-source counts."""
+    cols = ("total", "sampled", "kept", "selected", "after_dedup")
+    return [(s, *(int(stages[c].get(s, 0)) for c in cols)) for s in sources]
 
 
-def counts_df(spark: SparkSession, counts: dict[str, int], name: str) -> DataFrame:
-    """A collected per-source count dict (one entry per source) as a DataFrame."""
-    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], COUNT_SCHEMA) \
-        .withColumnRenamed("n", name)
+def funnel_df(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, FUNNEL_SCHEMA)
 
 
-def prep_funnel(config: DataFrame, stages: list[DataFrame]) -> DataFrame:
-    """One row per configured source (in config order), zeros where a stage
-    has no rows.  Each stage frame is (source, <count column>)."""
-    out = config.select("source", "source_ord")
-    names = []
-    for st in stages:
-        name = [c for c in st.columns if c != "source"][0]
-        names.append(name)
-        out = out.join(F.broadcast(st), "source", "left")
-    return out.select("source", *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in names])
+def stats_df(spark: SparkSession, kept: dict[str, int], total_samples: int) -> DataFrame:
+    """(source, kept, total_samples): kept before mixing; sources with no
+    survivor do not appear, as in the reference's stats."""
+    return spark.createDataFrame([(s, int(k), int(total_samples)) for s, k in kept.items() if k > 0],
+                                 STATS_SCHEMA)
 
 
-def corpus_stats(kept: DataFrame, corpus: DataFrame) -> DataFrame:
-    """(source, kept, total_samples): per-source kept count before mixing
-    (sources with no survivor do not appear) and the final corpus size."""
-    total = corpus.agg(F.count(F.lit(1))).scalar()  # scalar subquery, one value
-    return kept.where(F.col("kept") > 0).select(
-        "source", F.col("kept").cast("long").alias("kept"), total.cast("long").alias("total_samples"))
+def dedup_numbers(before: int, after: int) -> dict:
+    """G2 from two counts: removed and its percentage (0.0 when empty)."""
+    removed = before - after
+    pct = round(removed * 100.0 / before, 1) if before else 0.0
+    return {"total": before, "unique_texts": after, "removed": removed, "removed_pct": pct}

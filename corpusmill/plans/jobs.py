@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from corpusmill.config import ConfigError, MixSpec, SourceSpec, TrainSpec
 from corpusmill.operators.batches import batch_assign, epoch_plan, length_grouped
 from corpusmill.operators.tokens import causal_labels, pad_and_mask, tokenize_truncate
-from corpusmill.operators.dedup import dedup_report
+from corpusmill.operators.report import dedup_numbers
 from corpusmill.operators.lines import line_explode
 from corpusmill.plans.prepare import NoSourceLoaded, Prepared, prepare
 from corpusmill.session import StageStore, job_description
@@ -90,19 +90,16 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
     t1 = time.time()
     echo = json.dumps({"sources": [dataclasses.asdict(s) for s in specs], "mixing": dataclasses.asdict(mix)},
                       default=str)
-    write_stats(p.stats, paths["stats"], spark.read.parquet(paths["corpus"]) if corpus_format == "parquet"
-                else p.corpus, echo)
-    p.funnel.write.mode("overwrite").json(paths["funnel"])
+    corpus_out = spark.read.parquet(paths["corpus"]) if corpus_format == "parquet" else p.corpus
+    write_stats(p.stats, paths["stats"], corpus_out, echo)
+    p.funnel.coalesce(1).write.mode("overwrite").json(paths["funnel"])  # one row per source
     paths["dedup_report"] = os.path.join(out_dir, "dedup_report")
-    rep = dedup_report(p.mixed)
-    rep.write.mode("overwrite").json(paths["dedup_report"])
+    rep = dedup_numbers(sum(p.mix_counts.values()), sum(p.after_counts.values()))
+    spark.createDataFrame([rep]).coalesce(1).write.mode("overwrite").json(paths["dedup_report"])
     t["reports"] = time.time() - t1
-    for r in spark.read.json(paths["funnel"]).orderBy("source").collect():  # one row per source
-        log.info("source %s: total=%s sampled=%s kept=%s selected=%s after_dedup=%s", r["source"], r["total"],
-                 r["sampled"], r["kept"], r["selected"], r["after_dedup"])
-    r = spark.read.json(paths["dedup_report"]).first()
-    if r is not None:
-        log.info("removed %s duplicates (%.1f%%)", r["removed"], r["removed_pct"])
+    for r in p.funnel_rows:
+        log.info("source %s: total=%s sampled=%s kept=%s selected=%s after_dedup=%s", *r)
+    log.info("removed %s duplicates (%.1f%%)", rep["removed"], rep["removed_pct"])
     t["total"] = time.time() - t0
     return JobResult(prepared=p, paths=paths, timings=t)
 

@@ -22,7 +22,7 @@ from corpusmill.functions.templates import CHATML, ChatTemplate
 from corpusmill.operators.dedup import dedup_exact
 from corpusmill.operators.filters import length_band, stage_counts
 from corpusmill.operators.render import render_samples, render_with_factory
-from corpusmill.operators.report import corpus_stats, counts_df, prep_funnel
+from corpusmill.operators.report import funnel_df, funnel_rows, per_source, stats_df
 from corpusmill.operators.sampling import apply_selection, mix_selection, sample_exact_n
 from corpusmill.operators.shuffle import ORD_PREFIX, global_positions, with_ord_key, with_source_order_key
 from corpusmill.session import StageStore
@@ -41,6 +41,8 @@ class Prepared:
     kept_counts: dict = field(default_factory=dict)  # source -> rows after the band
     mix_counts: dict = field(default_factory=dict)   # source -> rows selected by the mix
     skipped: dict = field(default_factory=dict)
+    funnel_rows: list = field(default_factory=list)   # (source, total, sampled, kept, selected, after_dedup)
+    after_counts: dict = field(default_factory=dict)  # source -> rows in the corpus
 
 
 class NoSourceLoaded(RuntimeError):
@@ -126,19 +128,21 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
     corpus = apply_selection(samples.select("sample_id", "source", "source_ord", "text"), selection,
                              keep=["mix_rank", "ord_key", "pos"], index=index)
 
-    kept_df = counts_df(spark, kept_counts, "kept")
-    raw_total = counts_df(spark, {k: v[0] for k, v in raw_counts.items()}, "total")
-    raw_sampled = counts_df(spark, {k: v[1] for k, v in raw_counts.items()}, "sampled")
+    # Per-source counts (one row per source each), assembled on the driver.
+    after_counts = per_source(index)
+    totals = {k: v[0] for k, v in raw_counts.items()}
+    sampled = {k: v[1] for k, v in raw_counts.items()}
     if lazy_totals is not None:
-        raw_total = raw_total.unionByName(lazy_totals)
-        raw_sampled = raw_sampled.unionByName(lazy_totals.withColumnRenamed("total", "sampled"))
-    selected = counts_df(spark, limits, "selected")
-    after = index.groupBy("source").agg(F.count(F.lit(1)).alias("after_dedup"))
-    funnel = prep_funnel(config, [raw_total, raw_sampled, kept_df, selected, after])
-    stats = corpus_stats(kept_df, index)
+        uncapped = {r["source"]: int(r["total"]) for r in lazy_totals.collect()}
+        totals.update(uncapped)
+        sampled.update(uncapped)
+    rows = funnel_rows([s.name for s in specs], {"total": totals, "sampled": sampled, "kept": kept_counts,
+                                                  "selected": limits, "after_dedup": after_counts})
+    funnel = funnel_df(spark, rows)
+    stats = stats_df(spark, kept_counts, sum(after_counts.values()))
     return Prepared(rendered=rendered, samples=samples, mixed=mixed, index=index, corpus=corpus,
                     funnel=funnel, stats=stats, raw_counts=raw_counts, kept_counts=kept_counts,
-                    mix_counts=limits, skipped=skipped)
+                    mix_counts=limits, skipped=skipped, funnel_rows=rows, after_counts=after_counts)
 
 
 def malformed_report(rendered: DataFrame, mix: MixSpec | None = None) -> DataFrame:
