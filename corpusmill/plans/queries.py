@@ -192,7 +192,9 @@ def q_sample_exact_n(spark, sf_dir):
 
 
 def _mixed(spark, sf_dir, specs):
-    kept = _kept_docs(spark, sf_dir, specs)
+    """A2 over the kept samples; their narrow projection is written once
+    (stage table) so counting, bucket offsets and the window read it."""
+    kept = StageStore(spark).put("kept_ids", _kept_docs(spark, sf_dir, specs).select("source", "sample_id"))
     sel, limits = mix_fraction(kept, {s.name: s.weight for s in specs}, seed=MIX.seed)
     return sel, limits
 
@@ -304,7 +306,8 @@ def q_causal_labels(spark, sf_dir):
 
 
 def _plan(spark, sf_dir, carry=None):
-    rows = tokenize_truncate(train_rows(spark, sf_dir), TRAIN)
+    """B1 over tokenized rows, which are written once (as the train job does)."""
+    rows = StageStore(spark).put("tokenized", tokenize_truncate(train_rows(spark, sf_dir), TRAIN))
     n = rows.count()
     return epoch_plan(rows, n, TRAIN, carry=carry)
 
