@@ -21,7 +21,6 @@ from corpusmill.operators.batches import batch_assign, epoch_plan, length_groupe
 from corpusmill.operators.dedup import dedup_report
 from corpusmill.operators.filters import length_band, stage_counts
 from corpusmill.operators.lines import line_explode
-from corpusmill.operators.render import render_samples
 from corpusmill.operators.sampling import mix_fraction, ranked_selection
 from corpusmill.operators.shuffle import global_shuffle
 from corpusmill.operators.tokens import (causal_labels, codepoint_tokenizer_factory, pad_and_mask,

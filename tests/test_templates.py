@@ -1,7 +1,6 @@
 """Edge records (FIXTURES.md §4) rendered by Spark vs the plain-Python row model."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpusmill.config import ConfigError, MixSpec, SourceSpec
 from corpusmill.functions.templates import CHATML, ChatTemplate, render
