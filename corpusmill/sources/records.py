@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import DEFAULT_MAX_CHARS, strip_ws
 
+# Broadcast the oversize-conversation keys only below this many keys.
+BROADCAST_KEYS_LIMIT = 1_000_000
+
 # Role names of the long table and their ShareGPT speakers.
 SHAREGPT_FROM = {"user": "human", "assistant": "gpt", "system": "system"}
 
@@ -32,9 +35,14 @@ def _bounded_turns(long_df: DataFrame, key: str, max_chars: int | None,
         F.sum(F.length(strip_ws(F.coalesce(F.col("text"), F.lit(""))))).alias("_core"),
         F.count(F.lit(1)).alias("_turns"))
     over = (F.col("_core") + F.col("_turns") * F.lit(min_chars_per_turn)) >= F.lit(max_chars)
-    small = stats.where(~over).select(key)
     big = stats.where(over).select(key)
-    return long_df.join(small, key, "left_semi"), big
+    # A hot oversize conversation must not be shuffled into one task only to
+    # be dropped: when the oversize key list is bounded, drop its turns with
+    # a broadcast anti-join before any shuffle.
+    n_big = big.count()
+    if n_big <= BROADCAST_KEYS_LIMIT:
+        return long_df.join(F.broadcast(big), key, "left_anti"), big
+    return long_df.join(stats.where(~over).select(key), key, "left_semi"), big
 
 
 def _collect(long_df: DataFrame, key: str, elem, max_chars: int | None, out_col: str,

@@ -65,6 +65,9 @@ def test_oversize_conversation_counts_for_sampling_but_fails_band(spark):
     recs = messages_records(long)
     flags = {r["conv_id"]: r["oversize"] for r in recs.collect()}
     assert flags == {1: False, 2: True, 3: True}
+    # the hot oversize conversation (9,000 turns) is dropped by a broadcast anti-join before any shuffle
+    plan = recs._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "Broadcast" in plan
     df = recs.withColumn("source", F.lit("c")).withColumn("sample_id", F.concat(F.lit("c/"), F.col("conv_id").cast("string")))
     kept = length_band(render_samples(df, "chatml"))
     assert [r["sample_id"] for r in kept.collect()] == ["c/1"]
