@@ -147,3 +147,17 @@ def test_no_shuffle_order_is_config_then_mix_rank(spark):
     by_pos = [(r["source_ord"], r["mix_rank"]) for r in sorted(rows, key=lambda r: r["pos"])]
     assert by_pos == sorted(by_pos) and [r["pos"] for r in rows] != [] \
         and sorted(r["pos"] for r in rows) == list(range(len(rows)))
+
+
+def test_prepare_is_partition_count_invariant(spark):
+    def run(parts, aqe):
+        old = (spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        try:
+            p = prepare(spark, catalog.docs_capped(SF01, cap=35), MixSpec(seed=9))
+            return sorted(tuple(r) for r in p.corpus.select("pos", "sample_id", "mix_rank", F.md5("text")).collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old[0])
+            spark.conf.set("spark.sql.adaptive.enabled", old[1])
+    assert run(3, "false") == run(37, "true")
