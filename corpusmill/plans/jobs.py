@@ -80,17 +80,19 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
     t1 = time.time()
     with job_description(spark, "corpusmill write corpus"):
         write_corpus(p.corpus, paths["corpus"], corpus_format)
+    # later outputs read the written corpus (selected rows only), not the join again
+    corpus_out = (spark.read.parquet(paths["corpus"]) if corpus_format == "parquet"
+                  else spark.read.schema(p.corpus.schema).json(paths["corpus"]))
     t["write_corpus"] = time.time() - t1
     if text_export:
         t1 = time.time()
         with job_description(spark, "corpusmill export text"):
-            paths["text"] = export_text(p.corpus, os.path.join(out_dir, "training_data_txt"),
+            paths["text"] = export_text(corpus_out, os.path.join(out_dir, "training_data_txt"),
                                         n_rows=sum(p.mix_counts.values()))
         t["export_text"] = time.time() - t1
     t1 = time.time()
     echo = json.dumps({"sources": [dataclasses.asdict(s) for s in specs], "mixing": dataclasses.asdict(mix)},
                       default=str)
-    corpus_out = spark.read.parquet(paths["corpus"]) if corpus_format == "parquet" else p.corpus
     write_stats(p.stats, paths["stats"], corpus_out, echo)
     p.funnel.coalesce(1).write.mode("overwrite").json(paths["funnel"])  # one row per source
     paths["dedup_report"] = os.path.join(out_dir, "dedup_report")

@@ -125,3 +125,13 @@ def test_transient_read_errors_are_retried(spark, monkeypatch):
     monkeypatch.setattr(S, "_read", lambda *a: (_ for _ in ()).throw(OSError("down")))
     loaded, skipped = S.load_sources(spark, [spec], backoff_s=0.0)
     assert not loaded and "d" in skipped
+
+
+def test_json_corpus_job(spark):
+    from corpusmill.plans.jobs import run_prepare_job
+    out = tempfile.mkdtemp(prefix="cm-jsoncorpus-")
+    res = run_prepare_job(spark, catalog.docs_mix(SF001), os.path.join(out, "o"), corpus_format="json")
+    back = spark.read.json(res.paths["corpus"])
+    assert back.count() == sum(res.prepared.after_counts.values()) > 0
+    lines = spark.read.text(res.paths["text"]).count()
+    assert lines >= back.count()
