@@ -24,7 +24,7 @@ from corpusmill.operators.tokens import causal_labels, pad_and_mask, tokenize_tr
 from corpusmill.operators.report import dedup_numbers
 from corpusmill.operators.lines import line_explode
 from corpusmill.plans.prepare import NoSourceLoaded, Prepared, prepare
-from corpusmill.session import StageStore, job_description
+from corpusmill.session import StageStore, ensure_checkpoint_dir, job_description
 from corpusmill.sources.sinks import export_text, write_corpus, write_stats
 
 SPEC_KEYS = {f for f in SourceSpec.__dataclass_fields__}
@@ -153,10 +153,14 @@ def main(argv=None):
     ap = argparse.ArgumentParser(description="prepare an instruction corpus with Spark")
     ap.add_argument("--config", required=True)
     ap.add_argument("--output-dir", required=True)
-    ap.add_argument("--master", default=None)
+    ap.add_argument("--local", action="store_true", help="run on a local[*] session (tests, laptops)")
     a = ap.parse_args(argv)
     specs, mix, train = load_yaml_config(a.config)
-    spark = local_session() if a.master is None else SparkSession.builder.master(a.master).getOrCreate()
+    if a.local:
+        spark = local_session()
+    else:  # spark-submit supplies master and cluster settings
+        spark = SparkSession.builder.appName("corpusmill").getOrCreate()
+        ensure_checkpoint_dir(spark)
     res = run_prepare_job(spark, specs, a.output_dir, mix)
     tt = run_train_input_job(spark, train_rows_from_corpus(spark.read.parquet(res.paths["corpus"])),
                              a.output_dir, train)
