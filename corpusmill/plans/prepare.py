@@ -54,49 +54,87 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def render_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
-                   frames: dict[str, DataFrame] | None = None, template: ChatTemplate = CHATML,
-                   template_factory=None) -> tuple[DataFrame | None, dict, dict]:
-    """S1/S2 + A1 + P6: per source group scan, exact-n sample on raw rows,
-    render with the group's format (chat formats through `template_factory`
-    when one is given).  Returns (rendered, raw_counts, skipped)."""
+def render_groups(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
+                  frames: dict[str, DataFrame] | None = None, template: ChatTemplate = CHATML,
+                  template_factory=None) -> tuple[list[tuple[list[str], DataFrame]], dict, dict]:
+    """Per source group (one scan): exact-n sample on raw rows, then render.
+    Returns ([(source names, rendered)], raw_counts, skipped)."""
     from corpusmill.sources.scan import load_sources
 
     loaded, skipped = load_sources(spark, specs, mix, frames)
-    parts, raw_counts, lazy_counts = [], {}, []
+    groups, raw_counts, lazy_counts = [], {}, []
     for members, raw in loaded:
         sampled, rep = sample_exact_n(raw, {m.name: m.sample_size for m in members}, seed=mix.seed)
         if rep is None:  # no cap: total = sampled, counted lazily (source column only)
-            lazy_counts.append(raw.groupBy("source").agg(F.count(F.lit(1)).alias("total")))
+            lazy_counts.append(([m.name for m in members],
+                                raw.groupBy("source").agg(F.count(F.lit(1)).alias("total"))))
         else:
             raw_counts.update(rep)
         head = members[0]
         if head.format == "chatml" and template_factory is not None:
-            parts.append(render_with_factory(sampled, template_factory, mix))
+            part = render_with_factory(sampled, template_factory, mix)
         else:
-            parts.append(render_samples(sampled, head.format, mix, template, head.text_column))
-    raw_counts["_lazy"] = union_all(lazy_counts) if lazy_counts else None
-    return (union_all(parts) if parts else None), raw_counts, skipped
+            part = render_samples(sampled, head.format, mix, template, head.text_column)
+        groups.append(([m.name for m in members], part))
+    raw_counts["_lazy"] = lazy_counts
+    return groups, raw_counts, skipped
+
+
+def render_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
+                   frames: dict[str, DataFrame] | None = None, template: ChatTemplate = CHATML,
+                   template_factory=None) -> tuple[DataFrame | None, dict, dict]:
+    """S1/S2 + A1 + P6: per source group scan, exact-n sample on raw rows,
+    render with the group's format (chat formats through `template_factory`
+    when one is given).  Returns (rendered, raw_counts, skipped)."""
+    groups, raw_counts, skipped = render_groups(spark, specs, mix, frames, template, template_factory)
+    lazy = raw_counts.pop("_lazy")
+    raw_counts["_lazy"] = union_all([d for _, d in lazy]) if lazy else None
+    return (union_all([g for _, g in groups]) if groups else None), raw_counts, skipped
 
 
 def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None = None,
             frames: dict[str, DataFrame] | None = None, template: ChatTemplate = CHATML,
-            store: StageStore | None = None, template_factory=None) -> Prepared:
+            store: StageStore | None = None, template_factory=None,
+            isolate_sources: bool = False) -> Prepared:
+    """The whole job.  With `isolate_sources` (needs a store) every source
+    group is materialised on its own, so a source whose files fail while
+    being read (corrupt data, lost storage) is reported in `skipped` and the
+    run goes on without it; otherwise such errors fail the job."""
     mix = mix or MixSpec()
     specs = validate_sources(specs, mix)
     config = source_config_df(spark, specs)
-    rendered, raw_counts, skipped = render_sources(spark, specs, mix, frames, template, template_factory)
-    lazy_totals = raw_counts.pop("_lazy")
-    if rendered is None:
+    groups, raw_counts, skipped = render_groups(spark, specs, mix, frames, template, template_factory)
+    lazy_counts = raw_counts.pop("_lazy")
+    if not groups:
         raise NoSourceLoaded(f"no source could be loaded: {skipped}")
 
-    # F2 + F1, then J1: the config lookup (broadcast: one row per source).
-    kept = length_band(rendered, mix.min_chars, mix.max_chars)
-    samples = (kept.join(F.broadcast(config.select("source", "source_ord")), "source", "inner")
-               .select("sample_id", "source", "source_ord", "text",
-                       text_hash("text").alias("text_hash"), F.length("text").alias("n_chars")))
-    if store is not None:
-        samples = store.put("samples", samples)
+    def to_samples(rendered: DataFrame) -> DataFrame:
+        # F2 + F1, then J1: the config lookup (broadcast: one row per source).
+        kept = length_band(rendered, mix.min_chars, mix.max_chars)
+        return (kept.join(F.broadcast(config.select("source", "source_ord")), "source", "inner")
+                .select("sample_id", "source", "source_ord", "text",
+                        text_hash("text").alias("text_hash"), F.length("text").alias("n_chars")))
+
+    rendered = union_all([g for _, g in groups])
+    if isolate_sources and store is not None:
+        parts = []
+        for i, (names, part) in enumerate(groups):
+            try:
+                parts.append(store.put(f"samples_{i}", to_samples(part)))
+            except Exception as e:  # noqa: BLE001 - execution-time failure of one source
+                for n in names:
+                    skipped[n] = str(e).splitlines()[0][:300]
+                    raw_counts.pop(n, None)
+                lazy_counts = [(ns, d) for ns, d in lazy_counts if ns != names]
+        if not parts:
+            raise NoSourceLoaded(f"no source could be read: {skipped}")
+        samples = union_all(parts)
+    else:
+        samples = to_samples(rendered)
+        if store is not None:
+            samples = store.put("samples", samples)
+
+    lazy_totals = union_all([d for _, d in lazy_counts]) if lazy_counts else None
 
     # A2 on the narrow projection; N per source is one small collect.
     kept_counts = {r["source"]: r["count"] for r in samples.groupBy("source").count().collect()}

@@ -135,3 +135,22 @@ def test_json_corpus_job(spark):
     assert back.count() == sum(res.prepared.after_counts.values()) > 0
     lines = spark.read.text(res.paths["text"]).count()
     assert lines >= back.count()
+
+
+def test_isolate_sources_skips_source_failing_at_execution(spark):
+    from corpusmill.plans.prepare import prepare
+    from corpusmill.session import StageStore
+    d = tempfile.mkdtemp(prefix="cm-corrupt-")
+    bad_dir = os.path.join(d, "bad")
+    spark.read.parquet(f"{SF001}/documents.parquet").coalesce(1).write.parquet(bad_dir)
+    with open(os.path.join(bad_dir, "part-zzzz-corrupt.parquet"), "wb") as f:
+        f.write(b"PAR1" + os.urandom(4096) + b"PAR1")
+    good = catalog.doc_spec(SF001, 0, 1.0)
+    bad = SourceSpec(name="bad", format="text", path=bad_dir, id_column="doc_id", source_ord=1)
+    with pytest.raises(Exception):
+        prepare(spark, [good, bad], MixSpec(), store=StageStore(spark)).index.count()
+    p = prepare(spark, [good, bad], MixSpec(), store=StageStore(spark), isolate_sources=True)
+    assert "bad" in p.skipped
+    assert {r["source"] for r in p.corpus.select("source").distinct().collect()} == {"src0"}
+    f = {r["source"]: r["total"] for r in p.funnel.collect()}
+    assert f["bad"] == 0 and f["src0"] > 0
