@@ -59,7 +59,8 @@ class StageStore:
         p = self.path(name)
         with job_description(self.spark, f"corpusmill stage {name}"):
             df.write.mode("overwrite").parquet(p)
-        return self.spark.read.parquet(p)
+        # the schema is known: no footer reads to infer it again
+        return self.spark.read.schema(df.schema).parquet(p)
 
 
 class job_description:
