@@ -37,7 +37,8 @@ class SourceSpec:
     split         optional split value, filtered on split_column
     source_column when set, rows of this source are those whose column equals
                   `name`; several specs on one path share one scan
-    id_column     stable key column, unique within the source; otherwise file path +
+    id_column     stable key column, non-null and unique within the source (NULL ids
+                  are counted as malformed rows); otherwise file path +
                   row index (unique by construction)
     text_column   column read by format 'text'
     """

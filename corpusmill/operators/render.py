@@ -19,6 +19,8 @@ def render_samples(df: DataFrame, fmt: str, mix: MixSpec | None = None,
     mix = mix or MixSpec()
     text = strip_ws(render(df, fmt, null_as=mix.null_as, template=template,
                            text_column=text_column, strict_shape=mix.strict_shape))
+    # a row without an id cannot be sampled or joined back: malformed, counted and dropped
+    text = F.when(F.col("sample_id").isNull(), F.lit(None).cast("string")).otherwise(text)
     oversize = F.coalesce(F.col("oversize"), F.lit(False)) if "oversize" in df.columns else F.lit(False)
     return df.select("sample_id", "source", text.alias("text"), oversize.alias("oversize"))
 

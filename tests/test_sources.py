@@ -154,3 +154,13 @@ def test_isolate_sources_skips_source_failing_at_execution(spark):
     assert {r["source"] for r in p.corpus.select("source").distinct().collect()} == {"src0"}
     f = {r["source"]: r["total"] for r in p.funnel.collect()}
     assert f["bad"] == 0 and f["src0"] > 0
+
+
+def test_null_ids_are_malformed(spark):
+    from corpusmill.operators.filters import stage_counts
+    from corpusmill.plans.prepare import render_sources
+    df = spark.createDataFrame([(1, "x" * 60), (None, "y" * 60), (3, "z" * 60)], "id long, text string")
+    spec = SourceSpec(name="s", format="text", id_column="id")
+    rendered, _, _ = render_sources(spark, [spec], MixSpec(), {"s": df})
+    c = stage_counts(rendered).first()
+    assert (c["rendered"], c["malformed"], c["kept"]) == (3, 1, 2)
