@@ -46,6 +46,15 @@ def bucket_offsets(df: DataFrame, group_cols: list[str], key_col: str, bucket_ch
     return counts.withColumn(OFF, F.sum(CNT).over(w) - F.col(CNT))
 
 
+def _unique_guard(w, tie_col: str) -> Column:
+    """NULL, or a runtime error when the row's id equals the previous id in
+    the window order (duplicate ids share a key, so they are adjacent): an
+    exact rank needs unique ids.  Rides on the window's sort, no extra pass."""
+    prev = F.lag(F.col(tie_col)).over(w)
+    return F.when(prev == F.col(tie_col),
+                  F.raise_error(F.concat(F.lit("duplicate id in exact rank: "), F.col(tie_col).cast("string"))))
+
+
 def exact_rank(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str, *,
                bucket_chars: int = 3, n_groups: int = 1, rank_col: str = "rank") -> DataFrame:
     """Add `rank_col` (1-based) equal to row_number() over (partition by group
@@ -55,7 +64,9 @@ def exact_rank(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str,
     d = df.withColumn(BKT, F.substring(F.col(key_col), 1, bucket_chars))
     d = d.join(_maybe_broadcast(offsets, bound), [*group_cols, BKT], "inner")
     w = Window.partitionBy(*group_cols, BKT).orderBy(F.col(key_col), F.col(tie_col))
-    return d.withColumn(rank_col, F.col(OFF) + F.row_number().over(w)).drop(BKT, OFF)
+    return (d.withColumn(rank_col, F.col(OFF) + F.row_number().over(w))
+            .withColumn("_dup", _unique_guard(w, tie_col)).where(F.col("_dup").isNull())
+            .drop(BKT, OFF, "_dup"))
 
 
 def candidate_buckets(df: DataFrame, group_cols: list[str], key_col: str, limits: DataFrame,
@@ -95,8 +106,9 @@ def take_first_n(df: DataFrame, group_cols: list[str], key_col: str, tie_col: st
     d = df.withColumn(BKT, F.substring(F.col(key_col), 1, bucket_chars))
     d = d.join(_maybe_broadcast(cand, bound), [*group_cols, BKT], "inner")
     w = Window.partitionBy(*group_cols, BKT).orderBy(F.col(key_col), F.col(tie_col))
-    ranked = d.withColumn(rank_col, F.col(OFF) + F.row_number().over(w))
-    return ranked.where(F.col(rank_col) <= F.col("n")).drop(BKT, OFF, "n")
+    ranked = (d.withColumn(rank_col, F.col(OFF) + F.row_number().over(w))
+              .withColumn("_dup", _unique_guard(w, tie_col)))
+    return ranked.where((F.col(rank_col) <= F.col("n")) & F.col("_dup").isNull()).drop(BKT, OFF, "n", "_dup")
 
 
 def group_sizes(df: DataFrame, group_cols: list[str]) -> dict:

@@ -161,3 +161,11 @@ def test_prepare_is_partition_count_invariant(spark):
             spark.conf.set("spark.sql.shuffle.partitions", old[0])
             spark.conf.set("spark.sql.adaptive.enabled", old[1])
     assert run(3, "false") == run(37, "true")
+
+
+def test_duplicate_ids_fail_loudly(spark):
+    import pytest
+    df = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "2"), ("a", "3")], "source string, sample_id string")
+    sel, _ = mix_fraction(df, {"a": 1.0})
+    with pytest.raises(Exception, match="duplicate id"):
+        sel.collect()
