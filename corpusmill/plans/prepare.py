@@ -31,7 +31,7 @@ from corpusmill.session import StageStore
 @dataclass
 class Prepared:
     rendered: DataFrame   # sample_id, source, text (NULL = malformed), oversize
-    samples: DataFrame    # sample_id, source, source_ord, text, text_hash, n_chars (after band)
+    samples: DataFrame    # sample_id, source, source_ord, text, text_hash (after band)
     mixed: DataFrame      # narrow: source, sample_id, mix_rank, source_ord, text_hash, ord_key
     index: DataFrame      # narrow corpus: mixed (deduplicated) + pos
     corpus: DataFrame     # sample_id, source, source_ord, text, mix_rank, ord_key, pos
@@ -113,7 +113,7 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
         kept = length_band(rendered, mix.min_chars, mix.max_chars)
         return (kept.join(F.broadcast(config.select("source", "source_ord")), "source", "inner")
                 .select("sample_id", "source", "source_ord", "text",
-                        text_hash("text").alias("text_hash"), F.length("text").alias("n_chars")))
+                        text_hash("text").alias("text_hash")))
 
     rendered = union_all([g for _, g in groups])
     if isolate_sources and store is not None:
