@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import dataclasses
 import json
+from concurrent.futures import ThreadPoolExecutor
 import logging
 import os
 import time
@@ -93,11 +94,17 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
     t1 = time.time()
     echo = json.dumps({"sources": [dataclasses.asdict(s) for s in specs], "mixing": dataclasses.asdict(mix)},
                       default=str)
-    write_stats(p.stats, paths["stats"], corpus_out, echo)
-    p.funnel.coalesce(1).write.mode("overwrite").json(paths["funnel"])  # one row per source
     paths["dedup_report"] = os.path.join(out_dir, "dedup_report")
     rep = dedup_numbers(sum(p.mix_counts.values()), sum(p.after_counts.values()))
-    spark.createDataFrame([rep]).coalesce(1).write.mode("overwrite").json(paths["dedup_report"])
+    # three small independent writes (one row per source at most): submitted together
+    writes = [
+        lambda: write_stats(p.stats, paths["stats"], corpus_out, echo),
+        lambda: p.funnel.coalesce(1).write.mode("overwrite").json(paths["funnel"]),
+        lambda: spark.createDataFrame([rep]).coalesce(1).write.mode("overwrite").json(paths["dedup_report"]),
+    ]
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for f in [pool.submit(w) for w in writes]:
+            f.result()
     t["reports"] = time.time() - t1
     for r in p.funnel_rows:
         log.info("source %s: total=%s sampled=%s kept=%s selected=%s after_dedup=%s", *r)
