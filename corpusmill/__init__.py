@@ -8,6 +8,15 @@ Sub-packages:
   streaming  incremental render/filter stage on a streaming DataFrame
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
 from corpusmill.config import MixSpec, SourceSpec, TrainSpec
 
+# Python code shipped to executors (mapInPandas functions, tokenizer and
+# template factories) is serialised by value, so workers need no installed
+# copy of this package; worker functions import nothing from it.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 __all__ = ["MixSpec", "SourceSpec", "TrainSpec"]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.config import MixSpec
 from corpusmill.functions.templates import CHATML, ChatTemplate, render
-from corpusmill.functions.text import strip_ws
+from corpusmill.functions.text import WHITESPACE, strip_ws
 
 
 def render_samples(df: DataFrame, fmt: str, mix: MixSpec | None = None,
@@ -45,16 +45,17 @@ def render_with_factory(df: DataFrame, factory, mix: MixSpec | None = None) -> D
     oversize = F.coalesce(F.col("oversize"), F.lit(False)) if "oversize" in df.columns else F.lit(False)
     src = df.select("sample_id", "source", msgs.alias("messages"), oversize.alias("oversize"))
 
+    ws = WHITESPACE
+
     def run(batches):
         import pandas as pd
-        from corpusmill.functions.text import WHITESPACE
         render_batch = factory()
         for pdf in batches:
             conv = [None if m is None else [dict(role=x["role"], content=x["content"]) for x in m]
                     for m in pdf["messages"]]
             texts = render_batch(conv)
             yield pd.DataFrame({"sample_id": pdf["sample_id"], "source": pdf["source"],
-                                "text": [None if t is None else t.strip(WHITESPACE) for t in texts],
+                                "text": [None if t is None else t.strip(ws) for t in texts],
                                 "oversize": pdf["oversize"]})
 
     return src.mapInPandas(run, "sample_id string, source string, text string, oversize boolean")
