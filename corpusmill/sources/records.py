@@ -30,7 +30,7 @@ def _bounded_turns(long_df: DataFrame, key: str, max_chars: int | None,
                    min_chars_per_turn: int = 1) -> tuple[DataFrame, DataFrame]:
     """(turns of collectable conversations, oversize conversation keys)."""
     if max_chars is None:
-        return long_df, long_df.select(key).limit(0)
+        return long_df, long_df.select(key).where(F.lit(False))  # no oversize keys
     stats = long_df.groupBy(key).agg(
         F.sum(F.length(strip_ws(F.coalesce(F.col("text"), F.lit(""))))).alias("_core"),
         F.count(F.lit(1)).alias("_turns"))

@@ -35,7 +35,7 @@ def _filter_eq(df: DataFrame, column: str, value: str | None, what: str, spec: S
         return df
     if column not in df.columns:
         if missing == "empty":
-            return df.limit(0)
+            return df.where(F.lit(False))  # parity: a missing split yields no rows
         raise ConfigError(f"{spec.name}: {what} {value!r} requested but no column {column!r}")
     return df.where(F.col(column) == F.lit(value))
 
