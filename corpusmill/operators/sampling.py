@@ -78,6 +78,11 @@ def apply_selection(wide: DataFrame, selection: Selection, id_col: str = "sample
     sel = (index if index is not None else selection.df).select(id_col, *(keep or []))
     how = "inner" if keep else "left_semi"
     if selection.bound <= BROADCAST_IDS_LIMIT:
+        if keep:
+            # a semi-join first: unlike the inner join it is pushed below
+            # aggregations in `wide` (e.g. per-conversation collection), so
+            # only selected rows are built; the broadcast is reused
+            wide = wide.join(F.broadcast(sel.select(id_col)), id_col, "left_semi")
         return wide.join(F.broadcast(sel), id_col, how)
     return selection.prune(wide).join(sel, id_col, how)
 

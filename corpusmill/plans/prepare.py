@@ -31,7 +31,7 @@ from corpusmill.session import StageStore
 @dataclass
 class Prepared:
     rendered: DataFrame   # sample_id, source, text (NULL = malformed), oversize
-    samples: DataFrame    # sample_id, source, source_ord, text, text_hash (after band)
+    samples: DataFrame    # narrow: sample_id, source, source_ord, text_hash (kept by the band)
     mixed: DataFrame      # narrow: source, sample_id, mix_rank, source_ord, text_hash, ord_key
     index: DataFrame      # narrow corpus: mixed (deduplicated) + pos
     corpus: DataFrame     # sample_id, source, source_ord, text, mix_rank, ord_key, pos
@@ -58,7 +58,8 @@ def render_groups(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
                   frames: dict[str, DataFrame] | None = None, template: ChatTemplate = CHATML,
                   template_factory=None) -> tuple[list[tuple[list[str], DataFrame]], dict, dict]:
     """Per source group (one scan): exact-n sample on raw rows, then render.
-    Returns ([(source names, rendered)], raw_counts, skipped)."""
+    Returns ([(source names, rendered sample, rendered raw rows or None)],
+    raw_counts, skipped)."""
     from corpusmill.sources.scan import load_sources
 
     loaded, skipped = load_sources(spark, specs, mix, frames)
@@ -71,11 +72,15 @@ def render_groups(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
         else:
             raw_counts.update(rep)
         head = members[0]
-        if head.format == "chatml" and template_factory is not None:
-            part = render_with_factory(sampled, template_factory, mix)
-        else:
-            part = render_samples(sampled, head.format, mix, template, head.text_column)
-        groups.append(([m.name for m in members], part))
+
+        def rend(df: DataFrame, head=head) -> DataFrame:
+            if head.format == "chatml" and template_factory is not None:
+                return render_with_factory(df, template_factory, mix)
+            return render_samples(df, head.format, mix, template, head.text_column)
+
+        # (names, rendered exact-n sample, rendered raw rows): the last one
+        # feeds the final text join, whose index is already inside the sample
+        groups.append(([m.name for m in members], rend(sampled), rend(raw) if sampled is not raw else None))
     raw_counts["_lazy"] = lazy_counts
     return groups, raw_counts, skipped
 
@@ -89,7 +94,7 @@ def render_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
     groups, raw_counts, skipped = render_groups(spark, specs, mix, frames, template, template_factory)
     lazy = raw_counts.pop("_lazy")
     raw_counts["_lazy"] = union_all([d for _, d in lazy]) if lazy else None
-    return (union_all([g for _, g in groups]) if groups else None), raw_counts, skipped
+    return (union_all([g[1] for g in groups]) if groups else None), raw_counts, skipped
 
 
 def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None = None,
@@ -110,17 +115,19 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
 
     def to_samples(rendered: DataFrame) -> DataFrame:
         # F2 + F1, then J1: the config lookup (broadcast: one row per source).
+        # Only the narrow identity of a kept sample is kept: the text is
+        # re-rendered from the (durable) sources for the selected rows at the
+        # end, so the kept corpus is never written out as a whole.
         kept = length_band(rendered, mix.min_chars, mix.max_chars)
         return (kept.join(F.broadcast(config.select("source", "source_ord")), "source", "inner")
-                .select("sample_id", "source", "source_ord", "text",
-                        text_hash("text").alias("text_hash")))
+                .select("sample_id", "source", "source_ord", text_hash("text").alias("text_hash")))
 
-    rendered = union_all([g for _, g in groups])
     if isolate_sources and store is not None:
-        parts = []
-        for i, (names, part) in enumerate(groups):
+        parts, ok_groups = [], []
+        for i, (names, part, full) in enumerate(groups):
             try:
                 parts.append(store.put(f"samples_{i}", to_samples(part)))
+                ok_groups.append((names, part, full))
             except Exception as e:  # noqa: BLE001 - execution-time failure of one source
                 for n in names:
                     skipped[n] = str(e).splitlines()[0][:300]
@@ -128,11 +135,14 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
                 lazy_counts = [(ns, d) for ns, d in lazy_counts if ns != names]
         if not parts:
             raise NoSourceLoaded(f"no source could be read: {skipped}")
+        groups = ok_groups
         samples = union_all(parts)
     else:
-        samples = to_samples(rendered)
+        samples = to_samples(union_all([g[1] for g in groups]))
         if store is not None:
             samples = store.put("samples", samples)
+    rendered = union_all([g[1] for g in groups])
+    rendered_all = union_all([g[2] if g[2] is not None else g[1] for g in groups])
 
     lazy_totals = union_all([d for _, d in lazy_counts]) if lazy_counts else None
 
@@ -160,11 +170,13 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
     if store is not None:
         index = store.put("index", index)
 
-    # One join of the wide text onto the narrow index: broadcast when the
-    # index is provably small (at most sum(n) rows), else a shuffle join of
-    # only the rows in the mix's candidate buckets.
-    corpus = apply_selection(samples.select("sample_id", "source", "source_ord", "text"), selection,
-                             keep=["mix_rank", "ord_key", "pos"], index=index)
+    # The text of the selected rows, rendered again from the sources (exact:
+    # rendering is deterministic): one join of the rendered rows onto the
+    # narrow index, broadcast when the index is provably small (at most
+    # sum(n) rows), else a shuffle join of only the mix's candidate buckets.
+    corpus = apply_selection(rendered_all.select("sample_id", "source", "text"), selection,
+                             keep=["source_ord", "mix_rank", "ord_key", "pos"], index=index) \
+        .select("sample_id", "source", "source_ord", "text", "mix_rank", "ord_key", "pos")
 
     # Per-source counts (one row per source each), assembled on the driver.
     after_counts = per_source(index)
