@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, records
+from corpusmill.llm import bpe, line_dedup, mixing, quality_rules, records, secrets
 from corpusmill.llm.common import Stages, table
 
 #: The id appended to every document of the binary output.
@@ -22,6 +22,25 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents"), Stages(spark, "rules")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), Stages(spark, "lines")).select(
+        "doc_id", "n_chunks", "n_removed_chunks", "n_removed_lines", F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.col("base_spans")
+    return found.select(
+        "doc_id", *(secrets.kind_count(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"), secrets.spans_text(F.col("spans")).alias("spans"))
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = records.write_records(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
@@ -30,8 +49,62 @@ def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.draws(table(spark, sf_dir, "documents"), Stages(spark, "mix"))
+    return drawn.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
+                        (F.col("size") * F.size("copies")).alias("taken"))
+
+
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
+    "op7_secrets": op7_secrets,
     "op9_binary_records": op9_binary_records,
+    "op10_mix_sources": op10_mix_sources,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_OP3 = """
+with w as (
+  select doc_id, source, coalesce(text, '') as t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+  from documents),
+grams as (
+  select doc_id, i, words[i:i + 2] as g
+  from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from w)),
+covered as (
+  select doc_id, count(distinct p) as n_repeat_words from (
+    select doc_id, unnest([i, i + 1, i + 2]) as p
+    from (select doc_id, i, count(*) over (partition by doc_id, g) as n from grams) where n > 1)
+  group by doc_id),
+c as (
+  select w.doc_id, source, len(words)::bigint as n_words, len(lines) as n_lines,
+         length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g'))::bigint as word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+         coalesce(n_repeat_words, 0)::bigint as n_repeat_words
+  from w left join covered on w.doc_id = covered.doc_id),
+f as (
+  select *, n_words < 50 as f1, 100 * n_repeat_words > 50 * n_words as f2,
+         100 * n_symbols > 50 * n_words as f3, 100 * n_dup_lines > 50 * n_lines as f4 from c),
+h as (
+  select source, rule, count(*) as n, sum(fail::int) as k
+  from (select source, unnest(['f1', 'f2', 'f3', 'f4']) as rule, unnest([f1, f2, f3, f4]) as fail from f)
+  group by source, rule),
+m as (
+  select rule, sum(k) / sum(n) as mean, coalesce(var_samp(k / n), 0) as spread, avg(1 / n) as per_host from h group by rule),
+p as (
+  select rule, mean, mean * (1 - mean) as noise,
+         greatest(spread - mean * (1 - mean) * per_host, mean * (1 - mean) * 0.001) as between_hosts from m),
+s as (
+  select rule, mean, case when between_hosts > 0 then greatest(noise / between_hosts - 1, 1) else 1 end as strength from p),
+v as (
+  select source, bool_or((k + strength * mean) / (n + strength) > case rule when 'f1' then 0.9 else 0.5 end) as rejected
+  from h join s using (rule) group by source)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f1 or f2) as base_failed,
+       not (f1 or f2) and not rejected as kept
+from f join v on f.source is not distinct from v.source
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_quality_rules": _OP3}
