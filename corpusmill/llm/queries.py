@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, line_dedup, mixing, quality_rules, records, secrets
+from corpusmill.llm import bpe, classifier, line_dedup, mixing, multi_index, quality_rules, records, secrets
 from corpusmill.llm.common import Stages, table
 
 #: The id appended to every document of the binary output.
@@ -33,6 +33,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, Stages(spark, "index"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.col("base_spans")
@@ -41,6 +46,22 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.spans_text(base), 256).alias("base_sha256"), secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> bytes:
+    return classifier.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                            usable=~classifier.held_out(F.col("doc_id")))
+
+
+#: Documents with at least this score count as good.
+MIN_QUALITY = 0.3
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = classifier.score(docs, quality_model(spark, sf_dir))
+    return scored.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= MIN_QUALITY).cast("int").alias("predicted"))
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = records.write_records(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
@@ -59,7 +80,9 @@ QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op7_secrets": op7_secrets,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_binary_records": op9_binary_records,
     "op10_mix_sources": op10_mix_sources,
 }
