@@ -16,11 +16,15 @@ from itertools import chain
 import regex
 
 
+#: Pre-tokens that one library call takes, as its results are far larger than the ids.
+CALL = 2000
+
+
 class PretokenCoder:
     """`encode_many` maps distinct pre-tokens to their id bytes."""
 
     def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]],
-                 max_entries: int = 400_000):
+                 max_entries: int = 200_000):
         self.split = regex.compile(pattern).findall
         self.encode_many = encode_many
         self.max_entries = max_entries
@@ -29,8 +33,9 @@ class PretokenCoder:
 
     def _learn(self, pretokens: set[str]) -> None:
         new = list(pretokens.difference(self.tokens))
-        if new:
-            self.tokens.update(zip(new, self.encode_many(new)))
+        for at in range(0, len(new), CALL):
+            part = new[at:at + CALL]
+            self.tokens.update(zip(part, self.encode_many(part)))
 
     def code(self, texts: list[str]) -> list[bytes]:
         if len(self.tokens) > self.max_entries:
