@@ -10,6 +10,7 @@ over its whole length.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 from itertools import chain
 
@@ -37,37 +38,50 @@ class PretokenCoder:
             part = new[at:at + CALL]
             self.tokens.update(zip(part, self.encode_many(part)))
 
+    def _cut(self, fragment: str) -> list[str] | None:
+        """The pre-tokens of a space and `fragment`; None where the space is no safe cut."""
+        if fragment.isalpha():
+            return [" " + fragment]
+        if not fragment or fragment[0].isspace() or fragment[-1].isspace():
+            return None
+        return self.split(" " + fragment)
+
     def code(self, texts: list[str]) -> list[bytes]:
         if len(self.tokens) > self.max_entries:
             self.tokens = {}
         if len(self.fragments) > self.max_entries:
             self.fragments = {}
+        collecting = gc.isenabled()
+        gc.disable()  # many small lists, none of them in a cycle
+        try:
+            return self._code(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _code(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
         heads = [c[0] for c in cut]
         for c in cut:
             del c[0]
-        new = {}
-        for f in set(chain.from_iterable(cut)).difference(self.fragments):
-            new[f] = None if not f or f[0].isspace() or f[-1].isspace() else self.split(" " + f)
+        new = {f: self._cut(f) for f in set(chain.from_iterable(cut)).difference(self.fragments)}
         # a head is safe when nothing follows it, or when it ends in a character that is not white space
-        first = [self.split(h if not c or (h and not h[-1].isspace()) else t)
-                 for h, c, t in zip(heads, cut, texts)]
         whole = [bool(c) and (not h or h[-1].isspace()) for h, c in zip(heads, cut)]
-        self._learn(set(chain.from_iterable(x for x in new.values() if x)).union(*first))
-        token = self.tokens.__getitem__
+        first = [self.split(t if w else h) for h, w, t in zip(heads, whole, texts)]
+        self._learn(set(chain.from_iterable(filter(None, new.values()))).union(*first))
+        token, fragments = self.tokens.__getitem__, self.fragments
         for f, pre in new.items():
-            self.fragments[f] = None if pre is None else b"".join(map(token, pre))
-        known, out = self.fragments.__getitem__, []
+            fragments[f] = (None if pre is None else token(pre[0]) if len(pre) == 1 else b"".join(map(token, pre)))
+        known, out = fragments.__getitem__, []
         for pre, rest, done, t in zip(first, cut, whole, texts):
             head = b"".join(map(token, pre))
             if done or not rest:
                 out.append(head)
                 continue
-            parts = list(map(known, rest))
-            if None in parts:
+            try:
+                out.append(head + b"".join(map(known, rest)))
+            except TypeError:  # some space is no safe cut
                 pre = self.split(t)
                 self._learn(set(pre))
                 out.append(b"".join(map(token, pre)))
-            else:
-                out.append(head + b"".join(parts))
         return out

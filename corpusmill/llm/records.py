@@ -36,6 +36,8 @@ from corpusmill.llm.pretokens import PretokenCoder
 #: Fixed value of the checksum mask.
 MASK_DELTA = 0xA282EAD8
 INDEX_ENTRY = np.dtype([("offset", "<u8"), ("ids_before", "<u8"), ("n_ids", "<u4")])
+#: The byte-level alphabet's character for a space.
+SPACE = "Ġ"
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
 
 
@@ -74,9 +76,24 @@ def tokenizer_encoder(tokenizer_json: str, width: int):
     tokenizer = Tokenizer.from_str(tokenizer_json)
     tokenizer.encode_special_tokens = True  # special strings inside a text are ordinary text
 
+    # a pre-token that begins with a space and goes on otherwise can stand in a
+    # row of such: the tokens with the space in front show where each begins
+    starts = np.zeros(max(tokenizer.get_vocab().values()) + 1, dtype=bool)
+    for piece, i in tokenizer.get_vocab().items():
+        starts[i] = piece.startswith(SPACE)
+
     def encode_many(pretokens: list[str]) -> list[bytes]:
-        return [np.array(e.ids, f"<u{width}").tobytes()
-                for e in tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)]
+        spaced = [p for p in pretokens if p[0] == " " and not p[1:2].isspace() and len(p) > 1]
+        coded = {}
+        if spaced:
+            ids = np.array(tokenizer.encode_batch_fast(["".join(spaced)], add_special_tokens=False)[0].ids, f"<u{width}")
+            ends = (np.append(np.flatnonzero(starts[ids]), len(ids)) * width).tolist()
+            data = ids.tobytes()
+            coded = dict(zip(spaced, map(data.__getitem__, map(slice, ends, ends[1:])), strict=True))
+        rest = [p for p in pretokens if p not in coded]
+        coded.update(zip(rest, (np.array(e.ids, f"<u{width}").tobytes()
+                                for e in tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
+        return [coded[p] for p in pretokens]
 
     return encode_many
 
