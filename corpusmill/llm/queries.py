@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, classifier, line_dedup, mixing, multi_index, quality_rules, records, secrets
+from corpusmill.llm import bpe, classifier, line_dedup, mixing, multi_index, near_dedup, quality_rules, records, secrets
 from corpusmill.llm.common import Stages, table
 
 #: The id appended to every document of the binary output.
@@ -38,6 +38,11 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), Stages(spark, "near"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.col("base_spans")
@@ -81,6 +86,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_near_dedup": op6_near_dedup,
     "op7_secrets": op7_secrets,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_binary_records": op9_binary_records,
