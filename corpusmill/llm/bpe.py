@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from corpusmill.llm.common import text_batches
+from corpusmill.llm.common import small_batches, text_batches
 from corpusmill.llm.pretokens import PretokenCoder
 
 #: One character outside ASCII for each byte, so that no piece holds a space.
@@ -90,6 +90,7 @@ def pretoken_encoder(proto: bytes, ranks: dict[bytes, int]):
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, n_tokens long, ids binary) of every row's whole text."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((model_proto(ranks), ranks))  # size of the vocabulary
     id_type = df.schema[id_col].dataType.simpleString()
 

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from corpusmill.llm.common import small_batches
+
 #: Runs of equal neighbours that count as n-grams of the equality sequence.
 EQUAL_RUNS = (1, 2, 3, 5, 8)
 
@@ -125,6 +127,7 @@ def _logistic(margins: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
 def train(df: DataFrame, labels: DataFrame, training: Training = Training(), id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "quality", usable: Column | None = None) -> bytes:
     """The fitted model, serialised.  `usable` says which label rows may be seen."""
+    small_batches(df.sparkSession)
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     if usable is not None:
         chosen = chosen.where(usable)
@@ -153,6 +156,7 @@ def train(df: DataFrame, labels: DataFrame, training: Training = Training(), id_
 def score(df: DataFrame, model: bytes, training: Training = Training(), text_col: str = "text",
           out_col: str = "score") -> DataFrame:
     """`df` with a score for every row."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)  # two numbers for each feature
     schema = StructType([*df.schema.fields, StructField(out_col, DoubleType())])
 

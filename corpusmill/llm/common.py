@@ -37,11 +37,17 @@ class Stages:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Arrow batches of at most so many rows from now on in this session:
+    texts are long, and a batch is held several times on its way."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_batches(batches, id_name: str, text_name: str, max_bytes: int = 4_000_000):
+def text_batches(batches, id_name: str, text_name: str, max_bytes: int = 2_000_000):
     """(ids, texts) lists of bounded text size out of Arrow batches; a null
     text is read as empty."""
     for batch in batches:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import Stages, partitions, text_batches
+from corpusmill.llm.common import Stages, partitions, small_batches, text_batches
 from corpusmill.llm.components import components
 from corpusmill.llm.shingles import bands, shingle_sets, sketches
 
@@ -206,6 +206,7 @@ def leftover_pairs(members: DataFrame, labels: DataFrame, how: NearDedup, forest
 def near_duplicates(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(), id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept), a row for each row of `df`."""
+    small_batches(df.sparkSession)
     sketched = stages.put("sketches", sketch_table(df, how, id_col, text_col))
     sets_only = sketched.where("digest is not null and id is not null")
     classes = stages.put("classes", sets_only.groupBy("digest").agg(

@@ -12,39 +12,60 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, filterfalse
 
 import regex
 
 
 #: Pre-tokens that one library call takes, as its results are far larger than the ids.
 CALL = 2000
+#: Characters that, right after a word, are a pre-token of their own.
+CLOSING = (".", ",", ";", ":", "!", "?")
 
 
 class PretokenCoder:
-    """`encode_many` maps distinct pre-tokens to their id bytes."""
+    """`encode_many` maps distinct pre-tokens to their id bytes; `encode_words`
+    does so for words of letters, each behind the prefix it is given (a space or nothing)."""
 
     def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]],
-                 max_entries: int = 200_000):
+                 encode_words: Callable[[list[str], str], list[bytes]] | None = None, max_entries: int = 500_000):
         self.split = regex.compile(pattern).findall
         self.encode_many = encode_many
+        self.encode_words = encode_words or (lambda words, prefix: encode_many([prefix + w for w in words]))
         self.max_entries = max_entries
         self.tokens: dict[str, bytes] = {}
         self.fragments: dict[str, bytes | None] = {}  # after a space; None: not a safe cut
 
-    def _learn(self, pretokens: set[str]) -> None:
-        new = list(pretokens.difference(self.tokens))
+    def _learn(self, known: dict[str, bytes], new: list[str], encode: Callable[[list[str]], list[bytes]]) -> None:
         for at in range(0, len(new), CALL):
             part = new[at:at + CALL]
-            self.tokens.update(zip(part, self.encode_many(part)))
+            known.update(zip(part, encode(part)))
 
-    def _cut(self, fragment: str) -> list[str] | None:
-        """The pre-tokens of a space and `fragment`; None where the space is no safe cut."""
-        if fragment.isalpha():
-            return [" " + fragment]
-        if not fragment or fragment[0].isspace() or fragment[-1].isspace():
-            return None
-        return self.split(" " + fragment)
+    def _learn_fragments(self, new: set[str]) -> None:
+        words = {f for f in new if f.isalpha()}
+        closed, cut = [], {}
+        for f in new.difference(words):
+            if f[-1:] in CLOSING and f[:-1].isalpha():
+                closed.append(f)
+            elif not f or f[0].isspace() or f[-1].isspace():
+                cut[f] = None
+            else:
+                cut[f] = self.split(" " + f)
+        words.update(f[:-1] for f in closed if f[:-1] not in self.fragments)
+        self._learn(self.fragments, list(words), lambda part: self.encode_words(part, " "))
+        marks = CLOSING if closed else ()
+        self._learn_tokens(chain(marks, *filter(None, cut.values())))
+        fragments, token = self.fragments, self.tokens.__getitem__
+        for f in closed:
+            fragments[f] = fragments[f[:-1]] + token(f[-1])
+        for f, pre in cut.items():
+            fragments[f] = None if pre is None else b"".join(map(token, pre))
+
+    def _learn_tokens(self, pretokens) -> None:
+        new = set(filterfalse(self.tokens.__contains__, pretokens))
+        words = [p for p in new if p.isalpha()]
+        self._learn(self.tokens, words, lambda part: self.encode_words(part, ""))
+        self._learn(self.tokens, list(new.difference(words)), self.encode_many)
 
     def code(self, texts: list[str]) -> list[bytes]:
         if len(self.tokens) > self.max_entries:
@@ -62,26 +83,27 @@ class PretokenCoder:
     def _code(self, texts: list[str]) -> list[bytes]:
         cut = [t.split(" ") for t in texts]
         heads = [c[0] for c in cut]
-        for c in cut:
-            del c[0]
-        new = {f: self._cut(f) for f in set(chain.from_iterable(cut)).difference(self.fragments)}
         # a head is safe when nothing follows it, or when it ends in a character that is not white space
-        whole = [bool(c) and (not h or h[-1].isspace()) for h, c in zip(heads, cut)]
+        whole = [len(c) > 1 and (not h or h[-1].isspace()) for h, c in zip(heads, cut)]
         first = [self.split(t if w else h) for h, w, t in zip(heads, whole, texts)]
-        self._learn(set(chain.from_iterable(filter(None, new.values()))).union(*first))
-        token, fragments = self.tokens.__getitem__, self.fragments
-        for f, pre in new.items():
-            fragments[f] = (None if pre is None else token(pre[0]) if len(pre) == 1 else b"".join(map(token, pre)))
-        known, out = fragments.__getitem__, []
-        for pre, rest, done, t in zip(first, cut, whole, texts):
+        self._learn_tokens(chain.from_iterable(first))
+        flat = list(chain.from_iterable(c[1:] for c in cut))
+        coded = list(map(self.fragments.get, flat))
+        unknown = [i for i, x in enumerate(coded) if x is None]
+        self._learn_fragments(set(filterfalse(self.fragments.__contains__, map(flat.__getitem__, unknown))))
+        for i in unknown:
+            coded[i] = self.fragments[flat[i]]
+        token, out, at = self.tokens.__getitem__, [], 0
+        for pre, c, done, t in zip(first, cut, whole, texts):
+            parts, at = coded[at:at + len(c) - 1], at + len(c) - 1
             head = b"".join(map(token, pre))
-            if done or not rest:
+            if done or not parts:
                 out.append(head)
                 continue
             try:
-                out.append(head + b"".join(map(known, rest)))
+                out.append(head + b"".join(parts))
             except TypeError:  # some space is no safe cut
                 pre = self.split(t)
-                self._learn(set(pre))
+                self._learn_tokens(pre)
                 out.append(b"".join(map(token, pre)))
         return out

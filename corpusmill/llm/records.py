@@ -29,8 +29,9 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
-from corpusmill.llm.common import Stages, partitions, text_batches
+from corpusmill.llm.common import Stages, partitions, small_batches, text_batches
 from corpusmill.llm.pretokens import PretokenCoder
 
 #: Fixed value of the checksum mask.
@@ -38,6 +39,8 @@ MASK_DELTA = 0xA282EAD8
 INDEX_ENTRY = np.dtype([("offset", "<u8"), ("ids_before", "<u8"), ("n_ids", "<u4")])
 #: The byte-level alphabet's character for a space.
 SPACE = "Ġ"
+#: Stands between words that are encoded in a row; no word of letters holds it.
+MARK = "!"
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
 
 
@@ -70,32 +73,37 @@ def read_frame(stream) -> bytes | None:
     return body[:n]
 
 
-def tokenizer_encoder(tokenizer_json: str, width: int):
-    """A function from distinct pre-tokens to their ids as bytes of `width` each."""
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_str(tokenizer_json)
+def tokenizer_encoders(tokenizer_json: str, width: int):
+    """Functions from distinct pre-tokens, and from distinct words of letters
+    behind a space, to their ids as bytes of `width` each."""
+    tokenizer, spelled = Tokenizer.from_str(tokenizer_json), Tokenizer.from_str(tokenizer_json)
     tokenizer.encode_special_tokens = True  # special strings inside a text are ordinary text
-
-    # a pre-token that begins with a space and goes on otherwise can stand in a
-    # row of such: the tokens with the space in front show where each begins
-    starts = np.zeros(max(tokenizer.get_vocab().values()) + 1, dtype=bool)
-    for piece, i in tokenizer.get_vocab().items():
-        starts[i] = piece.startswith(SPACE)
+    # words already spelled in the byte-level alphabet need no more than the merges
+    spelled.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    between, mark = f" {MARK} ", tokenizer.token_to_id(MARK)
+    letters = byte_letters()
 
     def encode_many(pretokens: list[str]) -> list[bytes]:
-        spaced = [p for p in pretokens if p[0] == " " and not p[1:2].isspace() and len(p) > 1]
-        coded = {}
-        if spaced:
-            ids = np.array(tokenizer.encode_batch_fast(["".join(spaced)], add_special_tokens=False)[0].ids, f"<u{width}")
-            ends = (np.append(np.flatnonzero(starts[ids]), len(ids)) * width).tolist()
-            data = ids.tobytes()
-            coded = dict(zip(spaced, map(data.__getitem__, map(slice, ends, ends[1:])), strict=True))
-        rest = [p for p in pretokens if p not in coded]
-        coded.update(zip(rest, (np.array(e.ids, f"<u{width}").tobytes()
-                                for e in tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
-        return [coded[p] for p in pretokens]
+        return [np.array(e.ids, f"<u{width}").tobytes()
+                for e in tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)]
+
+    def encode_words(words: list[str], prefix: str) -> list[bytes]:
+        lead = SPACE if prefix else ""
+        row = between.join([lead + (w if w.isascii() else w.encode().decode("latin-1").translate(letters)) for w in words])
+        ids = np.array(spelled.encode_batch_fast([row], add_special_tokens=False)[0].ids, f"<u{width}")
+        at = np.flatnonzero(ids == mark) * width
+        data = ids.tobytes()
+        return [data[lo:hi] for lo, hi in zip([0, *(at + width).tolist()], [*at.tolist(), len(data)])]
+
+    return encode_many, encode_words
+
 
-    return encode_many
+def byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes of Latin-1 stand for themselves,
+    the others for the characters from 256 on, in order."""
+    own = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int, vocabulary: int,
@@ -104,6 +112,7 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
     """Writes the shards and returns their manifest, one row for each shard,
     with `base`, the number of token ids in all shards before it."""
     spark = df.sparkSession
+    small_batches(spark)
     width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())  # size of the vocabulary
@@ -119,7 +128,7 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}.rec")
-                coder = PretokenCoder(pattern, tokenizer_encoder(shared.value, width))
+                coder = PretokenCoder(pattern, *tokenizer_encoders(shared.value, width))
             for doc, coded in zip(ids, coder.code(texts)):
                 data = frame(b"".join((bytes([doc is None]), (doc or 0).to_bytes(8, "little", signed=True),
                                        coded, end)))
