@@ -53,7 +53,7 @@ def chunk_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, at, n_lines, h, h2, chunk) of every chunk with enough lines."""
     narrow = chunked(df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"),
                                                                 F.col(text_col).alias("_t")), "_t")
-    return (narrow.select("id", F.posexplode("_chunks").alias("at", "c"))
+    return (narrow.select("id", F.posexplode_outer("_chunks").alias("at", "c"))
             .where(F.col("c.n_lines") >= MIN_LINES)
             .select("id", "at", F.col("c.n_lines").alias("n_lines"), *_hash_pair(F.col("c.text")),
                     F.col("c.text").alias("chunk")))
