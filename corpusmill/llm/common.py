@@ -34,6 +34,8 @@ class Stages:
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(self.path(name))
+        # shuffle files of finished stages go when the driver collects its garbage
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 

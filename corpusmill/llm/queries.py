@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, classifier, line_dedup, mixing, multi_index, near_dedup, quality_rules, records, secrets
+from corpusmill.llm import bpe, classifier, line_dedup, mixing, multi_index, near_dedup, quality_rules, records, secrets, suffix_dedup
 from corpusmill.llm.common import Stages, table
 
 #: The id appended to every document of the binary output.
@@ -22,6 +22,13 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.dedup_suffixes(table(spark, sf_dir, "documents"), Stages(spark, "suffixes"))
+    return left.select(F.col("id").alias("doc_id"), "n_bytes",
+                       (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       (F.size("edges") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents"), Stages(spark, "rules")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -83,6 +90,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_nearest_neighbours": op5_nearest_neighbours,
