@@ -147,10 +147,16 @@ def train(df: DataFrame, labels: DataFrame, training: Training = Training(), id_
                 if r["_label_id"] not in best or r["h"] < best[r["_label_id"]][0]:
                     best[r["_label_id"]] = (r["h"], r["text"], r["_label"])
         ratios, weights, *rest = fit([best[k][1:] for k in sorted(best)], training)
-        data = np.concatenate([ratios, weights, rest]).astype("<f8").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["model"])
+        yield pa.RecordBatch.from_arrays([pa.array([model(ratios, weights, rest)], pa.binary())], names=["model"])
 
-    return bytes(sample.repartition(1).mapInArrow(run, "model binary").first().model)
+    def model(ratios, weights, rest) -> bytes:
+        return np.concatenate([ratios, weights, rest]).astype("<f8").tobytes()
+
+    fitted = sample.repartition(1).mapInArrow(run, "model binary").first()
+    if fitted is None:  # no labelled row
+        ratios, weights, *rest = fit([], training)
+        return model(ratios, weights, rest)
+    return bytes(fitted.model)
 
 
 def score(df: DataFrame, model: bytes, training: Training = Training(), text_col: str = "text",

@@ -251,7 +251,7 @@ def near_duplicates(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(),
                .select(F.col("digest").alias("d"), F.coalesce("comp", "rep").alias("class_comp")))
     alone = labels.withColumnRenamed("comp", "own_comp")
     found = (sketched.select("id", F.col("n").alias("n_shingles"), "digest")
-             .join(several, F.col("digest") == F.col("d"), "left")
+             .join(several, (F.col("digest") == F.col("d")) & F.col("id").isNotNull(), "left")
              .join(alone, (F.col("id") == F.col("node")) & F.col("digest").isNotNull(), "left"))
     component: Column = F.coalesce("class_comp", "own_comp", "id")
     return found.select("id", "n_shingles", component.alias("component_id"),
