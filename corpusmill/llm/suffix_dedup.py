@@ -52,6 +52,7 @@ class Suffixes:
     lead: int = 16           # bytes of an anchor
     side: int = 17           # windows that start less than this before their anchor count as its right side
     sample_docs: int = 8     # sampled for each range
+    deal_rows: int = 300_000  # suffixes packed at once
 
     @property
     def reach(self) -> int:
@@ -191,7 +192,7 @@ def group_starts(sorted_: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], sorted_[1:] != sorted_[:-1]]) if len(sorted_) else np.zeros(0, bool)
 
 
-def _texts(batch: pa.RecordBatch, max_bytes: int = 2_000_000):
+def _texts(batch: pa.RecordBatch, max_bytes: int = 1_000_000):
     """(docs, texts as bytes) of bounded size out of a batch with id and body."""
     ids, bodies = batch.column("id").to_pylist(), batch.column("body").to_pylist()
     docs, texts, size = [], [], 0
@@ -254,16 +255,24 @@ def suffix_blobs(df: DataFrame, how: Suffixes, cuts: np.ndarray) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(cuts)  # a key for each range
 
     def run(batches):
+        held, n = [], 0
         for batch in batches:
             for docs, texts in _texts(batch):
-                columns = suffix_columns(Prefixes(texts), docs, how)
-                if not len(columns[0]):
-                    continue
-                number = np.searchsorted(shared.value, order_key(columns[0], columns[1], columns[5]), side="right")
-                rows = [(k, pack(*own)) for k, own in _dealt(number, columns)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
-                    names=["range", "body"])
+                held.append(suffix_columns(Prefixes(texts), docs, how))
+                n += len(held[-1][0])
+                if n >= how.deal_rows:
+                    yield deal(held)
+                    held, n = [], 0
+        if n:
+            yield deal(held)
+
+    def deal(held):
+        columns = [np.concatenate(c) for c in zip(*held)]
+        number = np.searchsorted(shared.value, order_key(columns[0], columns[1], columns[5]), side="right")
+        rows = [(k, pack(*own)) for k, own in _dealt(number, columns)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
+            names=["range", "body"])
 
     return df.mapInArrow(run, "range int, body binary")
 
@@ -286,11 +295,13 @@ def compare_ranges(blobs: DataFrame, parts: int, ranges: int) -> DataFrame:
             first = np.flatnonzero(start)
             last = np.concatenate([first[1:], [len(doc)]]) - 1
             edge = (group == 0) | (group == group[-1])
-            several = (doc[first] != doc[last])[group] & ~edge
+            several = (doc[first] != doc[last])[group]
             flags, own = np.zeros(len(doc), np.uint8), np.flatnonzero(several)
             if len(own):
                 flags[own] = compare_groups(group[own], around[own], left[own], right[own], doc[own])
-            hit = np.flatnonzero(flags)
+            # at the ends only what has no smaller id here is left to compare: a surrounding counts once for each range
+            edge &= flags != SETTLED
+            hit = np.flatnonzero((flags > 0) & ~edge)
             rows = [(p, pack(*c), None, None, None, None, None)
                     for p, c in _dealt(doc[hit] % parts, [doc[hit], pos[hit], flags[hit]])] if len(hit) else []
             rows += [(None, None, int(lead[i].astype(np.int64)), int(rest[i]), int(around[i].astype(np.int64)), int(doc[i]), int(pos[i]))
