@@ -12,10 +12,10 @@ is left of a bucket, members outside its largest component, is compared in
 blocks by sketches, within and against the rest: first a forest of the most
 similar pairs, and after those are confirmed, all remaining pairs between
 different components.  A pair is passed over only if it lies in one component
-already, differs too much in size, or agrees in fewer than `min_agree`
-coordinates, which for a pair at the threshold is over five standard
-deviations away; two sets at the threshold share no band with a probability of
-5e-6.
+already, differs too much in size, or agrees in fewer than `min_agree` of the
+`marks` coordinates of a longer sketch, which for a pair at the threshold is
+five standard deviations away; two sets at the threshold share no band with a
+probability of 5e-6.
 
 Texts without words have no set and link with nothing; null texts likewise.
 Rows with a null id link with nothing and are kept.  Rows that repeat an id
@@ -44,14 +44,15 @@ class NearDedup:
     similarity: tuple[int, int] = (75, 100)  # at least, as a fraction
     coordinates: int = 128
     band_rows: int = 4
-    min_agree: int = 70
+    marks: int = 512
+    min_agree: int = 335
     block: int = 512        # members of a bucket compared at once
     cell_pairs: int = 512   # pairs confirmed against one set at once
 
 
 def sketch_table(df: DataFrame, how: NearDedup, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, digest, bands, marks): set size, digest of the set, band hashes
-    and one byte of each coordinate; the last three null for empty sets."""
+    """(id, n, digest, bands): set size, digest of the set and band hashes; the
+    last two null for empty sets."""
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -62,30 +63,31 @@ def sketch_table(df: DataFrame, how: NearDedup, id_col: str, text_col: str) -> D
             digests = [xxhash.xxh3_128_digest(hashes[lo:hi].tobytes()) if hi > lo else None
                        for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             band = bands(sketch, how.band_rows).astype(np.int64)
-            marks = (sketch & np.uint64(0xFF)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array([b.tolist() if k else None for b, k in zip(band, n)], pa.list_(pa.int64())),
-                 pa.array([m.tobytes() if k else None for m, k in zip(marks, n)], pa.binary())],
-                names=["id", "n", "digest", "bands", "marks"])
+                 pa.array([b.tolist() if k else None for b, k in zip(band, n)], pa.list_(pa.int64()))],
+                names=["id", "n", "digest", "bands"])
 
     return (df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "id long, n long, digest binary, bands array<long>, marks binary")
+            .mapInArrow(run, "id long, n long, digest binary, bands array<long>")
             .withColumn("id", F.col("id").cast(id_type)))
 
 
 def set_table(df: DataFrame, wanted: DataFrame, how: NearDedup, id_col: str, text_col: str) -> DataFrame:
-    """(id, set binary) of the documents whose ids are wanted."""
+    """(id, set binary, n, marks) of the documents whose ids are wanted; marks
+    holds one byte of each coordinate of the longer sketch."""
     def run(batches):
         for ids, texts in text_batches(batches, "id", "text"):
             hashes, offsets = shingle_sets(texts, how.shingle_words)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()),
-                 pa.array([hashes[lo:hi].tobytes() for lo, hi in zip(offsets[:-1], offsets[1:])], pa.binary())],
-                names=["id", "set"])
+                 pa.array([hashes[lo:hi].tobytes() for lo, hi in zip(offsets[:-1], offsets[1:])], pa.binary()),
+                 pa.array(np.diff(offsets), pa.int64()),
+                 pa.array([m.tobytes() for m in (sketches(hashes, offsets, how.marks) & np.uint64(0xFF)).astype(np.uint8)],
+                          pa.binary())], names=["id", "set", "n", "marks"])
 
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return (texts.join(wanted.select("id").distinct(), "id").mapInArrow(run, "id long, set binary")
+    return (texts.join(wanted.select("id").distinct(), "id").mapInArrow(run, "id long, set binary, n long, marks binary")
             .dropDuplicates(["id", "set"]))
 
 
@@ -120,7 +122,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, how: NearDedup) -> DataFrame:
                             break
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["a", "b"])
 
-    return (need.join(sets, "id").repartition(partitions(spark), "a", "cell")
+    return (need.join(sets.select("id", "set"), "id").repartition(partitions(spark), "a", "cell")
             .sortWithinPartitions("a", "cell", "kind").select("a", "cell", "kind", "id", "set")
             .mapInArrow(run, "a long, b long"))
 
@@ -211,7 +213,7 @@ def near_duplicates(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(),
     sets_only = sketched.where("digest is not null and id is not null")
     classes = stages.put("classes", sets_only.groupBy("digest").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("n_docs"), F.first("n").alias("n"),
-        F.first("bands").alias("bands"), F.first("marks").alias("marks")))
+        F.first("bands").alias("bands")))
 
     in_bucket = classes.select("rep", F.posexplode("bands").alias("band", "hash")).select(
         F.xxhash64("band", "hash").alias("bucket"), "rep")
@@ -219,7 +221,7 @@ def near_duplicates(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(),
     members = stages.put("members", in_bucket.join(shared.drop("m"), "bucket"))
     involved = members.select(F.col("rep").alias("id")).distinct()
     sets = stages.put("sets", set_table(df, involved, how, id_col, text_col))
-    sizes = classes.join(involved, F.col("rep") == F.col("id")).select("rep", "n", "marks")
+    sizes = sets.select(F.col("id").alias("rep"), "n", "marks")
 
     # each member against the smallest id of its bucket
     least, of = how.similarity
