@@ -49,7 +49,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_batches(batches, id_name: str, text_name: str, max_bytes: int = 2_000_000):
+def text_batches(batches, id_name: str, text_name: str, max_bytes: int = 1_000_000):
     """(ids, texts) lists of bounded text size out of Arrow batches; a null
     text is read as empty."""
     for batch in batches:

@@ -3,107 +3,131 @@
 Merges never cross a pre-token, so a text's ids are its pre-tokens' ids one
 after another.  The splitting pattern only ever starts a pre-token at a single
 space between two characters that are not white space; such fragments can be
-cut off with str.split and cached as a whole, which saves most of the pattern
-matching.  A text with any other white space around a space takes the pattern
-over its whole length.
+cut at their spaces and cached as a whole.  All fragments of a batch are found
+and hashed at once in numpy; only distinct ones are looked up, and only new
+ones meet the pattern and the tokenizer.  A text with any other white space
+around a space takes the pattern over its whole length.
 """
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable
 from itertools import chain, filterfalse
 
+import numpy as np
 import regex
 
+from corpusmill.llm.shingles import BYTE_VALUES, GOLDEN, U, mix, power_tables
 
 #: Pre-tokens that one library call takes, as its results are far larger than the ids.
 CALL = 2000
 #: Characters that, right after a word, are a pre-token of their own.
 CLOSING = (".", ",", ";", ":", "!", "?")
+#: Marks fragments at the start of a text, which no space precedes.
+HEAD = U(0xA24BAED4963EE407)
 
 
 class PretokenCoder:
-    """`encode_many` maps distinct pre-tokens to their id bytes; `encode_words`
-    does so for words of letters, each behind the prefix it is given (a space or nothing)."""
+    """`encode_many` maps distinct pre-tokens to their id bytes, `width` bytes
+    an id; `encode_words` does so for words of letters, each behind the prefix
+    it is given (a space or nothing)."""
 
     def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]],
-                 encode_words: Callable[[list[str], str], list[bytes]] | None = None, max_entries: int = 500_000):
+                 encode_words: Callable[[list[str], str], list[bytes]] | None = None, width: int = 4,
+                 max_entries: int = 500_000):
         self.split = regex.compile(pattern).findall
         self.encode_many = encode_many
         self.encode_words = encode_words or (lambda words, prefix: encode_many([prefix + w for w in words]))
+        self.kind = f"<u{width}"
+        self.width = width
         self.max_entries = max_entries
         self.tokens: dict[str, bytes] = {}
-        self.fragments: dict[str, bytes | None] = {}  # after a space; None: not a safe cut
+        self.fragments: dict[int, bytes | None] = {}  # by hash; None: not a safe cut
 
-    def _learn(self, known: dict[str, bytes], new: list[str], encode: Callable[[list[str]], list[bytes]]) -> None:
-        for at in range(0, len(new), CALL):
-            part = new[at:at + CALL]
-            known.update(zip(part, encode(part)))
+    def _learn_tokens(self, pretokens) -> None:
+        new = set(filterfalse(self.tokens.__contains__, pretokens))
+        words = [p for p in new if p.isalpha()]
+        others = list(new.difference(words))
+        for part, encode in [(words[at:at + CALL], lambda p: self.encode_words(p, "")) for at in range(0, len(words), CALL)] + \
+                [(others[at:at + CALL], self.encode_many) for at in range(0, len(others), CALL)]:
+            self.tokens.update(zip(part, encode(part)))
 
-    def _learn_fragments(self, new: set[str]) -> None:
-        words = {f for f in new if f.isalpha()}
-        closed, cut = [], {}
-        for f in new.difference(words):
-            if f[-1:] in CLOSING and f[:-1].isalpha():
-                closed.append(f)
+    def _learn(self, new: dict[int, str]) -> None:
+        """Encodes fragments behind a space."""
+        words, other = {}, {}
+        for h, f in new.items():
+            if f.isalpha():
+                words[h] = f
+            elif f[-1:] in CLOSING and f[:-1].isalpha():
+                words[h] = f[:-1]
+                other[h] = [f[-1]]
             elif not f or f[0].isspace() or f[-1].isspace():
-                cut[f] = None
+                other[h] = None
+            else:
+                other[h] = self.split(" " + f)
+        self._learn_tokens(chain.from_iterable(filter(None, other.values())))
+        token = self.tokens.__getitem__
+        keys, texts = list(words), list(words.values())
+        for at in range(0, len(keys), CALL):
+            self.fragments.update(zip(keys[at:at + CALL], self.encode_words(texts[at:at + CALL], " ")))
+        for h, rest in other.items():
+            if rest is None:
+                self.fragments[h] = None
             else:
-                cut[f] = self.split(" " + f)
-        words.update(f[:-1] for f in closed if f[:-1] not in self.fragments)
-        self._learn(self.fragments, list(words), lambda part: self.encode_words(part, " "))
-        marks = CLOSING if closed else ()
-        self._learn_tokens(chain(marks, *filter(None, cut.values())))
-        fragments, token = self.fragments, self.tokens.__getitem__
-        for f in closed:
-            fragments[f] = fragments[f[:-1]] + token(f[-1])
-        for f, pre in cut.items():
-            fragments[f] = None if pre is None else b"".join(map(token, pre))
+                self.fragments[h] = (self.fragments[h] if h in words else b"") + b"".join(map(token, rest))
 
-    def _learn_tokens(self, pretokens) -> None:
-        new = set(filterfalse(self.tokens.__contains__, pretokens))
-        words = [p for p in new if p.isalpha()]
-        self._learn(self.tokens, words, lambda part: self.encode_words(part, ""))
-        self._learn(self.tokens, list(new.difference(words)), self.encode_many)
+    def _learn_heads(self, new: dict[int, str]) -> None:
+        """Encodes what stands at the start of a text; one that ends in white
+        space is no safe cut, unless the text ends there too, which the caller sees to."""
+        cut = {h: self.split(f) for h, f in new.items()}
+        self._learn_tokens(chain.from_iterable(cut.values()))
+        for h, pre in cut.items():
+            self.fragments[h] = b"".join(map(self.tokens.__getitem__, pre))
 
     def code(self, texts: list[str]) -> list[bytes]:
+        """The id bytes of each text."""
         if len(self.tokens) > self.max_entries:
             self.tokens = {}
         if len(self.fragments) > self.max_entries:
             self.fragments = {}
-        collecting = gc.isenabled()
-        gc.disable()  # many small lists, none of them in a cycle
-        try:
-            return self._code(texts)
-        finally:
-            if collecting:
-                gc.enable()
-
-    def _code(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") for t in texts]
-        heads = [c[0] for c in cut]
-        # a head is safe when nothing follows it, or when it ends in a character that is not white space
-        whole = [len(c) > 1 and (not h or h[-1].isspace()) for h, c in zip(heads, cut)]
-        first = [self.split(t if w else h) for h, w, t in zip(heads, whole, texts)]
-        self._learn_tokens(chain.from_iterable(first))
-        flat = list(chain.from_iterable(c[1:] for c in cut))
-        coded = list(map(self.fragments.get, flat))
-        unknown = [i for i, x in enumerate(coded) if x is None]
-        self._learn_fragments(set(filterfalse(self.fragments.__contains__, map(flat.__getitem__, unknown))))
-        for i in unknown:
-            coded[i] = self.fragments[flat[i]]
-        token, out, at = self.tokens.__getitem__, [], 0
-        for pre, c, done, t in zip(first, cut, whole, texts):
-            parts, at = coded[at:at + len(c) - 1], at + len(c) - 1
-            head = b"".join(map(token, pre))
-            if done or not parts:
-                out.append(head)
-                continue
-            try:
-                out.append(head + b"".join(parts))
-            except TypeError:  # some space is no safe cut
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        joined = b" ".join(raw)
+        data = np.frombuffer(joined, np.uint8)
+        gaps = np.flatnonzero(data == 0x20)
+        starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(data)]])
+        begin = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
+        head = np.searchsorted(starts, begin[:-1])  # the first fragment of each text
+        up, down = power_tables(len(data) + 1)
+        sums = np.concatenate([np.zeros(1, U), np.cumsum(BYTE_VALUES[data] * up[:len(data)], dtype=U)])
+        hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U) * GOLDEN)
+        hashes[head] ^= HEAD
+        distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.fragments]
+        if new:
+            at_start = np.zeros(len(starts), dtype=bool)
+            at_start[head] = True
+            fresh: tuple[dict[int, str], dict[int, str]] = ({}, {})
+            for i, lo, hi, first in zip(new, starts[where[new]].tolist(), ends[where[new]].tolist(), at_start[where[new]].tolist()):
+                fresh[first][keys[i]] = joined[lo:hi].decode("utf-8", "surrogatepass")
+            self._learn(fresh[0])
+            self._learn_heads(fresh[1])
+        coded = list(map(self.fragments.__getitem__, keys))
+        unsafe = np.array([c is None for c in coded], dtype=bool)[inverse]
+        lengths = np.array([0 if c is None else len(c) // self.width for c in coded], dtype=np.int64)
+        pool = np.frombuffer(b"".join(filter(None, coded)), self.kind)
+        offsets = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        n = lengths[inverse]
+        total = np.concatenate([[0], np.cumsum(n)])
+        ids = pool[np.repeat(offsets[inverse] - total[:-1], n) + np.arange(total[-1])].tobytes()
+        bounds = np.append(head, len(starts))
+        out = [ids[lo:hi] for lo, hi in zip((total[bounds[:-1]] * self.width).tolist(), (total[bounds[1:]] * self.width).tolist())]
+        # texts with a space that is no safe cut, inside or behind their first fragment
+        bad = np.add.reduceat(unsafe, bounds[:-1]) if len(texts) else np.zeros(0)
+        for i, (t, r) in enumerate(zip(texts, raw)):
+            several = bounds[i + 1] - bounds[i] > 1
+            if several and (bad[i] or r[:1] == b" " or texts[i].partition(" ")[0][-1:].isspace()):
                 pre = self.split(t)
                 self._learn_tokens(pre)
-                out.append(b"".join(map(token, pre)))
+                out[i] = b"".join(map(self.tokens.__getitem__, pre))
         return out

@@ -128,7 +128,7 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}.rec")
-                coder = PretokenCoder(pattern, *tokenizer_encoders(shared.value, width))
+                coder = PretokenCoder(pattern, *tokenizer_encoders(shared.value, width), width)
             for doc, coded in zip(ids, coder.code(texts)):
                 data = frame(b"".join((bytes([doc is None]), (doc or 0).to_bytes(8, "little", signed=True),
                                        coded, end)))

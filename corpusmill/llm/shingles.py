@@ -29,7 +29,7 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _powers = {"up": np.ones(1, dtype=U), "down": np.ones(1, dtype=U)}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE^i and BASE^-i modulo 2^64, kept for later calls."""
     for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
         if len(_powers[name]) < n:
@@ -51,7 +51,7 @@ def shingle_sets(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.ndarr
     word = ~_SPACE[data]
     edges = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _power_tables(len(data) + 1)
+    up, down = power_tables(len(data) + 1)
     prefix = np.concatenate([np.zeros(1, U), np.cumsum(BYTE_VALUES[data] * up[:len(data)], dtype=U)])
     hashes = mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(U) * GOLDEN)
     owner = np.searchsorted(ends_of_texts, starts, side="right")
