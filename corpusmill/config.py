@@ -7,7 +7,7 @@ else is driver-side plan-building input.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -37,9 +37,9 @@ class SourceSpec:
     split         optional split value, filtered on split_column
     source_column when set, rows of this source are those whose column equals
                   `name`; several specs on one path share one scan
-    id_column     stable key column, non-null and unique within the source (NULL ids
-                  are counted as malformed rows); otherwise file path +
-                  row index (unique by construction)
+    id_column     stable key column, unique within the source (rows with a NULL id
+                  are counted as malformed); otherwise a hash of the row's
+                  content and its number among equal rows
     text_column   column read by format 'text'
     """
 
@@ -135,9 +135,3 @@ def source_config_df(spark: SparkSession, specs: list[SourceSpec]) -> DataFrame:
             for s in specs]
     return spark.createDataFrame(rows, SOURCE_CONFIG_SCHEMA)
 
-
-@dataclass
-class RunReport:
-    """Driver-side notes of a run: skipped sources and why."""
-
-    skipped: dict = field(default_factory=dict)

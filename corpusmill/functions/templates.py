@@ -92,8 +92,8 @@ class ChatTemplate:
     overrides take precedence over the defaults.
     """
 
-    prefix: str = "<|im_start|>{role}\n"
-    suffix: str = "<|im_end|>\n"
+    prefix: str = CHATML_MESSAGE.partition("{content}")[0]
+    suffix: str = CHATML_MESSAGE.partition("{content}")[2]
     bos: str = ""
     eos: str = ""
     role_prefix: dict = field(default_factory=dict)

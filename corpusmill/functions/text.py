@@ -46,7 +46,3 @@ def in_length_band(c: Column | str, min_chars: int = DEFAULT_MIN_CHARS,
     """Exclusive band on code-point length: min < length < max."""
     n = F.length(_col(c))
     return (n > F.lit(min_chars)) & (n < F.lit(max_chars))
-
-
-def is_blank(c: Column | str) -> Column:
-    return F.coalesce(strip_ws(c), F.lit("")) == F.lit("")

@@ -10,18 +10,12 @@ from corpusmill.functions.text import DEFAULT_MAX_CHARS, DEFAULT_MIN_CHARS, in_l
 
 def malformed(df: DataFrame) -> Column:
     """A row the renderer could not turn into text (NULL list, NULL turn...)."""
-    over = F.col("oversize") if "oversize" in df.columns else F.lit(False)
-    return F.col("text").isNull() & ~over
-
-
-def drop_malformed(df: DataFrame) -> DataFrame:
-    return df.where(~malformed(df))
+    return F.col("text").isNull()
 
 
 def passes_band(df: DataFrame, min_chars: int = DEFAULT_MIN_CHARS,
                 max_chars: int = DEFAULT_MAX_CHARS) -> Column:
-    over = F.col("oversize") if "oversize" in df.columns else F.lit(False)
-    return F.coalesce(in_length_band("text", min_chars, max_chars) & ~over, F.lit(False))
+    return F.coalesce(in_length_band("text", min_chars, max_chars), F.lit(False))
 
 
 def length_band(df: DataFrame, min_chars: int = DEFAULT_MIN_CHARS,

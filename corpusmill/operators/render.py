@@ -1,7 +1,6 @@
 """Render records of one format to stripped sample text.
 
-Output columns: sample_id, source, text (stripped; NULL = malformed row),
-oversize (record too long for any band-passing rendering, see records.py).
+Output columns: sample_id, source, text (stripped; NULL = malformed row).
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.config import MixSpec
-from corpusmill.functions.templates import CHATML, ChatTemplate, render
+from corpusmill.functions.templates import CHATML, CHATML_MESSAGE, ChatTemplate, render
 from corpusmill.functions.text import WHITESPACE, strip_ws
 
 
@@ -21,15 +20,14 @@ def render_samples(df: DataFrame, fmt: str, mix: MixSpec | None = None,
                            text_column=text_column, strict_shape=mix.strict_shape))
     # a row without an id cannot be sampled or joined back: malformed, counted and dropped
     text = F.when(F.col("sample_id").isNull(), F.lit(None).cast("string")).otherwise(text)
-    oversize = F.coalesce(F.col("oversize"), F.lit(False)) if "oversize" in df.columns else F.lit(False)
-    return df.select("sample_id", "source", text.alias("text"), oversize.alias("oversize"))
+    return df.select("sample_id", "source", text.alias("text"))
 
 
 def chatml_template_factory():
     """Reference factory for `render_with_factory`: ChatML in plain Python,
     equal to the built-in CHATML expression."""
     def render_batch(conversations):
-        return ["".join(f"<|im_start|>{m['role']}\n{m['content']}<|im_end|>\n" for m in msgs)
+        return ["".join(CHATML_MESSAGE.format(**m) for m in msgs)
                 if msgs is not None else None for msgs in conversations]
     return render_batch
 
@@ -42,8 +40,7 @@ def render_with_factory(df: DataFrame, factory, mix: MixSpec | None = None) -> D
     from corpusmill.functions.templates import normalized_messages
     mix = mix or MixSpec()
     msgs = normalized_messages(df, mix.null_as)
-    oversize = F.coalesce(F.col("oversize"), F.lit(False)) if "oversize" in df.columns else F.lit(False)
-    src = df.select("sample_id", "source", msgs.alias("messages"), oversize.alias("oversize"))
+    src = df.select("sample_id", "source", msgs.alias("messages"))
 
     ws = WHITESPACE
 
@@ -55,7 +52,6 @@ def render_with_factory(df: DataFrame, factory, mix: MixSpec | None = None) -> D
                     for m in pdf["messages"]]
             texts = render_batch(conv)
             yield pd.DataFrame({"sample_id": pdf["sample_id"], "source": pdf["source"],
-                                "text": [None if t is None else t.strip(ws) for t in texts],
-                                "oversize": pdf["oversize"]})
+                                "text": [None if t is None else t.strip(ws) for t in texts]})
 
-    return src.mapInPandas(run, "sample_id string, source string, text string, oversize boolean")
+    return src.mapInPandas(run, "sample_id string, source string, text string")

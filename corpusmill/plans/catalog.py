@@ -74,7 +74,7 @@ def mixed_format(spark: SparkSession, sf_dir: str) -> tuple[list[SourceSpec], di
     specs = [
         SourceSpec(name="chat_messages", format="chatml", id_column="conv_id", weight=0.3, source_ord=0),
         SourceSpec(name="chat_sharegpt", format="chatml", id_column="conv_id", weight=0.25, source_ord=1),
-        SourceSpec(name="alpaca", format="alpaca", id_column="conv_id", weight=0.2, source_ord=2),
-        SourceSpec(name="orca", format="openorca", id_column="conv_id", weight=0.15, source_ord=3),
+        SourceSpec(name="alpaca", format="alpaca", id_column="record_id", weight=0.2, source_ord=2),
+        SourceSpec(name="orca", format="openorca", id_column="record_id", weight=0.15, source_ord=3),
     ]
     return specs, frames

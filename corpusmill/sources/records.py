@@ -1,15 +1,10 @@
 """Input adapters: long turn tables (one row per turn) -> nested records.
 
-A record needs all turns of its conversation in one group (collect_list).
-To keep that group bounded, conversations whose turns alone already make the
-rendered text too long for the length band are not collected: the stripped
-rendering contains every turn's stripped text, and every message marker
-with at least `min_chars_per_turn` non-blank characters (ChatML has 22), so
-sum(len(strip(turn))) + turns * min_chars_per_turn >= max_chars means the
-band drops the sample.  Such conversations stay as records (they count as
-raw rows for exact-n sampling) with `oversize = true` and no turns; the band
-stage rejects them.  Pass min_chars_per_turn=0 for templates whose markers
-are blank.
+Nothing is dropped: every turn of the table is found in some record, whatever
+its length.  Chat records hold all turns of a conversation, so they are
+collected in two steps (blocks of turns, then the blocks of a conversation);
+alpaca and openorca records pair neighbouring turns through a join on
+(conversation, turn), so no conversation is one task.
 """
 
 from __future__ import annotations
@@ -17,76 +12,74 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import DEFAULT_MAX_CHARS, strip_ws
-
-# Broadcast the oversize-conversation keys only below this many keys.
-BROADCAST_KEYS_LIMIT = 1_000_000
-
 # Role names of the long table and their ShareGPT speakers.
 SHAREGPT_FROM = {"user": "human", "assistant": "gpt", "system": "system"}
 
+#: Turns of a conversation that are collected together before the whole is.
+TURNS_PER_BLOCK = 256
+
+
+def _collect(long_df: DataFrame, key: str, elem, out_col: str) -> DataFrame:
+    block = F.floor(F.col("turn") / TURNS_PER_BLOCK)
+    blocks = (long_df.groupBy(key, block.alias("_block"))
+              .agg(F.array_sort(F.collect_list(F.struct(F.col("turn"), elem.alias("_e")))).alias("_t")))
+    whole = blocks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_block", "_t"))).alias("_b"))
+    return whole.select(key, F.flatten(F.transform("_b", lambda b: F.transform(b["_t"], lambda x: x["_e"])))
+                        .alias(out_col))
+
 
-def _bounded_turns(long_df: DataFrame, key: str, max_chars: int | None,
-                   min_chars_per_turn: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(turns of collectable conversations, oversize conversation keys)."""
-    if max_chars is None:
-        return long_df, long_df.select(key).where(F.lit(False))  # no oversize keys
-    stats = long_df.groupBy(key).agg(
-        F.sum(F.length(strip_ws(F.coalesce(F.col("text"), F.lit(""))))).alias("_core"),
-        F.count(F.lit(1)).alias("_turns"))
-    over = (F.col("_core") + F.col("_turns") * F.lit(min_chars_per_turn)) >= F.lit(max_chars)
-    big = stats.where(over).select(key)
-    # A hot oversize conversation must not be shuffled into one task only to
-    # be dropped: when the oversize key list is bounded, drop its turns with
-    # a broadcast anti-join before any shuffle.
-    n_big = big.count()
-    if n_big <= BROADCAST_KEYS_LIMIT:
-        return long_df.join(F.broadcast(big), key, "left_anti"), big
-    return long_df.join(stats.where(~over).select(key), key, "left_semi"), big
-
-
-def _collect(long_df: DataFrame, key: str, elem, max_chars: int | None, out_col: str,
-             min_chars_per_turn: int = 1) -> DataFrame:
-    turns, big = _bounded_turns(long_df, key, max_chars, min_chars_per_turn)
-    rec = (turns.groupBy(key)
-           .agg(F.array_sort(F.collect_list(F.struct(F.col("turn"), elem.alias("_e")))).alias("_t"))
-           .select(key, F.transform("_t", lambda x: x["_e"]).alias(out_col),
-                   F.lit(False).alias("oversize")))
-    empty = F.lit(None).cast(rec.schema[out_col].dataType)
-    return rec.unionByName(big.select(key, empty.alias(out_col), F.lit(True).alias("oversize")))
-
-
-def messages_records(long_df: DataFrame, key: str = "conv_id", max_chars: int | None = DEFAULT_MAX_CHARS,
-                     min_chars_per_turn: int = 1) -> DataFrame:
-    """(key, messages array<struct<role, content>>, oversize) in turn order."""
-    elem = F.struct(F.col("role").alias("role"), F.col("text").alias("content"))
-    return _collect(long_df, key, elem, max_chars, "messages", min_chars_per_turn)
-
-
-def sharegpt_records(long_df: DataFrame, key: str = "conv_id", max_chars: int | None = DEFAULT_MAX_CHARS,
-                     min_chars_per_turn: int = 1) -> DataFrame:
-    """(key, conversations array<struct<from, value>>, oversize)."""
+def messages_records(long_df: DataFrame, key: str = "conv_id") -> DataFrame:
+    """(key, messages array<struct<role, content>>) in turn order."""
+    return _collect(long_df, key, F.struct(F.col("role").alias("role"), F.col("text").alias("content")), "messages")
+
+
+def sharegpt_records(long_df: DataFrame, key: str = "conv_id") -> DataFrame:
+    """(key, conversations array<struct<from, value>>)."""
     speaker = F.lit(None).cast("string")
     for role, frm in SHAREGPT_FROM.items():
         speaker = F.when(F.col("role") == F.lit(role), F.lit(frm)).otherwise(speaker)
-    elem = F.struct(speaker.alias("from"), F.col("text").alias("value"))
-    return _collect(long_df, key, elem, max_chars, "conversations", min_chars_per_turn)
-
-
-def _first_text(role: str) -> F.Column:
-    return F.expr(f"min_by(text, turn) FILTER (WHERE role = '{role}')")
+    return _collect(long_df, key, F.struct(speaker.alias("from"), F.col("text").alias("value")), "conversations")
+
+
+def exchanges(long_df: DataFrame, key: str = "conv_id") -> DataFrame:
+    """(key, turn, record_id, system, question, reply): a record for each user
+    turn with the assistant turn right after it.  A turn without partner is a
+    record of its own, with NULL for what it lacks.  The conversation's first
+    system turn goes to all its records; it, a later system turn or a turn of
+    any other role is a record only where it would not be found otherwise."""
+    turns = long_df.select(F.col(key).alias("_k"), "turn", "role", "text")
+    users = turns.where("role = 'user'").select(
+        F.col("_k").alias("_ku"), F.col("turn").alias("_tu"), F.col("text").alias("question"))
+    replies = turns.where("role = 'assistant'").select(
+        F.col("_k").alias("_kr"), F.col("turn").alias("_tr"), F.col("text").alias("reply"))
+    paired = users.join(replies, (F.col("_ku") == F.col("_kr")) & (F.col("_tu") + 1 == F.col("_tr")), "full_outer")
+    none = F.lit(None).cast("string")
+    paired = paired.select(F.coalesce("_ku", "_kr").alias("_k"), F.coalesce("_tu", "_tr").alias("turn"),
+                           "question", "reply", none.alias("_own"))
+
+    is_system = F.col("role") == "system"
+    heads = turns.groupBy("_k").agg(F.min(F.when(is_system, F.col("turn"))).alias("_first"),
+                                    F.min_by("text", F.when(is_system, F.col("turn"))).alias("_system"),
+                                    F.count(F.lit(1)).alias("_n")).withColumnRenamed("_k", "_kh")
+    others = turns.where("role is null or role not in ('user', 'assistant')")
+    others = others.join(heads.select("_kh", "_first", "_n"), F.col("_k") == F.col("_kh"))
+    found = is_system & (F.col("turn") == F.col("_first")) & (F.col("_n") > 1)
+    others = others.where(~F.coalesce(found, F.lit(False))).select(
+        "_k", "turn", F.when(is_system, none).otherwise(F.col("text")).alias("question"), none.alias("reply"),
+        F.when(is_system, F.col("text")).alias("_own"))
+    return (paired.unionByName(others).join(heads.select("_kh", "_system"), F.col("_k") == F.col("_kh"), "left")
+            .select(F.col("_k").alias(key), "turn",
+                    F.concat(F.col("_k").cast("string"), F.lit("#"), F.col("turn").cast("string")).alias("record_id"),
+                    F.coalesce("_own", "_system").alias("system"), "question", "reply"))
 
 
 def alpaca_records(long_df: DataFrame, key: str = "conv_id") -> DataFrame:
-    """(key, instruction, input, output): first user / system / assistant text.
-    Each field is a per-key min_by (partially aggregated, no list collected)."""
-    return long_df.groupBy(key).agg(_first_text("user").alias("instruction"),
-                                    _first_text("system").alias("input"),
-                                    _first_text("assistant").alias("output"))
+    """(key, record_id, instruction, input, output): user turn, system text, reply."""
+    return exchanges(long_df, key).select(key, "record_id", F.col("question").alias("instruction"),
+                                          F.col("system").alias("input"), F.col("reply").alias("output"))
 
 
 def openorca_records(long_df: DataFrame, key: str = "conv_id", with_system: bool = True) -> DataFrame:
-    """(key, [system_prompt,] question, response)."""
-    cols = [_first_text("system").alias("system_prompt")] if with_system else []
-    cols += [_first_text("user").alias("question"), _first_text("assistant").alias("response")]
-    return long_df.groupBy(key).agg(*cols)
+    """(key, record_id, [system_prompt,] question, response)."""
+    system = [F.col("system").alias("system_prompt")] if with_system else []
+    return exchanges(long_df, key).select(key, "record_id", *system, "question", F.col("reply").alias("response"))
