@@ -1,9 +1,8 @@
 """G1 exact dedup keeping the first occurrence, G2 duplicate report.
 
-Identity is md5 of the stripped text.  Survivors are found on a narrow
-(hash, ord_key, id) projection: min(struct(ord_key, id)) per hash, with
-partial aggregation absorbing hot duplicate groups before the shuffle.
-Only the hash and keys move; the text is joined back once by id.
+Identity is md5 of the stripped text.  Survivors are found on a narrow index
+that holds no text: min(struct(ord_key, id, other columns)) per hash, with
+partial aggregation absorbing hot duplicate groups before the one shuffle.
 """
 
 from __future__ import annotations
@@ -12,18 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def first_per_hash(index: DataFrame, hash_col: str = "text_hash", order_col: str = "ord_key",
-                   id_col: str = "sample_id") -> DataFrame:
-    """Narrow survivors: one (id) per distinct hash, smallest (order, id)."""
-    first = (index.groupBy(hash_col)
-             .agg(F.min(F.struct(F.col(order_col), F.col(id_col))).alias("_first")))
-    return first.select(F.col("_first")[id_col].alias(id_col))
-
-
 def dedup_exact(index: DataFrame, hash_col: str = "text_hash", order_col: str = "ord_key",
                 id_col: str = "sample_id") -> DataFrame:
     """Rows of `index` that are the first of their hash in (order, id) order."""
-    return index.join(first_per_hash(index, hash_col, order_col, id_col), id_col, "left_semi")
+    lead = [order_col, id_col, hash_col]
+    rest = [c for c in index.columns if c not in lead]
+    first = index.groupBy(hash_col).agg(F.min(F.struct(*lead[:2], *rest)).alias("_first"))
+    return first.select(hash_col, "_first.*").select(*index.columns)
 
 
 def dedup_report(before: DataFrame, hash_col: str = "text_hash") -> DataFrame:

@@ -69,46 +69,23 @@ def exact_rank(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str,
             .drop(BKT, OFF, "_dup"))
 
 
-def candidate_buckets(df: DataFrame, group_cols: list[str], key_col: str, limits: DataFrame,
-                      bucket_chars: int) -> DataFrame:
-    """(group.., _bkt, _off, n) of the buckets that hold at least one of the
-    first n rows of their group (at most groups x 16^h rows)."""
+def nth_row(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str, limits: DataFrame,
+            bucket_chars: int) -> DataFrame:
+    """The n-th row (key, tie) of each group, n from `limits` (group.., n): at
+    most one row per group.  Only the bucket that holds it is sorted, and which
+    bucket that is is one row per group, so the broadcast is config-sized.
+    Groups with n = 0, or absent from `limits`, give no row; n beyond the
+    group's size gives its last row."""
     offsets = bucket_offsets(df, group_cols, key_col, bucket_chars)
-    return (offsets.join(F.broadcast(limits.select(*group_cols, "n")), group_cols, "inner")
-            .where(F.col(OFF) < F.col("n"))
-            .select(*group_cols, BKT, OFF, "n"))
-
-
-def in_candidate_buckets(wide: DataFrame, cand: DataFrame, group_cols: list[str], key: Column,
-                         bucket_chars: int, n_groups: int) -> DataFrame:
-    """Drop rows of `wide` outside the candidate buckets before any shuffle
-    (broadcast semi-join on a table of at most groups x 16^h rows); rows
-    are kept whole, only never-selectable ones are removed."""
-    bound = n_groups * 16 ** bucket_chars
-    if bound > BROADCAST_ROW_LIMIT:
-        return wide
-    d = wide.withColumn(BKT, F.substring(key, 1, bucket_chars))
-    return d.join(F.broadcast(cand.select(*group_cols, BKT)), [*group_cols, BKT], "left_semi").drop(BKT)
-
-
-def take_first_n(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str,
-                 limits: DataFrame, *, bucket_chars: int = 3, n_groups: int = 1,
-                 rank_col: str = "rank", cand: DataFrame | None = None) -> DataFrame:
-    """Rows with rank <= n per group, n from `limits` (group.., n).
-
-    Buckets whose offset already reaches n are dropped before the window's
-    shuffle, so only selected rows plus one boundary bucket per group are
-    sorted.  Groups absent from `limits` select nothing.
-    """
-    if cand is None:
-        cand = candidate_buckets(df, group_cols, key_col, limits, bucket_chars)
-    bound = n_groups * 16 ** bucket_chars
-    d = df.withColumn(BKT, F.substring(F.col(key_col), 1, bucket_chars))
-    d = d.join(_maybe_broadcast(cand, bound), [*group_cols, BKT], "inner")
+    last = Window.partitionBy(*group_cols)
+    offsets = offsets.withColumn("_all", F.sum(CNT).over(last)).join(F.broadcast(limits.select(*group_cols, "n")), group_cols)
+    at = F.least(F.col("n"), F.col("_all"))
+    holder = (offsets.where((F.col(OFF) < at) & (at <= F.col(OFF) + F.col(CNT)))
+              .select(*group_cols, BKT, (at - F.col(OFF)).alias("_in")))
+    d = df.withColumn(BKT, F.substring(F.col(key_col), 1, bucket_chars)).join(F.broadcast(holder), [*group_cols, BKT])
     w = Window.partitionBy(*group_cols, BKT).orderBy(F.col(key_col), F.col(tie_col))
-    ranked = (d.withColumn(rank_col, F.col(OFF) + F.row_number().over(w))
-              .withColumn("_dup", _unique_guard(w, tie_col)))
-    return ranked.where((F.col(rank_col) <= F.col("n")) & F.col("_dup").isNull()).drop(BKT, OFF, "n", "_dup")
+    return d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == F.col("_in")).select(
+        *group_cols, key_col, tie_col)
 
 
 def group_sizes(df: DataFrame, group_cols: list[str]) -> dict:
@@ -119,6 +96,3 @@ def group_sizes(df: DataFrame, group_cols: list[str]) -> dict:
     rows = df.groupBy(*group_cols).count().collect()
     return {tuple(r[c] for c in group_cols): r["count"] for r in rows}
 
-
-def key_lit(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c

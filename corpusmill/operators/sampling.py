@@ -1,24 +1,24 @@
 """A1 exact-n sample per source and A2 retention-fraction mix.
 
-Both are "first n rows in a seeded hash order" per source, computed on a
-narrow (source, sample_id) projection with the bucketed rank, then applied
-to wide rows by a join on sample_id.  The per-source sizes are one small
-collect (one row per source); n is computed on the driver with Python int
-arithmetic so int(N * weight) truncates exactly like the reference.
+Both are "first n rows in a seeded hash order" per source.  That is a filter:
+the n-th row's (key, id) is found on a narrow projection, one threshold row
+per source, and rows of any width compare themselves with their source's
+threshold where they are scanned.  No text moves.  The per-source sizes are
+one small collect (one row per source); n is computed on the driver with
+Python int arithmetic so int(N * weight) truncates exactly like the reference.
+
+Rows with a NULL id take no part: they are not counted in N and never
+selected, so n rows come back whenever n rows with ids are there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions.keys import order_key
-from corpusmill.operators.ranking import (bucket_chars_for, candidate_buckets, group_sizes,
-                                         in_candidate_buckets, take_first_n)
-
-# Broadcast a selected-id list only when its proven size (sum of n rows) is below this.
-BROADCAST_IDS_LIMIT = 500_000  # ~100 B per narrow id row -> ~50 MB
+from corpusmill.operators.ranking import bucket_chars_for, exact_rank, group_sizes, nth_row
 
 LIMIT_SCHEMA = T.StructType([T.StructField("source", T.StringType(), False),
                              T.StructField("n", T.LongType(), False)])
@@ -29,90 +29,65 @@ def fraction_count(n_rows: int, weight: float) -> int:
     return min(n_rows, int(n_rows * float(weight)))
 
 
-def _limits_df(spark: SparkSession, limits: dict[str, int]) -> DataFrame:
-    return spark.createDataFrame([(k, int(v)) for k, v in limits.items()], LIMIT_SCHEMA)
+def id_counts(df: DataFrame, id_col: str = "sample_id") -> dict[str, tuple[int, int]]:
+    """{source: (rows, rows with an id)}, one row per source."""
+    rows = df.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count(id_col).alias("ids")).collect()
+    return {r["source"]: (r["rows"], r["ids"]) for r in rows}
 
 
 class Selection:
-    """A narrow ranked selection plus what is needed to prune wide rows
-    before joining it back: the candidate (source, bucket) table."""
-
-    def __init__(self, df: DataFrame, cand: DataFrame, seed: int, stage: str, bucket_chars: int,
-                 n_groups: int, bound: int, id_col: str):
-        self.df, self.cand, self.seed, self.stage = df, cand, seed, stage
-        self.bucket_chars, self.n_groups, self.bound, self.id_col = bucket_chars, n_groups, bound, id_col
-
-    def prune(self, wide: DataFrame) -> DataFrame:
-        key = order_key(self.seed, self.stage, F.col(self.id_col))
-        return in_candidate_buckets(wide, self.cand, ["source"], key, self.bucket_chars, self.n_groups)
-
-
-def select_first_n(df: DataFrame, limits: dict[str, int], *, seed: int, stage: str,
-                   id_col: str = "sample_id", rank_col: str = "rank",
-                   sizes: dict[str, int] | None = None, carry: list[str] | None = None) -> Selection:
-    """(source, id, rank, *carry) of the first n[source] ids in
-    md5(seed:stage:id) order.  `carry` should stay narrow (hashes, ords)."""
-    spark = df.sparkSession
-    carry = carry or []
-    narrow = df.select("source", id_col, *carry).withColumn("_key", order_key(seed, stage, F.col(id_col)))
-    max_rows = max(sizes.values()) if sizes else max(limits.values(), default=0)
-    h = bucket_chars_for(max_rows)
-    n_groups = max(1, len(limits))
-    cand = candidate_buckets(narrow, ["source"], "_key", _limits_df(spark, limits), h)
-    sel = take_first_n(narrow, ["source"], "_key", id_col, _limits_df(spark, limits),
-                       bucket_chars=h, n_groups=n_groups, rank_col=rank_col, cand=cand)
-    return Selection(sel.select("source", id_col, rank_col, *carry), cand, seed, stage, h, n_groups,
-                     sum(limits.values()), id_col)
-
-
-def ranked_selection(df: DataFrame, limits: dict[str, int], **kw) -> DataFrame:
-    return select_first_n(df, limits, **kw).df
-
-
-def apply_selection(wide: DataFrame, selection: Selection, id_col: str = "sample_id",
-                    keep: list[str] | None = None, index: DataFrame | None = None) -> DataFrame:
-    """Join the narrow selection (or a narrow `index` derived from it) back to
-    wide rows on the id.  Broadcast when its proven size (sum of n rows) is
-    small; otherwise wide rows outside the candidate buckets are dropped
-    first, so the shuffle join moves only selectable rows."""
-    sel = (index if index is not None else selection.df).select(id_col, *(keep or []))
-    how = "inner" if keep else "left_semi"
-    if selection.bound <= BROADCAST_IDS_LIMIT:
-        if keep:
-            # a semi-join first: unlike the inner join it is pushed below
-            # aggregations in `wide` (e.g. per-conversation collection), so
-            # only selected rows are built; the broadcast is reused
-            wide = wide.join(F.broadcast(sel.select(id_col)), id_col, "left_semi")
-        return wide.join(F.broadcast(sel), id_col, how)
-    return selection.prune(wide).join(sel, id_col, how)
+    """The first n[source] ids in md5(seed:stage:id) order, as a filter."""
+
+    def __init__(self, df: DataFrame, limits: dict[str, int], seed: int, stage: str, id_col: str = "sample_id",
+                 sizes: dict[str, int] | None = None):
+        self.seed, self.stage, self.id_col, self.limits = seed, stage, id_col, limits
+        self.max_rows = max((sizes or limits).values(), default=0)
+        narrow = df.where(F.col(id_col).isNotNull()).select("source", id_col).withColumn("_key", self._key())
+        wanted = df.sparkSession.createDataFrame([(k, int(v)) for k, v in limits.items()], LIMIT_SCHEMA)
+        self.thresholds = (nth_row(narrow, ["source"], "_key", id_col, wanted, bucket_chars_for(self.max_rows))
+                           .select(F.col("source").alias("_ts"), F.col("_key").alias("_tk"), F.col(id_col).alias("_ti")))
+
+    def _key(self):
+        return order_key(self.seed, self.stage, F.col(self.id_col))
+
+    def rows(self, wide: DataFrame) -> DataFrame:
+        """The selected rows of `wide` (source and id columns wanted).  The
+        broadcast side has one row per source."""
+        d = wide.withColumn("_key", self._key()).join(F.broadcast(self.thresholds), F.col("source") == F.col("_ts"))
+        first = (F.col("_key") < F.col("_tk")) | ((F.col("_key") == F.col("_tk")) & (F.col(self.id_col) <= F.col("_ti")))
+        return d.where(first).drop("_key", "_ts", "_tk", "_ti")
+
+    def ranked(self, narrow: DataFrame, rank_col: str = "rank") -> DataFrame:
+        """The selected rows with their exact rank; `narrow` should hold no text."""
+        d = self.rows(narrow).withColumn("_key", self._key())
+        return exact_rank(d, ["source"], "_key", self.id_col, bucket_chars=bucket_chars_for(self.max_rows),
+                          n_groups=max(1, len(self.limits)), rank_col=rank_col).drop("_key")
 
 
 def sample_exact_n(df: DataFrame, sample_sizes: dict[str, int | None], *, seed: int = 42,
                    id_col: str = "sample_id") -> tuple[DataFrame, dict]:
     """A1: exactly min(sample_size, N) raw rows per source, drawn before any
-    formatting.  Returns (rows, report) with report[source] = (N, n); the
+    formatting.  Returns (rows, report) with report[source] = (rows, n); the
     report is None when no source has a cap (no counting pass is needed)."""
     if all(sample_sizes.get(s) is None for s in sample_sizes):
         return df, None
-    sizes = {k[0]: v for k, v in group_sizes(df.select("source"), ["source"]).items()}
-    report = {}
-    binding = {}
-    for src, n_rows in sizes.items():
+    report, binding, sizes = {}, {}, {}
+    for src, (n_rows, n_ids) in id_counts(df, id_col).items():
         cap = sample_sizes.get(src)
-        n = n_rows if cap is None else min(cap, n_rows)
-        report[src] = (n_rows, n)
-        if n < n_rows:
-            binding[src] = n
-    if not binding:
+        if cap is not None and cap < n_ids:
+            binding[src], sizes[src] = cap, n_ids
+        report[src] = (n_rows, n_rows if cap is None else min(cap, n_ids))
+    capped = [s for s in report if sample_sizes.get(s) is not None]
+    if not capped:
         return df, report
-    capped = df.where(F.col("source").isin(list(binding)))
-    sel = select_first_n(capped, binding, seed=seed, stage="sample", id_col=id_col,
-                         sizes={k: sizes[k] for k in binding})
-    picked = apply_selection(capped, sel, id_col)
-    free = [s for s in sizes if s not in binding]
-    if free:
-        picked = picked.unionByName(df.where(F.col("source").isin(free)))
-    return picked, report
+    # capped sources lose rows without id, then those past the threshold
+    free = df.where(~F.col("source").isin(list(binding)) & (
+        F.col(id_col).isNotNull() | ~F.col("source").isin(capped)))
+    if not binding:
+        return free, report
+    bound = df.where(F.col("source").isin(list(binding)))
+    picked = Selection(bound, binding, seed, "sample", id_col, sizes).rows(bound)
+    return picked.unionByName(free), report
 
 
 def mix_limits(sizes: dict[str, int], weights: dict[str, float]) -> dict[str, int]:
@@ -121,19 +96,16 @@ def mix_limits(sizes: dict[str, int], weights: dict[str, float]) -> dict[str, in
 
 
 def mix_selection(samples: DataFrame, weights: dict[str, float], *, seed: int = 42,
-                  id_col: str = "sample_id", sizes: dict[str, int] | None = None,
-                  carry: list[str] | None = None) -> tuple[Selection, dict[str, int]]:
+                  id_col: str = "sample_id", sizes: dict[str, int] | None = None) -> tuple[Selection, dict[str, int]]:
     """A2: per source keep min(N, int(N*weight)) of the kept samples, N counted
-    after the length band.  Returns the Selection (source, id, mix_rank) and
-    the per-source n."""
+    after the length band.  Returns the Selection and the per-source n."""
     if sizes is None:
         sizes = {k[0]: v for k, v in group_sizes(samples.select("source"), ["source"]).items()}
     limits = mix_limits(sizes, weights)
-    sel = select_first_n(samples, limits, seed=seed, stage="mix", id_col=id_col,
-                         rank_col="mix_rank", sizes=sizes, carry=carry)
-    return sel, limits
+    return Selection(samples, limits, seed, "mix", id_col, sizes), limits
 
 
 def mix_fraction(samples: DataFrame, weights: dict[str, float], **kw) -> tuple[DataFrame, dict[str, int]]:
+    """The mixed rows of a narrow table with mix_rank, and n per source."""
     sel, limits = mix_selection(samples, weights, **kw)
-    return sel.df, limits
+    return sel.ranked(samples, "mix_rank"), limits

@@ -6,7 +6,7 @@ computed with the bucketed rank (no single-partition window on rows).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.keys import order_key
@@ -18,16 +18,24 @@ def with_ord_key(df: DataFrame, seed: int, id_col: str = "sample_id") -> DataFra
 
 
 def global_positions(df: DataFrame, n_rows: int, id_col: str = "sample_id",
-                     key_col: str = "ord_key", fixed_prefix: int = 0, prefix_values: int = 1) -> DataFrame:
+                     key_col: str = "ord_key", fixed_prefix: int = 0, n_groups: int = 1) -> DataFrame:
     """Add pos = row_number() over (order by key, id) - 1, bucketed.
 
-    The key must be uniform hex after `fixed_prefix` characters (which take
-    at most `prefix_values` distinct values); buckets are the fixed prefix
-    plus h hash characters, so they stay even and order-compatible."""
+    The key must be uniform hex after `fixed_prefix` characters.  A fixed
+    prefix (one value per source) is a group of its own: rows are ranked inside
+    it, and the groups' running totals, one row per source, are added."""
     h = bucket_chars_for(n_rows)
-    ranked = exact_rank(df, [], key_col, id_col, bucket_chars=fixed_prefix + h, n_groups=prefix_values,
-                        rank_col="_r")
-    return ranked.withColumn("pos", F.col("_r") - F.lit(1)).drop("_r")
+    if not fixed_prefix:
+        ranked = exact_rank(df, [], key_col, id_col, bucket_chars=h, rank_col="_r")
+        return ranked.withColumn("pos", F.col("_r") - F.lit(1)).drop("_r")
+    keyed = df.withColumns({"_group": F.substring(key_col, 1, fixed_prefix),
+                            "_hash": F.expr(f"substring({key_col}, {fixed_prefix + 1})")})
+    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    totals = keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    ranked = exact_rank(keyed, ["_group"], "_hash", id_col, bucket_chars=h, n_groups=n_groups, rank_col="_r")
+    return (ranked.join(F.broadcast(totals), "_group")
+            .withColumn("pos", F.col("_before") + F.col("_r") - F.lit(1)).drop("_group", "_hash", "_before", "_r"))
 
 
 ORD_PREFIX = 11  # '%010d:' of source_ord

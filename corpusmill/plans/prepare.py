@@ -20,17 +20,17 @@ from corpusmill.config import MixSpec, SourceSpec, source_config_df, validate_so
 from corpusmill.functions.keys import text_hash
 from corpusmill.functions.templates import CHATML, ChatTemplate
 from corpusmill.operators.dedup import dedup_exact
-from corpusmill.operators.filters import length_band, stage_counts
+from corpusmill.operators.filters import length_band
 from corpusmill.operators.render import render_samples, render_with_factory
 from corpusmill.operators.report import funnel_df, funnel_rows, per_source, stats_df
-from corpusmill.operators.sampling import apply_selection, mix_selection, sample_exact_n
+from corpusmill.operators.sampling import mix_selection, sample_exact_n
 from corpusmill.operators.shuffle import ORD_PREFIX, global_positions, with_ord_key, with_source_order_key
 from corpusmill.session import StageStore
 
 
 @dataclass
 class Prepared:
-    rendered: DataFrame   # sample_id, source, text (NULL = malformed), oversize
+    rendered: DataFrame   # sample_id, source, text (NULL = malformed)
     samples: DataFrame    # narrow: sample_id, source, source_ord, text_hash (kept by the band)
     mixed: DataFrame      # narrow: source, sample_id, mix_rank, source_ord, text_hash, ord_key
     index: DataFrame      # narrow corpus: mixed (deduplicated) + pos
@@ -149,9 +149,8 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
     # A2 on the narrow projection; N per source is one small collect.
     kept_counts = {r["source"]: r["count"] for r in samples.groupBy("source").count().collect()}
     weights = {s.name: float(s.weight) for s in specs}
-    selection, limits = mix_selection(samples, weights, seed=mix.seed, sizes=kept_counts,
-                                      carry=["source_ord", "text_hash"])
-    mixed = selection.df
+    selection, limits = mix_selection(samples, weights, seed=mix.seed, sizes=kept_counts)
+    mixed = selection.ranked(samples, "mix_rank")
     if mix.shuffle:
         mixed = with_ord_key(mixed, mix.seed)
     else:
@@ -161,22 +160,22 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
 
     # O1 + G1 on the narrow index, then positions 0..M-1.
     survivors = dedup_exact(mixed) if mix.deduplicate else mixed
+    if store is not None and mix.deduplicate:
+        survivors = store.put("survivors", survivors)
     bound = sum(limits.values())
     if mix.shuffle:
         index = global_positions(survivors, max(bound, 1))
     else:
-        index = global_positions(survivors, max(bound, 1), fixed_prefix=ORD_PREFIX,
-                                 prefix_values=max(1, len(specs)))
+        index = global_positions(survivors, max(bound, 1), fixed_prefix=ORD_PREFIX, n_groups=max(1, len(specs)))
     if store is not None:
         index = store.put("index", index)
 
     # The text of the selected rows, rendered again from the sources (exact:
-    # rendering is deterministic): one join of the rendered rows onto the
-    # narrow index, broadcast when the index is provably small (at most
-    # sum(n) rows), else a shuffle join of only the mix's candidate buckets.
-    corpus = apply_selection(rendered_all.select("sample_id", "source", "text"), selection,
-                             keep=["source_ord", "mix_rank", "ord_key", "pos"], index=index) \
-        .select("sample_id", "source", "source_ord", "text", "mix_rank", "ord_key", "pos")
+    # rendering is deterministic): rows past their source's threshold are
+    # dropped where they are scanned, so only selected text meets the index.
+    corpus = (selection.rows(rendered_all.select("sample_id", "source", "text"))
+              .join(index.select("sample_id", "source_ord", "mix_rank", "ord_key", "pos"), "sample_id")
+              .select("sample_id", "source", "source_ord", "text", "mix_rank", "ord_key", "pos"))
 
     # Per-source counts (one row per source each), assembled on the driver.
     after_counts = per_source(index)
@@ -194,8 +193,3 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
                     funnel=funnel, stats=stats, raw_counts=raw_counts, kept_counts=kept_counts,
                     mix_counts=limits, skipped=skipped, funnel_rows=rows, after_counts=after_counts)
 
-
-def malformed_report(rendered: DataFrame, mix: MixSpec | None = None) -> DataFrame:
-    """F2 counts per source: rendered, malformed, kept by the band."""
-    mix = mix or MixSpec()
-    return stage_counts(rendered, mix.min_chars, mix.max_chars)
