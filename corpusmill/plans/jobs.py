@@ -9,10 +9,12 @@ plus our own keys for where each source's files are.
 from __future__ import annotations
 
 import dataclasses
+import importlib
 import json
 from concurrent.futures import ThreadPoolExecutor
 import logging
 import os
+import sys
 import time
 from dataclasses import dataclass, field
 
@@ -21,9 +23,10 @@ from pyspark.sql import functions as F
 
 from corpusmill.config import ConfigError, MixSpec, SourceSpec, TrainSpec
 from corpusmill.operators.batches import batch_assign, epoch_plan, length_grouped
-from corpusmill.operators.tokens import causal_labels, pad_and_mask, tokenize_truncate
+from corpusmill.operators.tokens import causal_labels, pad_and_mask, tokenize_truncate, tokenize_with
 from corpusmill.operators.report import dedup_numbers
 from corpusmill.operators.lines import line_explode
+from corpusmill.functions.templates import CHATML, ChatTemplate
 from corpusmill.plans.prepare import NoSourceLoaded, Prepared, prepare
 from corpusmill.session import StageStore, ensure_checkpoint_dir, job_description
 from corpusmill.sources.sinks import export_text, write_corpus, write_stats
@@ -45,14 +48,14 @@ def load_yaml_config(path: str) -> tuple[list[SourceSpec], MixSpec, TrainSpec]:
         specs.append(SourceSpec(**{"source_ord": i, **d}))
     m = ds.get("mixing") or {}
     mix = MixSpec(seed=int(m.get("seed", 42)), deduplicate=bool(m.get("deduplicate", True)),
-                  shuffle=bool(m.get("shuffle", True)), min_chars=int(m.get("min_length", 50)),
-                  max_chars=int(m.get("max_length", 8192)))
+                  shuffle=bool(m.get("shuffle", True)), min_chars=int(m.get("band_min_chars", MixSpec.min_chars)),
+                  max_chars=int(m.get("band_max_chars", MixSpec.max_chars)))
     h = (cfg.get("training") or {}).get("hyperparameters") or {}
-    b = (cfg.get("training") or {}).get("batching") or {}
+    o = cfg.get("optimization") or {}
     train = TrainSpec(max_seq_length=int(h.get("max_seq_length", 2048)), num_epochs=int(h.get("num_epochs", 3)),
                       batch_size=int(h.get("batch_size", 1)),
                       grad_accum=int(h.get("gradient_accumulation_steps", 16)),
-                      group_by_length=bool(b.get("group_by_length", True)), seed=mix.seed)
+                      group_by_length=bool(o.get("group_by_length", True)), seed=mix.seed)
     return specs, mix, train
 
 
@@ -65,13 +68,17 @@ class JobResult:
 
 def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str, mix: MixSpec | None = None,
                     frames: dict[str, DataFrame] | None = None, text_export: bool = True,
-                    corpus_format: str = "parquet") -> JobResult:
+                    corpus_format: str = "parquet", template: ChatTemplate = CHATML, template_factory=None,
+                    isolate_sources: bool = False) -> JobResult:
+    """Chat sources render through `template`, or through `template_factory`
+    (Python code, built once per task) when one is given."""
     t = {}
     t0 = time.time()
     store = StageStore(spark)
     mix = mix or MixSpec()
     try:
-        p = prepare(spark, specs, mix, frames, store=store)
+        p = prepare(spark, specs, mix, frames, template, store=store, template_factory=template_factory,
+                    isolate_sources=isolate_sources)
     except NoSourceLoaded as e:
         log.error("no dataset could be loaded, nothing written: %s", e)
         return JobResult(prepared=None, paths={}, timings={"total": time.time() - t0})
@@ -89,7 +96,7 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
         t1 = time.time()
         with job_description(spark, "corpusmill export text"):
             paths["text"] = export_text(corpus_out, os.path.join(out_dir, "training_data_txt"),
-                                        n_rows=sum(p.mix_counts.values()))
+                                        n_rows=sum(p.after_counts.values()))
         t["export_text"] = time.time() - t1
     t1 = time.time()
     echo = json.dumps({"sources": [dataclasses.asdict(s) for s in specs], "mixing": dataclasses.asdict(mix)},
@@ -127,15 +134,19 @@ def train_rows_from_lines(corpus: DataFrame) -> DataFrame:
 
 
 def run_train_input_job(spark: SparkSession, rows: DataFrame, out_dir: str,
-                        spec: TrainSpec | None = None) -> dict:
-    """T1 (+T2/T3 at export) and B1-B3: writes unpadded token ids and the
-    batch order table; returns timings."""
+                        spec: TrainSpec | None = None, tokenizer_factory=None, padded: bool = True) -> dict:
+    """T1 (+T2/T3 at export) and B1-B3: writes unpadded token ids, the batch
+    order table and, with `padded`, the padded arrays with mask and labels;
+    returns timings.  `tokenizer_factory` (built once per task) replaces the
+    built-in code-point tokenizer."""
     spec = spec or TrainSpec()
     t = {}
     t0 = time.time()
     tok_path = os.path.join(out_dir, "tokenized")
     with job_description(spark, "corpusmill tokenize"):
-        tokenize_truncate(rows, spec).write.mode("overwrite").parquet(tok_path)
+        tokens = (tokenize_truncate(rows, spec) if tokenizer_factory is None
+                  else tokenize_with(rows, tokenizer_factory, spec))
+        tokens.write.mode("overwrite").parquet(tok_path)
     tok = spark.read.parquet(tok_path)
     t["tokenize"] = time.time() - t0
     t1 = time.time()
@@ -146,21 +157,36 @@ def run_train_input_job(spark: SparkSession, rows: DataFrame, out_dir: str,
         batches.write.mode("overwrite").parquet(os.path.join(out_dir, "batches"))
     t["batches"] = time.time() - t1
     t1 = time.time()
-    with job_description(spark, "corpusmill pad and labels"):
-        causal_labels(pad_and_mask(tok, spec), spec).write.mode("overwrite").parquet(os.path.join(out_dir, "padded"))
-    t["pad_labels"] = time.time() - t1
+    if padded:
+        with job_description(spark, "corpusmill pad and labels"):
+            causal_labels(pad_and_mask(tok, spec), spec).write.mode("overwrite").parquet(os.path.join(out_dir, "padded"))
+        t["pad_labels"] = time.time() - t1
     t["total"] = time.time() - t0
     t["rows"] = n
     return t
 
 
-def main(argv=None):
+def named_factory(name: str | None):
+    """The object that 'module:attribute' names."""
+    if name is None:
+        return None
+    module, _, attribute = name.partition(":")
+    return getattr(importlib.import_module(module), attribute)
+
+
+def main(argv=None) -> int:
     import argparse
     from corpusmill.session import local_session
     ap = argparse.ArgumentParser(description="prepare an instruction corpus with Spark")
     ap.add_argument("--config", required=True)
     ap.add_argument("--output-dir", required=True)
     ap.add_argument("--local", action="store_true", help="run on a local[*] session (tests, laptops)")
+    ap.add_argument("--isolate-sources", action="store_true", help="go on without sources that fail while being read")
+    ap.add_argument("--template-factory", help="module:attribute, renders chat message lists")
+    ap.add_argument("--tokenizer-factory", help="module:attribute, tokenizes batches of texts")
+    ap.add_argument("--rows", choices=("samples", "lines"), default="samples",
+                    help="train on whole samples, or on the lines of the text export")
+    ap.add_argument("--no-padded", action="store_true", help="do not write the padded arrays")
     a = ap.parse_args(argv)
     specs, mix, train = load_yaml_config(a.config)
     if a.local:
@@ -168,11 +194,16 @@ def main(argv=None):
     else:  # spark-submit supplies master and cluster settings
         spark = SparkSession.builder.appName("corpusmill").getOrCreate()
         ensure_checkpoint_dir(spark)
-    res = run_prepare_job(spark, specs, a.output_dir, mix)
-    tt = run_train_input_job(spark, train_rows_from_corpus(spark.read.parquet(res.paths["corpus"])),
-                             a.output_dir, train)
+    res = run_prepare_job(spark, specs, a.output_dir, mix, template_factory=named_factory(a.template_factory),
+                          isolate_sources=a.isolate_sources)
+    if res.prepared is None:
+        return 1
+    corpus = spark.read.parquet(res.paths["corpus"])
+    rows = train_rows_from_corpus(corpus) if a.rows == "samples" else train_rows_from_lines(corpus)
+    tt = run_train_input_job(spark, rows, a.output_dir, train, named_factory(a.tokenizer_factory), not a.no_padded)
     print(json.dumps({"prepare": res.timings, "train_input": tt, "skipped": res.prepared.skipped}))
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

@@ -38,14 +38,22 @@ DOCS = (f"docs AS (SELECT source || '/' || CAST(doc_id AS VARCHAR) AS sample_id,
         f"{strip('text')} AS text FROM documents)")
 
 
-def first(role: str) -> str:
-    return f"arg_min(text, turn) FILTER (WHERE role = '{role}')"
-
-
-ALPACA_REC = (f"ar AS (SELECT conv_id, {first('user')} AS instruction, {first('system')} AS input, "
-              f"{first('assistant')} AS output FROM conversations GROUP BY conv_id)")
-ORCA_REC = (f"orr AS (SELECT conv_id, {first('system')} AS system_prompt, {first('user')} AS question, "
-            f"{first('assistant')} AS response FROM conversations GROUP BY conv_id)")
+# One record per user turn with the assistant turn right after it; the first
+# system turn goes to all; turns that would be found nowhere are records too.
+EXCHANGES = (
+    "hd AS (SELECT conv_id, min(turn) FILTER (WHERE role = 'system') AS sys_turn, "
+    "arg_min(text, turn) FILTER (WHERE role = 'system') AS sys_text, count(*) AS n FROM conversations GROUP BY conv_id), "
+    "us AS (SELECT * FROM conversations WHERE role = 'user'), asst AS (SELECT * FROM conversations WHERE role = 'assistant'), "
+    "pr AS (SELECT coalesce(u.conv_id, a.conv_id) AS conv_id, coalesce(u.turn, a.turn) AS turn, u.text AS question, "
+    "a.text AS reply, CAST(NULL AS VARCHAR) AS own FROM us u FULL OUTER JOIN asst a ON u.conv_id = a.conv_id AND u.turn + 1 = a.turn), "
+    "ot AS (SELECT c.conv_id, c.turn, CASE WHEN c.role = 'system' THEN NULL ELSE c.text END, NULL, "
+    "CASE WHEN c.role = 'system' THEN c.text END FROM conversations c JOIN hd ON c.conv_id = hd.conv_id "
+    "WHERE (c.role IS NULL OR c.role NOT IN ('user', 'assistant')) "
+    "AND NOT coalesce(c.role = 'system' AND c.turn = hd.sys_turn AND hd.n > 1, false)), "
+    "ex AS (SELECT x.conv_id || '#' || x.turn AS record_id, coalesce(own, sys_text) AS system, question, reply "
+    "FROM (SELECT * FROM pr UNION ALL SELECT * FROM ot) x JOIN hd ON x.conv_id = hd.conv_id)")
+ALPACA_REC = f"{EXCHANGES}, ar AS (SELECT record_id, question AS instruction, system AS input, reply AS output FROM ex)"
+ORCA_REC = f"orr AS (SELECT record_id, system AS system_prompt, question, reply AS response FROM ex)"
 
 ALPACA_TEXT = (
     f"CASE WHEN coalesce(input, '') <> '' THEN '### Instruction:' || {NL} || {nv('instruction')} || {SEP} "
@@ -80,12 +88,16 @@ def cid(prefix: str) -> str:
     return f"'{prefix}/' || CAST(conv_id AS VARCHAR)"
 
 
+def rid(prefix: str) -> str:
+    return f"'{prefix}/' || record_id"
+
+
 DISPATCH = (
     f"{CHAT_REC}, {SHARE_REC}, {ALPACA_REC}, {ORCA_REC}, rendered AS ("
     f"SELECT 'chat_messages' AS source, {cid('chat_messages')} AS sample_id, {strip('raw')} AS text FROM cr "
     f"UNION ALL SELECT 'chat_sharegpt', {cid('chat_sharegpt')}, {strip('raw')} FROM sr "
-    f"UNION ALL SELECT 'alpaca', {cid('alpaca')}, {strip(ALPACA_TEXT)} FROM ar "
-    f"UNION ALL SELECT 'orca', {cid('orca')}, {strip(orca_text(nv('system_prompt')))} FROM orr)")
+    f"UNION ALL SELECT 'alpaca', {rid('alpaca')}, {strip(ALPACA_TEXT)} FROM ar "
+    f"UNION ALL SELECT 'orca', {rid('orca')}, {strip(orca_text(nv('system_prompt')))} FROM orr)")
 
 # docs_mix through the fraction mix: k = kept, m = mixed (with text).
 MIXED = (
@@ -124,12 +136,11 @@ ORACLE_SQL = {
         "SELECT 'docs' AS source, count(*) AS n_rows FROM documents "
         "UNION ALL SELECT 'turns' AS source, count(*) AS n_rows FROM conversations"),
     "format_chatml": (
-        f"WITH {CHAT_REC}, s AS (SELECT {cid('messages')} AS sample_id, {strip('raw')} AS text FROM cr) "
-        f"SELECT sample_id, text FROM s WHERE {BAND}"),
-    "format_alpaca": f"WITH {ALPACA_REC} SELECT {cid('alpaca')} AS sample_id, {ALPACA_TEXT} AS text FROM ar",
+        f"WITH {CHAT_REC} SELECT {cid('messages')} AS sample_id, {strip('raw')} AS text FROM cr"),
+    "format_alpaca": f"WITH {ALPACA_REC} SELECT {rid('alpaca')} AS sample_id, {ALPACA_TEXT} AS text FROM ar",
     "format_openorca": (
-        f"WITH {ORCA_REC} SELECT {cid('orca')} AS sample_id, {orca_text(nv('system_prompt'))} AS text FROM orr "
-        f"UNION ALL SELECT {cid('orca_default')} AS sample_id, "
+        f"WITH {EXCHANGES}, {ORCA_REC} SELECT {rid('orca')} AS sample_id, {orca_text(nv('system_prompt'))} AS text FROM orr "
+        f"UNION ALL SELECT {rid('orca_default')} AS sample_id, "
         f"{orca_text(repr('You are a helpful assistant.'))} AS text FROM orr"),
     "sharegpt_to_messages": (
         f"WITH {SHARE_REC} SELECT {cid('sharegpt')} AS sample_id, roles, n_messages, raw AS text FROM sr"),
@@ -147,11 +158,11 @@ ORACLE_SQL = {
         f"SELECT sample_id, line_no, {strip('part')} AS line FROM u WHERE {strip('part')} <> ''"),
     "length_band": f"WITH {DOCS} SELECT sample_id, source, length(text) AS n_chars FROM docs WHERE {BAND}",
     "sample_exact_n": (
-        f"WITH {MIX_CFG}, d AS (SELECT source, source || '/' || CAST(doc_id AS VARCHAR) AS sample_id "
+        f"WITH {MIX_CFG}, d AS (SELECT source, source || '/' || CAST(doc_id AS VARCHAR) AS sample_id, text "
         f"FROM documents WHERE source IN (SELECT source FROM cfg)), "
-        f"r AS (SELECT source, sample_id, row_number() OVER (PARTITION BY source ORDER BY "
+        f"r AS (SELECT source, sample_id, text, row_number() OVER (PARTITION BY source ORDER BY "
         f"md5('42:sample:' || sample_id), sample_id) AS sample_rank FROM d) "
-        f"SELECT source, sample_id, sample_rank FROM r WHERE sample_rank <= 30"),
+        f"SELECT source, sample_id, md5(text) AS text_hash FROM r WHERE sample_rank <= 30"),
     "mix_fraction": f"WITH {MIXED} SELECT source, sample_id, mix_rank FROM m",
     "global_shuffle": (
         f"WITH {MIXED} SELECT sample_id, source, md5('42:shuffle:' || sample_id) AS ord_key, "
@@ -202,7 +213,7 @@ ORACLE_SQL = {
         f"SELECT {strip('part')} AS line FROM u WHERE {strip('part')} <> ''"),
     "corpus_line_count": (
         f"WITH {FINAL} SELECT count(*) AS corpus_rows, "
-        f"CAST(sum(len(regexp_split_to_array(text, {LINES}))) AS BIGINT) AS text_lines FROM fin"),
+        f"CAST(coalesce(sum(length(text) - length(replace(text, {NL}, '')) + 1), 0) AS BIGINT) AS text_lines FROM fin"),
     "tokenize_truncate": (
         f"WITH {TRAIN} SELECT row_id, len(ids) AS n_tokens, md5(array_to_string(ids, ',')) AS ids_md5 FROM tr"),
     "pad_and_mask": (

@@ -21,7 +21,7 @@ from corpusmill.operators.batches import batch_assign, epoch_plan, length_groupe
 from corpusmill.operators.dedup import dedup_report
 from corpusmill.operators.filters import length_band, stage_counts
 from corpusmill.operators.lines import line_explode
-from corpusmill.operators.sampling import mix_fraction, ranked_selection
+from corpusmill.operators.sampling import mix_fraction, sample_exact_n
 from corpusmill.operators.shuffle import global_shuffle
 from corpusmill.operators.tokens import (causal_labels, codepoint_tokenizer_factory, pad_and_mask,
                                          tokenize_truncate, tokenize_with)
@@ -85,13 +85,12 @@ def _render_long(spark, sf_dir, kind: str, template=CHATML, strip: bool = True)
     text = render(recs, fmt, null_as=MIX.null_as, template=template)
     if strip:
         text = strip_ws(text)
-    return recs.select(F.concat(F.lit(f"{kind}/"), F.col("conv_id").cast("string")).alias("sample_id"),
-                       text.alias("text"), *([F.col("oversize")] if "oversize" in recs.columns else []))
+    key = "record_id" if "record_id" in recs.columns else "conv_id"
+    return recs.select(F.concat(F.lit(f"{kind}/"), F.col(key).cast("string")).alias("sample_id"), text.alias("text"))
 
 
 def q_format_chatml(spark, sf_dir):
-    df = _render_long(spark, sf_dir, "messages")
-    return length_band(df).select("sample_id", "text")
+    return _render_long(spark, sf_dir, "messages")
 
 
 def q_format_alpaca(spark, sf_dir):
@@ -102,9 +101,9 @@ def q_format_openorca(spark, sf_dir):
     conv = catalog.conversations(spark, sf_dir)
     with_sys = openorca_records(conv, with_system=True)
     no_sys = openorca_records(conv, with_system=False)
-    a = with_sys.select(F.concat(F.lit("orca/"), F.col("conv_id").cast("string")).alias("sample_id"),
+    a = with_sys.select(F.concat(F.lit("orca/"), F.col("record_id")).alias("sample_id"),
                         render(with_sys, "openorca", null_as=MIX.null_as).alias("text"))
-    b = no_sys.select(F.concat(F.lit("orca_default/"), F.col("conv_id").cast("string")).alias("sample_id"),
+    b = no_sys.select(F.concat(F.lit("orca_default/"), F.col("record_id")).alias("sample_id"),
                       render(no_sys, "openorca", null_as=MIX.null_as).alias("text"))
     return a.unionByName(b)
 
@@ -126,12 +125,12 @@ def q_chat_template_custom(spark, sf_dir):
 
 def q_chat_template_factory(spark, sf_dir):
     """A template given as Python code (here ChatML), run per Arrow
-    batch; must equal the built-in ChatML rendering after strip and band."""
+    batch; must equal the built-in ChatML rendering."""
     from corpusmill.operators.render import chatml_template_factory, render_with_factory
     recs = messages_records(catalog.conversations(spark, sf_dir))
     df = recs.withColumn("source", F.lit("messages")).withColumn(
         "sample_id", F.concat(F.lit("messages/"), F.col("conv_id").cast("string")))
-    return length_band(render_with_factory(df, chatml_template_factory, MIX)).select("sample_id", "text")
+    return render_with_factory(df, chatml_template_factory, MIX).select("sample_id", "text")
 
 
 def q_format_dispatch(spark, sf_dir):
@@ -160,9 +159,9 @@ def q_length_band_stream(spark, sf_dir):
     files, then read back from its sink."""
     from corpusmill.streaming import run_available_now, stream_samples
     docs = catalog.documents(spark, sf_dir)
-    # a file stream watches a folder; the glob picks the table's file(s)
-    spec = SourceSpec(name="documents", path=sf_dir, format="text", source_column="source",
-                      id_column="doc_id", options=(("pathGlobFilter", "documents*.parquet"),))
+    # a pattern, so that a table may be one file or a folder of part files
+    spec = SourceSpec(name="documents", path=catalog.table(sf_dir, "documents") + "*", format="text",
+                      source_column="source", id_column="doc_id")
     out = run_available_now(stream_samples(spark, spec, docs.schema, MIX), _scratch(spark, "stream_band"))
     return spark.read.parquet(out).select("sample_id", "source", _big("n_chars").alias("n_chars"))
 
@@ -184,11 +183,8 @@ def _kept_docs(spark, sf_dir, specs: list[SourceSpec]) -> DataFrame:
 def q_sample_exact_n(spark, sf_dir):
     specs = catalog.docs_capped(sf_dir)
     raw = scan_source(spark, specs[0], MIX, names=[s.name for s in specs])
-    limits = {s.name: s.sample_size for s in specs}
-    sizes = {r["source"]: r["count"] for r in raw.groupBy("source").count().collect()}
-    limits = {k: min(v, sizes.get(k, 0)) for k, v in limits.items()}
-    sel = ranked_selection(raw, limits, seed=MIX.seed, stage="sample", rank_col="sample_rank", sizes=sizes)
-    return sel.select("source", "sample_id", _big("sample_rank").alias("sample_rank"))
+    picked, _ = sample_exact_n(raw, {s.name: s.sample_size for s in specs}, seed=MIX.seed)
+    return picked.select("source", "sample_id", text_hash("text").alias("text_hash"))
 
 
 def _mixed(spark, sf_dir, specs):
@@ -263,14 +259,16 @@ def q_corpus_roundtrip(spark, sf_dir):
 
 def q_line_scan(spark, sf_dir):
     p = run_prepare(spark, sf_dir)
-    path = export_text(p.corpus, _scratch(spark, "corpus_txt"))
+    corpus = StageStore(spark).put("corpus", p.corpus)  # the join runs once
+    path = export_text(corpus, _scratch(spark, "corpus_txt"), n_rows=sum(p.after_counts.values()))
     return read_lines(spark, path)
 
 
 def q_corpus_line_count(spark, sf_dir):
     p = run_prepare(spark, sf_dir)
-    path = export_text(p.corpus, _scratch(spark, "corpus_txt"))
-    rows = p.corpus.agg(_big(F.count(F.lit(1))).alias("corpus_rows"))
+    corpus = StageStore(spark).put("corpus", p.corpus)
+    path = export_text(corpus, _scratch(spark, "corpus_txt"), n_rows=sum(p.after_counts.values()))
+    rows = corpus.agg(_big(F.count(F.lit(1))).alias("corpus_rows"))
     lines = line_count(spark, path)
     return rows.select("corpus_rows", lines.select(_big("text_lines")).scalar().alias("text_lines"))
 
@@ -306,8 +304,9 @@ def q_causal_labels(spark, sf_dir):
 
 
 def _plan(spark, sf_dir, carry=None):
-    """B1 over tokenized rows, which are written once (as the train job does)."""
-    rows = StageStore(spark).put("tokenized", tokenize_truncate(train_rows(spark, sf_dir), TRAIN))
+    """B1 over the ids and token counts of the tokenized rows, written once."""
+    rows = StageStore(spark).put("tokenized", tokenize_truncate(train_rows(spark, sf_dir), TRAIN)
+                                 .select("row_id", "n_tokens"))
     n = rows.count()
     return epoch_plan(rows, n, TRAIN, carry=carry)
 

@@ -30,10 +30,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; only when none is configured
-    (local tests) a fresh local one is created."""
+    """The cluster's shared checkpoint folder.  Where none is configured a
+    fresh local one is made for a local master; with any other master this
+    raises, as executors would write to their own disks."""
     d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="corpusmill-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif spark.sparkContext.getCheckpointDir() is None:

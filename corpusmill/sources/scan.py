@@ -12,10 +12,10 @@ import logging
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusmill.config import ConfigError, MixSpec, SourceSpec
+from corpusmill.config import FORMATS, ConfigError, MixSpec, SourceSpec
 
 log = logging.getLogger(__name__)
 
@@ -40,18 +40,38 @@ def _filter_eq(df: DataFrame, column: str, value: str | None, what: str, spec: S
     return df.where(F.col(column) == F.lit(value))
 
 
+#: Ways that equal rows are split before they are numbered.
+EQUAL_ROW_SALTS = 64
+
+
+def content_key(df: DataFrame) -> DataFrame:
+    """`df` with _row_key, for rows without a key column: md5 of the whole row,
+    and a number among equal rows.  It depends on nothing but the rows, so
+    copied or re-split files give the same keys.  Equal rows are numbered
+    inside salted parts whose offsets add up, so a row that makes up much of
+    the input is no single task; which of several equal rows gets which number
+    makes no difference."""
+    keyed = df.withColumns({"_hash": F.md5(F.to_json(F.struct(*df.columns))),
+                            "_salt": F.pmod(F.spark_partition_id(), F.lit(EQUAL_ROW_SALTS))})
+    before = Window.partitionBy("_hash").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = keyed.groupBy("_hash", "_salt").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_hash", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_hash", "_salt").orderBy("_hash"))
+    return (keyed.withColumn("_own", own).join(offsets, ["_hash", "_salt"])
+            .withColumn("_row_key", F.concat("_hash", F.lit("#"), (F.col("_before") + F.col("_own") - 1).cast("string")))
+            .drop("_hash", "_salt", "_own", "_before"))
+
+
 def with_sample_id(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Stable sample id: source + '/' + key.  The key is the id column when
-    configured, else file path + row index (stable across recomputation,
-    unlike monotonically_increasing_id)."""
-    if spec.id_column is not None:
-        key = F.col(spec.id_column).cast("string")
-    elif "_row_key" in df.columns:
+    configured, else the row's content key."""
+    if spec.id_column is None:
+        df = content_key(df)
         key = F.col("_row_key")
     else:
-        raise ConfigError(f"{spec.name}: set id_column (no stable row position for {spec.reader})")
+        key = F.col(spec.id_column).cast("string")
     out = df.withColumn("sample_id", F.concat(F.col("source"), F.lit("/"), key))
-    return out.drop("_row_key") if "_row_key" in df.columns else out
+    return out.drop("_row_key") if spec.id_column is None else out
 
 
 def scan_source(spark: SparkSession, spec: SourceSpec, mix: MixSpec | None = None,
@@ -60,10 +80,6 @@ def scan_source(spark: SparkSession, spec: SourceSpec, mix: MixSpec | None = Non
     `source` and `sample_id` columns added."""
     mix = mix or MixSpec()
     df = frame if frame is not None else _read(spark, spec)
-    if spec.id_column is None and frame is None and spec.reader == "parquet":
-        # Row position must be taken on the scan itself (hidden metadata column).
-        df = df.withColumn("_row_key", F.concat(F.col("_metadata.file_path"), F.lit("#"),
-                                                F.col("_metadata.row_index").cast("string")))
     df = _filter_eq(df, spec.subset_column, spec.subset, "subset", spec, "error")
     df = _filter_eq(df, spec.split_column, spec.split, "split", spec, mix.on_missing_split)
     if spec.source_column is not None:
@@ -109,7 +125,8 @@ def load_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | No
                  frames: dict[str, DataFrame] | None = None, retries: int = 3, backoff_s: float = 5.0
                  ) -> tuple[list[tuple[list[SourceSpec], DataFrame]], dict[str, str]]:
     """Build one scan per source group; a source whose read or schema
-    analysis fails is logged, reported and skipped, the rest go on.
+    analysis fails, or that lacks a column its spec asks for, is logged,
+    reported and skipped, the rest go on.
     Failures at execution time (corrupt files) still fail the job; Spark's
     task retry covers lost executors."""
     mix = mix or MixSpec()
@@ -120,19 +137,17 @@ def load_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | No
     loaded, skipped = [], {}
     for members in groups.values():
         head = members[0]
-        try:
-            if head.format not in ("alpaca", "chatml", "openorca", "text"):
-                if mix.on_unknown_format == "skip":
-                    for m in members:
-                        skipped[m.name] = f"unknown format {head.format!r}"
-                    continue
+        if head.format not in FORMATS:  # of the run, not of one source's data
+            if mix.on_unknown_format != "skip":
                 raise ConfigError(f"{head.name}: unknown format {head.format!r}")
+            for m in members:
+                skipped[m.name] = f"unknown format {head.format!r}"
+            continue
+        try:
             df = _resolve_with_retry(
                 lambda: scan_source(spark, head, mix, frames.get(head.name), [m.name for m in members]),
                 retries, backoff_s)
             loaded.append((members, df))
-        except ConfigError:
-            raise
         except Exception as e:  # noqa: BLE001 - isolate one bad source
             log.error("failed to load %s: %s", [m.name for m in members], e)
             for m in members:

@@ -2,8 +2,8 @@
 
 The lossless corpus is Parquet (or JSON lines) in many part files; `pos`
 carries the order, so no single-partition coalesce is needed.  The text
-export reproduces the one-sample-per-line file: it is range-partitioned on
-pos and sorted inside partitions, so part files concatenate in order.
+export reproduces the one-sample-per-line file: rows are placed by their pos
+and sorted inside partitions, so part files concatenate in order.
 """
 
 from __future__ import annotations
@@ -29,13 +29,16 @@ def write_corpus(corpus: DataFrame, path: str, fmt: str = "parquet") -> str:
 ROWS_PER_TEXT_FILE = 500_000
 
 
-def export_text(corpus: DataFrame, path: str, n_files: int | None = None, n_rows: int | None = None) -> str:
-    """Samples as text lines in pos order (each sample + '\\n').  The file
-    count grows with the rows (`n_rows`, e.g. the mix's sum of n)."""
-    par = corpus.sparkSession.sparkContext.defaultParallelism
-    n = n_files or max(par, -(-(n_rows or 0) // ROWS_PER_TEXT_FILE))
-    (corpus.repartitionByRange(n, "pos").sortWithinPartitions("pos")
-     .select("text").write.mode("overwrite").option("lineSep", "\n").text(path))
+def export_text(corpus: DataFrame, path: str, rows_per_file: int = ROWS_PER_TEXT_FILE,
+                n_rows: int | None = None) -> str:
+    """Samples as text lines in pos order (each sample + '\\n').  `pos` has no
+    gaps, so a row's file is pos div rows_per_file: no sampling pass, and part
+    files concatenate in order.  `n_rows` is the corpus size, counted if not given."""
+    n = corpus.count() if n_rows is None else n_rows
+    # small corpora still spread over the cluster
+    rows_per_file = max(1, min(rows_per_file, -(-n // corpus.sparkSession.sparkContext.defaultParallelism)))
+    (corpus.repartitionById(max(1, -(-n // rows_per_file)), F.floor(F.col("pos") / rows_per_file).cast("int"))
+     .sortWithinPartitions("pos").select("text").write.mode("overwrite").option("lineSep", "\n").text(path))
     return path
 
 
@@ -46,8 +49,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def line_count(spark: SparkSession, path: str) -> DataFrame:
-    """Number of lines of the exported text (the shell's `wc -l`)."""
-    return spark.read.text(path).agg(F.count(F.lit(1)).alias("text_lines"))
+    """Number of line feeds of the exported text (the shell's `wc -l`); a
+    carriage return inside a sample ends no line."""
+    return spark.read.option("lineSep", "\n").text(path).agg(F.count(F.lit(1)).alias("text_lines"))
 
 
 def corpus_size(corpus: DataFrame) -> Column:
