@@ -2,8 +2,6 @@
 (exact-n sample, strip, band, fraction mix, seeded order, keep-first dedup)
 on random configurations over the sf0.001 documents."""
 
-import hashlib
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -11,6 +9,7 @@ from corpusmill.config import MixSpec
 from corpusmill.plans import catalog
 from corpusmill.plans.prepare import prepare
 from tests.conftest import SF001
+from tools.python_baseline import prepare_rows
 
 _DOCS = None
 
@@ -23,35 +22,6 @@ def _docs(spark):
     return _DOCS
 
 
-def _md5(s):
-    return hashlib.md5(s.encode("utf-8")).hexdigest()
-
-
-def brute(docs, specs, mix):
-    out = []
-    for sp in specs:
-        rows = [d for d in docs if d[0] == sp.name]
-        if sp.sample_size is not None and sp.sample_size < len(rows):
-            rows = sorted(rows, key=lambda d: (_md5(f"{mix.seed}:sample:{d[1]}"), d[1]))[:sp.sample_size]
-        kept = [(d[1], d[2].strip()) for d in rows if d[2] is not None]
-        kept = [k for k in kept if mix.min_chars < len(k[1]) < mix.max_chars]
-        n = min(len(kept), int(len(kept) * sp.weight))
-        chosen = sorted(kept, key=lambda k: (_md5(f"{mix.seed}:mix:{k[0]}"), k[0]))[:n]
-        out += [(sp.source_ord, i, sid, text) for i, (sid, text) in enumerate(chosen, 1)]
-    if mix.shuffle:
-        out.sort(key=lambda r: (_md5(f"{mix.seed}:shuffle:{r[2]}"), r[2]))
-    else:
-        out.sort(key=lambda r: (r[0], r[1]))
-    seen, final = set(), []
-    for r in out:
-        h = _md5(r[3])
-        if mix.deduplicate and h in seen:
-            continue
-        seen.add(h)
-        final.append(r)
-    return [(pos, r[2], r[1], _md5(r[3])) for pos, r in enumerate(final)]
-
-
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(0, 19), st.sampled_from([None, 0, 3, 7, 100]),
                           st.sampled_from([0.0, 0.1, 0.29, 0.5, 1.0, 1.5])), min_size=1, max_size=6,
@@ -63,4 +33,5 @@ def test_prepare_equals_bruteforce(spark, cfg, seed, shuffle, dedup):
     p = prepare(spark, specs, mix)
     got = sorted((r["pos"], r["sample_id"], r["mix_rank"], r["h"]) for r in
                  p.corpus.selectExpr("pos", "sample_id", "mix_rank", "md5(text) AS h").collect())
-    assert got == brute(_docs(spark), specs, mix)
+    docs = [d for d in _docs(spark) if d[2] is not None]
+    assert got == prepare_rows(docs, specs, seed, shuffle=shuffle, deduplicate=dedup)

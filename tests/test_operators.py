@@ -133,12 +133,45 @@ def test_source_isolation_reports_bad_source(spark):
     assert [m.name for m, _ in [(x[0][0], x[1]) for x in loaded]] == ["ok"] and "bad" in skipped
 
 
-def test_row_index_ids_are_stable(spark):
+def test_content_ids_do_not_depend_on_files(spark):
+    import tempfile
+
     from corpusmill.sources.scan import scan_source
-    spec = SourceSpec(name="t", path=f"{SF01}/conversations.parquet")
-    a = [r[0] for r in scan_source(spark, spec).select("sample_id").collect()]
-    b = [r[0] for r in scan_source(spark, spec).select("sample_id").collect()]
-    assert len(set(a)) == len(a) == 536 and sorted(a) == sorted(b)
+    turns = spark.read.parquet(f"{SF01}/conversations.parquet").select("role", "text")
+    turns = turns.unionByName(turns.limit(40)).unionByName(turns.limit(40))  # equal rows
+    ids = []
+    for reader, parts in (("json", 1), ("json", 5), ("csv", 3), ("parquet", 2)):
+        path = tempfile.mkdtemp(prefix="cm-keyless-") + "/t"
+        writer = turns.repartition(parts).write
+        if reader == "csv":
+            writer.option("header", "true").option("multiLine", "true").csv(path)
+            options = (("header", "true"), ("multiLine", "true"))
+        else:
+            writer.format(reader).save(path)
+            options = ()
+        spec = SourceSpec(name="t", path=path, reader=reader, options=options)
+        df = scan_source(spark, spec)
+        rows = sorted(r[0] for r in df.select("sample_id").collect())
+        assert len(set(rows)) == len(rows) == turns.count()
+        ids.append(rows if reader != "csv" else None)
+    assert ids[0] == ids[1] and sorted(x.split("#")[1] for x in ids[0])[-1] == "2"
+
+
+def test_a_source_without_its_column_is_skipped_alone(spark):
+    from corpusmill.sources.scan import load_sources
+    specs = [SourceSpec(name="ok", path=f"{SF01}/documents.parquet", id_column="doc_id"),
+             SourceSpec(name="bad", path=f"{SF01}/documents.parquet", id_column="doc_id", subset="x")]
+    loaded, skipped = load_sources(spark, specs)
+    assert [m[0].name for m, _ in loaded] == ["ok"] and set(skipped) == {"bad"}
+
+
+def test_null_ids_leave_the_sample_whole(spark):
+    rows = [("a", None if i % 5 < 2 else f"a/{i}", "t") for i in range(100)]
+    df = spark.createDataFrame(rows, "source string, sample_id string, text string")
+    got, rep = sample_exact_n(df, {"a": 50})
+    assert got.count() == 50 and rep == {"a": (100, 50)}
+    got, rep = sample_exact_n(df, {"a": 80})
+    assert got.count() == 60 and rep == {"a": (100, 60)}
 
 
 def test_no_shuffle_order_is_config_then_mix_rank(spark):

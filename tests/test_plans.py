@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusmill.config import MixSpec
 from corpusmill.operators.dedup import dedup_exact
 from corpusmill.operators.ranking import exact_rank
+from corpusmill.operators.sampling import mix_selection, sample_exact_n
 from corpusmill.plans import catalog
 from corpusmill.plans.prepare import prepare
 from tests.conftest import SF01
@@ -40,17 +41,58 @@ def _names(node):
     return [o.apply(i).name() for i in range(o.size())]
 
 
-def test_no_single_partition_exchange_on_rows(spark):
+@pytest.mark.parametrize("shuffle", [True, False])
+def test_no_single_partition_exchange_on_rows(spark, shuffle):
+    """Windows without a partition key, and the exchanges into one partition
+    that feed them, hold counted rows only: at most one for each of 16 buckets
+    (all rows as one group), or one for each source."""
     with static_plans(spark):
-        p = prepare(spark, catalog.docs_mix(SF01), MixSpec())
+        p = prepare(spark, catalog.docs_mix(SF01), MixSpec(shuffle=shuffle))
         for df in (p.index, p.corpus, p.mixed):
             for n in _nodes(df):
                 s = n.simpleString(50)
                 if n.nodeName() == "Exchange" and "SinglePartition" in s:
-                    # only the bucket count table may be gathered (<= 16^h rows)
-                    assert set(_names(n)) <= {"_bkt", "_cnt"}, s
-                if n.nodeName() == "Window":
-                    assert "_bkt" in s or "epoch" in s or "source" in s, s
+                    below = n.children().apply(0)
+                    while below.nodeName().startswith(("WholeStageCodegen", "InputAdapter", "Project")):
+                        below = below.children().apply(0)
+                    assert "Aggregate" in below.nodeName() and "partial_" not in below.simpleString(50), s
+                    assert set(_names(n)) <= {"_bkt", "_cnt", "_group", "_n"}, s
+                if n.nodeName() == "Window" and not set(_names(n)) & {"_bkt", "_group"}:
+                    assert "epoch" in s or "source" in s, s
+
+
+@pytest.mark.parametrize("stage", ["sample", "mix"])
+def test_selection_moves_no_text(spark, stage):
+    with static_plans(spark):
+        docs = spark.read.parquet(f"{SF01}/documents.parquet").withColumn(
+            "sample_id", F.concat("source", F.lit("/"), F.col("doc_id").cast("string")))
+        if stage == "sample":
+            df, _ = sample_exact_n(docs, {f"src{i}": 30 for i in range(20)})
+        else:
+            df = mix_selection(docs, {f"src{i}": 0.3 for i in range(20)})[0].rows(docs)
+        assert "text" in df.columns and df.count() in (600, 300)
+        for n in _nodes(df):
+            if "Exchange" in n.nodeName():
+                assert "text" not in _names(n), n.simpleString(50)
+
+
+def test_local_folder_needs_a_local_master():
+    from corpusmill.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
 
 
 def test_config_join_is_broadcast_and_source_filter_pushed(spark):
@@ -98,27 +140,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["sample_id", "source", "mix_rank", "ord_key", "pos"]
     assert df.count() > 0
-    assert set(E.queries()) == set(E.oracle_sql())
+    from corpusmill.plans.oracle import ORACLE_SQL
+    from corpusmill.plans.queries import QUERIES
+    assert set(QUERIES) == set(ORACLE_SQL) and set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("sf", [SF01])
 def test_oracle_all_queries(spark, sf):
     from tools.oracle_check import compare
-    res = compare(spark, sf, verbose=False)
+    from corpusmill.plans.queries import QUERIES
+    res = compare(spark, sf, list(QUERIES), verbose=False)
     bad = {k: v for k, v in res.items() if v[0] != "ok"}
     assert not bad, bad
-
-
-def test_shuffle_join_path_equals_broadcast_path(spark, monkeypatch):
-    import corpusmill.operators.sampling as S
-    specs = catalog.docs_capped(SF01, cap=40)
-    a = prepare(spark, specs, MixSpec())
-    rows_a = sorted(tuple(r) for r in a.corpus.select("sample_id", "pos", "mix_rank", F.md5("text")).collect())
-    monkeypatch.setattr(S, "BROADCAST_IDS_LIMIT", 0)
-    b = prepare(spark, specs, MixSpec())
-    rows_b = sorted(tuple(r) for r in b.corpus.select("sample_id", "pos", "mix_rank", F.md5("text")).collect())
-    assert rows_a == rows_b and len(rows_a) > 0
-    with static_plans(spark):
-        plan = b.corpus._jdf.queryExecution().executedPlan().toString()
-    # wide rows are pruned by a broadcast semi-join on candidate buckets before the shuffle join
-    assert "LeftSemi" in plan and "SortMergeJoin" in plan

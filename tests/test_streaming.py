@@ -27,3 +27,12 @@ def test_stream_is_incremental_and_equals_batch(spark):
         (F.length("t") > 50) & (F.length("t") < 8192))
     assert got.count() == batch.count() > n1 > 0
     assert got.select(F.count_distinct("sample_id")).first()[0] == got.count()  # nothing processed twice
+
+
+def test_stream_over_a_table_of_part_files(spark):
+    from corpusmill.plans.queries import QUERIES
+    d = tempfile.mkdtemp(prefix="cm-folder-")
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    docs.repartition(3).write.parquet(os.path.join(d, "documents.parquet"))
+    got, file = QUERIES["length_band_stream"](spark, d), QUERIES["length_band_stream"](spark, SF01)
+    assert sorted(got.collect()) == sorted(file.collect()) and got.count() > 0

@@ -1,4 +1,4 @@
-"""Edge records (FIXTURES.md §4) rendered by Spark vs the plain-Python row model."""
+"""Edge records (FIXTURES.md §4) rendered by Spark, against the literal texts expected."""
 
 import pytest
 
@@ -6,7 +6,6 @@ from corpusmill.config import ConfigError, MixSpec, SourceSpec
 from corpusmill.functions.templates import CHATML, ChatTemplate, render
 from corpusmill.functions.text import WHITESPACE, in_length_band, strip_ws
 from corpusmill.plans.prepare import render_sources
-from tests import rowmodel as rm
 
 ALP = "instruction string, input string, output string"
 
@@ -30,51 +29,47 @@ def test_length_bounds_and_strip_before_length(spark):
     vals = ["a" * 50, "b" * 51, "c" * 8191, "d" * 8192, "e" * 50 + " " * 10, "\U0001F600" * 51]
     df = spark.createDataFrame([(v,) for v in vals], "t string")
     kept = [r[0] for r in df.select(strip_ws("t").alias("t")).where(in_length_band("t")).collect()]
-    assert sorted(kept) == sorted(v for v in (rm.keep(x) for x in vals) if v)
-    assert {len(k) for k in kept} == {51, 8191}
+    assert sorted(kept) == ["b" * 51, "c" * 8191, "\U0001F600" * 51]
 
 
 def test_alpaca_input_truthiness(spark):
     rows = [("i", "", "o"), ("i", None, "o"), ("i", " ", "o"), ("i", "x", None), (None, None, None)]
     df = spark.createDataFrame(rows, ALP)
     got = _texts(df, "alpaca")
-    want = [rm.alpaca(dict(zip(("instruction", "input", "output"), r))) for r in rows]
-    assert got == want
-    assert "### Input:" not in got[0] and "### Input:" not in got[1] and "### Input:" in got[2]
-    assert got[3].endswith("### Response:\nNone")
+    assert got == [
+        "### Instruction:\ni\n\n### Response:\no",
+        "### Instruction:\ni\n\n### Response:\no",
+        "### Instruction:\ni\n\n### Input:\n \n\n### Response:\no",
+        "### Instruction:\ni\n\n### Input:\nx\n\n### Response:\nNone",
+        "### Instruction:\nNone\n\n### Response:\nNone",
+    ]
 
 
 def test_alpaca_absent_output(spark):
     df = spark.createDataFrame([("i", "")], "instruction string, input string")
-    got = _texts(df, "alpaca")[0]
-    assert got == rm.alpaca({"instruction": "i", "input": ""})
-    assert got.strip().endswith("### Response:")
+    assert _texts(df, "alpaca") == ["### Instruction:\ni\n\n### Response:\n"]
 
 
 def test_openorca_default_only_when_absent(spark):
     full = spark.createDataFrame([("", "q", "r"), (None, "q", "r")], "system_prompt string, question string, response string")
     got = _texts(full, "openorca")
-    assert got[0] == rm.openorca({"system_prompt": "", "question": "q", "response": "r"})
-    assert got[1].startswith("### System:\nNone\n")
+    assert got == ["### System:\n\n\n### Instruction:\nq\n\n### Response:\nr",
+                   "### System:\nNone\n\n### Instruction:\nq\n\n### Response:\nr"]
     absent = spark.createDataFrame([("q", "r")], "question string, response string")
-    assert _texts(absent, "openorca")[0] == rm.openorca({"question": "q", "response": "r"})
-    assert "You are a helpful assistant." in _texts(absent, "openorca")[0]
+    assert _texts(absent, "openorca") == [
+        "### System:\nYou are a helpful assistant.\n\n### Instruction:\nq\n\n### Response:\nr"]
 
 
 def test_chat_role_default_and_null_content(spark):
     df = spark.createDataFrame([([("hi",), (None,)],)], "messages array<struct<content:string>>")
-    got = _texts(df, "chatml")[0]
-    assert got == rm.chatml({"messages": [{"content": "hi"}, {"content": None}]})
-    assert got.startswith("<|im_start|>user\nhi")
+    assert _texts(df, "chatml") == ["<|im_start|>user\nhi<|im_end|>\n<|im_start|>user\nNone<|im_end|>\n"]
 
 
 def test_sharegpt_mapping(spark):
     conv = [("human", "a"), ("gpt", "b"), ("system", "c"), (None, "d")]
     df = spark.createDataFrame([(conv,)], "conversations array<struct<from:string,value:string>>")
-    got = _texts(df, "chatml")[0]
-    rec = {"conversations": [{"from": f, "value": v} for f, v in conv]}
-    assert got == rm.chatml(rec)
-    assert [x.split("\n")[0] for x in got.split("<|im_start|>")[1:]] == ["user", "assistant", "assistant", "assistant"]
+    assert _texts(df, "chatml") == ["<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb<|im_end|>\n"
+                                    "<|im_start|>assistant\nc<|im_end|>\n<|im_start|>assistant\nd<|im_end|>\n"]
 
 
 def test_messages_precedence_and_malformed(spark):
@@ -89,13 +84,7 @@ def test_messages_precedence_and_malformed(spark):
     ]
     df = spark.createDataFrame(rows, schema)
     got = _texts(df, "chatml")
-    recs = [{"messages": m, "conversations": c} for m, c in rows]
-    recs = [{"messages": [dict(zip(("role", "content"), x)) for x in r["messages"]] if r["messages"] is not None else None,
-             "conversations": None if r["conversations"] is None else
-             [None if t is None else {"from": t[0], "value": t[1]} for t in r["conversations"]]} for r in recs]
-    assert got == [rm.chatml(r) for r in recs]
-    assert "m" in got[0] and "c" not in got[0].replace("<|im_", "")
-    assert got[2] is None and got[3] is None and got[4] == ""
+    assert got == ["<|im_start|>user\nm<|im_end|>\n", "<|im_start|>user\nc<|im_end|>\n", None, None, ""]
 
 
 def test_null_messages_without_fallback_is_malformed(spark):
@@ -134,15 +123,13 @@ def test_chatml_is_default_template():
     assert CHATML.prefix == "<|im_start|>{role}\n" and CHATML.suffix == "<|im_end|>\n"
 
 
-def test_render_of_real_conversations_matches_row_model(spark):
+def test_turns_of_a_conversation_in_order(spark):
     from corpusmill.sources.records import messages_records
-    conv = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
-    recs = messages_records(conv)
-    rows = recs.select("conv_id", "messages", render(recs, "chatml").alias("t")).collect()
-    assert len(rows) == 100
-    for r in rows:
-        rec = {"messages": [m.asDict() for m in r["messages"]]}
-        assert r["t"] == rm.chatml(rec)
+    turns = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(600)]
+    df = spark.createDataFrame(turns[::-1], "conv_id long, turn long, role string, text string")
+    got = messages_records(df).select(render(messages_records(df), "chatml").alias("t")).first()["t"]
+    assert got.split("<|im_start|>")[1:3] == ["user\nt0<|im_end|>\n", "assistant\nt1<|im_end|>\n"]
+    assert [x.split("\n")[1].removesuffix("<|im_end|>") for x in got.split("<|im_start|>")[1:]] == [f"t{t}" for t in range(600)]
 
 
 def test_template_factory_path(spark):
