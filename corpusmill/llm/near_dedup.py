@@ -9,13 +9,14 @@ their full sets, and the links' connected components are the result.
 A bucket's pairs are never spelled out.  First every member is checked
 against the bucket's smallest id, which joins the bulk of a large group.  What
 is left of a bucket, members outside its largest component, is compared in
-blocks by sketches, within and against the rest: first a forest of the most
-similar pairs, and after those are confirmed, all remaining pairs between
-different components.  A pair is passed over only if it lies in one component
-already, differs too much in size, or agrees in fewer than `min_agree` of the
-`marks` coordinates of a longer sketch, which for a pair at the threshold is
-five standard deviations away; two sets at the threshold share no band with a
-probability of 5e-6.
+blocks, within and against the rest, most similar pairs first; only pairs that
+join different components leave a block, and they are confirmed too.  This is
+repeated until no block finds a pair.  A pair is passed over only if it lies in
+one component already, differs too much in size, has too few fingerprints of
+shingles in common (an upper bound of the sets' intersection), or agrees in
+fewer than `min_agree` of the `marks` coordinates of a longer sketch, which for
+a pair at the threshold is five standard deviations away; two sets at the
+threshold share no band with a probability of 5e-6.
 
 Texts without words have no set and link with nothing; null texts likewise.
 Rows with a null id link with nothing and are kept.  Rows that repeat an id
@@ -30,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import Stages, partitions, small_batches, text_batches
@@ -73,9 +74,27 @@ def sketch_table(df: DataFrame, how: NearDedup, id_col: str, text_col: str) -> D
             .withColumn("id", F.col("id").cast(id_type)))
 
 
+#: Larger sets have fingerprints of 4 bytes, others of 2.
+SHORT_SET = 2048
+
+
+def fingerprints(hashes: np.ndarray) -> np.ndarray:
+    return np.unique(hashes.astype("<u2" if len(hashes) <= SHORT_SET else "<u4"))
+
+
+def most_in_common(a: bytes, n_a: int, b: bytes, n_b: int) -> int:
+    """At least the size of two sets' intersection, from their fingerprints:
+    those in common, and what the smaller loss by equal fingerprints may hide."""
+    x, y = (np.frombuffer(p, "<u2" if n <= SHORT_SET else "<u4") for p, n in ((a, n_a), (b, n_b)))
+    if x.dtype != y.dtype:
+        x, y = (np.unique(v.astype("<u2")) for v in (x, y))
+    return len(np.intersect1d(x, y, assume_unique=True)) + min(n_a - len(x), n_b - len(y))
+
+
 def set_table(df: DataFrame, wanted: DataFrame, how: NearDedup, id_col: str, text_col: str) -> DataFrame:
-    """(id, set binary, n, marks) of the documents whose ids are wanted; marks
-    holds one byte of each coordinate of the longer sketch."""
+    """(id, set binary, n, marks, prints) of the documents whose ids are wanted:
+    marks holds one byte of each coordinate of the longer sketch, prints the
+    distinct fingerprints of the set's elements."""
     def run(batches):
         for ids, texts in text_batches(batches, "id", "text"):
             hashes, offsets = shingle_sets(texts, how.shingle_words)
@@ -84,10 +103,12 @@ def set_table(df: DataFrame, wanted: DataFrame, how: NearDedup, id_col: str, tex
                  pa.array([hashes[lo:hi].tobytes() for lo, hi in zip(offsets[:-1], offsets[1:])], pa.binary()),
                  pa.array(np.diff(offsets), pa.int64()),
                  pa.array([m.tobytes() for m in (sketches(hashes, offsets, how.marks) & np.uint64(0xFF)).astype(np.uint8)],
-                          pa.binary())], names=["id", "set", "n", "marks"])
+                          pa.binary()),
+                 pa.array([fingerprints(hashes[lo:hi]).tobytes() for lo, hi in zip(offsets[:-1], offsets[1:])], pa.binary())],
+                names=["id", "set", "n", "marks", "prints"])
 
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return (texts.join(wanted.select("id").distinct(), "id").mapInArrow(run, "id long, set binary, n long, marks binary")
+    return (texts.join(wanted.select("id").distinct(), "id").mapInArrow(run, "id long, set binary, n long, marks binary, prints binary")
             .dropDuplicates(["id", "set"]))
 
 
@@ -128,7 +149,9 @@ def confirm(pairs: DataFrame, sets: DataFrame, how: NearDedup) -> DataFrame:
 
 
 def leftover_pairs(members: DataFrame, labels: DataFrame, how: NearDedup, forest: bool) -> DataFrame:
-    """Pairs (a < b) of a bucket's members in different components, by sketch."""
+    """Pairs (a < b) of a bucket's members in different components that may be
+    similar enough; with `forest` only pairs that join components not joined by
+    a more similar pair of the block."""
     spark = members.sparkSession
     m = members.join(labels, F.col("rep") == F.col("node"), "left").drop("node").withColumn(
         "comp", F.coalesce("comp", "rep"))
@@ -149,8 +172,8 @@ def leftover_pairs(members: DataFrame, labels: DataFrame, how: NearDedup, forest
         F.transform(every(F.col("n_main")), lambda k: F.struct((-1 - k).alias("i"), F.col("own").alias("j"))),
         F.transform(every(F.col("n_other")), lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j"))))
     ).otherwise(F.transform(every(F.col("n_other")), lambda k: F.struct((-1 - F.col("own")).alias("i"), k.alias("j"))))
-    dealt = (m.select("bucket", F.explode(F.array_distinct(cells)).alias("cell"), "other", "own", "rep", "comp", "n", "marks")
-             .select("bucket", "cell.i", "cell.j", "other", "own", "rep", "comp", "n", "marks")
+    dealt = (m.select("bucket", F.explode(F.array_distinct(cells)).alias("cell"), "other", "own", "rep", "comp", "n", "marks", "prints")
+             .select("bucket", "cell.i", "cell.j", "other", "own", "rep", "comp", "n", "marks", "prints")
              .repartition(partitions(spark), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j"))
     least, of = how.similarity
 
@@ -173,6 +196,7 @@ def leftover_pairs(members: DataFrame, labels: DataFrame, how: NearDedup, forest
         t = pa.Table.from_batches(held)
         rep, comp, n, own = (t.column(c).to_numpy() for c in ("rep", "comp", "n", "own"))
         other = t.column("other").to_numpy(zero_copy_only=False)
+        prints = t.column("prints").to_pylist()
         marks = np.frombuffer(b"".join(t.column("marks").to_pylist()), np.uint8).reshape(len(rep), -1)
         _, i, j = key
         right = np.flatnonzero(other & (own == j))
@@ -184,23 +208,24 @@ def leftover_pairs(members: DataFrame, labels: DataFrame, how: NearDedup, forest
                 y = y[y > x]
             agree = (marks[y] == marks[x]).sum(axis=1)
             for k in np.flatnonzero(agree >= how.min_agree):
-                found.append((-int(agree[k]), int(min(rep[x], rep[y[k]])), int(max(rep[x], rep[y[k]])), int(comp[x]), int(comp[y[k]])))
-        if forest:
-            parent: dict[int, int] = {}
-
-            def root(c: int) -> int:
-                while parent.get(c, c) != c:
-                    c = parent[c]
-                return c
-
-            kept = []
-            for p in sorted(found):
-                a, b = root(p[3]), root(p[4])
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    kept.append(p)
-            found = kept
-        yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in found], pa.int64()) for c in (1, 2)], names=["a", "b"])
+                found.append((-int(agree[k]), int(x), int(y[k])))
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while parent.get(c, c) != c:
+                c = parent[c]
+            return c
+
+        kept = []
+        for _, x, y in sorted(found):
+            a, b = root(int(comp[x])), root(int(comp[y]))
+            if forest and a == b:
+                continue
+            common = most_in_common(prints[x], int(n[x]), prints[y], int(n[y]))
+            if of * common >= least * (int(n[x]) + int(n[y]) - common):
+                parent[max(a, b)] = min(a, b)
+                kept.append(sorted((int(rep[x]), int(rep[y]))))
+        yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in kept], pa.int64()) for c in (0, 1)], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -221,7 +246,7 @@ def near_duplicates(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(),
     members = stages.put("members", in_bucket.join(shared.drop("m"), "bucket"))
     involved = members.select(F.col("rep").alias("id")).distinct()
     sets = stages.put("sets", set_table(df, involved, how, id_col, text_col))
-    sizes = sets.select(F.col("id").alias("rep"), "n", "marks")
+    sizes = sets.select(F.col("id").alias("rep"), "n", "marks", "prints")
 
     # each member against the smallest id of its bucket
     least, of = how.similarity
@@ -235,18 +260,24 @@ def near_duplicates(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(),
     links = stages.put("star-links", confirm(star, sets, how))
     labels = components(links, stages, "star")
 
-    # what is left of each bucket, in two rounds
+    # what is left of each bucket; a reported pair that was or is refused may have
+    # hidden others in its block, and the blocks then report all their pairs
     members = stages.put("marked", members.select("bucket", "rep").join(sizes, "rep"))
-    for name, forest in (("forest", True), ("rest", False)):
-        pairs = leftover_pairs(members, labels, how, forest)
-        pairs = stages.put(f"{name}-pairs", pairs.join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty() and not forest:
-            break
-        tested = tested.unionByName(pairs)
-        more = stages.put(f"{name}-links", confirm(pairs, sets, how))
-        if not more.isEmpty():
+    forest, i = True, 0
+    while True:
+        i += 1
+        found = stages.put(f"found-{i}", leftover_pairs(members, labels, how, forest))
+        pairs = stages.put(f"pairs-{i}", found.join(tested, ["a", "b"], "left_anti"))
+        n_found, n_pairs, n_links = found.count(), pairs.count(), 0
+        if n_pairs:
+            tested = tested.unionByName(pairs)
+            more = stages.put(f"links-{i}", confirm(pairs, sets, how))
+            n_links = more.count()
             links = links.unionByName(more)
-            labels = components(links, stages, name)
+            labels = components(links, stages, f"round-{i}")
+        elif not forest or not n_found:
+            break
+        forest = n_links == n_found
 
     # documents: through their class where it has several, by their own id else
     several = (classes.where("n_docs > 1").join(labels, F.col("rep") == F.col("node"), "left")
@@ -266,6 +297,7 @@ def one_of_each(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(), id_
     smallest id, once; rows with a null id all stay."""
     gone = near_duplicates(df, stages, how, id_col, text_col).where("not kept").select(F.col("id").alias("_gone")).distinct()
     stay = df.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    # rows that repeat a kept id: one of them
-    place = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(*df.columns)))
-    return stay.withColumn("_place", place).where((F.col("_place") == 1) | F.col(id_col).isNull()).drop("_place")
+    # rows that repeat a kept id: one of them; repeats meet in partial results before anything moves
+    one = (stay.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+           .agg(F.min_by(F.struct(*df.columns), F.xxhash64(text_col)).alias("_row")))
+    return one.select("_row.*").unionByName(stay.where(F.col(id_col).isNull()))
