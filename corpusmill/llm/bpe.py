@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from corpusmill.llm.common import small_batches, text_batches
+from corpusmill.llm.common import per_worker, small_batches, text_batches
 from corpusmill.llm.pretokens import PretokenCoder
 
 #: One character outside ASCII for each byte, so that no piece holds a space.
@@ -92,10 +93,11 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
     """(id, n_tokens long, ids binary) of every row's whole text."""
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((model_proto(ranks), ranks))  # size of the vocabulary
+    key = f"bpe_{zlib.crc32(repr((pattern, sorted(ranks.items()))).encode())}"
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        coder = PretokenCoder(pattern, pretoken_encoder(*shared.value))
+        coder = per_worker(key, lambda: PretokenCoder(pattern, pretoken_encoder(*shared.value)))
         for ids, texts in text_batches(batches, "id", "text"):
             coded = coder.code(texts)
             yield pa.RecordBatch.from_arrays(

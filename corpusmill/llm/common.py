@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 import uuid
 
 import pyarrow as pa
@@ -45,6 +47,15 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def per_worker(key: str, make):
+    """What `make` gives, kept for the life of the Python worker, which Spark
+    reuses from task to task."""
+    home = sys.modules.setdefault("_corpusmill_worker", types.ModuleType("_corpusmill_worker"))
+    if not hasattr(home, key):
+        setattr(home, key, make())
+    return getattr(home, key)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

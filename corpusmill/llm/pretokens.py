@@ -1,9 +1,11 @@
 """Whole texts to id bytes through a bounded cache of pre-token encodings.
 
 Merges never cross a pre-token, so a text's ids are its pre-tokens' ids one
-after another.  The splitting pattern only ever starts a pre-token at a single
-space between two characters that are not white space; such fragments can be
-cut at their spaces and cached as a whole.  All fragments of a batch are found
+after another.  The splitting pattern always starts a pre-token at a single space
+between two characters that are not white space; it always makes a pre-token of
+a single line feed between two such characters, and of a closing mark after an
+ASCII letter or digit where a fragment ends.  Texts are cut at these places and
+the fragments cached as a whole.  All fragments of a batch are found
 and hashed at once in numpy; only distinct ones are looked up, and only new
 ones meet the pattern and the tokenizer.  A text with any other white space
 around a space takes the pattern over its whole length.
@@ -21,12 +23,64 @@ from corpusmill.llm.shingles import BYTE_VALUES, GOLDEN, U, mix, power_tables
 
 #: Pre-tokens that one library call takes, as its results are far larger than the ids.
 CALL = 2000
-#: Characters that, right after a word, are a pre-token of their own.
-CLOSING = (".", ",", ";", ":", "!", "?")
-#: Marks fragments at the start of a text, which no space precedes.
+#: Marks fragments that no space precedes.
 HEAD = U(0xA24BAED4963EE407)
 
 
+def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(256, dtype=bool)
+    for lo, hi in ranges:
+        out[lo:hi + 1] = True
+    return out
+
+
+CLOSING = _bytes(*((ord(c), ord(c)) for c in ".,;:!?"))
+ALNUM = _bytes((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
+GRAPH = _bytes((0x21, 0x7E))
+#: First bytes of characters of two bytes none of which is white space, and of
+#: longer ones of which none is.
+LEAD_TWO = _bytes((0xC3, 0xDF))
+LEAD = _bytes((0xC3, 0xE0), (0xE4, 0xF4))
+
+
+def fragments_of(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, bare, first) of the fragments of texts joined by spaces:
+    bare ones have no space in front; `first` is where each text begins, given
+    the texts' places."""
+    n = len(data)
+    space = data == 0x20
+    feed = np.flatnonzero(data == 0x0A)
+    feed = feed[(feed > 1) & (feed < n - 1)]
+    before, after = data[feed - 1], data[feed + 1]
+    feed = feed[(GRAPH[before] | ((before >= 0x80) & LEAD_TWO[data[feed - 2]])) & (GRAPH[after] | LEAD[after])]
+    # a line feed is a fragment, and the next one begins behind it
+    after_space = np.zeros(n + 2, dtype=bool)
+    after_space[1:n + 1] = space
+    starting = after_space[:n + 1].copy()
+    starting[feed] = starting[feed + 1] = True
+    starting[begin] = True
+    starting[0] = True
+    bare = ~after_space[:n + 1]
+    bare[begin] = True
+    starts = np.flatnonzero(starting)
+    ends = np.append(starts[1:], n + 1)
+    # a fragment ends before the space that follows it
+    ends -= np.append(space, True)[np.minimum(ends - 1, n)]
+    tail = np.flatnonzero((ends - starts > 1) & CLOSING[data[np.maximum(ends - 1, 0)]] & ALNUM[data[np.maximum(ends - 2, 0)]]) \
+        if n else np.zeros(0, np.int64)
+    more = np.ones(len(starts), dtype=np.int64)
+    more[tail] = 2
+    place = np.cumsum(more) - more
+    flags = np.repeat(bare[starts], more)
+    first = place[np.searchsorted(starts, begin)]
+    starts, ends = np.repeat(starts, more), np.repeat(ends, more)
+    mark = place[tail] + 1
+    starts[mark] = ends[mark] - 1
+    ends[mark - 1] -= 1
+    flags[mark] = True
+    return starts, ends, flags, first
+
+
 class PretokenCoder:
     """`encode_many` maps distinct pre-tokens to their id bytes, `width` bytes
     an id; `encode_words` does so for words of letters, each behind the prefix
@@ -34,7 +88,7 @@ class PretokenCoder:
 
     def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]],
                  encode_words: Callable[[list[str], str], list[bytes]] | None = None, width: int = 4,
-                 max_entries: int = 500_000):
+                 max_entries: int = 250_000):
         self.split = regex.compile(pattern).findall
         self.encode_many = encode_many
         self.encode_words = encode_words or (lambda words, prefix: encode_many([prefix + w for w in words]))
@@ -42,7 +96,9 @@ class PretokenCoder:
         self.width = width
         self.max_entries = max_entries
         self.tokens: dict[str, bytes] = {}
-        self.fragments: dict[int, bytes | None] = {}  # by hash; None: not a safe cut
+        # by hash, in two generations: what was used since the last turn, and before; None: not a safe cut
+        self.fragments: dict[int, bytes | None] = {}
+        self.older: dict[int, bytes | None] = {}
 
     def _learn_tokens(self, pretokens) -> None:
         new = set(filterfalse(self.tokens.__contains__, pretokens))
@@ -58,60 +114,63 @@ class PretokenCoder:
         for h, f in new.items():
             if f.isalpha():
                 words[h] = f
-            elif f[-1:] in CLOSING and f[:-1].isalpha():
-                words[h] = f[:-1]
-                other[h] = [f[-1]]
             elif not f or f[0].isspace() or f[-1].isspace():
-                other[h] = None
+                self.fragments[h] = None
             else:
                 other[h] = self.split(" " + f)
-        self._learn_tokens(chain.from_iterable(filter(None, other.values())))
-        token = self.tokens.__getitem__
+        self._learn_tokens(chain.from_iterable(other.values()))
+        for h, pre in other.items():
+            self.fragments[h] = b"".join(map(self.tokens.__getitem__, pre))
+        self._learn_words(words, " ")
+
+    def _learn_words(self, words: dict[int, str], prefix: str) -> None:
         keys, texts = list(words), list(words.values())
         for at in range(0, len(keys), CALL):
-            self.fragments.update(zip(keys[at:at + CALL], self.encode_words(texts[at:at + CALL], " ")))
-        for h, rest in other.items():
-            if rest is None:
-                self.fragments[h] = None
-            else:
-                self.fragments[h] = (self.fragments[h] if h in words else b"") + b"".join(map(token, rest))
+            self.fragments.update(zip(keys[at:at + CALL], self.encode_words(texts[at:at + CALL], prefix)))
 
-    def _learn_heads(self, new: dict[int, str]) -> None:
-        """Encodes what stands at the start of a text; one that ends in white
-        space is no safe cut, unless the text ends there too, which the caller sees to."""
-        cut = {h: self.split(f) for h, f in new.items()}
+    def _learn_bare(self, new: dict[int, str]) -> None:
+        """Encodes fragments without a space in front; whether white space at
+        their ends is safe is for the caller to see."""
+        words = {h: f for h, f in new.items() if f.isalpha()}
+        cut = {h: self.split(f) for h, f in new.items() if h not in words}
         self._learn_tokens(chain.from_iterable(cut.values()))
         for h, pre in cut.items():
             self.fragments[h] = b"".join(map(self.tokens.__getitem__, pre))
+        self._learn_words(words, "")
 
     def code(self, texts: list[str]) -> list[bytes]:
         """The id bytes of each text."""
+        if not texts:
+            return []
         if len(self.tokens) > self.max_entries:
             self.tokens = {}
         if len(self.fragments) > self.max_entries:
-            self.fragments = {}
+            self.fragments, self.older = {}, self.fragments
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         joined = b" ".join(raw)
         data = np.frombuffer(joined, np.uint8)
-        gaps = np.flatnonzero(data == 0x20)
-        starts, ends = np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(data)]])
-        begin = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw])])
-        head = np.searchsorted(starts, begin[:-1])  # the first fragment of each text
+        begin = np.cumsum([0] + [len(r) + 1 for r in raw[:-1]])
+        starts, ends, bare, first = fragments_of(data, begin)
         up, down = power_tables(len(data) + 1)
         sums = np.concatenate([np.zeros(1, U), np.cumsum(BYTE_VALUES[data] * up[:len(data)], dtype=U)])
         hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U) * GOLDEN)
-        hashes[head] ^= HEAD
+        hashes[bare] ^= HEAD
         distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.fragments]
+        new, older = [], self.older
+        for i, k in enumerate(keys):
+            if k not in self.fragments:
+                if k in older:
+                    self.fragments[k] = older[k]
+                else:
+                    new.append(i)
         if new:
-            at_start = np.zeros(len(starts), dtype=bool)
-            at_start[head] = True
             fresh: tuple[dict[int, str], dict[int, str]] = ({}, {})
-            for i, lo, hi, first in zip(new, starts[where[new]].tolist(), ends[where[new]].tolist(), at_start[where[new]].tolist()):
-                fresh[first][keys[i]] = joined[lo:hi].decode("utf-8", "surrogatepass")
+            at = where[new]
+            for i, lo, hi, alone in zip(new, starts[at].tolist(), ends[at].tolist(), bare[at].tolist()):
+                fresh[alone][keys[i]] = joined[lo:hi].decode("utf-8", "surrogatepass")
             self._learn(fresh[0])
-            self._learn_heads(fresh[1])
+            self._learn_bare(fresh[1])
         coded = list(map(self.fragments.__getitem__, keys))
         unsafe = np.array([c is None for c in coded], dtype=bool)[inverse]
         lengths = np.array([0 if c is None else len(c) // self.width for c in coded], dtype=np.int64)
@@ -120,13 +179,13 @@ class PretokenCoder:
         n = lengths[inverse]
         total = np.concatenate([[0], np.cumsum(n)])
         ids = pool[np.repeat(offsets[inverse] - total[:-1], n) + np.arange(total[-1])].tobytes()
-        bounds = np.append(head, len(starts))
+        bounds = np.append(first, len(starts))
         out = [ids[lo:hi] for lo, hi in zip((total[bounds[:-1]] * self.width).tolist(), (total[bounds[1:]] * self.width).tolist())]
         # texts with a space that is no safe cut, inside or behind their first fragment
-        bad = np.add.reduceat(unsafe, bounds[:-1]) if len(texts) else np.zeros(0)
-        for i, (t, r) in enumerate(zip(texts, raw)):
-            several = bounds[i + 1] - bounds[i] > 1
-            if several and (bad[i] or r[:1] == b" " or texts[i].partition(" ")[0][-1:].isspace()):
+        bad = np.add.reduceat(unsafe, first)
+        for i, t in enumerate(texts):
+            head, space, _ = t.partition(" ")
+            if space and (bad[i] or not head or head[-1].isspace()):
                 pre = self.split(t)
                 self._learn_tokens(pre)
                 out[i] = b"".join(map(self.tokens.__getitem__, pre))

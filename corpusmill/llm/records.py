@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from corpusmill.llm.common import Stages, partitions, small_batches, text_batches
+from corpusmill.llm.common import Stages, partitions, per_worker, small_batches, text_batches
 from corpusmill.llm.pretokens import PretokenCoder
 
 #: Fixed value of the checksum mask.
@@ -116,6 +116,7 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
     width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())  # size of the vocabulary
+    key = f"records_{zlib.crc32(repr((tokenizer_path, pattern, width)).encode())}"
     target, end = stages.path("records"), end_id.to_bytes(width, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +129,7 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}.rec")
-                coder = PretokenCoder(pattern, *tokenizer_encoders(shared.value, width), width)
+                coder = per_worker(key, lambda: PretokenCoder(pattern, *tokenizer_encoders(shared.value, width), width))
             for doc, coded in zip(ids, coder.code(texts)):
                 data = frame(b"".join((bytes([doc is None]), (doc or 0).to_bytes(8, "little", signed=True),
                                        coded, end)))

@@ -95,3 +95,18 @@ def test_queries(spark, small):
     t = Tokenizer.from_file(JSON)
     assert got[3].ids_crc32 == zlib.crc32(np.array(t.encode(docs[got[3].doc_id]).ids + [2], "<u4").tobytes())
     assert F.crc32 is not None
+
+
+def test_fragments_equal_the_whole_text():
+    """Random texts of awkward pieces, through a cache that turns over."""
+    import random
+
+    from corpusmill.llm.pretokens import PretokenCoder
+    t = Tokenizer.from_file(JSON)
+    with open(JSON, encoding="utf-8") as f:
+        coder = PretokenCoder(public_tokenizers.PATTERN, *records.tokenizer_encoders(f.read(), 2), 2, max_entries=300)
+    rng, pieces = random.Random(1), [*"ab. ,;\n\n  \tA1é»… 's!?-_ñ  \x1c　漢<", "the", "Foo", "ing ", ".\n", " 'll"]
+    for _ in range(60):
+        texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(40)]
+        for text, got in zip(texts, coder.code(texts), strict=True):
+            assert np.frombuffer(got, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, text
