@@ -18,8 +18,8 @@ def cut(s, n=60):
 
 
 def main():
-    txt = open(sys.argv[1], encoding="utf-8").read()
-    txt = txt.replace("Some(" + WHITESPACE + ")", "Some(WS)")
+    txt = open(sys.argv[1], encoding="utf-8", newline="").read()
+    txt = txt.replace(WHITESPACE, "WS")
     txt = re.sub(r"#\d+L?", "", txt)
     txt = re.sub(r", \[plan_id=\d+\]", "", txt)
     sections = re.split(r"^===== (\w+)\n", txt, flags=re.M)[1:]
@@ -33,13 +33,10 @@ the shape below is what a cluster starts from.
 
 ## 1. `samples` — scan, A1 exact-n sample, render/strip/band, J1 config join (written as a table)
 
-* Two scans of `documents`: the id side reads only `doc_id, source`; the text side reads
-  `doc_id, text, source`. Both carry the pushed `source INSET (...)` filter.
-* A1 runs on the id side: `(source, _bkt)` partial count → running sum per source (the count table is at
-  most sources × 16^h rows) → broadcast of the candidate buckets (`_off < n`) → window per
-  `(source, _bkt)` over narrow rows only → the selected ids (Σ sample_size rows, a proven bound) are
-  broadcast into a `LeftSemi` join with the wide rows. Above 500k ids the wide rows are first pruned to
-  candidate buckets (broadcast semi-join on the count table) and joined by shuffle.
+* The rows that are sampled are scanned once, with the source filter pushed; each is compared with its source's
+  threshold (key, id), one broadcast row per source. No text is exchanged.
+* The thresholds come from a second scan that reads only `doc_id, source`: bucket counts, the bucket that holds
+  the n-th id of each source (one broadcast row per source), and a window over that bucket alone.
 * Strip and the length band are evaluated on the scan side; J1 (config) is a broadcast of a
   one-row-per-source table.
 
@@ -50,28 +47,31 @@ the shape below is what a cluster starts from.
 ## 2. `mixed` — A2 fraction mix on the narrow projection of the stored samples
 
 Reads only `source, sample_id, source_ord, text_hash` from the samples table (column pruning on our own
-Parquet); the same bucketed first-n as A1 with `stage = mix`; adds `ord_key` (O1's seeded order).
+Parquet); the same threshold filter as A1 with `stage = mix`, then the exact rank of the narrow rows that pass;
+adds `ord_key` (O1's seeded order).
 
 ```
 {cut(plans['mixed'], 45)}
 ```
 
-## 3. `index` — G1 keep-first dedup and O1 positions, narrow
+## 3. `survivors` and `index` — G1 keep-first dedup and O1 positions, narrow
 
-`min(struct(ord_key, sample_id))` per `text_hash` with a partial (map-side) sort aggregate, so a hot
-duplicate text is combined before the shuffle; survivors return by a semi-join on the unique `sample_id`
-(broadcast here by Spark's own size estimate; a sort-merge join when large). Positions: bucket counts over
-`ord_key` prefixes (the only un-partitioned window is over this ≤16^h-row count table), then `row_number`
+`min(struct(ord_key, sample_id, ...))` per `text_hash` with a partial (map-side) sort aggregate, so a hot
+duplicate text is combined before the one shuffle; no join. The survivors are written, so counting and ranking
+read them twice instead of deduplicating twice. Positions: bucket counts over `ord_key` prefixes (the only
+un-partitioned window is over this ≤16^h-row count table), then `row_number`
 per bucket.
 
 ```
+{cut(plans['survivors'], 30)}
+
 {cut(plans['index'], 60)}
 ```
 
-## 4. `corpus` — one join of the wide text onto the narrow index
+## 4. `corpus` — one join of the selected text onto the narrow index
 
-Σ n rows bound the index, so it is broadcast below 500k rows: the samples table is streamed once, no
-shuffle of text. (Beyond that, `apply_selection` prunes to candidate buckets, then joins by shuffle.)
+The text side passes the sample's and the mix's thresholds at the scan, so only selected rows reach the join on
+the unique `sample_id`; Spark broadcasts the index where its files are small, else both sides are exchanged.
 
 ```
 {cut(plans['corpus'], 30)}
