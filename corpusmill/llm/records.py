@@ -115,8 +115,9 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
     small_batches(spark)
     width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
     with open(tokenizer_path, encoding="utf-8") as f:
-        shared = spark.sparkContext.broadcast(f.read())  # size of the vocabulary
-    key = f"records_{zlib.crc32(repr((tokenizer_path, pattern, width)).encode())}"
+        content = f.read()
+    shared = spark.sparkContext.broadcast(content)  # size of the vocabulary
+    key = f"records_{zlib.crc32(repr((content, pattern, width)).encode())}"
     target, end = stages.path("records"), end_id.to_bytes(width, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
