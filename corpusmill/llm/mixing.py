@@ -160,6 +160,6 @@ def mix_documents(df: DataFrame, stages: Stages, mix: Mix = Mix(), id_col: str =
                      & (n_words(text_col) == F.col("_size")))
     copies = joined.withColumn("_copy", F.explode("_copies")).withColumns(
         {"mix_pass": F.col("_copy.pass"), "mix_shard": F.col("_copy.shard")})
-    return (copies.repartition(shards, "mix_shard")
+    return (copies.repartitionById(shards, F.col("mix_shard"))
             .sortWithinPartitions("mix_shard", F.xxhash64("_key", "mix_pass"))
             .select(*df.columns, "mix_pass", "mix_shard"))
