@@ -98,7 +98,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
 
     def run(batches):
         coder = per_worker(key, lambda: PretokenCoder(pattern, pretoken_encoder(*shared.value)))
-        for ids, texts in text_batches(batches, "id", "text"):
+        for ids, texts in text_batches(batches, "id", "text", raw=True):
             coded = coder.code(texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, id_arrow), pa.array([len(c) // 4 for c in coded], pa.int64()),

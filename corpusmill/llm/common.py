@@ -60,15 +60,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_batches(batches, id_name: str, text_name: str, max_bytes: int = 1_000_000):
-    """(ids, texts) lists of bounded text size out of Arrow batches; a null
-    text is read as empty."""
+def text_batches(batches, id_name: str, text_name: str, max_bytes: int = 1_000_000, raw: bool = False):
+    """(ids, texts) lists of bounded text size out of Arrow batches, the texts
+    as bytes if `raw`; a null text is read as empty."""
+    empty = b"" if raw else ""
     for batch in batches:
         ids, texts = batch.column(id_name).to_pylist(), batch.column(text_name)
+        if raw:
+            texts = texts.cast(pa.binary())
         at, size = 0, 0
         lengths = pa.compute.binary_length(texts).to_pylist()
         for i, n in enumerate(lengths):
             size += n or 0
             if size >= max_bytes or i == len(lengths) - 1:
-                yield ids[at:i + 1], [t or "" for t in texts.slice(at, i + 1 - at).to_pylist()]
+                yield ids[at:i + 1], [t or empty for t in texts.slice(at, i + 1 - at).to_pylist()]
                 at, size = i + 1, 0

@@ -88,7 +88,7 @@ class PretokenCoder:
 
     def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]],
                  encode_words: Callable[[list[str], str], list[bytes]] | None = None, width: int = 4,
-                 max_entries: int = 250_000):
+                 max_entries: int = 600_000):
         self.split = regex.compile(pattern).findall
         self.encode_many = encode_many
         self.encode_words = encode_words or (lambda words, prefix: encode_many([prefix + w for w in words]))
@@ -138,15 +138,14 @@ class PretokenCoder:
             self.fragments[h] = b"".join(map(self.tokens.__getitem__, pre))
         self._learn_words(words, "")
 
-    def code(self, texts: list[str]) -> list[bytes]:
-        """The id bytes of each text."""
-        if not texts:
+    def code(self, raw: list[bytes]) -> list[bytes]:
+        """The id bytes of each text, given in UTF-8."""
+        if not raw:
             return []
         if len(self.tokens) > self.max_entries:
             self.tokens = {}
         if len(self.fragments) > self.max_entries:
             self.fragments, self.older = {}, self.fragments
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         joined = b" ".join(raw)
         data = np.frombuffer(joined, np.uint8)
         begin = np.cumsum([0] + [len(r) + 1 for r in raw[:-1]])
@@ -183,10 +182,10 @@ class PretokenCoder:
         out = [ids[lo:hi] for lo, hi in zip((total[bounds[:-1]] * self.width).tolist(), (total[bounds[1:]] * self.width).tolist())]
         # texts with a space that is no safe cut, inside or behind their first fragment
         bad = np.add.reduceat(unsafe, first)
-        for i, t in enumerate(texts):
-            head, space, _ = t.partition(" ")
-            if space and (bad[i] or not head or head[-1].isspace()):
-                pre = self.split(t)
+        for i, r in enumerate(raw):
+            at = r.find(b" ")
+            if at >= 0 and (bad[i] or at == 0 or r[:at].decode("utf-8", "surrogatepass")[-1].isspace()):
+                pre = self.split(r.decode("utf-8", "surrogatepass"))
                 self._learn_tokens(pre)
                 out[i] = b"".join(map(self.tokens.__getitem__, pre))
         return out

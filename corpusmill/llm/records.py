@@ -126,7 +126,7 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
         shard = context.partitionId()
         name = f"shard-{shard:06d}-{context.taskAttemptId()}"
         coder, out, index, at, total = None, None, [], 0, 0
-        for ids, texts in text_batches(batches, "id", "text"):
+        for ids, texts in text_batches(batches, "id", "text", raw=True):
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}.rec")

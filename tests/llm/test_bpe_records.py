@@ -108,5 +108,5 @@ def test_fragments_equal_the_whole_text():
     rng, pieces = random.Random(1), [*"ab. ,;\n\n  \tA1é»… 's!?-_ñ  \x1c　漢<", "the", "Foo", "ing ", ".\n", " 'll"]
     for _ in range(60):
         texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(40)]
-        for text, got in zip(texts, coder.code(texts), strict=True):
+        for text, got in zip(texts, coder.code([x.encode() for x in texts]), strict=True):
             assert np.frombuffer(got, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, text
