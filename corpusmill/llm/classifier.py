@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from corpusmill.llm.common import small_batches
+from corpusmill.llm.common import clear_worker, small_batches
 
 #: Runs of equal neighbours that count as n-grams of the equality sequence.
 EQUAL_RUNS = (1, 2, 3, 5, 8)
@@ -167,6 +167,7 @@ def score(df: DataFrame, model: bytes, training: Training = Training(), text_col
     schema = StructType([*df.schema.fields, StructField(out_col, DoubleType())])
 
     def run(batches):
+        clear_worker()
         data = np.frombuffer(shared.value, "<f8")
         size = (1 << training.bits) + len(EQUAL_RUNS)
         ratios, weights, (bias, slope, offset) = data[:size], data[size:2 * size], data[2 * size:]

@@ -56,6 +56,11 @@ def per_worker(key: str, make):
     return getattr(home, key)
 
 
+def clear_worker() -> None:
+    """Drops what `per_worker` kept, for tasks that have no use for it."""
+    sys.modules.pop("_corpusmill_worker", None)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -64,6 +69,8 @@ def text_batches(batches, id_name: str, text_name: str, max_bytes: int = 1_000_0
     """(ids, texts) lists of bounded text size out of Arrow batches, the texts
     as bytes if `raw`; a null text is read as empty."""
     empty = b"" if raw else ""
+    if not raw:
+        clear_worker()
     for batch in batches:
         ids, texts = batch.column(id_name).to_pylist(), batch.column(text_name)
         if raw:
