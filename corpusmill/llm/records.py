@@ -44,6 +44,10 @@ MARK = "!"
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
 
 
+#: Fragments kept in each of the two generations of a worker's cache.
+CACHED = 600_000
+
+
 class CorruptRecord(ValueError):
     pass
 
@@ -130,7 +134,8 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}.rec")
-                coder = per_worker(key, lambda: PretokenCoder(pattern, *tokenizer_encoders(shared.value, width), width))
+                coder = per_worker(key, lambda: PretokenCoder(
+                    pattern, *tokenizer_encoders(shared.value, width), width, CACHED))
             for doc, coded in zip(ids, coder.code(texts)):
                 data = frame(b"".join((bytes([doc is None]), (doc or 0).to_bytes(8, "little", signed=True),
                                        coded, end)))
