@@ -1,12 +1,20 @@
-"""Removal of repeated multi-line chunks in DataFrame functions only.
+"""Removal of repeated multi-line passages in DataFrame functions only.
 
-Lines are hashed; a rolling hash over each `window` consecutive line hashes
-puts a chunk boundary after a line wherever it is 0 modulo `modulus`, so
-boundaries depend on nearby lines alone and come back after an insertion.
-Chunks of two or more lines whose bytes occur more than once are removed
-everywhere but at their first place: the smallest document id, and there the
-earliest chunk.  Equal hashes are confirmed on the chunk bytes by grouping on
-the text itself; should two different texts share a hash, neither is removed.
+`dedup_runs` takes every two neighbouring lines.  A pair whose bytes occur more
+than once is removed everywhere but at its first place: the smallest document
+id, and there the earliest line.  So a line goes exactly if it lies in a run of
+two or more lines that also stands in a row in a document of a smaller id, or
+earlier in its own without overlap.  The first place of every line stays.
+
+`dedup_lines` is the coarser form on chunks: lines are hashed, and a local
+minimum of the rolling hash over each `window` consecutive line hashes puts a
+chunk boundary after its line, so boundaries depend on nearby lines alone and
+come back after an insertion, and no chunk of a text of several lines has only
+one.  Whole chunks go; what a repeated passage has outside of them stays.
+
+Pairs are equal by their SHA-256, so that no text moves to compare them.  Equal
+chunk hashes are confirmed on the bytes by grouping on the text itself; should
+two different texts share a hash, neither is removed.
 
 Null texts stay null and empty ones stay empty.  Rows with a null id take no
 part and stay as they are.  Rows that repeat an id count as one document: the
@@ -22,11 +30,11 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.common import Stages
 
-WINDOW, MODULUS = 2, 4
+WINDOW = 2
 MIN_LINES = 2
 
 
-def chunked(df: DataFrame, text_col: str, window: int = WINDOW, modulus: int = MODULUS) -> DataFrame:
+def chunked(df: DataFrame, text_col: str, window: int = WINDOW) -> DataFrame:
     """`df` with _chunks: array of (n_lines, text), which joined by a line feed give the text."""
     lines = df.withColumn("_lines", F.split(F.col(text_col), "\n", -1))
     hashes = lines.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
@@ -37,10 +45,13 @@ def chunked(df: DataFrame, text_col: str, window: int = WINDOW, modulus: int = M
             rolled, F.concat(F.array_repeat(F.lit(None).cast("long"), back), F.col("_hashes")),
             lambda a, b: F.xxhash64(a, b))
     n = F.size("_lines")
-    ends = F.filter(F.transform(F.slice(rolled, F.lit(1), n),
-                                lambda r, i: F.when((F.pmod(r, F.lit(modulus)) == 0) | (i == n - 1), i + 1)),
+    hashes = hashes.withColumn("_rolled", F.slice(rolled, F.lit(1), n))
+    # neither the first nor the last line is cut off alone
+    least = lambda r, i: (
+        (i > 0) & (i < n - 2) & (r < F.get("_rolled", i - 1)) & (r <= F.get("_rolled", i + 1)))
+    ends = F.filter(F.transform("_rolled", lambda r, i: F.when(least(r, i) | (i == n - 1), i + 1)),
                     lambda x: x.isNotNull())
-    cut = hashes.withColumn("_ends", F.when(n > 0, ends)).drop("_hashes")
+    cut = hashes.withColumn("_ends", F.when(n > 0, ends)).drop("_hashes", "_rolled")
     starts = F.concat(F.array(F.lit(0)), F.slice("_ends", F.lit(1), F.size("_ends") - 1))
     spans = F.zip_with(starts, "_ends", lambda a, b: F.struct(a.alias("a"), (b - a).alias("n")))
     return (cut.withColumn("_spans", F.when(F.col("_ends").isNotNull(), spans))
@@ -103,3 +114,68 @@ def dedup_lines(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col:
         "n_removed_lines": F.coalesce(lines, F.lit(0)).cast("long"),
         text_col: F.when(F.col("drop").isNull(), F.col(text_col)).otherwise(kept)})
         .drop("_chunks", "drop"))
+
+
+def pair_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, at, key) of every two neighbouring lines: the place of the first and their SHA-256."""
+    lines = df.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.split(F.col(text_col), "\n", -1).alias("_lines"))
+    n = F.size("_lines")
+    keys = F.zip_with(F.slice("_lines", F.lit(1), n - 1), F.slice("_lines", F.lit(2), n - 1),
+                      lambda a, b: F.unhex(F.sha2(F.concat(a, F.lit("\n"), b), 256)))
+    return lines.where(n >= MIN_LINES).select("id", F.posexplode(keys).alias("at", "key"))
+
+
+def run_removals(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, drop: sorted places of the pairs whose lines go), for documents with any."""
+    rows = pair_rows(df, id_col, text_col)
+    # equal pairs meet in partial sums before anything moves
+    repeated = stages.put("repeated", rows.groupBy("key").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+                          .where("n > 1").drop("n"))
+    # narrow: a hot pair's rows are split by the skew join
+    found = stages.put("found", rows.join(repeated, "key").distinct())
+    later = found.where(F.col("id") > F.col("first_id")).select("id", "at")
+    # several places in the first document: all go that share no line with the earliest
+    own = (found.where(F.col("id") == F.col("first_id")).groupBy("id", "key")
+           .agg(F.sort_array(F.collect_list("at")).alias("ats"))
+           .withColumn("earliest", F.get("ats", F.lit(0)))
+           .select("id", F.explode(F.filter("ats", lambda a: a >= F.col("earliest") + 2)).alias("at")))
+    return later.unionByName(own).groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("drop"))
+
+
+def _line_runs(drop: Column) -> Column:
+    """Array of (lo, hi): the lines lo .. hi - 1 that the pairs at sorted places cover, in maximal runs."""
+    none = F.expr("cast(array() as array<struct<lo:int,hi:int>>)")
+    run = lambda lo, hi: F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+    state = lambda done, lo, hi: F.struct(
+        done.alias("done"), lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
+    closed = lambda acc: F.when(acc["hi"] > 0, F.concat(acc["done"], F.array(run(acc["lo"], acc["hi"])))).otherwise(
+        acc["done"])
+    return F.aggregate(
+        drop, state(none, F.lit(0), F.lit(-1)),
+        lambda acc, at: F.when(at <= acc["hi"], state(acc["done"], acc["lo"], at + 2)).otherwise(
+            state(closed(acc), at, at + 2)), closed)
+
+
+def dedup_runs(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`df` with the remaining text, plus n_chunks (maximal runs of lines that
+    stay or go), n_removed_chunks (those that go) and n_removed_lines."""
+    drop = stages.put("drop", run_removals(df, stages, id_col, text_col))
+    # the table grows with the documents: never broadcast
+    joined = df.join(drop.withColumnRenamed("id", "_id").hint("merge"), F.col(id_col) == F.col("_id"), "left").drop("_id")
+    cut = joined.withColumn("_runs", F.when(F.col("drop").isNotNull(), _line_runs(F.col("drop")))).withColumn(
+        "_lines", F.when(F.col("_runs").isNotNull(), F.split(F.col(text_col), "\n", -1)))
+    starts = F.concat(F.array(F.lit(0)), F.transform("_runs", lambda r: r["hi"]))
+    ends = F.concat(F.transform("_runs", lambda r: r["lo"]), F.array(F.size("_lines")))
+    cut = cut.withColumn("_kept", F.filter(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("lo"), b.alias("hi"))),
+                                           lambda s: s["hi"] > s["lo"]))
+    kept = F.array_join(F.transform("_kept", lambda s: F.array_join(
+        F.slice("_lines", s["lo"] + 1, s["hi"] - s["lo"]), "\n")), "\n")
+    lines = F.aggregate("_runs", F.lit(0), lambda acc, r: acc + r["hi"] - r["lo"])
+    whole = F.when(F.col(text_col).isNull(), 0).otherwise(1)
+    return (cut.withColumns({
+        "n_chunks": F.when(F.col("_runs").isNull(), whole).otherwise(F.size("_runs") + F.size("_kept")).cast("long"),
+        "n_removed_chunks": F.when(F.col("_runs").isNull(), 0).otherwise(F.size("_runs")).cast("long"),
+        "n_removed_lines": F.coalesce(lines, F.lit(0)).cast("long"),
+        text_col: F.when(F.col("_runs").isNull(), F.col(text_col)).otherwise(kept)})
+        .drop("_runs", "_lines", "_kept", "drop"))

@@ -35,7 +35,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), Stages(spark, "lines")).select(
+    return line_dedup.dedup_runs(table(spark, sf_dir, "documents"), Stages(spark, "lines")).select(
         "doc_id", "n_chunks", "n_removed_chunks", "n_removed_lines", F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("text", 256).alias("kept_sha256"))
 

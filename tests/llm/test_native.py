@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -123,6 +124,49 @@ def test_lines_without_rows_and_ids(spark, empty_docs):
     assert {r.text for r in line_result(spark, df)} == {"a\nb\nc\nd"}
 
 
+def brute_runs(texts):
+    """{doc: kept text}: every line of a pair of lines found before goes, without chunks."""
+    first, out = {}, {}
+    for doc in sorted(d for d in texts if texts[d] is not None):
+        lines = texts[doc].split("\n")
+        gone = set()
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            d, at = first.setdefault(pair, (doc, i))
+            if d != doc or i >= at + 2:
+                gone |= {i, i + 1}
+        out[doc] = "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)
+    return out
+
+
+def test_whole_runs_go(spark, words, edge_docs, edge_texts, small_docs):
+    rng = random.Random(3)
+    fresh = lambda n: [f"{rng.choice(words)} {rng.random()}" for _ in range(n)]
+    passages = [fresh(n) for n in (2, 2, 3, 4, 5, 8, 8)]
+    texts = ["\n".join(fresh(3) + p + fresh(2)) for p in passages]
+    texts += ["\n".join(fresh(rng.randint(0, 4)) + p + fresh(rng.randint(0, 4))) for p in passages * 5]
+    texts += ["a\na\na", "b\nb\nb\nb\nb", "a\nc", "\n".join(passages[5] * 2), "one line", "one line"]
+    for df, of in ((documents(spark, texts), dict(enumerate(texts))), (edge_docs, dict(enumerate(edge_texts))),
+                   (small_docs, {r.doc_id: r.text for r in small_docs.collect()})):
+        want, rows = brute_runs(of), line_dedup.dedup_runs(df, Stages(spark, "t")).collect()
+        assert len(rows) == len(of) and set(df.columns) <= set(rows[0].asDict())
+        for r in rows:
+            assert (r.text, r.n_removed_lines) == want.get(r.doc_id, (None, 0)), r.doc_id
+            assert (r.n_removed_chunks > 0) == (r.n_removed_lines > 0) and r.n_chunks >= r.n_removed_chunks
+
+
+def test_whole_runs_without_rows_and_ids(spark, empty_docs):
+    assert line_dedup.dedup_runs(empty_docs, Stages(spark, "t")).collect() == []
+    df = spark.createDataFrame([(None, "a\nb\nc\nd"), (None, "a\nb\nc\nd"), (1, "a\nb\nc\nd"), (1, "a\nb\nc\nd")],
+                               "doc_id long, text string")
+    assert {r.text for r in line_dedup.dedup_runs(df, Stages(spark, "t")).collect()} == {"a\nb\nc\nd"}
+
+
+def test_no_chunk_of_a_single_line(spark, small_docs):
+    for r in line_dedup.chunked(small_docs, "text").collect():
+        sizes = [c.n_lines for c in r._chunks]
+        assert len(sizes) == 1 or min(sizes) > 1
+
+
 # secrets
 
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
