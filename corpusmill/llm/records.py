@@ -13,6 +13,10 @@ shard, number of ids), so frames can be read in any order.
 A task writes files of its own attempt and returns their names; only names
 returned by successful tasks reach the manifest, so retries leave no trace.
 
+Texts are encoded as the tokenizer library does by default, without special
+tokens of its own around them: the string of an added token inside a text
+becomes that token's id.
+
 Null texts count as empty: such a record holds the end id alone.  Null ids
 come first.  Rows with equal ids are ordered by text.  Extra columns are
 ignored.  An empty table gives no shard.
@@ -20,6 +24,7 @@ ignored.  An empty table gives no shard.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -81,7 +86,6 @@ def tokenizer_encoders(tokenizer_json: str, width: int):
     """Functions from distinct pre-tokens, and from distinct words of letters
     behind a space, to their ids as bytes of `width` each."""
     tokenizer, spelled = Tokenizer.from_str(tokenizer_json), Tokenizer.from_str(tokenizer_json)
-    tokenizer.encode_special_tokens = True  # special strings inside a text are ordinary text
     # words already spelled in the byte-level alphabet need no more than the merges
     spelled.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
     between, mark = f" {MARK} ", tokenizer.token_to_id(MARK)
@@ -102,6 +106,39 @@ def tokenizer_encoders(tokenizer_json: str, width: int):
     return encode_many, encode_words
 
 
+class TextCoder:
+    """Whole texts to id bytes, as the library gives them.  Texts are split at
+    the strings of added tokens, the longest first where several begin; what
+    stands between goes through the fragments' cache.  A tokenizer whose added
+    tokens look at their surroundings encodes texts that hold one itself."""
+
+    def __init__(self, tokenizer_json: str, pattern: str, width: int, max_entries: int = CACHED):
+        tokenizer = Tokenizer.from_str(tokenizer_json)
+        added = {i: a for i, a in tokenizer.get_added_tokens_decoder().items() if a.content}
+        self.kind = f"<u{width}"
+        self.ids = {a.content.encode(): np.array([i], self.kind).tobytes() for i, a in added.items()}
+        self.cut = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.ids, key=len, reverse=True))) + b")").split
+        simple = not any(a.single_word or a.lstrip or a.rstrip or a.normalized for a in added.values())
+        self.library = None if simple else tokenizer
+        self.coder = PretokenCoder(pattern, *tokenizer_encoders(tokenizer_json, width), width, max_entries)
+
+    def code(self, raw: list[bytes]) -> list[bytes]:
+        """The id bytes of each text, given in UTF-8."""
+        held = [any(s in r for s in self.ids) for r in raw]
+        if not any(held):
+            return self.coder.code(raw)
+        parts = [self._parts(r) if h else [r] for r, h in zip(raw, held)]
+        # every second part is coded already
+        plain = iter(self.coder.code([p for ps in parts for p in ps[::2] if p]))
+        return [b"".join(p if k % 2 else next(plain) if p else b"" for k, p in enumerate(ps)) for ps in parts]
+
+    def _parts(self, raw: bytes) -> list[bytes]:
+        if self.library is not None:
+            ids = self.library.encode(raw.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+            return [b"", np.array(ids, self.kind).tobytes()]
+        return [self.ids[p] if k % 2 else p for k, p in enumerate(self.cut(raw))]
+
+
 def byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable bytes of Latin-1 stand for themselves,
     the others for the characters from 256 on, in order."""
@@ -134,8 +171,7 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}.rec")
-                coder = per_worker(key, lambda: PretokenCoder(
-                    pattern, *tokenizer_encoders(shared.value, width), width, CACHED))
+                coder = per_worker(key, lambda: TextCoder(shared.value, pattern, width))
             for doc, coded in zip(ids, coder.code(texts)):
                 data = frame(b"".join((bytes([doc is None]), (doc or 0).to_bytes(8, "little", signed=True),
                                        coded, end)))

@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from llm_helpers import documents
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -110,3 +111,28 @@ def test_fragments_equal_the_whole_text():
         texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(40)]
         for text, got in zip(texts, coder.code([x.encode() for x in texts]), strict=True):
             assert np.frombuffer(got, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
+ADDED = ["<|endoftext|>", "a b <|endoftext|> c", "<|endoftext|>start", "in<|endoftext|>side", "end <|endoftext|>",
+         "twice <|endoftext|><|endoftext|> over", " \n<|endoftext|>\n\n x", "<|endoftext|", "<|end<|endoftext|>oftext|>", "plain", ""]
+
+
+def test_added_tokens_inside_texts(spark):
+    t = Tokenizer.from_file(JSON)
+    rows = sorted(records.read_records(written(spark, documents(spark, ADDED))).collect(), key=lambda r: r.id)
+    start = 0
+    for r, text in zip(rows, ADDED, strict=True):
+        want = [*t.encode(text, add_special_tokens=False).ids, 2]
+        assert (np.frombuffer(r.ids, "<u4").tolist(), r.start) == (want, start), text
+        start += len(want)
+
+
+@pytest.mark.parametrize("flags", [{}, {"lstrip": True}, {"rstrip": True}, {"single_word": True}])
+def test_other_added_tokens(flags):
+    from tokenizers import AddedToken
+    t = Tokenizer.from_file(JSON)
+    t.add_tokens([AddedToken(x, normalized=False, **flags) for x in ("<x>", "<x><y>", "é")])
+    coder = records.TextCoder(t.to_str(), public_tokenizers.PATTERN, 4)
+    texts = [*ADDED, "a <x> b", "<x><y><x>", "caf é café  é", " <x><y> <|endoftext|>"]
+    for text, got in zip(texts, coder.code([x.encode() for x in texts]), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
