@@ -5,8 +5,10 @@ candidate strings (long runs of key characters) fall into a character class;
 a window slides over the candidate, the Shannon entropy of its characters is
 updated from the counts of the character that leaves and the one that enters,
 and a candidate whose best window reaches its class's limit becomes an
-`entropy` span.  Candidates of an allowed form (plain words, paths, dotted
-names, numbers, UUIDs, examples) and those that touch a base span add none.
+`entropy` span.  What base spans cover is taken out of a candidate, and of one
+that looks like a path each segment is a candidate of its own; parts shorter
+than the window add none.  Nor do candidates that have an allowed form as a
+whole (plain words, paths, dotted names, numbers, UUIDs) or name an example.
 
 Offsets are code points, the end exclusive.  Null and empty texts have no
 spans.  Rows are independent: repeated rows give repeated results, columns
@@ -37,8 +39,10 @@ ALLOWED = (
     r"^[0-9+/_=-]+$",                                     # numbers, dates, rules
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     r"(?i)example|placeholder|xxxx|changeme|dummy",
-    r"(/[A-Za-z_.-]+){2,}",                               # a path
+    r"^/?[A-Za-z_-]+(/[A-Za-z_-]+)+/?$",                  # a path
 )
+#: Values with two segments that are words are judged segment by segment.
+PATH = r"(?:^|/)[A-Z]?[a-z][a-z_-]+/(?:.*/)?[A-Z]?[a-z][a-z_-]+(?:/|$)"
 
 
 @dataclass(frozen=True)
@@ -124,6 +128,31 @@ def entropy_hit(value: Column, limits: EntropyLimits) -> Column:
     return F.when(allowed, F.lit(False)).otherwise(hit)
 
 
+def _parts(p: Column, base: Column, window: int) -> Column:
+    """array of (start, end, value): what base spans, sorted by their start,
+    leave of a placed candidate; of a path its segments."""
+    piece = lambda lo, hi, value: F.struct(lo.alias("start"), hi.alias("end"), value.alias("value"))
+    inside = lambda lo, hi: piece(lo, hi, F.substring(p["value"], lo - p["start"] + 1, hi - lo))
+    none = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
+    state = lambda at, out: F.struct(at.alias("at"), out.alias("out"))
+    add = lambda out, lo, hi: F.when(hi - lo >= window, F.concat(out, F.array(inside(lo, hi)))).otherwise(out)
+    touching = F.filter(base, lambda b: (b["start"] < p["end"]) & (b["end"] > p["start"]))
+    left = F.when(F.size(touching) == 0, F.array(p)).otherwise(F.aggregate(
+        touching, state(p["start"], none),
+        lambda acc, b: state(F.greatest(acc["at"], b["end"]), add(acc["out"], acc["at"], b["start"])),
+        lambda acc: add(acc["out"], acc["at"], p["end"])))
+
+    def segments(x):
+        walked = F.aggregate(
+            F.split(x["value"], "/", -1), state(x["start"], none),
+            lambda acc, s: state(acc["at"] + F.char_length(s) + 1, F.when(F.char_length(s) >= window, F.concat(
+                acc["out"], F.array(piece(acc["at"], acc["at"] + F.char_length(s), s)))).otherwise(acc["out"])),
+            lambda acc: acc["out"])
+        return F.when(x["value"].rlike(PATH), walked).otherwise(F.array(x))
+
+    return F.flatten(F.transform(left, segments))
+
+
 def scan(df: DataFrame, text_col: str = "text", limits: EntropyLimits = EntropyLimits()) -> DataFrame:
     """`df` without the text, with base_spans and spans: arrays of (start,
     kind_order, kind, end), by start and then kind."""
@@ -151,10 +180,11 @@ def scan(df: DataFrame, text_col: str = "text", limits: EntropyLimits = EntropyL
     base = found.withColumn("base_spans", F.sort_array(F.concat(
         spans("assign", assign), spans("access", _placed(t, ACCESS, F.col("_access"))),
         spans("hex", _placed(t, HEX, F.col("_hex"))))))
-    hits = F.filter(_placed(t, candidate, F.col("_candidates")), lambda p: entropy_hit(p["value"], limits) & ~F.exists(
-        F.col("base_spans"), lambda b: (b["start"] < p["end"]) & (b["end"] > p["start"])))
-    return (base.withColumn("spans", F.sort_array(F.concat("base_spans", spans("entropy", hits))))
-            .drop("_t", "_assign", "_values", "_access", "_hex", "_candidates"))
+    parts = base.withColumn("_parts", F.flatten(F.transform(
+        _placed(t, candidate, F.col("_candidates")), lambda p: _parts(p, F.col("base_spans"), limits.window))))
+    hits = F.filter("_parts", lambda p: entropy_hit(p["value"], limits))
+    return (parts.withColumn("spans", F.sort_array(F.concat("base_spans", spans("entropy", hits))))
+            .drop("_t", "_assign", "_values", "_access", "_hex", "_candidates", "_parts"))
 
 
 def spans_text(spans: Column) -> Column:

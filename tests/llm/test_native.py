@@ -199,6 +199,27 @@ def test_entropy_spans(spark):
     assert got[7] == ["entropy"] and not any("entropy" in got[i] for i in (6, 8, 9, 11, 12, 13))
 
 
+def test_parts_of_candidates_are_judged(spark):
+    key, blob = "aZ3kQ9xW7vB2nM5pL8sD1fG4", "q8Zr/tY3/abcW/pLk7/Vn2xC+9sHd4Jf6GmT1oKu5BwE0iRyA"
+    access = "AKIA" + "ABCD1234EFGH5678"
+    hexes = "0123456789abcdef0123"
+    texts = {f"https://hooks.slack.com/services/T024BE7LD/B03F2K1Q9/{key}": [key], f"run {access}/{key} x": ["/" + key],
+             f"{key}/{access}": [key + "/"], blob: [blob], f"see {key}_{hexes}-{key[::-1]}": [key + "_", "-" + key[::-1]],
+             f"com/example/docs/{key}/README": [key], "com/services/2024/11/29/some-long-article-title": [],
+             "usr/local/share/doc/LICENSE_of_all": [], "/Home/Src/Main/Java/Org/Apache": [], f"token={key}{key}": [],
+             f"x/{access}/y": []}
+    for (text, want), r in zip(texts.items(), sorted(secrets.scan(documents(spark, list(texts))).collect(), key=lambda r: r.doc_id)):
+        assert [text[s.start:s.end] for s in r.spans if s.kind == "entropy"] == want, text
+
+
+def test_random_keys_are_found(spark):
+    rng = random.Random(8)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["".join(rng.choice(signs) for _ in range(n)) for n in (40, 344, 1000, 1600) for _ in range(60)]
+    rows = secrets.scan(documents(spark, texts)).collect()
+    assert sum(any(s.kind == "entropy" for s in r.spans) for r in rows) == len(texts)
+
+
 @pytest.mark.parametrize("value", ["abc123", "a" * 30, "aZ3kQ9xW7vB2nM5pL8sD1fG4hJ6", "aaaaaaaaaabbbbbbbbbbcccccccccc0123456789"])
 def test_windowed_entropy(spark, value):
     w = 20
