@@ -132,7 +132,10 @@ def train(df: DataFrame, labels: DataFrame, training: Training = Training(), id_
     if usable is not None:
         chosen = chosen.where(usable)
     order = F.xxhash64(F.lit(training.seed), F.col("_label_id"))
+    # labels without a document use up none of the rows
+    present = df.select(F.col(id_col).alias("_id"))
     chosen = (chosen.groupBy(F.col(id_col).alias("_label_id")).agg(F.max(label_col).cast("int").alias("_label"))
+              .join(present, F.col("_label_id") == F.col("_id"), "left_semi")
               .orderBy(order, "_label_id").limit(training.max_rows))
     # at most max_rows narrow rows are broadcast; repeated documents keep one text
     sample = (df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -53,6 +53,16 @@ def test_classifier_edges(spark, edge_docs, empty_docs):
     assert classifier.score(empty_docs, classifier.train(empty_docs, labels)).collect() == []
 
 
+def test_labels_without_documents_use_up_no_rows(spark, words):
+    texts = [" ".join(words[i:i + 20]) if i % 2 else "bad " * 20 for i in range(40)]
+    docs = documents(spark, texts)
+    own = [(i, i % 2) for i in range(40)]
+    labels = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int")
+    few = classifier.Training(max_rows=40, bits=12)
+    assert classifier.train(docs, labels(own + [(1000 + i, 0) for i in range(4000)]), few) == \
+        classifier.train(docs, labels(own), few)
+
+
 # multi-index
 
 def vectors(spark, rows):
