@@ -291,13 +291,45 @@ def near_duplicates(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(),
                         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
+def _reused(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_reused_id): the ids that stand on different texts."""
+    h = _text_hash(text_col)
+    return (df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_reused_id"))
+            .agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo <> hi").select("_reused_id"))
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).isNull(), text_col)
+
+
 def one_of_each(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(), id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """The rows of `df` that stay: of each component the document of the
-    smallest id, once; rows with a null id all stay."""
-    gone = near_duplicates(df, stages, how, id_col, text_col).where("not kept").select(F.col("id").alias("_gone")).distinct()
-    stay = df.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    # rows that repeat a kept id: one of them; repeats meet in partial results before anything moves
-    one = (stay.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
-           .agg(F.min_by(F.struct(*df.columns), F.xxhash64(text_col)).alias("_row")))
-    return one.select("_row.*").unionByName(stay.where(F.col(id_col).isNull()))
+    smallest id, once; rows with a null id all stay.  Different texts of one id
+    are different documents: their rows get hashes of id and text as keys."""
+    reused = stages.put("reused", _reused(df, id_col, text_col))
+    if reused.isEmpty():
+        gone = near_duplicates(df, stages, how, id_col, text_col).where("not kept").select(
+            F.col("id").alias("_gone")).distinct()
+        return _one_of_each_key(df, gone, id_col, text_col, df.columns)
+    keyed = df.join(reused, F.col(id_col) == F.col("_reused_id"), "left").withColumn(
+        "_key", F.when(F.col("_reused_id").isNotNull(), F.xxhash64(id_col, _text_hash(text_col)))
+        .otherwise(F.col(id_col).cast("long"))).drop("_reused_id")
+    keyed = stages.put("keyed", keyed)
+    found = stages.put("found", near_duplicates(keyed, stages, how, "_key", text_col).where("id is not null")
+                       .select(F.col("id").alias("_gone"), "component_id").distinct())
+    ids = keyed.where(F.col("_key").isNotNull()).select("_key", F.col(id_col).cast("long").alias("_of")).distinct()
+    # keys do not rise with ids: the document that stays is found by the ids themselves, one row for each component
+    of = found.join(ids, F.col("_gone") == F.col("_key")).select("component_id", "_of", "_gone")
+    least = of.groupBy("component_id").agg(F.min("_of").alias("_of"))
+    first = of.join(least, ["component_id", "_of"]).groupBy("component_id").agg(F.min("_gone").alias("_gone"))
+    gone = found.select("_gone").join(first.select("_gone"), "_gone", "left_anti")
+    return _one_of_each_key(keyed, gone, "_key", text_col, df.columns)
+
+
+def _one_of_each_key(df: DataFrame, gone: DataFrame, key: str, text_col: str, columns: list[str]) -> DataFrame:
+    stay = df.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    # rows that repeat a kept key: one of them; repeats meet in partial results before anything moves
+    one = (stay.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_id"))
+           .agg(F.min_by(F.struct(*columns), F.xxhash64(text_col)).alias("_row")))
+    return one.select("_row.*").unionByName(stay.where(F.col(key).isNull()).select(columns))

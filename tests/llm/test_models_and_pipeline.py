@@ -231,6 +231,15 @@ def test_near_dedup_null_ids_repeats_and_no_rows(spark, words, empty_docs):
     assert Counter(r.doc_id for r in left) == {None: 4, 3: 1, 8: 1}
 
 
+def test_reused_ids_lose_no_other_text(spark, words):
+    a, b, c = (" ".join(words[i:i + 60]) for i in (0, 100, 200))
+    rows = [(1, a), (5, a + " x"), (5, b), (5, b), (9, b + " y"), (7, c), (7, c + " z"), (7, a), (8, None), (8, ""), (None, a)]
+    left = near_dedup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), Stages(spark, "t")).collect()
+    got = Counter((r.doc_id, r.text) for r in left)
+    assert {k: n for k, n in got.items() if k[0] != 7} == {(1, a): 1, (5, b): 1, (8, None): 1, (8, ""): 1, (None, a): 1}
+    assert [(n, t in (c, c + " z")) for (i, t), n in got.items() if i == 7] == [(1, True)]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (5, 5), (None, 4)] + [(100 + i, 101 + i) for i in range(40)], "a long, b long")
     got = {r.node: r.comp for r in components.components(links, Stages(spark, "t"), "c").collect()}
