@@ -8,8 +8,9 @@ about one in seventeen, are sorted:
 
 1. Sampled splitters deal the suffixes by their leading bytes (and by id, so
    that a string in very many documents spreads) into ranges.  A range is
-   sorted by multikey quicksort, the next key only where the last one ties, and
-   neighbours are compared.  Groups at the ends of a range, which may go on in
+   sorted by 8 bytes of text, a 32-bit hash of those after, and a hash of the
+   surroundings, the next key only where the last one ties; neighbours count as
+   equal by these hashes, no bytes are compared.  Groups at the ends of a range, which may go on in
    the next, are compared across boundaries.  A suffix whose surroundings (all
    windows that can hold its anchor) occur in a smaller id is settled: all of
    it goes.  Of equal surroundings only the smallest id's can matter further,
