@@ -5,9 +5,9 @@ after another.  The splitting pattern always starts a pre-token at a single spac
 between two characters that are not white space; it always makes a pre-token of
 a single line feed between two such characters, and of a closing mark after an
 ASCII letter or digit where a fragment ends.  Texts are cut at these places and
-the fragments cached as a whole.  All fragments of a batch are found
-and hashed at once in numpy; only distinct ones are looked up, and only new
-ones meet the pattern and the tokenizer.  A text with any other white space
+the fragments cached as a whole, by their bytes.  All fragments of a batch are
+found and grouped at once in numpy; only distinct ones are looked up, and only
+new ones meet the pattern and the tokenizer.  A text with any other white space
 around a space takes the pattern over its whole length.
 """
 
@@ -19,12 +19,14 @@ from itertools import chain, filterfalse
 import numpy as np
 import regex
 
-from corpusmill.llm.shingles import BYTE_VALUES, GOLDEN, U, mix, power_tables
+from corpusmill.llm.shingles import distinct_ranges
 
 #: Pre-tokens that one library call takes, as its results are far larger than the ids.
 CALL = 2000
 #: Marks fragments that no space precedes.
-HEAD = U(0xA24BAED4963EE407)
+HEAD = np.uint64(0xA24BAED4963EE407)
+#: Longer fragments and pre-tokens (bytes, characters) are not kept from one call to the next.
+LONG = 256
 
 
 def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
@@ -96,19 +98,21 @@ class PretokenCoder:
         self.width = width
         self.max_entries = max_entries
         self.tokens: dict[str, bytes] = {}
-        # by hash, in two generations: what was used since the last turn, and before; None: not a safe cut
-        self.fragments: dict[int, bytes | None] = {}
-        self.older: dict[int, bytes | None] = {}
+        self.long: list[str | bytes] = []
+        # with the space in front, in two generations: what was used since the last turn, and before; None: not a safe cut
+        self.fragments: dict[bytes, bytes | None] = {}
+        self.older: dict[bytes, bytes | None] = {}
 
     def _learn_tokens(self, pretokens) -> None:
         new = set(filterfalse(self.tokens.__contains__, pretokens))
+        self.long += [p for p in new if len(p) > LONG]
         words = [p for p in new if p.isalpha()]
         others = list(new.difference(words))
         for part, encode in [(words[at:at + CALL], lambda p: self.encode_words(p, "")) for at in range(0, len(words), CALL)] + \
                 [(others[at:at + CALL], self.encode_many) for at in range(0, len(others), CALL)]:
             self.tokens.update(zip(part, encode(part)))
 
-    def _learn(self, new: dict[int, str]) -> None:
+    def _learn(self, new: dict[bytes, str]) -> None:
         """Encodes fragments behind a space."""
         words, other = {}, {}
         for h, f in new.items():
@@ -123,12 +127,12 @@ class PretokenCoder:
             self.fragments[h] = b"".join(map(self.tokens.__getitem__, pre))
         self._learn_words(words, " ")
 
-    def _learn_words(self, words: dict[int, str], prefix: str) -> None:
+    def _learn_words(self, words: dict[bytes, str], prefix: str) -> None:
         keys, texts = list(words), list(words.values())
         for at in range(0, len(keys), CALL):
             self.fragments.update(zip(keys[at:at + CALL], self.encode_words(texts[at:at + CALL], prefix)))
 
-    def _learn_bare(self, new: dict[int, str]) -> None:
+    def _learn_bare(self, new: dict[bytes, str]) -> None:
         """Encodes fragments without a space in front; whether white space at
         their ends is safe is for the caller to see."""
         words = {h: f for h, f in new.items() if f.isalpha()}
@@ -138,10 +142,19 @@ class PretokenCoder:
             self.fragments[h] = b"".join(map(self.tokens.__getitem__, pre))
         self._learn_words(words, "")
 
-    def code(self, raw: list[bytes]) -> list[bytes]:
-        """The id bytes of each text, given in UTF-8."""
+    def code(self, raw: list[bytes], spaced: bool = False) -> list[bytes]:
+        """The id bytes of each text, given in UTF-8; if `spaced`, of each text behind a space."""
         if not raw:
             return []
+        try:
+            return self._code(raw, spaced)
+        finally:
+            for kept in (self.tokens, self.fragments):
+                for k in [k for k in self.long if k in kept]:
+                    del kept[k]
+            self.long = []
+
+    def _code(self, raw: list[bytes], spaced: bool) -> list[bytes]:
         if len(self.tokens) > self.max_entries:
             self.tokens = {}
         if len(self.fragments) > self.max_entries:
@@ -150,12 +163,12 @@ class PretokenCoder:
         data = np.frombuffer(joined, np.uint8)
         begin = np.cumsum([0] + [len(r) + 1 for r in raw[:-1]])
         starts, ends, bare, first = fragments_of(data, begin)
-        up, down = power_tables(len(data) + 1)
-        sums = np.concatenate([np.zeros(1, U), np.cumsum(BYTE_VALUES[data] * up[:len(data)], dtype=U)])
-        hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U) * GOLDEN)
-        hashes[bare] ^= HEAD
-        distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
+        if spaced:
+            bare[first] = False
+        where, inverse = distinct_ranges(data, starts, ends, np.where(bare, HEAD, np.uint64(0)))
+        keys = [joined[lo:hi] if alone else b" " + joined[lo:hi]
+                for lo, hi, alone in zip(starts[where].tolist(), ends[where].tolist(), bare[where].tolist())]
+        self.long += [k for k in keys if len(k) > LONG]
         new, older = [], self.older
         for i, k in enumerate(keys):
             if k not in self.fragments:
@@ -164,7 +177,7 @@ class PretokenCoder:
                 else:
                     new.append(i)
         if new:
-            fresh: tuple[dict[int, str], dict[int, str]] = ({}, {})
+            fresh: tuple[dict[bytes, str], dict[bytes, str]] = ({}, {})
             at = where[new]
             for i, lo, hi, alone in zip(new, starts[at].tolist(), ends[at].tolist(), bare[at].tolist()):
                 fresh[alone][keys[i]] = joined[lo:hi].decode("utf-8", "surrogatepass")
@@ -184,8 +197,8 @@ class PretokenCoder:
         bad = np.add.reduceat(unsafe, first)
         for i, r in enumerate(raw):
             at = r.find(b" ")
-            if at >= 0 and (bad[i] or at == 0 or r[:at].decode("utf-8", "surrogatepass")[-1].isspace()):
-                pre = self.split(r.decode("utf-8", "surrogatepass"))
+            if (spaced and bad[i]) or (at >= 0 and (bad[i] or at == 0 or r[:at].decode("utf-8", "surrogatepass")[-1].isspace())):
+                pre = self.split((b" " * spaced + r).decode("utf-8", "surrogatepass"))
                 self._learn_tokens(pre)
                 out[i] = b"".join(map(self.tokens.__getitem__, pre))
         return out

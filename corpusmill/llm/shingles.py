@@ -4,6 +4,7 @@ whole batches of texts at once in numpy."""
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 U = np.uint64
 GOLDEN = U(0x9E3779B97F4A7C15)
@@ -39,6 +40,45 @@ def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
+def _same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> bool:
+    """Whether n[i] bytes from a[i] on equal those from b[i] on, for every i."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    for at in range(0, 64, 8):
+        if not len(n):
+            return True
+        shift = (64 - 8 * np.minimum(n - at, 8)).astype(U)
+        if ((eight[a + at] ^ eight[b + at]) << shift).any():
+            return False
+        more = n > at + 8
+        a, b, n = a[more], b[more], n[more]
+    return all(np.array_equal(data[x:x + k], data[y:y + k]) for x, y, k in zip(a.tolist(), b.tolist(), n.tolist()))
+
+
+def distinct_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: np.ndarray | None = None):
+    """(where, inverse): a place of each distinct byte range among the given
+    ones, and for each range the number of its equal.  Ranges of another `kind` differ.
+
+    Sums of powers modulo 2^64 group them; as such sums can agree for
+    different bytes, every range is compared with the one that stands for it,
+    and where one differs the bytes themselves are the key."""
+    n = ends - starts
+    up, down = power_tables(len(data) + 1)
+    sums = np.concatenate([np.zeros(1, U), np.cumsum(BYTE_VALUES[data] * up[:len(data)], dtype=U)])
+    hashes = mix((sums[ends] - sums[starts]) * down[starts] + n.astype(U) * GOLDEN)
+    kinds = np.zeros(len(n), U) if kind is None else kind.astype(U)
+    _, where, inverse = np.unique(hashes ^ kinds, return_index=True, return_inverse=True)
+    other = where[inverse]
+    others = np.flatnonzero((other != np.arange(len(n))) & (n > 0))
+    if np.array_equal(n, n[other]) and np.array_equal(kinds, kinds[other]) and _same_bytes(
+            data, starts[others], starts[other[others]], n[others]):
+        return where, inverse
+    number: dict[tuple[int, bytes], int] = {}
+    inverse = np.array([number.setdefault((k, data[lo:hi].tobytes()), len(number))
+                        for k, lo, hi in zip(kinds.tolist(), starts.tolist(), ends.tolist())], np.int64)
+    return np.unique(inverse, return_index=True)[1], inverse
+
+
 def shingle_sets(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, offsets): the distinct shingles of text i, ascending, are
     hashes[offsets[i]:offsets[i + 1]].  A-Z are lower-cased; a text with fewer
@@ -51,9 +91,10 @@ def shingle_sets(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.ndarr
     word = ~_SPACE[data]
     edges = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    up, down = power_tables(len(data) + 1)
-    prefix = np.concatenate([np.zeros(1, U), np.cumsum(BYTE_VALUES[data] * up[:len(data)], dtype=U)])
-    hashes = mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(U) * GOLDEN)
+    where, inverse = distinct_ranges(data, starts, ends)
+    all_bytes = data.tobytes()
+    digests = [xxhash.xxh3_64_intdigest(all_bytes[lo:hi]) for lo, hi in zip(starts[where].tolist(), ends[where].tolist())]
+    hashes = np.array(digests, U)[inverse]
     owner = np.searchsorted(ends_of_texts, starts, side="right")
     n_words = np.bincount(owner, minlength=len(texts))
     first = np.concatenate([[0], np.cumsum(n_words)])
@@ -61,15 +102,17 @@ def shingle_sets(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.ndarr
     factors = seeds(width + 1, 23) | U(1)
     sums = np.zeros(max(len(hashes) - width + 1, 0), dtype=U)
     for k in range(width):
-        sums += hashes[k:len(hashes) - width + 1 + k] * factors[k]
-    sums = mix(sums)
+        # every word is mixed in anew, so that no sum of words stands for another
+        sums = mix(sums + hashes[k:len(hashes) - width + 1 + k] * factors[k])
     out, sizes = [], np.zeros(len(texts) + 1, dtype=np.int64)
     for i, n in enumerate(n_words.tolist()):
         if n >= width:
             own = np.sort(sums[first[i]:first[i] + n - width + 1])
             own = own[np.concatenate([[True], own[1:] != own[:-1]])]
         elif n:
-            own = mix((hashes[first[i]:first[i + 1]] * factors[:n]).sum(dtype=U, keepdims=True) + factors[width] * np.full(1, n, U))
+            own = np.full(1, n, U) * factors[width]
+            for k, h in enumerate(hashes[first[i]:first[i + 1]]):
+                own = mix(own + h * factors[k])
         else:
             continue
         out.append(own)

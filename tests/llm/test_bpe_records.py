@@ -136,3 +136,63 @@ def test_other_added_tokens(flags):
     texts = [*ADDED, "a <x> b", "<x><y><x>", "caf é café  é", " <x><y> <|endoftext|>"]
     for text, got in zip(texts, coder.code([x.encode() for x in texts]), strict=True):
         assert np.frombuffer(got, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
+def thue_morse(n):
+    """Two different words of n letters whose sums of powers modulo 2^64 agree, whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048])
+def test_words_of_equal_power_sums(spark, library, n):
+    s, t = thue_morse(n)
+    texts = [f"x {s}", f"x {t}", f"x {s} {t} {s}", s, t]
+    agrees(round_trip(documents(spark, texts).coalesce(1)), dict(enumerate(texts)), library)
+    tokenizer = Tokenizer.from_file(JSON)
+    for r in records.read_records(written(spark, documents(spark, texts), shards=1)).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == [*tokenizer.encode(texts[r.id], add_special_tokens=False).ids, 2]
+
+
+def test_ranges_are_grouped_by_their_bytes(monkeypatch):
+    import random
+
+    from corpusmill.llm import shingles
+    rng = random.Random(3)
+    words = ["".join(rng.choice("ab") for _ in range(rng.choice((0, 1, 7, 8, 9, 70)))) for _ in range(300)]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    kind = np.array([rng.randint(0, 1) for _ in words])
+    want = [(w, k) for w, k in zip(words, kind.tolist())]
+    for all_collide in (False, True):
+        if all_collide:
+            monkeypatch.setattr(shingles, "mix", lambda x: x * np.uint64(0))
+        where, inverse = shingles.distinct_ranges(data, ends - [len(w) for w in words], ends, kind)
+        assert [want[k] for k in where[inverse]] == want and len(where) == len(set(want))
+
+
+def test_long_fragments_are_not_kept():
+    from corpusmill.llm.pretokens import PretokenCoder
+    with open(JSON, encoding="utf-8") as f:
+        coder = PretokenCoder(public_tokenizers.PATTERN, *records.tokenizer_encoders(f.read(), 2), 2)
+    t = Tokenizer.from_file(JSON)
+    texts = ["ab " + "q1" * 5000 + " cd", "-" * 3000, "ab cd"]
+    for spaced in (False, True):
+        got = coder.code([x.encode() for x in texts], spaced)
+        for text, ids in zip(texts, got):
+            assert np.frombuffer(ids, "<u2").tolist() == t.encode(" " * spaced + text, add_special_tokens=False).ids
+    assert max(map(len, [*coder.fragments, *coder.tokens])) <= 257
+
+
+def test_texts_behind_a_space():
+    import random
+
+    from corpusmill.llm.pretokens import PretokenCoder
+    t = Tokenizer.from_file(JSON)
+    with open(JSON, encoding="utf-8") as f:
+        coder = PretokenCoder(public_tokenizers.PATTERN, *records.tokenizer_encoders(f.read(), 2), 2, max_entries=300)
+    rng, pieces = random.Random(8), [*"ab. ,;\n\n  \tA1é»… 's!?-_ñ  \x1c　漢<", "the", "Foo", "ing ", ".\n", " 'll"]
+    for _ in range(40):
+        texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(40)]
+        for text, got in zip(texts, coder.code([x.encode() for x in texts], spaced=True), strict=True):
+            assert np.frombuffer(got, "<u2").tolist() == t.encode(" " + text, add_special_tokens=False).ids, text

@@ -299,3 +299,10 @@ def test_registered(spark, small):
     assert [n for n in range(1, 11) if not any(k.startswith(f"op{n}_") for k in names)] == [] and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
     assert names["pipeline"](spark, small).where("not round_trip").count() == 0
+
+
+def test_words_of_equal_power_sums_are_no_near_copies(spark):
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    texts = ["".join(pair[b] for b in bits[:n]) for n in (1024, 2048) for pair in ("ab", "ba")]
+    found = near_dedup.near_duplicates(documents(spark, texts), Stages(spark, "near"))
+    assert sorted((r.id, r.n_shingles, r.component_id, r.kept) for r in found.collect()) == [(i, 1, i, True) for i in range(4)]
