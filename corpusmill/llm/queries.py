@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, classifier, line_dedup, mixing, multi_index, near_dedup, quality_rules, records, secrets, suffix_dedup
+from corpusmill.llm import (
+    alignment, bpe, classifier, language, lexical, line_dedup, mixing, multi_index, near_dedup, quality_rules, records, secrets,
+    suffix_dedup,
+)
 from corpusmill.llm.common import Stages, table
 
 #: The id appended to every document of the binary output.
@@ -88,6 +91,27 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.size("copies")).alias("taken"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Stages(spark, "lexical"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = language.train(docs, ~held_out, Stages(spark, "language"))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                              public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    scored = alignment.link_scores(aligned.withColumn("groups_sha256", digest), Stages(spark, "alignment"))
+    return scored.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -99,6 +123,9 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_binary_records": op9_binary_records,
     "op10_mix_sources": op10_mix_sources,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_language_id": op12_language_id,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _OP3 = """
@@ -144,4 +171,32 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f1
 from f join v on f.source is not distinct from v.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_quality_rules": _OP3}
+_OP11 = """
+with d as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+  from documents where text is not null),
+q as (
+  select item_id, term, count(*) as times
+  from (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+        from benchmark where text is not null)
+  group by item_id, term),
+n as (select doc_id, terms, len(terms)::bigint as n from d where len(terms) > 0),
+s as (select count(*)::bigint as docs, sum(n)::bigint as total from n),
+tf as (
+  select doc_id, n, term, count(*)::bigint as tf
+  from (select doc_id, n, unnest(terms) as term from n) where term in (select term from q) group by doc_id, n, term),
+w as (
+  select term, floor(1000 * ln((2.0::double * docs + 2) / (2.0::double * df + 1)))::bigint as w
+  from (select term, count(*) as df from tf group by term), s),
+c as (
+  select doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))) as c
+  from tf join w using (term), s),
+r as (select item_id, doc_id, sum(times * c)::bigint as score from q join c using (term) group by item_id, doc_id)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from r where score > 0)
+where rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_quality_rules": _OP3, "op11_lexical_search": _OP11}
