@@ -40,59 +40,62 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
 from corpusmill.llm.common import Stages, partitions, per_worker, small_batches, text_batches
-from corpusmill.llm.pretokens import PretokenCoder
-from corpusmill.llm.records import byte_letters, tokenizer_encoders
+from corpusmill.llm.records import byte_letters
 
 #: The character that stands for a space in sentencepiece's pieces.
 BLANK = "▁"
-#: First step of a probe.
+#: Tokens compared one by one before steps begin, and the first step.
 STEP = 4
+#: Longer fragments are not kept from one batch to the next.
+LONG = 64
 
 
 @dataclass(frozen=True)
 class Alignment:
     block_bytes: int = 8_000_000    # text of the documents whose pairs are listed together, about
     group_links: int = 4096         # links of a group that are spelled out; larger groups count distinct ids
-    cached: int = 200_000           # fragments kept by each coder
+    cached: int = 400_000           # fragments kept by each coder
 
 
 def groups_of(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """For each group the places behind its last A and B token, from the ends of
     the tokens (ascending, the last ones equal)."""
-    runs: list[tuple[int, int, int, int, int]] = []  # a run's begin and length, and the ends of the irregular group behind it
-    i = j = 0
     n = len(a)
-    while i < n:
-        k, step = 0, STEP
-        while True:
-            x, y = a[i + k:i + k + step], b[j + k:j + k + step]
-            if x != y:
-                break
-            k += len(x)
-            if len(x) < step:
-                break
-            step *= 2
-        if i + k == n:
-            runs.append((i, j, k, n, j + k))
-            break
-        while step > 1:
-            step //= 2
-            if a[i + k:i + k + step] == b[j + k:j + k + step]:
-                k += step
-        p, q = i + k, j + k
-        x, y = a[p], b[q]
-        while x != y:
-            if x < y:
-                p += 1
-                x = a[p]
-            else:
-                q += 1
-                y = b[q]
-        runs.append((i, j, k, p + 1, q + 1))
-        i, j = p + 1, q + 1
-    if not runs:
+    if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at_a, at_b, length, end_a, end_b = np.array(runs, np.int64).T
+    a, b = [*a, -1], [*b, -2]  # beyond the ends nothing is equal
+    runs: list[int] = []  # a run's begin and length, and the ends of the irregular group behind it
+    i = j = 0
+    while i < n:
+        at_a, at_b = i, j
+        x, y = a[i], b[j]
+        few = i + STEP
+        while x == y and i < few:  # most stretches are short
+            i += 1
+            j += 1
+            x, y = a[i], b[j]
+        if x == y:
+            step = STEP
+            while a[i:i + step] == b[j:j + step]:
+                i, j, step = i + step, j + step, 2 * step
+            while step > 1:
+                step //= 2
+                if a[i:i + step] == b[j:j + step]:
+                    i, j = i + step, j + step
+            x, y = a[i], b[j]
+        length = i - at_a
+        if i < n:
+            while x != y:
+                if x < y:
+                    i += 1
+                    x = a[i]
+                else:
+                    j += 1
+                    y = b[j]
+            i += 1
+            j += 1
+        runs += (at_a, at_b, length, i, j)
+    at_a, at_b, length, end_a, end_b = np.array(runs, np.int64).reshape(-1, 5).T
     groups = length + (end_a > at_a + length)
     last = np.cumsum(groups) - 1
     within = np.arange(last[-1] + 1) - np.repeat(last + 1 - groups, groups) + 1
@@ -101,42 +104,6 @@ def groups_of(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return out_a, out_b
 
 
-class PieceCoder:
-    """Whole texts to the ids of a sentencepiece model, through a bounded cache
-    of what stands between spaces: no piece holds the blank behind another
-    character, so none reaches over a space with other characters around it.  Texts
-    with any other arrangement of spaces, or of a model with such pieces, are encoded whole."""
-
-    def __init__(self, proto: bytes, max_entries: int):
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=proto)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.apart = not any(BLANK in p.lstrip(BLANK) for p in pieces)
-        self.max_entries = max_entries
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(ids, "<u4").tobytes() for ids in self.model.encode(texts, out_type=int, num_threads=1)]
-
-    def code(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as unsigned 32-bit integers."""
-        if len(self.known) > self.max_entries:
-            self.known = {}
-        parts = [t.split(" ") for t in texts]
-        cut = [self.apart and all(p) and BLANK not in t for p, t in zip(parts, texts)]
-        new = list(set(chain.from_iterable(p for p, c in zip(parts, cut) if c)).difference(self.known))
-        fresh = {}
-        for at in range(0, len(new), 5000):
-            part = new[at:at + 5000]
-            fresh.update(zip(part, self._encode(part)))
-        self.known.update(fresh)
-        whole = iter(self._encode([t for t, c in zip(texts, cut) if not c]))
-        out = [b"".join(map(self.known.__getitem__, p)) if c else next(whole) for p, c in zip(parts, cut)]
-        for w in fresh:
-            if len(w) > 64:
-                del self.known[w]
-        return out
-
-
 def bytes_of_a(tokenizer: Tokenizer) -> list[bytes]:
     """The bytes of each id of a byte-level BPE vocabulary."""
     byte_of = {c: b for b, c in byte_letters().items()}
@@ -154,36 +121,95 @@ def bytes_of_b(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return [bytes([int(p[3:-1], 16)]) if is_byte else p.replace(BLANK, " ").encode() for p, is_byte in pieces]
 
 
+class _Flat:
+    """The ids of several texts as one run of bytes, cut at `edges`."""
+
+    def __init__(self, ids: list[list[int]], table: np.ndarray, lengths: np.ndarray):
+        self.n = np.array([len(x) for x in ids])
+        self.ids = np.fromiter(chain.from_iterable(ids), "<u4", int(self.n.sum()))
+        self.data = self.ids.tobytes()
+        self.edges = np.concatenate([[0], np.cumsum(self.n) * 4]).tolist()
+        self.table, self.lengths = table, lengths
+
+    def spells(self, texts: list[bytes], size: np.ndarray) -> np.ndarray:
+        """Whether each text's tokens join to it."""
+        words = self.table[self.ids]
+        total = np.concatenate([[0], np.cumsum(self.lengths[self.ids])])
+        at = np.concatenate([[0], np.cumsum(self.n)])
+        same = np.diff(total[at]) == size
+        if not same.all() or b"".join(words.tolist()) != b"".join(texts):
+            same = np.array([b"".join(words[lo:hi].tolist()) == t for lo, hi, t in zip(at[:-1].tolist(), at[1:].tolist(), texts)], bool)
+        return same
+
+
 class Aligner:
-    """Aligns batches of texts."""
+    """Aligns batches of texts.
+
+    Tokens of what stands between spaces are kept in a bounded cache.  A space
+    with other characters than white space around it always begins a pre-token of
+    A, and no piece of B holds the blank behind another character, so a text's
+    tokens are those of its fragments, each behind a space, one after another;
+    fragments whose tokens do not spell them are no part of this.  Texts with any other arrangement
+    of spaces, or all texts where B has such pieces, are encoded whole."""
 
-    def __init__(self, tokenizer_json: str, proto: bytes, pattern: str, how: Alignment):
+    def __init__(self, tokenizer_json: str, proto: bytes, how: Alignment):
         self.how = how
-        self.a = PretokenCoder(pattern, *tokenizer_encoders(tokenizer_json, 4), 4, how.cached)
-        self.b = PieceCoder(proto, how.cached)
-        tables = bytes_of_a(Tokenizer.from_str(tokenizer_json)), bytes_of_b(self.b.model)
+        self.a, self.b = Tokenizer.from_str(tokenizer_json), sentencepiece.SentencePieceProcessor(model_proto=proto)
+        self.a.encode_special_tokens = True
+        tables = bytes_of_a(self.a), bytes_of_b(self.b)
+        self.apart = not any(b" " in t.lstrip(b" ") for t in tables[1])
         self.bytes = [np.array([*t, None], object)[:-1] for t in tables]
         self.lengths = [np.array([len(x) for x in t], np.int64) for t in tables]
         # each id as text: inside a list, and at its end
         self.spelled = np.array([f"{i}{end}".encode() for n, ends in zip(map(len, tables), (",|", ",;"))
                                  for end in ends for i in range(n)] + [None], object)[:-1]
+        self.known: tuple[dict[str, bytes | None], dict[str, bytes | None]] = ({}, {})  # None: not a safe cut
+
+    def _encode(self, texts: list[str]) -> list[tuple[bytes | None, bytes | None]]:
+        """A's ids of space + text and B's of the text as unsigned 32-bit integers;
+        None where either does not spell space + text."""
+        out = []
+        for at in range(0, len(texts), 2000):
+            part = texts[at:at + 2000]
+            coded = [e.ids for e in self.a.encode_batch_fast([" " + t for t in part], add_special_tokens=False)]
+            both = [_Flat(x, *tables) for x, *tables in zip(
+                (coded, self.b.encode(part, out_type=int, num_threads=1)), self.bytes, self.lengths)]
+            want = [b" " + t.encode() for t in part]
+            size = np.array([len(w) for w in want])
+            same = np.logical_and(*(x.spells(want, size) for x in both)).tolist()
+            out += [tuple(x.data[x.edges[i]:x.edges[i + 1]] if same[i] and t else None for x in both)
+                    for i, t in enumerate(part)]
+        return out
 
-    def tokens(self, raw: list[bytes]) -> list[list[np.ndarray]]:
+    def tokens(self, texts: list[str]) -> list[list[np.ndarray]]:
         """A's and B's ids of each text that both can spell, empty arrays for the others."""
-        coded = self.a.code(raw, spaced=True), self.b.code([r.decode("utf-8", "surrogatepass") for r in raw])
-        ids = [[np.frombuffer(c, "<u4") for c in own] for own in coded]
-        none = np.zeros(0, "<u4")
-        want = [b" " + r if r else b"" for r in raw]
-        for own, table in zip(ids, self.bytes):
-            for i, (text, x) in enumerate(zip(want, own)):
-                if not text or b"".join(table[x].tolist()) != text:
-                    want[i] = b""
-        return [[x if text else none for text, x in zip(want, own)] for own in ids]
-
-    def align(self, raw: list[bytes]):
+        if len(self.known[0]) > self.how.cached:
+            self.known = ({}, {})
+        parts = [t.split(" ") if self.apart else [""] for t in texts]
+        new = list(set(chain.from_iterable(parts)).difference(self.known[0]))
+        for f, ids in zip(new, self._encode(new)):
+            safe = f and not f[0].isspace() and not f[-1].isspace()
+            for kept, x in zip(self.known, ids):
+                kept[f] = x if safe else None
+        find = [kept.__getitem__ for kept in self.known]
+        coded: list = []
+        for p in parts:
+            try:
+                coded.append([b"".join(map(f, p)) for f in find])
+            except TypeError:  # a fragment that is no safe cut
+                coded.append(None)
+        whole = iter(self._encode([t for t, c in zip(texts, coded) if c is None]))
+        coded = [c or next(whole) for c in coded]
+        for f in new:
+            if len(f) > LONG:
+                for kept in self.known:
+                    del kept[f]
+        return [[np.frombuffer(c[k] or b"", "<u4") for c in coded] for k in (0, 1)]
+
+    def align(self, texts: list[str]):
         """(n_a, n_b, n_groups, n_links: arrays [texts]; groups: list of bytes; and the
         links by (text, id of A, id of B, number): arrays)."""
-        each = self.tokens(raw)
+        each = self.tokens(texts)
         n = [np.array([len(x) for x in own], np.int64) for own in each]
         ids = [np.concatenate([np.zeros(0, "<u4"), *own]).astype(np.int64) for own in each]
         ends = [np.cumsum(table[x]) for table, x in zip(self.lengths, ids)]
@@ -191,7 +217,7 @@ class Aligner:
         size_a, size_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
         text = np.searchsorted(np.cumsum(n[0]), cut_a, side="left")
         links = size_a * size_b
-        n_groups = np.bincount(text, minlength=len(raw))
+        n_groups = np.bincount(text, minlength=len(texts))
         edges = np.concatenate([[0], np.cumsum(n_groups)])
         total = np.concatenate([[0], np.cumsum(links)])
         pairs = self._pairs(ids, text, cut_a - size_a, cut_b - size_b, size_a, size_b, links)
@@ -255,7 +281,7 @@ def _unpack(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def align(df: DataFrame, tokenizer_path: str, model_path: str, pattern: str, how: Alignment = Alignment(),
+def align(df: DataFrame, tokenizer_path: str, model_path: str, how: Alignment = Alignment(),
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of documents: (block, id, n_a, n_b, n_groups, n_links long, groups
     string, links binary), the links packed as (place of the pair in the block's list, number).
@@ -264,7 +290,7 @@ def align(df: DataFrame, tokenizer_path: str, model_path: str, pattern: str, how
     with open(tokenizer_path, encoding="utf-8") as f, open(model_path, "rb") as g:
         content = f.read(), g.read()
     shared = df.sparkSession.sparkContext.broadcast(content)  # size of the vocabularies
-    key = f"align_{zlib.crc32(repr((content, pattern, how)).encode())}"
+    key = f"align_{zlib.crc32(repr((content, how)).encode())}"
     id_type = df.schema[id_col].dataType
     kinds = {"block": pa.int64(), "id": to_arrow_type(id_type), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(),
              "n_links": pa.int64(), "groups": pa.string(), "links": pa.binary(), "at": pa.int64(), "a": pa.int32(),
@@ -275,9 +301,9 @@ def align(df: DataFrame, tokenizer_path: str, model_path: str, pattern: str, how
             [pa.nulls(n, t) if columns.get(c) is None else pa.array(columns[c], t) for c, t in kinds.items()], names=list(kinds))
 
     def run(batches):
-        aligner = per_worker(key, lambda: Aligner(*shared.value, pattern, how))
+        aligner = per_worker(key, lambda: Aligner(*shared.value, how))
         block, held, size = TaskContext.get().partitionId() << 32, [], 0
-        for ids, texts in text_batches(batches, "id", "text", raw=True):
+        for ids, texts in text_batches(batches, "id", "text", keep=True):
             held.append((ids, *aligner.align(texts)))
             size += sum(map(len, texts))
             if size >= how.block_bytes:

@@ -65,11 +65,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def text_batches(batches, id_name: str, text_name: str, max_bytes: int = 1_000_000, raw: bool = False):
+def text_batches(batches, id_name: str, text_name: str, max_bytes: int = 1_000_000, raw: bool = False,
+                 keep: bool = False):
     """(ids, texts) lists of bounded text size out of Arrow batches, the texts
-    as bytes if `raw`; a null text is read as empty."""
+    as bytes if `raw`; a null text is read as empty.  What the worker holds
+    from other tasks goes, unless `raw` or `keep`."""
     empty = b"" if raw else ""
-    if not raw:
+    if not (raw or keep):
         clear_worker()
     for batch in batches:
         ids, texts = batch.column(id_name).to_pylist(), batch.column(text_name)

@@ -142,19 +142,19 @@ class PretokenCoder:
             self.fragments[h] = b"".join(map(self.tokens.__getitem__, pre))
         self._learn_words(words, "")
 
-    def code(self, raw: list[bytes], spaced: bool = False) -> list[bytes]:
-        """The id bytes of each text, given in UTF-8; if `spaced`, of each text behind a space."""
+    def code(self, raw: list[bytes]) -> list[bytes]:
+        """The id bytes of each text, given in UTF-8."""
         if not raw:
             return []
         try:
-            return self._code(raw, spaced)
+            return self._code(raw)
         finally:
             for kept in (self.tokens, self.fragments):
                 for k in [k for k in self.long if k in kept]:
                     del kept[k]
             self.long = []
 
-    def _code(self, raw: list[bytes], spaced: bool) -> list[bytes]:
+    def _code(self, raw: list[bytes]) -> list[bytes]:
         if len(self.tokens) > self.max_entries:
             self.tokens = {}
         if len(self.fragments) > self.max_entries:
@@ -163,8 +163,6 @@ class PretokenCoder:
         data = np.frombuffer(joined, np.uint8)
         begin = np.cumsum([0] + [len(r) + 1 for r in raw[:-1]])
         starts, ends, bare, first = fragments_of(data, begin)
-        if spaced:
-            bare[first] = False
         where, inverse = distinct_ranges(data, starts, ends, np.where(bare, HEAD, np.uint64(0)))
         keys = [joined[lo:hi] if alone else b" " + joined[lo:hi]
                 for lo, hi, alone in zip(starts[where].tolist(), ends[where].tolist(), bare[where].tolist())]
@@ -197,8 +195,8 @@ class PretokenCoder:
         bad = np.add.reduceat(unsafe, first)
         for i, r in enumerate(raw):
             at = r.find(b" ")
-            if (spaced and bad[i]) or (at >= 0 and (bad[i] or at == 0 or r[:at].decode("utf-8", "surrogatepass")[-1].isspace())):
-                pre = self.split((b" " * spaced + r).decode("utf-8", "surrogatepass"))
+            if at >= 0 and (bad[i] or at == 0 or r[:at].decode("utf-8", "surrogatepass")[-1].isspace()):
+                pre = self.split(r.decode("utf-8", "surrogatepass"))
                 self._learn_tokens(pre)
                 out[i] = b"".join(map(self.tokens.__getitem__, pre))
         return out

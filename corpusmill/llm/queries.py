@@ -106,7 +106,7 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                              public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+                              public_tokenizers.path("piece_bpe_32k.model"))
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
     scored = alignment.link_scores(aligned.withColumn("groups_sha256", digest), Stages(spark, "alignment"))
     return scored.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

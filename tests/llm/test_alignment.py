@@ -58,7 +58,7 @@ def brute(texts, libraries):
 
 
 def scored(spark, df, how=alignment.Alignment()):
-    found = alignment.align(df, JSON, MODEL, public_tokenizers.PATTERN, how)
+    found = alignment.align(df, JSON, MODEL, how)
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
     return alignment.link_scores(found.withColumn("digest", digest), Stages(spark, "t"))
 
@@ -103,11 +103,14 @@ def test_groups_of_random_ends():
     assert [len(x) for x in alignment.groups_of([], [])] == [0, 0]
 
 
-def test_pieces_between_spaces_equal_whole_texts(words):
-    coder = alignment.PieceCoder(open(MODEL, "rb").read(), 50)
-    rng, pieces = random.Random(4), [" ", "  ", "a", "the ", "é", "\n", "▁", ".", "漢", "🙂", *words[:20]]
-    assert coder.apart
-    for _ in range(50):
-        texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(20)] + [" ".join(words[:50])]
-        for text, ids in zip(texts, coder.code(texts), strict=True):
-            assert np.frombuffer(ids, "<u4").tolist() == coder.model.encode(text), text
+def test_fragments_equal_whole_texts(words, libraries):
+    a, b, *_ = libraries
+    aligner = alignment.Aligner(open(JSON, encoding="utf-8").read(), open(MODEL, "rb").read(), alignment.Alignment(cached=50))
+    rng = random.Random(4)
+    pieces = [" ", "  ", "a", "the ", "é", "\n", ".", "漢", "🙂", "'s", " 'll", "\xa0", "\u3000", "\x1c", "12", "!?", *words[:20]]
+    assert aligner.apart
+    for _ in range(80):
+        texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(1, 12))) for _ in range(20)] + [" ".join(words[:50])]
+        for text, x, y in zip(texts, *aligner.tokens(texts), strict=True):
+            assert x.tolist() == a.encode(" " + text, add_special_tokens=False).ids, text
+            assert y.tolist() == b.encode(text), text

@@ -177,22 +177,6 @@ def test_long_fragments_are_not_kept():
         coder = PretokenCoder(public_tokenizers.PATTERN, *records.tokenizer_encoders(f.read(), 2), 2)
     t = Tokenizer.from_file(JSON)
     texts = ["ab " + "q1" * 5000 + " cd", "-" * 3000, "ab cd"]
-    for spaced in (False, True):
-        got = coder.code([x.encode() for x in texts], spaced)
-        for text, ids in zip(texts, got):
-            assert np.frombuffer(ids, "<u2").tolist() == t.encode(" " * spaced + text, add_special_tokens=False).ids
+    for text, ids in zip(texts, coder.code([x.encode() for x in texts])):
+        assert np.frombuffer(ids, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
     assert max(map(len, [*coder.fragments, *coder.tokens])) <= 257
-
-
-def test_texts_behind_a_space():
-    import random
-
-    from corpusmill.llm.pretokens import PretokenCoder
-    t = Tokenizer.from_file(JSON)
-    with open(JSON, encoding="utf-8") as f:
-        coder = PretokenCoder(public_tokenizers.PATTERN, *records.tokenizer_encoders(f.read(), 2), 2, max_entries=300)
-    rng, pieces = random.Random(8), [*"ab. ,;\n\n  \tA1é»… 's!?-_ñ  \x1c　漢<", "the", "Foo", "ing ", ".\n", " 'll"]
-    for _ in range(40):
-        texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(40)]
-        for text, got in zip(texts, coder.code([x.encode() for x in texts], spaced=True), strict=True):
-            assert np.frombuffer(got, "<u2").tolist() == t.encode(" " + text, add_special_tokens=False).ids, text
