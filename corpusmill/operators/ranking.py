@@ -72,10 +72,12 @@ def exact_rank(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str,
 def nth_row(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str, limits: DataFrame,
             bucket_chars: int) -> DataFrame:
     """The n-th row (key, tie) of each group, n from `limits` (group.., n): at
-    most one row per group.  Only the bucket that holds it is sorted, and which
-    bucket that is is one row per group, so the broadcast is config-sized.
-    Groups with n = 0, or absent from `limits`, give no row; n beyond the
-    group's size gives its last row."""
+    most one row per group, with _want, how many of the rows equal to it are
+    among the first n, and _equal, how many there are.  Only the bucket that
+    holds it is looked at, with one row for each distinct (key, tie), counted
+    before anything moves; which bucket that is is one row per group, so the
+    broadcast is config-sized.  Groups with n = 0, or absent from `limits`,
+    give no row; n beyond the group's size gives its last row."""
     offsets = bucket_offsets(df, group_cols, key_col, bucket_chars)
     last = Window.partitionBy(*group_cols)
     offsets = offsets.withColumn("_all", F.sum(CNT).over(last)).join(F.broadcast(limits.select(*group_cols, "n")), group_cols)
@@ -83,9 +85,12 @@ def nth_row(df: DataFrame, group_cols: list[str], key_col: str, tie_col: str, li
     holder = (offsets.where((F.col(OFF) < at) & (at <= F.col(OFF) + F.col(CNT)))
               .select(*group_cols, BKT, (at - F.col(OFF)).alias("_in")))
     d = df.withColumn(BKT, F.substring(F.col(key_col), 1, bucket_chars)).join(F.broadcast(holder), [*group_cols, BKT])
-    w = Window.partitionBy(*group_cols, BKT).orderBy(F.col(key_col), F.col(tie_col))
-    return d.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == F.col("_in")).select(
-        *group_cols, key_col, tie_col)
+    d = d.groupBy(*group_cols, BKT, "_in", key_col, tie_col).agg(F.count(F.lit(1)).alias("_equal"))
+    w = (Window.partitionBy(*group_cols, BKT).orderBy(F.col(key_col), F.col(tie_col))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    d = d.withColumn("_want", F.col("_in") - F.sum("_equal").over(w) + F.col("_equal"))
+    return d.where((F.col("_want") > 0) & (F.col("_want") <= F.col("_equal"))).select(
+        *group_cols, key_col, tie_col, "_want", "_equal")
 
 
 def group_sizes(df: DataFrame, group_cols: list[str]) -> dict:

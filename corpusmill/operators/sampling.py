@@ -7,6 +7,11 @@ threshold where they are scanned.  No text moves.  The per-source sizes are
 one small collect (one row per source); n is computed on the driver with
 Python int arithmetic so int(N * weight) truncates exactly like the reference.
 
+Rows may repeat an id.  Where only some of the rows equal to the threshold fit,
+the same is done once more among them, in the order of their content's hash,
+and of rows equal in content too, which nothing tells apart, one stands for
+the number wanted: no row is numbered, so nothing depends on partitions.
+
 Rows with a NULL id take no part: they are not counted in N and never
 selected, so n rows come back whenever n rows with ids are there.
 """
@@ -29,6 +34,10 @@ def fraction_count(n_rows: int, weight: float) -> int:
     return min(n_rows, int(n_rows * float(weight)))
 
 
+def _wanted(df: DataFrame, limits: dict[str, int]) -> DataFrame:
+    return df.sparkSession.createDataFrame([(k, int(v)) for k, v in limits.items()], LIMIT_SCHEMA)
+
+
 def id_counts(df: DataFrame, id_col: str = "sample_id") -> dict[str, tuple[int, int]]:
     """{source: (rows, rows with an id)}, one row per source."""
     rows = df.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count(id_col).alias("ids")).collect()
@@ -43,9 +52,16 @@ class Selection:
         self.seed, self.stage, self.id_col, self.limits = seed, stage, id_col, limits
         self.max_rows = max((sizes or limits).values(), default=0)
         narrow = df.where(F.col(id_col).isNotNull()).select("source", id_col).withColumn("_key", self._key())
-        wanted = df.sparkSession.createDataFrame([(k, int(v)) for k, v in limits.items()], LIMIT_SCHEMA)
-        self.thresholds = (nth_row(narrow, ["source"], "_key", id_col, wanted, bucket_chars_for(self.max_rows))
-                           .select(F.col("source").alias("_ts"), F.col("_key").alias("_tk"), F.col(id_col).alias("_ti")))
+        found = nth_row(narrow, ["source"], "_key", id_col, _wanted(df, limits), bucket_chars_for(self.max_rows))
+        # one row per source, found once however often the filter is used
+        rows = found.select("source", "_key", id_col, "_want", "_equal").collect()
+        kind = df.schema[id_col].dataType
+        self.thresholds = df.sparkSession.createDataFrame(
+            [(r["source"], r["_key"], r[id_col]) for r in rows],
+            T.StructType([T.StructField("_ts", T.StringType()), T.StructField("_tk", T.StringType()),
+                          T.StructField("_ti", kind)]))
+        #: Sources of which not all rows equal to the threshold fit: how many do, of how many.
+        self.partly = {r["source"]: (r["_want"], r["_equal"]) for r in rows if r["_want"] < r["_equal"]}
 
     def _key(self):
         return order_key(self.seed, self.stage, F.col(self.id_col))
@@ -54,8 +70,31 @@ class Selection:
         """The selected rows of `wide` (source and id columns wanted).  The
         broadcast side has one row per source."""
         d = wide.withColumn("_key", self._key()).join(F.broadcast(self.thresholds), F.col("source") == F.col("_ts"))
-        first = (F.col("_key") < F.col("_tk")) | ((F.col("_key") == F.col("_tk")) & (F.col(self.id_col) <= F.col("_ti")))
-        return d.where(first).drop("_key", "_ts", "_tk", "_ti")
+        before = (F.col("_key") < F.col("_tk")) | ((F.col("_key") == F.col("_tk")) & (F.col(self.id_col) < F.col("_ti")))
+        equal = F.col(self.id_col) == F.col("_ti")
+        if not self.partly:
+            return d.where(before | equal).select(wide.columns)
+        partly = F.col("source").isin(list(self.partly))
+        whole = d.where(before | (equal & ~partly)).select(wide.columns)
+        return whole.unionByName(self._some(d.where(equal & partly).select(wide.columns)))
+
+    def _some(self, equal: DataFrame) -> DataFrame:
+        """Of each source's rows `equal` to its threshold as many as are wanted:
+        the first in the order of their content's hash."""
+        keyed = equal.withColumn("_content", F.md5(F.to_json(F.struct(*equal.columns))))
+        wanted = _wanted(equal, {s: n for s, (n, _) in self.partly.items()})
+        most = max(n for _, n in self.partly.values())
+        rows = nth_row(keyed.select("source", "_content", F.lit(0).alias("_none")), ["source"], "_content", "_none",
+                       wanted, bucket_chars_for(most)).select("source", "_content", "_want", "_equal").collect()
+        last = equal.sparkSession.createDataFrame(
+            [(r["source"], r["_content"], r["_want"]) for r in rows], "_cs string, _last string, _copies long")
+        near = keyed.join(F.broadcast(last), F.col("source") == F.col("_cs"))  # one row per source
+        before = near.where(F.col("_content") < F.col("_last")).select(equal.columns)
+        # rows alike in everything: one of them from each task meets the others
+        copies = (near.where(F.col("_content") == F.col("_last")).groupBy("source", "_copies")
+                  .agg(F.first(F.struct(*equal.columns)).alias("_row"))
+                  .select(F.explode(F.array_repeat("_row", F.col("_copies").cast("int"))).alias("_row")))
+        return before.unionByName(copies.select("_row.*"))
 
     def ranked(self, narrow: DataFrame, rank_col: str = "rank") -> DataFrame:
         """The selected rows with their exact rank; `narrow` should hold no text."""

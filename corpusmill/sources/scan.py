@@ -12,7 +12,7 @@ import logging
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.config import FORMATS, ConfigError, MixSpec, SourceSpec
@@ -40,26 +40,30 @@ def _filter_eq(df: DataFrame, column: str, value: str | None, what: str, spec: S
     return df.where(F.col(column) == F.lit(value))
 
 
-#: Ways that equal rows are split before they are numbered.
-EQUAL_ROW_SALTS = 64
+#: Copies of one row that a task puts out at once.
+COPIES_PER_TASK = 100_000
 
 
 def content_key(df: DataFrame) -> DataFrame:
     """`df` with _row_key, for rows without a key column: md5 of the whole row,
     and a number among equal rows.  It depends on nothing but the rows, so
-    copied or re-split files give the same keys.  Equal rows are numbered
-    inside salted parts whose offsets add up, so a row that makes up much of
-    the input is no single task; which of several equal rows gets which number
-    makes no difference."""
-    keyed = df.withColumns({"_hash": F.md5(F.to_json(F.struct(*df.columns))),
-                            "_salt": F.pmod(F.spark_partition_id(), F.lit(EQUAL_ROW_SALTS))})
-    before = Window.partitionBy("_hash").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = keyed.groupBy("_hash", "_salt").agg(F.count(F.lit(1)).alias("_n")).select(
-        "_hash", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_hash", "_salt").orderBy("_hash"))
-    return (keyed.withColumn("_own", own).join(offsets, ["_hash", "_salt"])
-            .withColumn("_row_key", F.concat("_hash", F.lit("#"), (F.col("_before") + F.col("_own") - 1).cast("string")))
-            .drop("_hash", "_salt", "_own", "_before"))
+    copied or re-split files, other partitions and recomputed tasks give the
+    same keys.  No physical row is numbered: equal rows, which nothing tells
+    apart, are counted (before anything moves) and one of them is put out
+    again under each number.  A row that makes up much of the input is put out
+    by many tasks, `COPIES_PER_TASK` numbers each."""
+    counted = (df.withColumn("_hash", F.md5(F.to_json(F.struct(*df.columns)))).groupBy("_hash")
+               .agg(F.first(F.struct(*df.columns)).alias("_row"), F.count(F.lit(1)).alias("_n")))
+    numbers = lambda lo, hi: F.explode(F.sequence(lo, hi)).alias("_no")
+    few = counted.where(F.col("_n") <= COPIES_PER_TASK).select("_row", "_hash", numbers(F.lit(0).cast("long"), F.col("_n") - 1))
+    last = F.floor((F.col("_n") - 1) / COPIES_PER_TASK)
+    parts = (counted.where(F.col("_n") > COPIES_PER_TASK)
+             .select("_row", "_hash", "_n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_part"))
+             .repartition("_hash", "_part"))
+    first = F.col("_part") * COPIES_PER_TASK
+    many = parts.select("_row", "_hash", numbers(first, F.least(first + COPIES_PER_TASK, F.col("_n")) - 1))
+    key = F.concat("_hash", F.lit("#"), F.col("_no").cast("string"))
+    return few.unionByName(many).select("_row.*", key.alias("_row_key"))
 
 
 def with_sample_id(df: DataFrame, spec: SourceSpec) -> DataFrame:
