@@ -152,3 +152,16 @@ def test_oracle_all_queries(spark, sf):
     res = compare(spark, sf, list(QUERIES), verbose=False)
     bad = {k: v for k, v in res.items() if v[0] != "ok"}
     assert not bad, bad
+
+
+def test_entry_without_the_optional_part():
+    """The core queries stay where libraries of the optional part are missing."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for blocked in ("public_tokenizers", "sentencepiece", "corpus_pipeline", "corpusmill.llm"):
+        code = f"import sys; sys.modules[{blocked!r}] = None; import __spark_entry__ as e; print(len(e.queries()), *e.queries())"
+        done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+        names = done.stdout.split()
+        assert int(names[0]) >= 33 and "dedup_exact" in names and "pipeline" not in names
