@@ -8,6 +8,7 @@ to NULL text and are dropped and counted downstream.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.config import DEFAULT_SYSTEM_PROMPT, ConfigError
+from corpusmill.functions.text import strip_ws
 
 # The template strings of the supported record formats.
 ALPACA_WITH_INPUT = "### Instruction:\n{instruction}\n\n### Input:\n{input}\n\n### Response:\n{output}"
@@ -33,19 +35,18 @@ FORMAT_FIELDS = {
 
 
 def _fill(template: str, values: dict[str, Column]) -> Column:
-    """Substitute {name} placeholders with Columns via concat."""
-    parts: list[Column] = []
-    rest = template
-    while rest:
-        start = rest.find("{")
-        if start < 0:
-            parts.append(F.lit(rest))
-            break
-        end = rest.index("}", start)
-        if start:
-            parts.append(F.lit(rest[:start]))
-        parts.append(values[rest[start + 1:end]])
-        rest = rest[end + 1:]
+    """Substitute {name} placeholders with Columns via concat.  Only the names
+    in `values` are placeholders, other braces stand for themselves;
+    {{name}} is the literal text {name}."""
+    names = "|".join(map(re.escape, values))
+    parts, literal = [], ""
+    for i, piece in enumerate(re.split(rf"\{{(\{{(?:{names})\}})\}}|\{{({names})\}}", template)):
+        if i % 3 < 2:  # text, or an escaped placeholder
+            literal += piece or ""
+        elif piece is not None:
+            parts += [F.lit(literal)] * bool(literal) + [values[piece]]
+            literal = ""
+    parts += [F.lit(literal)] * bool(literal or not parts)
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
@@ -84,12 +85,54 @@ def openorca_text(df: DataFrame, null_as: str = "None") -> Column:
     return _fill(OPENORCA, vals)
 
 
+@dataclass(frozen=True)
+class Piece:
+    """Text of a message, put out where all conditions that are set hold: the
+    message has one of `roles` (or none of `not_roles`), is the list's `first`
+    or `last` or is not, follows a message of a role in `after`, and its
+    content is empty or is not.  Placeholders: {role}, {content} (as it is), {json}
+    (the content as a JSON string, quoted and escaped), {stripped}, {index} (from 0)."""
+
+    text: str
+    roles: tuple[str, ...] | None = None
+    not_roles: tuple[str, ...] = ()
+    first: bool | None = None
+    last: bool | None = None
+    after: tuple[str, ...] | None = None
+    empty: bool | None = None
+
+    def column(self, messages: Column, m: Column, i: Column) -> Column:
+        role = m["role"]
+        text = _fill(self.text, {"role": role, "content": m["content"], "stripped": strip_ws(m["content"]),
+                                 "json": json_string(m["content"]), "index": i.cast("string")})
+        checks = []
+        if self.roles is not None:
+            checks.append(role.isin(list(self.roles)))
+        if self.not_roles:
+            checks.append(~role.isin(list(self.not_roles)))
+        for wanted, holds in ((self.first, i == 0), (self.last, i == F.size(messages) - 1), (self.empty, m["content"] == "")):
+            if wanted is not None:
+                checks.append(holds if wanted else ~holds)
+        if self.after is not None:
+            checks.append((i > 0) & F.coalesce(F.get(messages, i - 1)["role"].isin(list(self.after)), F.lit(False)))
+        for check in checks:
+            text = F.when(check, text).otherwise(F.lit(""))
+        return text
+
+
+def json_string(text: Column) -> Column:
+    """A text as a JSON string."""
+    return F.substring(F.to_json(F.array(text)), F.lit(2), F.length(F.to_json(F.array(text))) - 2)
+
+
 @dataclass(frozen=True)
 class ChatTemplate:
     """Declarative chat template: bos + per message (prefix content suffix) + eos.
 
-    `{role}` in prefix/suffix is replaced by the message role.  Per-role
-    overrides take precedence over the defaults.
+    `{role}` in prefix/suffix is replaced by the message role; any other brace
+    stands for itself.  Per-role overrides take precedence over the defaults.
+    With `pieces` a message is its pieces one after another instead, each with conditions on
+    the loop (first, last, role before) and the message; all of it becomes Column expressions.
     """
 
     prefix: str = CHATML_MESSAGE.partition("{content}")[0]
@@ -98,6 +141,25 @@ class ChatTemplate:
     eos: str = ""
     role_prefix: dict = field(default_factory=dict)
     role_suffix: dict = field(default_factory=dict)
+    pieces: tuple[Piece, ...] = ()
+
+    @classmethod
+    def from_mapping(cls, spec: dict) -> ChatTemplate:
+        """A template out of a configuration mapping; `pieces` is a list of
+        texts or of mappings with a Piece's fields."""
+        own = set(cls.__dataclass_fields__)
+        if not isinstance(spec, dict) or set(spec) - own:
+            raise ConfigError(f"chat template: a mapping with keys of {sorted(own)} expected, got {spec!r}")
+
+        def piece(p) -> Piece:
+            if isinstance(p, str):
+                return Piece(p)
+            if not isinstance(p, dict) or "text" not in p or set(p) - set(Piece.__dataclass_fields__):
+                raise ConfigError(f"chat template piece: a text or a mapping with keys of {sorted(Piece.__dataclass_fields__)} expected, got {p!r}")
+            many = {k: (p[k],) if isinstance(p[k], str) else tuple(p[k]) for k in ("roles", "not_roles", "after") if p.get(k) is not None}
+            return Piece(**{**p, **many})
+
+        return cls(**{**spec, "pieces": tuple(map(piece, spec.get("pieces") or ()))})
 
     def _affix(self, default: str, overrides: dict, role: Column) -> Column:
         expr = _fill(default, {"role": role}) if default else F.lit("")
@@ -109,6 +171,14 @@ class ChatTemplate:
         return F.concat(self._affix(self.prefix, self.role_prefix, role), content,
                         self._affix(self.suffix, self.role_suffix, role))
 
+    def body(self, messages: Column) -> Column:
+        """All messages, without bos and eos."""
+        if self.pieces:
+            each = F.transform(messages, lambda m, i: F.concat(*(p.column(messages, m, i) for p in self.pieces)))
+        else:
+            each = F.transform(messages, lambda m: self.message(m["role"], m["content"]))
+        return F.array_join(each, "")
+
 
 CHATML = ChatTemplate()
 
@@ -162,7 +232,7 @@ def normalized_messages(df: DataFrame, null_as: str = "None") -> Column:
 
 
 def render_messages(messages: Column, template: ChatTemplate = CHATML) -> Column:
-    body = F.array_join(F.transform(messages, lambda m: template.message(m["role"], m["content"])), "")
+    body = template.body(messages)
     if template.bos or template.eos:
         body = F.concat(F.lit(template.bos), body, F.lit(template.eos))
     return body

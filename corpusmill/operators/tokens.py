@@ -55,19 +55,25 @@ def codepoint_tokenizer_factory() -> Callable[[list[str]], list]:
 
 def tokenize_with(rows: DataFrame, factory: Callable[[], Callable[[list[str]], list[list[int]]]],
                   spec: TrainSpec = TrainSpec(), text_col: str = "text", id_col: str = "row_id") -> DataFrame:
-    """Any batch tokenizer through mapInPandas (Arrow batches); the
-    tokenizer is built once per task, never per row."""
+    """Any batch tokenizer through mapInArrow; the tokenizer is built once
+    per task, never per row.  Its ids go out as one flat buffer with offsets,
+    cut to max_seq_length each, so no Python object is made for an id or a row."""
     max_len = spec.max_seq_length
 
     def run(batches: Iterator) -> Iterator:
-        import pandas as pd
+        import numpy as np
+        import pyarrow as pa
         encode = factory()
-        for pdf in batches:
-            ids = [x[:max_len] for x in encode(pdf[text_col].tolist())]
-            yield pd.DataFrame({"row_id": pdf[id_col].astype(str), "input_ids": ids,
-                                "n_tokens": [len(x) for x in ids]})
-
-    return rows.select(id_col, text_col).mapInPandas(run, TOKENIZED_SCHEMA)
+        for batch in batches:
+            ids = [np.asarray(x[:max_len], dtype=np.int32) for x in encode(batch.column(1).to_pylist())]
+            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+            offsets = np.concatenate([np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32)])
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), lists, pa.array(sizes)],
+                                             names=["row_id", "input_ids", "n_tokens"])
+
+    return rows.select(F.col(id_col).cast("string"), text_col).mapInArrow(run, TOKENIZED_SCHEMA)
 
 
 def pad_and_mask(tok: DataFrame, spec: TrainSpec = TrainSpec()) -> DataFrame:

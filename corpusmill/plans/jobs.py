@@ -18,6 +18,7 @@ import sys
 import time
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,43 @@ def load_yaml_config(path: str) -> tuple[list[SourceSpec], MixSpec, TrainSpec]:
     return specs, mix, train
 
 
+def load_template(path: str) -> ChatTemplate:
+    """The chat template of a YAML file: `datasets.chat_template`, a mapping of
+    ChatTemplate's fields; ChatML where there is none."""
+    import yaml
+    with open(path, encoding="utf-8") as f:
+        spec = (yaml.safe_load(f).get("datasets") or {}).get("chat_template")
+    return CHATML if spec is None else ChatTemplate.from_mapping(spec)
+
+
+#: Folder of the table that lists an output folder's complete runs.
+COMMITS = "commits"
+COMMIT_SCHEMA = "run long, paths map<string,string>"
+
+
+def committed_runs(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """(run, paths) of the complete runs under `out_dir`; None if there is none yet."""
+    try:
+        return spark.read.schema(COMMIT_SCHEMA).parquet(os.path.join(out_dir, COMMITS))
+    except AnalysisException:  # no such folder
+        return None
+
+
+def current_outputs(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """Where the outputs of the last complete run under `out_dir` are; empty if
+    there is none.  All of them come from one run, whatever a later run that
+    failed or is still going on has written."""
+    runs = committed_runs(spark, out_dir)
+    last = None if runs is None else runs.orderBy(F.col("run").desc()).first()
+    return dict(last["paths"]) if last else {}
+
+
+def commit_run(spark: SparkSession, out_dir: str, run: int, paths: dict[str, str]) -> None:
+    """Makes a run the current one: one row appended to the table of runs,
+    which appears as a whole when its file is moved into place."""
+    spark.createDataFrame([(run, paths)], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(os.path.join(out_dir, COMMITS))
+
+
 @dataclass
 class JobResult:
     prepared: Prepared
@@ -71,7 +109,11 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
                     corpus_format: str = "parquet", template: ChatTemplate = CHATML, template_factory=None,
                     isolate_sources: bool = False) -> JobResult:
     """Chat sources render through `template`, or through `template_factory`
-    (Python code, built once per task) when one is given."""
+    (Python code, built once per task) when one is given.
+
+    All outputs go to a folder of this run under `out_dir`; when all are
+    there, a row that names them is added to the table of runs, last.  Readers ask
+    `current_outputs`, so a run that fails leaves the set before it in place."""
     t = {}
     t0 = time.time()
     store = StageStore(spark)
@@ -83,8 +125,10 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
         log.error("no dataset could be loaded, nothing written: %s", e)
         return JobResult(prepared=None, paths={}, timings={"total": time.time() - t0})
     t["select"] = time.time() - t0
-    paths = {"corpus": os.path.join(out_dir, "corpus"), "stats": os.path.join(out_dir, "dataset_stats"),
-             "funnel": os.path.join(out_dir, "prep_funnel"), "store": store.root}
+    run = time.time_ns()
+    run_dir = os.path.join(out_dir, "runs", str(run))
+    paths = {"corpus": os.path.join(run_dir, "corpus"), "stats": os.path.join(run_dir, "dataset_stats"),
+             "funnel": os.path.join(run_dir, "prep_funnel"), "store": store.root}
     t1 = time.time()
     with job_description(spark, "corpusmill write corpus"):
         write_corpus(p.corpus, paths["corpus"], corpus_format)
@@ -95,13 +139,13 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
     if text_export:
         t1 = time.time()
         with job_description(spark, "corpusmill export text"):
-            paths["text"] = export_text(corpus_out, os.path.join(out_dir, "training_data_txt"),
+            paths["text"] = export_text(corpus_out, os.path.join(run_dir, "training_data_txt"),
                                         n_rows=sum(p.after_counts.values()))
         t["export_text"] = time.time() - t1
     t1 = time.time()
     echo = json.dumps({"sources": [dataclasses.asdict(s) for s in specs], "mixing": dataclasses.asdict(mix)},
                       default=str)
-    paths["dedup_report"] = os.path.join(out_dir, "dedup_report")
+    paths["dedup_report"] = os.path.join(run_dir, "dedup_report")
     rep = dedup_numbers(sum(p.mix_counts.values()), sum(p.after_counts.values()))
     # three small independent writes (one row per source at most): submitted together
     writes = [
@@ -112,6 +156,7 @@ def run_prepare_job(spark: SparkSession, specs: list[SourceSpec], out_dir: str,
     with ThreadPoolExecutor(max_workers=len(writes)) as pool:
         for f in [pool.submit(w) for w in writes]:
             f.result()
+    commit_run(spark, out_dir, run, paths)
     t["reports"] = time.time() - t1
     for r in p.funnel_rows:
         log.info("source %s: total=%s sampled=%s kept=%s selected=%s after_dedup=%s", *r)
@@ -182,6 +227,7 @@ def main(argv=None) -> int:
     ap.add_argument("--output-dir", required=True)
     ap.add_argument("--local", action="store_true", help="run on a local[*] session (tests, laptops)")
     ap.add_argument("--isolate-sources", action="store_true", help="go on without sources that fail while being read")
+    ap.add_argument("--template", help="YAML file whose datasets.chat_template renders chat messages, instead of the config's own")
     ap.add_argument("--template-factory", help="module:attribute, renders chat message lists")
     ap.add_argument("--tokenizer-factory", help="module:attribute, tokenizes batches of texts")
     ap.add_argument("--rows", choices=("samples", "lines"), default="samples",
@@ -194,7 +240,7 @@ def main(argv=None) -> int:
     else:  # spark-submit supplies master and cluster settings
         spark = SparkSession.builder.appName("corpusmill").getOrCreate()
         ensure_checkpoint_dir(spark)
-    res = run_prepare_job(spark, specs, a.output_dir, mix, template_factory=named_factory(a.template_factory),
+    res = run_prepare_job(spark, specs, a.output_dir, mix, template=load_template(a.template or a.config), template_factory=named_factory(a.template_factory),
                           isolate_sources=a.isolate_sources)
     if res.prepared is None:
         return 1

@@ -10,9 +10,11 @@ counts (one row per source).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,14 +99,35 @@ def render_sources(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec,
     return (union_all([g[1] for g in groups]) if groups else None), raw_counts, skipped
 
 
+def isolated_tables(spark: SparkSession, store: StageStore, frames: list[DataFrame],
+                    concurrent: int) -> list[DataFrame | Exception]:
+    """Each frame written to a table of its own, or the error that it failed
+    with, in the frames' order.  Up to `concurrent` jobs run at a time, each from a
+    thread that has a scheduler pool of its own, so under FAIR scheduling
+    (spark.scheduler.mode) small sources go on beside a large one; a slow or
+    failing one holds up no other."""
+    def write(i: int) -> DataFrame | Exception:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"corpusmill-source-{i % concurrent}")
+        try:
+            return store.put(f"samples_{i}", frames[i])
+        except Exception as e:  # noqa: BLE001 - one source's failure is its own
+            return e
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(concurrent, len(frames)))) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(write), i) for i in range(len(frames))]]
+
+
 def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None = None,
             frames: dict[str, DataFrame] | None = None, template: ChatTemplate = CHATML,
             store: StageStore | None = None, template_factory=None,
-            isolate_sources: bool = False) -> Prepared:
+            isolate_sources: bool = False, concurrent_sources: int = 8) -> Prepared:
     """The whole job.  With `isolate_sources` (needs a store) every source
     group is materialised on its own, so a source whose files fail while
     being read (corrupt data, lost storage) is reported in `skipped` and the
-    run goes on without it; otherwise such errors fail the job."""
+    run goes on without it; otherwise such errors fail the job.  So many
+    groups as `concurrent_sources` are written at a time."""
     mix = mix or MixSpec()
     specs = validate_sources(specs, mix)
     config = source_config_df(spark, specs)
@@ -124,13 +147,15 @@ def prepare(spark: SparkSession, specs: list[SourceSpec], mix: MixSpec | None =
 
     if isolate_sources and store is not None:
         parts, ok_groups = [], []
-        for i, (names, part, full) in enumerate(groups):
-            try:
-                parts.append(store.put(f"samples_{i}", to_samples(part)))
-                ok_groups.append((names, part, full))
-            except Exception as e:  # noqa: BLE001 - execution-time failure of one source
+        tables = isolated_tables(spark, store, [to_samples(part) for _, part, _ in groups], concurrent_sources)
+        for group, table in zip(groups, tables):
+            names = group[0]
+            if isinstance(table, DataFrame):
+                parts.append(table)
+                ok_groups.append(group)
+            else:  # execution-time failure of this source group alone
                 for n in names:
-                    skipped[n] = str(e).splitlines()[0][:300]
+                    skipped[n] = str(table).splitlines()[0][:300] if str(table) else type(table).__name__
                     raw_counts.pop(n, None)
                 lazy_counts = [(ns, d) for ns, d in lazy_counts if ns != names]
         if not parts:

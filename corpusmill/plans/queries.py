@@ -159,8 +159,7 @@ def q_length_band_stream(spark, sf_dir):
     files, then read back from its sink."""
     from corpusmill.streaming import run_available_now, stream_samples
     docs = catalog.documents(spark, sf_dir)
-    # a pattern, so that a table may be one file or a folder of part files
-    spec = SourceSpec(name="documents", path=catalog.table(sf_dir, "documents") + "*", format="text",
+    spec = SourceSpec(name="documents", path=catalog.table(sf_dir, "documents"), format="text",
                       source_column="source", id_column="doc_id")
     out = run_available_now(stream_samples(spark, spec, docs.schema, MIX), _scratch(spark, "stream_band"))
     return spark.read.parquet(out).select("sample_id", "source", _big("n_chars").alias("n_chars"))

@@ -27,6 +27,17 @@ from corpusmill.operators.render import render_samples
 from corpusmill.session import ensure_checkpoint_dir
 
 
+def exact_listing(path: str) -> str:
+    """`path` as the stream reader lists it: a table that is one file as well as a
+    folder of part files, and nothing beside it.  The reader takes a single
+    file only by a pattern, so the name's last letter becomes a class of that
+    one letter; a path that is a pattern stays one."""
+    if not path.rstrip("/") or any(c in path for c in "*?[]{}\\"):
+        return path
+    path = path.rstrip("/")
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def stream_samples(spark: SparkSession, spec: SourceSpec, schema: T.StructType, mix: MixSpec | None = None,
                    template: ChatTemplate = CHATML, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming (sample_id, source, text, text_hash, n_chars) of the
@@ -39,7 +50,7 @@ def stream_samples(spark: SparkSession, spec: SourceSpec, schema: T.StructType,
         reader = reader.options(**dict(spec.options))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = reader.load(spec.path)
+    df = reader.load(exact_listing(spec.path))
     if spec.subset is not None:
         df = df.where(F.col(spec.subset_column) == F.lit(spec.subset))
     if spec.source_column is not None:
