@@ -4,7 +4,8 @@
 than once is removed everywhere but at its first place: the smallest document
 id, and there the earliest line.  So a line goes exactly if it lies in a run of
 two or more lines that also stands in a row in a document of a smaller id, or
-earlier in its own without overlap.  The first place of every line stays.
+earlier in its own without overlap.  The first place of every line stays, and
+so do runs of blank lines alone: white space is no passage.
 
 `dedup_lines` is the coarser form on chunks: lines are hashed, and a local
 minimum of the rolling hash over each `window` consecutive line hashes puts a
@@ -28,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import Stages
+from corpusmill.llm.common import WS, Stages
 
 WINDOW = 2
 MIN_LINES = 2
@@ -85,7 +86,7 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
 
 
 def removals(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, drop: sorted places of the chunks to remove), for documents with any."""
+    """(id, _drop: sorted places of the chunks to remove), for documents with any."""
     rows = chunk_rows(df, id_col, text_col)
     repeated = stages.put("repeated", repeated_chunks(rows))
     # narrow: hashes and places only; a hot chunk's rows are split by the skew join
@@ -95,7 +96,7 @@ def removals(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: st
     own = (found.where(F.col("id") == F.col("first_id")).groupBy("id", "h", "h2")
            .agg(F.sort_array(F.collect_list("at")).alias("ats"))
            .select("id", F.explode(F.slice("ats", F.lit(2), F.size("ats"))).alias("at")))
-    return later.unionByName(own).groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("drop"))
+    return later.unionByName(own).groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("_drop"))
 
 
 def dedup_lines(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -104,16 +105,16 @@ def dedup_lines(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col:
     drop = stages.put("drop", removals(df, stages, id_col, text_col))
     joined = df.join(drop.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left").drop("_id")
     cut = chunked(joined, text_col)
-    gone = lambda c, i: F.coalesce(F.array_contains("drop", i), F.lit(False))
-    removed = F.when(F.col("drop").isNotNull(), F.filter("_chunks", gone))
+    gone = lambda c, i: F.coalesce(F.array_contains("_drop", i), F.lit(False))
+    removed = F.when(F.col("_drop").isNotNull(), F.filter("_chunks", gone))
     lines = F.aggregate(removed, F.lit(0), lambda acc, c: acc + c["n_lines"])
     kept = F.array_join(F.transform(F.filter("_chunks", lambda c, i: ~gone(c, i)), lambda c: c["text"]), "\n")
     return (cut.withColumns({
         "n_chunks": F.when(F.col("_chunks").isNull(), 0).otherwise(F.size("_chunks")).cast("long"),
-        "n_removed_chunks": F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long"),
+        "n_removed_chunks": F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long"),
         "n_removed_lines": F.coalesce(lines, F.lit(0)).cast("long"),
-        text_col: F.when(F.col("drop").isNull(), F.col(text_col)).otherwise(kept)})
-        .drop("_chunks", "drop"))
+        text_col: F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(kept)})
+        .drop("_chunks", "_drop"))
 
 
 def pair_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -127,7 +128,7 @@ def pair_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def run_removals(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, drop: sorted places of the pairs whose lines go), for documents with any."""
+    """(id, _drop: sorted places of the pairs whose lines go), for documents with any."""
     rows = pair_rows(df, id_col, text_col)
     # equal pairs meet in partial sums before anything moves
     repeated = stages.put("repeated", rows.groupBy("key").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
@@ -140,7 +141,7 @@ def run_removals(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col
            .agg(F.sort_array(F.collect_list("at")).alias("ats"))
            .withColumn("earliest", F.get("ats", F.lit(0)))
            .select("id", F.explode(F.filter("ats", lambda a: a >= F.col("earliest") + 2)).alias("at")))
-    return later.unionByName(own).groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("drop"))
+    return later.unionByName(own).groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("_drop"))
 
 
 def _line_runs(drop: Column) -> Column:
@@ -163,8 +164,10 @@ def dedup_runs(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col:
     drop = stages.put("drop", run_removals(df, stages, id_col, text_col))
     # the table grows with the documents: never broadcast
     joined = df.join(drop.withColumnRenamed("id", "_id").hint("merge"), F.col(id_col) == F.col("_id"), "left").drop("_id")
-    cut = joined.withColumn("_runs", F.when(F.col("drop").isNotNull(), _line_runs(F.col("drop")))).withColumn(
-        "_lines", F.when(F.col("_runs").isNotNull(), F.split(F.col(text_col), "\n", -1)))
+    has_text = lambda r: F.exists(F.slice("_lines", r["lo"] + 1, r["hi"] - r["lo"]), lambda x: x.rlike(f"[^{WS}]"))
+    cut = joined.withColumn("_lines", F.when(F.col("_drop").isNotNull(), F.split(F.col(text_col), "\n", -1))).withColumn(
+        "_runs", F.when(F.col("_drop").isNotNull(), F.filter(_line_runs(F.col("_drop")), has_text)))
+    cut = cut.withColumn("_runs", F.when(F.size("_runs") > 0, F.col("_runs")))
     starts = F.concat(F.array(F.lit(0)), F.transform("_runs", lambda r: r["hi"]))
     ends = F.concat(F.transform("_runs", lambda r: r["lo"]), F.array(F.size("_lines")))
     cut = cut.withColumn("_kept", F.filter(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("lo"), b.alias("hi"))),
@@ -178,4 +181,4 @@ def dedup_runs(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col:
         "n_removed_chunks": F.when(F.col("_runs").isNull(), 0).otherwise(F.size("_runs")).cast("long"),
         "n_removed_lines": F.coalesce(lines, F.lit(0)).cast("long"),
         text_col: F.when(F.col("_runs").isNull(), F.col(text_col)).otherwise(kept)})
-        .drop("_runs", "_lines", "_kept", "drop"))
+        .drop("_runs", "_lines", "_kept", "_drop"))

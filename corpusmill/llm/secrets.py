@@ -32,14 +32,15 @@ ASSIGN_VALUE = 12
 KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+"
-#: Candidates of these forms are suppressed.
+#: Candidates of these forms are suppressed: (what must be found, what must not).
+#: No form repeats a group, which would take stack for each repetition.
 ALLOWED = (
-    r"^[A-Za-z]+$",                                       # a word
-    r"^[A-Z]?[a-z]+([/_=-]+[A-Za-z]?[a-z]*)*$",           # words joined by punctuation
-    r"^[0-9+/_=-]+$",                                     # numbers, dates, rules
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
-    r"(?i)example|placeholder|xxxx|changeme|dummy",
-    r"^/?[A-Za-z_-]+(/[A-Za-z_-]+)+/?$",                  # a path
+    (r"^[A-Za-z]++$", None),                                # a word
+    (r"^[A-Z]?[a-z][A-Za-z/_=-]*+$", r"[A-Za-z][A-Z]"),     # words joined by punctuation, capitals at their starts
+    (r"^[0-9+/_=-]++$", None),                              # numbers, dates, rules
+    (r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", None),  # UUID
+    (r"(?i)example|placeholder|xxxx|changeme|dummy", None),
+    (r"^(?=[A-Za-z/_-]++$)/?[A-Za-z_-]++/[A-Za-z_-]", r"//"),  # a path of two segments or more
 )
 #: Values with two segments that are words are judged segment by segment.
 PATH = r"(?:^|/)[A-Z]?[a-z][a-z_-]+/(?:.*/)?[A-Z]?[a-z][a-z_-]+(?:/|$)"
@@ -84,17 +85,18 @@ def best_entropy(value: Column, alphabet: str, window: int) -> Column:
     """The largest Shannon entropy, in bits, of `window` neighbouring
     characters of `value` (all of it where it is shorter).
 
-    The state holds a count for each character of the alphabet and the sum of
-    c log2 c; a step changes the two counts concerned and the sum by what the
+    The state holds a count for each character of the alphabet, the sum of
+    c log2 c, and the length of a full window, which is measured once; a step changes the two counts concerned and the sum by what the
     two contribute before and after."""
     codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
     steps = F.zip_with(codes, F.concat(F.array_repeat(F.lit(-1), window), codes),
                        lambda a, b: F.struct(F.coalesce(a, F.lit(-1)).alias("into"), b.alias("out")))
-    steps = F.slice(steps, F.lit(1), F.size(codes))
+    steps = F.slice(steps, F.lit(1), F.char_length(value))
     weight = lambda c: F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
     at = lambda counts, i: F.coalesce(F.get(counts, i), F.lit(0))
     zero = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"),
-                    F.lit(0).alias("n"), F.lit(0.0).alias("best"))
+                    F.lit(0).alias("n"), F.lit(0.0).alias("best"),
+                    F.least(F.char_length(value), F.lit(window)).alias("full"))
 
     def leave(acc, x):
         c = at(acc["counts"], x["out"])
@@ -111,8 +113,8 @@ def best_entropy(value: Column, alphabet: str, window: int) -> Column:
         bits = F.log2(n.cast("double")) - total / n
         # shorter beginnings count only where the whole value is shorter
         return F.struct(counts.alias("counts"), total.alias("sum"), n.alias("n"),
-                        F.when(n == F.least(F.size(codes), F.lit(window)), F.greatest(acc["best"], bits))
-                        .otherwise(acc["best"]).alias("best"))
+                        F.when(n == acc["full"], F.greatest(acc["best"], bits)).otherwise(acc["best"]).alias("best"),
+                        acc["full"].alias("full"))
 
     return F.aggregate(steps, zero, step, lambda acc: acc["best"])
 
@@ -120,8 +122,9 @@ def best_entropy(value: Column, alphabet: str, window: int) -> Column:
 def entropy_hit(value: Column, limits: EntropyLimits) -> Column:
     bits = {"hex": limits.hex_bits, "alnum": limits.alnum_bits, "base64": limits.base64_bits}
     allowed = F.lit(False)
-    for form in ALLOWED:
-        allowed = allowed | value.rlike(form)
+    for form, against in ALLOWED:
+        fits = value.rlike(form)
+        allowed = allowed | (fits if against is None else fits & ~value.rlike(against))
     hit = F.lit(False)
     for name, form, alphabet in reversed(CLASSES):
         hit = F.when(value.rlike(form), best_entropy(value, alphabet, limits.window) >= bits[name]).otherwise(hit)

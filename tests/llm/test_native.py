@@ -167,6 +167,15 @@ def test_no_chunk_of_a_single_line(spark, small_docs):
         assert len(sizes) == 1 or min(sizes) > 1
 
 
+def test_blank_runs_stay_and_columns_may_clash(spark):
+    texts = ["alpha one\n\n\nbeta two", "gamma three\n\n\ndelta four", "x\n \n\t\n \n\t\ny", "alpha one\n\n\nbeta two"]
+    df = documents(spark, texts).withColumns({"drop": F.lit("d"), "at": F.lit(1), "key": F.lit(2), "first_id": F.lit(3)})
+    for dedup in (line_dedup.dedup_runs, line_dedup.dedup_lines):
+        rows = {r.doc_id: r for r in dedup(df, Stages(spark, "t")).collect()}
+        assert [rows[i].text for i in range(3)] == texts[:3] and rows[3].text == ""
+        assert all(r["drop"] == "d" and (r["at"], r["key"], r["first_id"]) == (1, 2, 3) for r in rows.values())
+
+
 # secrets
 
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -229,6 +238,50 @@ def test_windowed_entropy(spark, value):
     assert got == pytest.approx(want, abs=1e-9)
 
 
+def brute_entropy(value, w=20):
+    """Whether any window of a candidate reaches its class's limit."""
+    limits = secrets.EntropyLimits()
+    bits = (limits.hex_bits if re.fullmatch("[0-9a-fA-F]+", value) else limits.alnum_bits if re.fullmatch("[0-9A-Za-z]+", value)
+            else limits.base64_bits)
+    windows = (value[i:i + w] for i in range(len(value) - w + 1))
+    return any(-sum(c / w * math.log2(c / w) for c in Counter(x).values()) >= bits - 1e-9 for x in windows)
+
+
+def test_entropy_spans_equal_a_plain_scanner(spark):
+    rng, texts, want = random.Random(12), [], []
+    word = re.compile(r"[A-Za-z]+|[A-Z]?[a-z]+([/_=-]+[A-Za-z]?[a-z]*)*|[0-9+/_=-]+")
+    for k in range(300):
+        alphabet = rng.choice(["0123456789ABCDEF", "abcXYZ019", "ab0", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789", "aB3+_=-x", "aA_-"])
+        value = "".join(rng.choice(alphabet) for _ in range(rng.choice([19, 20, 21, 40, 90])))
+        texts.append(f"see {value} .")
+        allowed = word.fullmatch(value) or re.search("example|placeholder|xxxx|changeme|dummy", value, re.I)
+        want.append([(4, 4 + len(value))] if len(value) >= 20 and not allowed and brute_entropy(value) else [])
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "entropy"] for r in secrets.scan(documents(spark, texts)).collect()
+           if not r.base_spans}
+    assert len(got) > 200 and sum(map(bool, want)) > 50
+    for k, spans in got.items():
+        assert spans == want[k], texts[k]
+
+
+@pytest.mark.parametrize("value", ["Word-joined-by_marks/and=More", "a", "Aa", "aA", "a-", "-a", "A", "ab-C-d", "ab-CD", "/usr/local/Lib/X_y", "usr/x/",
+                                   "/usr", "usr//x", "a/b", "/", "a/", "//a/b", "A-B/C_D", "aB/cD", "a-b/c1"])
+def test_allowed_forms_without_repeated_groups(spark, value):
+    """The forms as they would be written with repeated groups."""
+    old = (r"[A-Za-z]+", r"[A-Z]?[a-z]+([/_=-]+[A-Za-z]?[a-z]*)*", r"[0-9+/_=-]+", r"/?[A-Za-z_-]+(/[A-Za-z_-]+)+/?")
+    new = F.lit(False)
+    for form, against in secrets.ALLOWED:
+        new = new | (F.lit(value).rlike(form) & ~F.lit(value).rlike(against or "(?!)"))
+    assert spark.range(1).select(new.alias("x")).first().x == any(re.fullmatch(f, value) for f in old)
+
+
+def test_very_long_candidates(spark):
+    rng = random.Random(1)
+    blob = "".join(rng.choices("ABCDEFGHabcdefgh0123456789+", k=1_000_000))
+    texts = ["a-" * 50_000, "ab/" * 30_000, "Ab_" * 50_000 + "1" * 30, "x" * 300_000, "/" * 100_000, blob]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "entropy"] for r in secrets.scan(documents(spark, texts)).collect()}
+    assert not any(got[i] for i in (0, 1, 3, 4)) and sum(e - s for s, e in got[5]) > 900_000
+
+
 def test_secrets_without_rows(spark, empty_docs):
     assert secrets.scan(empty_docs).collect() == []
 
