@@ -112,14 +112,21 @@ def set_table(df: DataFrame, wanted: DataFrame, how: NearDedup, id_col: str, tex
             .dropDuplicates(["id", "set"]))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, how: NearDedup) -> DataFrame:
+#: Hot ids are broadcast up to this number of them.
+HOT_IDS = 100_000
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, how: NearDedup, stages: Stages, name: str) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.  Pairs with the
     same `a` share cells of bounded size, so a set needed often is sent once
-    for each cell."""
+    for each cell.  Only an `a` of more pairs than a cell holds has several;
+    these few are counted, and the pairs themselves do not move by `a`."""
     spark = pairs.sparkSession
-    size = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n_pairs")).withColumnRenamed("a", "a_")
-    celled = pairs.join(size, F.col("a") == F.col("a_")).withColumn(
-        "cell", F.pmod(F.xxhash64("b"), F.ceil(F.col("n_pairs") / how.cell_pairs)).cast("int"))
+    hot = stages.put(f"{name}-hot", pairs.groupBy(F.col("a").alias("a_")).agg(F.count(F.lit(1)).alias("n_pairs"))
+                     .where(F.col("n_pairs") > how.cell_pairs))
+    sized = pairs.join(F.broadcast(hot) if hot.count() <= HOT_IDS else hot, F.col("a") == F.col("a_"), "left")
+    cells = F.ceil(F.coalesce("n_pairs", F.lit(1)) / how.cell_pairs)
+    celled = sized.withColumn("cell", F.pmod(F.xxhash64("b"), cells).cast("int"))
     need = (celled.select("a", "cell", F.lit(0).alias("kind"), F.col("a").alias("id")).distinct()
             .unionByName(celled.select("a", "cell", F.lit(1).alias("kind"), F.col("b").alias("id"))))
     least, of = how.similarity
@@ -257,7 +264,7 @@ def near_duplicates(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(),
             .join(small.withColumnsRenamed({"id": "ib", "n_": "nb"}), F.col("b") == F.col("ib"))
             .where(similar_size).select("a", "b"))
     tested = star = stages.put("star", star)
-    links = stages.put("star-links", confirm(star, sets, how))
+    links = stages.put("star-links", confirm(star, sets, how, stages, "star"))
     labels = components(links, stages, "star")
 
     # what is left of each bucket; a reported pair that was or is refused may have
@@ -271,7 +278,7 @@ def near_duplicates(df: DataFrame, stages: Stages, how: NearDedup = NearDedup(),
         n_found, n_pairs, n_links = found.count(), pairs.count(), 0
         if n_pairs:
             tested = tested.unionByName(pairs)
-            more = stages.put(f"links-{i}", confirm(pairs, sets, how))
+            more = stages.put(f"links-{i}", confirm(pairs, sets, how, stages, f"round-{i}"))
             n_links = more.count()
             links = links.unionByName(more)
             labels = components(links, stages, f"round-{i}")
