@@ -147,6 +147,17 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def arrow_uri(uri: str) -> str:
+    """The name under which Arrow knows the file system of one of Hadoop's URIs."""
+    scheme, mark, rest = uri.partition("://")
+    return {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + mark + rest
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """(file system, path in it) of a URI that Spark's configuration names."""
+    return pafs.FileSystem.from_uri(arrow_uri(uri))
+
+
 def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int, vocabulary: int,
                   stages: Stages, id_col: str = "doc_id", text_col: str = "text",
                   shards: int | None = None) -> DataFrame:
@@ -162,7 +173,7 @@ def write_records(df: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
     target, end = stages.path("records"), end_id.to_bytes(width, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pafs.FileSystem.from_uri(target)
+        fs, root = file_system(target)
         context = TaskContext.get()
         shard = context.partitionId()
         name = f"shard-{shard:06d}-{context.taskAttemptId()}"
@@ -221,7 +232,7 @@ def read_records(manifest: DataFrame, shuffle_seed: int | None = None) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                fs, path = pafs.FileSystem.from_uri(row["path"])
+                fs, path = file_system(row["path"])
                 out, size = ([], [], [], []), 0
                 for entry, payload in frames(fs, path):
                     if payload is None:

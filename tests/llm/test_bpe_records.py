@@ -180,3 +180,11 @@ def test_long_fragments_are_not_kept():
     for text, ids in zip(texts, coder.code([x.encode() for x in texts])):
         assert np.frombuffer(ids, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
     assert max(map(len, [*coder.fragments, *coder.tokens])) <= 257
+
+
+def test_names_of_storage():
+    same = ("file:/x/y", "file:///x/y", "/x/y", "hdfs://host:8020/x", "gs://bucket/x", "s3://bucket/x")
+    assert [records.arrow_uri(u) for u in same] == list(same)
+    assert records.arrow_uri("s3a://bucket/a/b") == records.arrow_uri("s3n://bucket/a/b") == "s3://bucket/a/b"
+    fs, path = records.file_system("file:///tmp/x")
+    assert fs.type_name == "local" and path == "/tmp/x"
