@@ -1,21 +1,23 @@
 """Removal of repeated multi-line passages in DataFrame functions only.
 
-`dedup_runs` takes every two neighbouring lines.  A pair whose bytes occur more
-than once is removed everywhere but at its first place: the smallest document
-id, and there the earliest line.  So a line goes exactly if it lies in a run of
-two or more lines that also stands in a row in a document of a smaller id, or
-earlier in its own without overlap.  The first place of every line stays, and
-so do runs of blank lines alone: white space is no passage.
-
-`dedup_lines` is the coarser form on chunks: lines are hashed, and a local
-minimum of the rolling hash over each `window` consecutive line hashes puts a
-chunk boundary after its line, so boundaries depend on nearby lines alone and
-come back after an insertion, and no chunk of a text of several lines has only
-one.  Whole chunks go; what a repeated passage has outside of them stays.
-
-Pairs are equal by their SHA-256, so that no text moves to compare them.  Equal
-chunk hashes are confirmed on the bytes by grouping on the text itself; should
-two different texts share a hash, neither is removed.
+Lines are hashed, and a rolling hash covers each `WINDOW` consecutive line
+hashes.  A local minimum of it puts a chunk boundary after its line, so
+boundaries depend on nearby lines alone and come back after an insertion, and
+no chunk of a text of several lines has only one.
+
+`dedup_runs` takes as seeds the chunks that a document of a smaller id also
+holds, and extends them line by line: two neighbouring lines outside of such
+chunks, at their ends or in what has no whole repeated chunk, are looked up by
+their rolling hash among all others that are left.  Seeds and pairs are then
+compared on their bytes; should two different texts share a key, neither is
+removed.  So a line goes exactly if it lies in a run of two or more lines that
+also stands in a row in a document of a smaller id, or earlier in its own
+without overlap.  The first place of every line stays, and so do runs of blank
+lines alone: white space is no passage.
+
+`dedup_lines` is the coarser form: whole repeated chunks go, what a repeated
+passage has outside of them stays.  Equal chunk hashes are confirmed on the
+bytes by grouping on the text itself.
 
 Null texts stay null and empty ones stay empty.  Rows with a null id take no
 part and stay as they are.  Rows that repeat an id count as one document: the
@@ -35,8 +37,9 @@ WINDOW = 2
 MIN_LINES = 2
 
 
-def chunked(df: DataFrame, text_col: str, window: int = WINDOW) -> DataFrame:
-    """`df` with _chunks: array of (n_lines, text), which joined by a line feed give the text."""
+def spanned(df: DataFrame, text_col: str, window: int = WINDOW) -> DataFrame:
+    """`df` with _lines, _rolled (the rolling hash at each line) and _spans:
+    array of (a, n), the first line and the number of lines of each chunk."""
     lines = df.withColumn("_lines", F.split(F.col(text_col), "\n", -1))
     hashes = lines.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
     # the rolling hash at line i covers the lines i - window + 1 .. i
@@ -52,13 +55,22 @@ def chunked(df: DataFrame, text_col: str, window: int = WINDOW) -> DataFrame:
         (i > 0) & (i < n - 2) & (r < F.get("_rolled", i - 1)) & (r <= F.get("_rolled", i + 1)))
     ends = F.filter(F.transform("_rolled", lambda r, i: F.when(least(r, i) | (i == n - 1), i + 1)),
                     lambda x: x.isNotNull())
-    cut = hashes.withColumn("_ends", F.when(n > 0, ends)).drop("_hashes", "_rolled")
+    cut = hashes.withColumn("_ends", F.when(n > 0, ends))
     starts = F.concat(F.array(F.lit(0)), F.slice("_ends", F.lit(1), F.size("_ends") - 1))
     spans = F.zip_with(starts, "_ends", lambda a, b: F.struct(a.alias("a"), (b - a).alias("n")))
-    return (cut.withColumn("_spans", F.when(F.col("_ends").isNotNull(), spans))
+    return cut.withColumn("_spans", F.when(F.col("_ends").isNotNull(), spans)).drop("_hashes", "_ends")
+
+
+def _text_of(start: Column, n: Column) -> Column:
+    return F.array_join(F.slice("_lines", start + 1, n), "\n")
+
+
+def chunked(df: DataFrame, text_col: str, window: int = WINDOW) -> DataFrame:
+    """`df` with _chunks: array of (n_lines, text), which joined by a line feed give the text."""
+    return (spanned(df, text_col, window)
             .withColumn("_chunks", F.transform("_spans", lambda s: F.struct(
-                s["n"].alias("n_lines"), F.array_join(F.slice("_lines", s["a"] + 1, s["n"]), "\n").alias("text"))))
-            .drop("_lines", "_ends", "_spans"))
+                s["n"].alias("n_lines"), _text_of(s["a"], s["n"]).alias("text"))))
+            .drop("_lines", "_rolled", "_spans"))
 
 
 def chunk_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -117,35 +129,75 @@ def dedup_lines(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col:
         .drop("_chunks", "_drop"))
 
 
-def pair_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, at, key) of every two neighbouring lines: the place of the first and their SHA-256."""
-    lines = df.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.split(F.col(text_col), "\n", -1).alias("_lines"))
+def seed_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, at, n, k, k2, pairs) of every chunk: its first line, number of
+    lines and key, and the keys of the pairs of lines that start in it, the
+    one across its end included.  No text: keys are 128 bits."""
+    cut = spanned(df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("_t")), "_t")
     n = F.size("_lines")
-    keys = F.zip_with(F.slice("_lines", F.lit(1), n - 1), F.slice("_lines", F.lit(2), n - 1),
-                      lambda a, b: F.unhex(F.sha2(F.concat(a, F.lit("\n"), b), 256)))
-    return lines.where(n >= MIN_LINES).select("id", F.posexplode(keys).alias("at", "key"))
+    second = F.zip_with(F.slice("_lines", F.lit(1), n - 1), F.slice("_lines", F.lit(2), n - 1),
+                        lambda a, b: _second_key(F.concat(a, F.lit("\n"), b)))
+    keys = F.zip_with(F.slice("_rolled", F.lit(2), n - 1), second, lambda k, k2: F.struct(k.alias("k"), k2.alias("k2")))
+    row = lambda s: F.struct(
+        s["a"].alias("at"), s["n"].alias("n"), F.xxhash64(_text_of(s["a"], s["n"])).alias("k"),
+        _second_key(_text_of(s["a"], s["n"])).alias("k2"), F.slice("_keys", s["a"] + 1, s["n"]).alias("pairs"))
+    return (cut.where(n >= MIN_LINES).withColumn("_keys", keys)
+            .select("id", F.explode(F.transform("_spans", row)).alias("c")).select("id", "c.*"))
+
+
+def _second_key(text: Column) -> Column:
+    return F.xxhash64(F.lit(1), text)
+
+
+def _different_texts(df: DataFrame, places: DataFrame, stages: Stages, id_col: str, text_col: str) -> DataFrame:
+    """(k, k2) of the keys at (id, at, n, k, k2) that stand for more than one
+    text.  Equal texts meet in partial sums before anything moves."""
+    listed = stages.put("places", places.groupBy("id").agg(
+        F.collect_list(F.struct("at", "n", "k", "k2")).alias("places")))
+    lines = df.select(F.col(id_col).alias("_id"), F.split(F.col(text_col), "\n", -1).alias("_lines"))
+    # the table grows with the documents: never broadcast
+    texts = (lines.join(listed.hint("merge"), F.col("_id") == F.col("id"))
+             .select("_lines", F.explode("places").alias("p"))
+             .select("p.k", "p.k2", _text_of(F.col("p.at"), F.col("p.n")).alias("text"))
+             # a place of another row of the id has another key
+             .where(_second_key(F.col("text")) == F.col("k2")))
+    return texts.distinct().groupBy("k", "k2").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("k", "k2")
 
 
 def run_removals(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, _drop: sorted places of the pairs whose lines go), for documents with any."""
-    rows = pair_rows(df, id_col, text_col)
-    # equal pairs meet in partial sums before anything moves
-    repeated = stages.put("repeated", rows.groupBy("key").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-                          .where("n > 1").drop("n"))
+    """(id, _drop: sorted spans (lo, hi) of lines that go), for documents with any."""
+    seeds = stages.put("seeds", seed_rows(df, id_col, text_col))
+    shared = (seeds.groupBy("k", "k2").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+              .where("first_id < last_id").drop("last_id"))
+    # a hot chunk's rows are split by the skew join
+    seeds = stages.put("marked", seeds.join(stages.put("shared", shared), ["k", "k2"], "left"))
+    later = F.coalesce(F.col("id") > F.col("first_id"), F.lit(False))
+    # inside a seed of a smaller id every pair is settled; the one across its end is not
+    pairs = (seeds.withColumn("start", F.when(later, F.col("at") + F.col("n") - 1).otherwise(F.col("at")))
+             .withColumn("open", F.when(later, F.slice("pairs", F.col("n"), F.lit(1))).otherwise(F.col("pairs")))
+             .select("id", "start", F.posexplode("open").alias("i", "key"))
+             .select("id", (F.col("start") + F.col("i")).alias("at"), "key.k", "key.k2"))
+    repeated = stages.put("repeated", pairs.groupBy("k", "k2").agg(
+        F.min("id").alias("first_id"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"))
     # narrow: a hot pair's rows are split by the skew join
-    found = stages.put("found", rows.join(repeated, "key").distinct())
-    later = found.where(F.col("id") > F.col("first_id")).select("id", "at")
+    found = stages.put("found", pairs.join(repeated, ["k", "k2"]).distinct().withColumn("n", F.lit(MIN_LINES)))
+    place = ["id", "at", "n", "k", "k2"]
     # several places in the first document: all go that share no line with the earliest
-    own = (found.where(F.col("id") == F.col("first_id")).groupBy("id", "key")
+    own = (found.where(F.col("id") == F.col("first_id")).groupBy("id", "n", "k", "k2")
            .agg(F.sort_array(F.collect_list("at")).alias("ats"))
            .withColumn("earliest", F.get("ats", F.lit(0)))
-           .select("id", F.explode(F.filter("ats", lambda a: a >= F.col("earliest") + 2)).alias("at")))
-    return later.unionByName(own).groupBy("id").agg(F.sort_array(F.collect_list("at")).alias("_drop"))
+           .select("id", F.explode(F.filter("ats", lambda a: a >= F.col("earliest") + MIN_LINES)).alias("at"),
+                   "n", "k", "k2"))
+    gone = seeds.where(later).select(place).unionByName(found.where(later).select(place)).unionByName(own)
+    either = seeds.where(F.col("first_id").isNotNull()).select(place).unionByName(found.select(place))
+    unlike = stages.put("unlike", _different_texts(df, either, stages, id_col, text_col))
+    return (gone.join(unlike, ["k", "k2"], "left_anti").groupBy("id")
+            .agg(F.sort_array(F.collect_list(F.struct(F.col("at").alias("lo"), (F.col("at") + F.col("n")).alias("hi"))))
+                 .alias("_drop")))
 
 
 def _line_runs(drop: Column) -> Column:
-    """Array of (lo, hi): the lines lo .. hi - 1 that the pairs at sorted places cover, in maximal runs."""
+    """Array of (lo, hi): the lines lo .. hi - 1 that the sorted spans cover, in maximal runs."""
     none = F.expr("cast(array() as array<struct<lo:int,hi:int>>)")
     run = lambda lo, hi: F.struct(lo.cast("int").alias("lo"), hi.cast("int").alias("hi"))
     state = lambda done, lo, hi: F.struct(
@@ -154,8 +206,8 @@ def _line_runs(drop: Column) -> Column:
         acc["done"])
     return F.aggregate(
         drop, state(none, F.lit(0), F.lit(-1)),
-        lambda acc, at: F.when(at <= acc["hi"], state(acc["done"], acc["lo"], at + 2)).otherwise(
-            state(closed(acc), at, at + 2)), closed)
+        lambda acc, s: F.when(s["lo"] <= acc["hi"], state(acc["done"], acc["lo"], F.greatest(acc["hi"], s["hi"]))).otherwise(
+            state(closed(acc), s["lo"], s["hi"])), closed)
 
 
 def dedup_runs(df: DataFrame, stages: Stages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

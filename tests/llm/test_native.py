@@ -154,6 +154,40 @@ def test_whole_runs_go(spark, words, edge_docs, edge_texts, small_docs):
             assert (r.n_removed_chunks > 0) == (r.n_removed_lines > 0) and r.n_chunks >= r.n_removed_chunks
 
 
+def test_seeds_hold_every_pair_and_settle_those_inside(spark, small_docs):
+    rows = line_dedup.seed_rows(small_docs, "doc_id", "text").collect()
+    texts = {r.doc_id: (r.text or "").split("\n") for r in small_docs.collect()}
+    starts = {i: set() for i in texts}
+    for r in rows:
+        assert r.n >= line_dedup.MIN_LINES and len(r.pairs) in (r.n, r.n - 1)
+        starts[r.id] |= {r.at + i for i in range(len(r.pairs))}
+    assert all(starts[i] == set(range(len(x) - 1)) for i, x in texts.items())
+    keys = {}
+    for r in rows:
+        for i, key in enumerate(r.pairs):
+            pair = tuple(texts[r.id][r.at + i:r.at + i + 2])
+            assert keys.setdefault(tuple(key), pair) == pair
+
+
+def test_equal_keys_of_different_texts(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_second_key", lambda text: F.lit(7).cast("long"))
+    df = documents(spark, ["a\nb\nc", "x\nb\nc", "a\nb\nd"])
+    places = spark.createDataFrame(
+        [(0, 0, 2, 1, 7), (1, 0, 2, 1, 7), (0, 1, 2, 2, 7), (1, 1, 2, 2, 7), (0, 0, 2, 3, 7), (2, 0, 2, 3, 7), (2, 1, 2, 2, 8)],
+        "id long, at int, n int, k long, k2 long")
+    got = line_dedup._different_texts(df, places, Stages(spark, "t"), "doc_id", "text").collect()
+    assert [tuple(r) for r in got] == [(1, 7)]
+
+
+def test_runs_of_a_text_of_very_many_lines(spark):
+    rng = random.Random(8)
+    body = [str(rng.random()) for _ in range(30000)]
+    texts = ["\n".join(body), "\n".join(["new"] + body[:15000] + ["cut"] + body[15000:]), "\n".join(["same"] * 20000)]
+    want = brute_runs(dict(enumerate(texts)))
+    rows = line_dedup.dedup_runs(documents(spark, texts), Stages(spark, "t")).collect()
+    assert {r.doc_id: (r.text, r.n_removed_lines) for r in rows} == want
+
+
 def test_whole_runs_without_rows_and_ids(spark, empty_docs):
     assert line_dedup.dedup_runs(empty_docs, Stages(spark, "t")).collect() == []
     df = spark.createDataFrame([(None, "a\nb\nc\nd"), (None, "a\nb\nc\nd"), (1, "a\nb\nc\nd"), (1, "a\nb\nc\nd")],
