@@ -89,15 +89,18 @@ def pretoken_encoder(proto: bytes, ranks: dict[bytes, int]):
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """(id, n_tokens long, ids binary) of every row's whole text."""
+           text_col: str = "text", cached: int = 100_000) -> DataFrame:
+    """(id, n_tokens long, ids binary) of every row's whole text.  A worker
+    keeps the ids of about `cached` fragments, twice over, in some 60 MB."""
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((model_proto(ranks), ranks))  # size of the vocabulary
-    key = f"bpe_{zlib.crc32(repr((pattern, sorted(ranks.items()))).encode())}"
+    key = f"bpe_{cached}_{zlib.crc32(repr((pattern, sorted(ranks.items()))).encode())}"
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        coder = per_worker(key, lambda: PretokenCoder(pattern, pretoken_encoder(*shared.value)))
+        # what earlier tasks of this worker left in Arrow's pool goes back
+        pa.default_memory_pool().release_unused()
+        coder = per_worker(key, lambda: PretokenCoder(pattern, pretoken_encoder(*shared.value), max_entries=cached))
         for ids, texts in text_batches(batches, "id", "text", raw=True):
             coded = coder.code(texts)
             yield pa.RecordBatch.from_arrays(
