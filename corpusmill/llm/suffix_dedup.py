@@ -21,9 +21,15 @@ about one in seventeen, are sorted:
 
 Results: maximal removed runs.  Null texts count as empty.  Texts shorter than
 `length` lose nothing.  Rows with a null id come after all ids and remove
-nothing from one another.  An id stands for one text; rows that repeat both
-share their result and never remove each other.  Extra columns are ignored.
-An empty table gives an empty result.
+nothing from one another; their texts are told apart by a 63-bit hash.  Any
+other id stands for one text; rows that repeat id and text share their result
+and never remove each other.  Extra columns are ignored.  An empty table gives
+an empty result.
+
+Ranges of suffixes and parts of the documents hold `range_bytes` of text on
+average, whatever the table's size, so what one task holds at a time is bounded;
+parts are dealt by a hash of id and text, so null ids and ids of a common stride
+spread.
 """
 
 from __future__ import annotations
@@ -45,6 +51,8 @@ NO_ID = (1 << 63) - 1
 #: it are still open; the window that starts here goes.
 SETTLED, RIGHT, LEFT, GONE = 1, 2, 4, 8
 LAST = U(0xFFFFFFFFFFFFFFFF)
+#: The primes of the published hash XXH64.
+XXH64_PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 
 
 @dataclass(frozen=True)
@@ -54,6 +62,7 @@ class Suffixes:
     side: int = 17           # windows that start less than this before their anchor count as its right side
     sample_docs: int = 8     # sampled for each range
     deal_rows: int = 300_000  # suffixes packed at once
+    range_bytes: int = 64 << 20  # text of a range or part at most, on average
 
     @property
     def reach(self) -> int:
@@ -79,9 +88,31 @@ def unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-SUFFIX = ("<u8", "<u4", "<u8", "<u2", "<u2", "<i8", "<u4")  # lead, rest, around, left, right, doc, pos
-ENTRY = ("<i8", "<u4", "<u1")                               # doc, pos, flags
-WINDOW = ("<u8", "<u8", "<i8", "<u4")                       # two hashes, doc, pos
+# a row is known by its id and, where that is null, by a mark; all other marks are 0 and take no room once packed
+SUFFIX = ("<u8", "<u4", "<u8", "<u2", "<u2", "<i8", "<i8", "<u4")  # lead, rest, around, left, right, doc, mark, pos
+ENTRY = ("<i8", "<i8", "<u4", "<u1")                              # doc, mark, pos, flags
+WINDOW = ("<u8", "<u8", "<i8", "<i8", "<u4")                      # two hashes, doc, mark, pos
+
+
+def row_mark():
+    """0, or for rows without an id a hash of the text."""
+    return F.when(F.col("id").isNull(), F.xxhash64("body").bitwiseAND(F.lit(NO_ID)).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
+
+
+def part_column(parts: int):
+    """`part_of` of the columns id and mark."""
+    return F.pmod(F.xxhash64(F.coalesce("id", F.lit(NO_ID)).bitwiseXOR(F.col("mark"))), F.lit(parts)).cast("int")
+
+
+def part_of(doc: np.ndarray, mark: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each row, by the hash that the column function xxhash64 gives one long."""
+    turned = lambda x, by: x << U(by) | x >> U(64 - by)
+    p1, p2, p3, p4, p5 = (U(p) for p in XXH64_PRIMES)
+    h = (U(42) + p5 + U(8)) ^ turned((doc ^ mark).astype("<i8").view(U) * p2, 31) * p1
+    h = turned(h, 27) * p1 + p4
+    h = (h ^ h >> U(33)) * p2
+    h = (h ^ h >> U(29)) * p3
+    return np.mod((h ^ h >> U(32)).view(np.int64), parts)
 
 
 # texts of a batch as one array of bytes
@@ -148,7 +179,7 @@ def anchors(p: Prefixes, how: Suffixes) -> tuple[np.ndarray, np.ndarray]:
     return h, np.flatnonzero((least == h) & (h != LAST))
 
 
-def suffix_columns(p: Prefixes, docs: np.ndarray, how: Suffixes) -> list[np.ndarray]:
+def suffix_columns(p: Prefixes, docs: np.ndarray, marks: np.ndarray, how: Suffixes) -> list[np.ndarray]:
     _, at = anchors(p, how)
     text = p.text_of[at] if len(at) else at
     start, end = p.starts[text], p.ends[text]
@@ -160,7 +191,7 @@ def suffix_columns(p: Prefixes, docs: np.ndarray, how: Suffixes) -> list[np.ndar
     # what the windows on one side of the anchor have in common; near an end of the text there are none
     right, left = np.minimum(at + how.length - how.side + 1, end), np.maximum(at - how.side, start)
     return [lead, (p.hash(at + 8, at + how.lead) >> U(32)).astype("<u4"), around,
-            p.hash(left, at).astype("<u2"), p.hash(at, right).astype("<u2"), docs[text], (at - start).astype("<u4")]
+            p.hash(left, at).astype("<u2"), p.hash(at, right).astype("<u2"), docs[text], marks[text], (at - start).astype("<u4")]
 
 
 def order_key(lead: np.ndarray, rest: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -194,18 +225,19 @@ def group_starts(sorted_: np.ndarray) -> np.ndarray:
 
 
 def _texts(batch: pa.RecordBatch, max_bytes: int = 1_000_000):
-    """(docs, texts as bytes) of bounded size out of a batch with id and body."""
-    ids, bodies = batch.column("id").to_pylist(), batch.column("body").to_pylist()
-    docs, texts, size = [], [], 0
-    for i, b in zip(ids, bodies):
+    """(docs, marks, texts as bytes) of bounded size out of a batch with id, mark and body."""
+    ids, all_marks, bodies = (batch.column(c).to_pylist() for c in ("id", "mark", "body"))
+    docs, marks, texts, size = [], [], [], 0
+    for i, m, b in zip(ids, all_marks, bodies):
         docs.append(NO_ID if i is None else i)
+        marks.append(m)
         texts.append(b or b"")
         size += len(texts[-1])
         if size >= max_bytes:
-            yield np.array(docs, np.int64), texts
-            docs, texts, size = [], [], 0
+            yield np.array(docs, np.int64), np.array(marks, np.int64), texts
+            docs, marks, texts, size = [], [], [], 0
     if docs:
-        yield np.array(docs, np.int64), texts
+        yield np.array(docs, np.int64), np.array(marks, np.int64), texts
 
 
 def _dealt(numbers: np.ndarray, columns: list[np.ndarray]):
@@ -232,16 +264,15 @@ def _by_key(batches, key: str):
         yield at, held
 
 
-def splitters(df: DataFrame, how: Suffixes, ranges: int) -> np.ndarray:
+def splitters(df: DataFrame, how: Suffixes, ranges: int, total: int) -> np.ndarray:
     """Sort keys that deal a sample's suffixes evenly."""
-    total = df.count()
     wanted = how.sample_docs * ranges
     sample = df.sample(min(1.0, (wanted + 10) / max(total, 1)), seed=7)
 
     def run(batches):
         for batch in batches:
-            for docs, texts in _texts(batch):
-                columns = suffix_columns(Prefixes(texts), docs, how)
+            for docs, marks, texts in _texts(batch):
+                columns = suffix_columns(Prefixes(texts), docs, marks, how)
                 keys = order_key(columns[0], columns[1], columns[5])
                 keys = keys[(columns[2] & U(7)) == 0]  # one in eight
                 yield pa.RecordBatch.from_arrays(
@@ -258,8 +289,8 @@ def suffix_blobs(df: DataFrame, how: Suffixes, cuts: np.ndarray) -> DataFrame:
     def run(batches):
         held, n = [], 0
         for batch in batches:
-            for docs, texts in _texts(batch):
-                held.append(suffix_columns(Prefixes(texts), docs, how))
+            for docs, marks, texts in _texts(batch):
+                held.append(suffix_columns(Prefixes(texts), docs, marks, how))
                 n += len(held[-1][0])
                 if n >= how.deal_rows:
                     yield deal(held)
@@ -278,7 +309,7 @@ def suffix_blobs(df: DataFrame, how: Suffixes, cuts: np.ndarray) -> DataFrame:
     return df.mapInArrow(run, "range int, body binary")
 
 
-FOUND = "part int, body binary, lead long, rest long, around long, doc long, pos long"
+FOUND = "part int, body binary, lead long, rest long, around long, doc long, mark long, pos long"
 
 
 def compare_ranges(blobs: DataFrame, parts: int, ranges: int) -> DataFrame:
@@ -290,7 +321,7 @@ def compare_ranges(blobs: DataFrame, parts: int, ranges: int) -> DataFrame:
             pieces = [unpack(b, *SUFFIX) for batch in held for b in batch.column("body").to_pylist()]
             columns = [np.concatenate(c) for c in zip(*pieces)]
             order = multikey_order(columns[0], columns[1], columns[5])
-            lead, rest, around, left, right, doc, pos = (c[order] for c in columns)
+            lead, rest, around, left, right, doc, mark, pos = (c[order] for c in columns)
             start = group_starts(lead) | group_starts(rest)
             group = np.cumsum(start) - 1
             first = np.flatnonzero(start)
@@ -303,13 +334,13 @@ def compare_ranges(blobs: DataFrame, parts: int, ranges: int) -> DataFrame:
             # at the ends only what has no smaller id here is left to compare: a surrounding counts once for each range
             edge &= flags != SETTLED
             hit = np.flatnonzero((flags > 0) & ~edge)
-            rows = [(p, pack(*c), None, None, None, None, None)
-                    for p, c in _dealt(doc[hit] % parts, [doc[hit], pos[hit], flags[hit]])] if len(hit) else []
-            rows += [(None, None, int(lead[i].astype(np.int64)), int(rest[i]), int(around[i].astype(np.int64)), int(doc[i]), int(pos[i]))
-                     for i in np.flatnonzero(edge)]
+            rows = [(p, pack(*c), *[None] * 6) for p, c in _dealt(
+                part_of(doc[hit], mark[hit], parts), [doc[hit], mark[hit], pos[hit], flags[hit]])] if len(hit) else []
+            rows += [(None, None, int(lead[i].astype(np.int64)), int(rest[i]), int(around[i].astype(np.int64)), int(doc[i]),
+                      int(mark[i]), int(pos[i])) for i in np.flatnonzero(edge)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), *[pa.int64()] * 5))],
-                names=["part", "body", "lead", "rest", "around", "doc", "pos"])
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), *[pa.int64()] * 6))],
+                names=["part", "body", "lead", "rest", "around", "doc", "mark", "pos"])
 
     return (blobs.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(run, FOUND))
 
@@ -337,18 +368,18 @@ def compare_groups(group, around, left, right, doc) -> np.ndarray:
 
 
 def edge_entries(found: DataFrame) -> DataFrame:
-    """(doc, pos, flags) of the suffixes at the ends of ranges, compared across boundaries."""
-    edge = found.where("body is null").select("lead", "rest", "around", "doc", "pos")
+    """(doc, mark, pos, flags) of the suffixes at the ends of ranges, compared across boundaries."""
+    edge = found.where("body is null").select("lead", "rest", "around", "doc", "mark", "pos")
     key = ["lead", "rest", "around"]
     smallest = edge.groupBy(key).agg(F.min("doc").alias("smallest"))
-    return edge.join(smallest, key).select("doc", "pos", F.when(
+    return edge.join(smallest, key).select("doc", "mark", "pos", F.when(
         F.col("doc") > F.col("smallest"), F.lit(SETTLED)).otherwise(F.lit(RIGHT | LEFT)).alias("flags"))
 
 
 def _entries(rows: pa.RecordBatch) -> list[list[np.ndarray]]:
-    """Entries of rows: packed ones, and single ones in the columns doc, pos and flags."""
+    """Entries of rows: packed ones, and single ones in the columns id, mark, pos and flags."""
     out = [unpack(b, *ENTRY) for b in rows.column("body").to_pylist() if b is not None]
-    single = [(d, p, f) for d, p, f in zip(*(rows.column(c).to_pylist() for c in ("id", "pos", "flags"))) if p is not None]
+    single = [(d, m, p, f) for d, m, p, f in zip(*(rows.column(c).to_pylist() for c in ("id", "mark", "pos", "flags"))) if p is not None]
     if single:
         out.append([np.array(c, k) for c, k in zip(zip(*single), ENTRY)])
     return out
@@ -358,14 +389,18 @@ class PartEntries:
     """Entries of one part, found by document."""
 
     def __init__(self, pieces: list[list[np.ndarray]]):
-        doc, self.pos, self.flags = ([np.concatenate(c) for c in zip(*pieces)] if pieces
-                                     else [np.zeros(0, k) for k in ENTRY])
-        order = np.argsort(doc, kind="stable")
-        self.doc, self.pos, self.flags = doc[order], self.pos[order].astype(np.int64), self.flags[order]
+        doc, mark, pos, flags = ([np.concatenate(c) for c in zip(*pieces)] if pieces
+                                 else [np.zeros(0, k) for k in ENTRY])
+        order = np.lexsort((mark, doc)) if mark.any() else np.argsort(doc, kind="stable")
+        self.doc, self.mark, self.pos, self.flags = doc[order], mark[order], pos[order].astype(np.int64), flags[order]
 
-    def of(self, docs: np.ndarray, p: Prefixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, docs: np.ndarray, marks: np.ndarray, p: Prefixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, place in the batch, flags) of the entries of a batch's documents."""
         lo, hi = np.searchsorted(self.doc, docs, "left"), np.searchsorted(self.doc, docs, "right")
+        last = docs == NO_ID
+        if last.any():  # here the mark decides
+            base = np.searchsorted(self.doc, NO_ID, "left")
+            lo[last], hi[last] = (base + np.searchsorted(self.mark[base:], marks[last], side) for side in ("left", "right"))
         n = hi - lo
         text = np.repeat(np.arange(len(docs)), n)
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
@@ -375,9 +410,9 @@ class PartEntries:
 def with_texts(texts: DataFrame, entries: DataFrame, parts: int) -> DataFrame:
     """Entries of a part, then its texts, in one partition."""
     none = lambda kind: F.lit(None).cast(kind)
-    rows = texts.select(F.pmod(F.coalesce("id", F.lit(NO_ID)), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("kind"),
-                        "id", "body", none("long").alias("pos"), none("int").alias("flags"))
-    return (entries.select("part", F.lit(0).alias("kind"), "id", "body", "pos", "flags").unionByName(rows)
+    rows = texts.select(part_column(parts).alias("part"), F.lit(1).alias("kind"), "id", "mark", "body",
+                        none("long").alias("pos"), none("int").alias("flags"))
+    return (entries.select("part", F.lit(0).alias("kind"), "id", "mark", "body", "pos", "flags").unionByName(rows)
             .repartition(parts, "part").sortWithinPartitions("part", "kind"))
 
 
@@ -414,14 +449,14 @@ def open_windows(dealt: DataFrame, how: Suffixes, parts: int) -> DataFrame:
                 yield from compare(part, held)
                 held = []
                 continue
-            for docs, texts in _texts(batch):
+            for docs, marks, texts in _texts(batch):
                 p = Prefixes(texts)
-                text, at, flags = entries.of(docs, p)
+                text, at, flags = entries.of(docs, marks, p)
                 wanted = (flags & (RIGHT | LEFT)) > 0
                 if wanted.any():
-                    held.append(windows(p, docs, text[wanted], at[wanted], flags[wanted]))
+                    held.append(windows(p, docs, marks, text[wanted], at[wanted], flags[wanted]))
 
-    def windows(p, docs, text, at, flags):
+    def windows(p, docs, marks, text, at, flags):
         h, _ = anchors(p, how)
         back = np.where(flags & RIGHT, 0, how.side)
         far = np.where(flags & LEFT, how.reach, how.side - 1)
@@ -435,21 +470,21 @@ def open_windows(dealt: DataFrame, how: Suffixes, parts: int) -> DataFrame:
         s, own = s[least[s] == h[at[own]]], own[least[s] == h[at[own]]]
         s = np.unique(s)
         t = p.text_of[s]
-        return [p.hash(s, s + how.length), p.hash(s, s + how.length, 77), docs[t], (s - p.starts[t]).astype("<u4")]
+        return [p.hash(s, s + how.length), p.hash(s, s + how.length, 77), docs[t], marks[t], (s - p.starts[t]).astype("<u4")]
 
     def compare(part, held):
         if not held:
             return
-        a, b, doc, pos = (np.concatenate(c) for c in zip(*held))
-        order = multikey_order(a, b, doc)
-        a, b, doc, pos = a[order], b[order], doc[order], pos[order]
+        columns = [np.concatenate(c) for c in zip(*held)]
+        order = multikey_order(columns[0], columns[1], columns[2])
+        a, b, doc, mark, pos = (c[order] for c in columns)
         start = group_starts(a) | group_starts(b)
         smallest = doc[start][np.cumsum(start) - 1]
         later = np.flatnonzero(doc > smallest)
-        rows = [(part, pack(doc[later], pos[later], np.full(len(later), GONE, np.uint8)), None)] if len(later) else []
+        rows = [(part, pack(doc[later], mark[later], pos[later], np.full(len(later), GONE, np.uint8)), None)] if len(later) else []
         stay = np.flatnonzero(doc == smallest)
         number = (a[stay] >> U(32)).astype(np.int64) * parts >> 32
-        rows += [(part, pack(*c), k) for k, c in _dealt(number, [x[stay] for x in (a, b, doc, pos)])]
+        rows += [(part, pack(*c), k) for k, c in _dealt(number, [x[stay] for x in (a, b, doc, mark, pos)])]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.int32()))],
                                          names=["part", "body", "range"])
 
@@ -461,13 +496,14 @@ def compare_windows(blobs: DataFrame, parts: int) -> DataFrame:
     def run(batches):
         for _, held in _by_key(batches, "range"):
             pieces = [unpack(b, *WINDOW) for batch in held for b in batch.column("body").to_pylist()]
-            a, b, doc, pos = (np.concatenate(c) for c in zip(*pieces))
-            order = multikey_order(a, b, doc)
-            a, b, doc, pos = a[order], b[order], doc[order], pos[order]
+            columns = [np.concatenate(c) for c in zip(*pieces)]
+            order = multikey_order(columns[0], columns[1], columns[2])
+            a, b, doc, mark, pos = (c[order] for c in columns)
             start = group_starts(a) | group_starts(b)
             hit = np.flatnonzero(doc > doc[start][np.cumsum(start) - 1])
             if len(hit):
-                rows = list(_dealt(doc[hit] % parts, [doc[hit], pos[hit], np.full(len(hit), GONE, np.uint8)]))
+                rows = list(_dealt(part_of(doc[hit], mark[hit], parts),
+                                   [doc[hit], mark[hit], pos[hit], np.full(len(hit), GONE, np.uint8)]))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([pack(*r[1]) for r in rows], pa.binary())],
                                                  names=["part", "body"])
 
@@ -480,9 +516,9 @@ def remaining(dealt: DataFrame, how: Suffixes) -> DataFrame:
         for _, entries, batch in _part_stream(batches):
             if entries is None:
                 continue
-            for docs, texts in _texts(batch):
+            for docs, marks, texts in _texts(batch):
                 p = Prefixes(texts)
-                text, at, flags = entries.of(docs, p)
+                text, at, flags = entries.of(docs, marks, p)
                 gone = (flags == SETTLED) | (flags == GONE)
                 text, at, anchor = text[gone], at[gone], flags[gone] == SETTLED
                 lo = np.where(anchor, np.maximum(at - how.reach, p.starts[text]), at)
@@ -490,10 +526,10 @@ def remaining(dealt: DataFrame, how: Suffixes) -> DataFrame:
                 change = np.bincount(lo, minlength=len(p.data) + 1) - np.bincount(hi, minlength=len(p.data) + 1)
                 removed = np.cumsum(change)[:-1] > 0
                 out = ([], [], [], [])
-                for doc, lo, hi in zip(docs.tolist(), p.starts.tolist(), p.ends.tolist()):
+                for doc, mark, lo, hi in zip(docs.tolist(), marks.tolist(), p.starts.tolist(), p.ends.tolist()):
                     mask = removed[lo:hi]
                     edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).view(np.int8)))
-                    for column, x in zip(out, (None if doc == NO_ID else doc, hi - lo, edges.tolist(), p.data[lo:hi][~mask].tobytes())):
+                    for column, x in zip(out, (None if mark else doc, hi - lo, edges.tolist(), p.data[lo:hi][~mask].tobytes())):
                         column.append(x)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))],
@@ -507,16 +543,19 @@ def dedup_suffixes(df: DataFrame, stages: Stages, how: Suffixes = Suffixes(), id
     """(id, n_bytes, edges, kept): the removed runs' starts and ends in turn, and the remaining bytes."""
     spark = df.sparkSession
     small_batches(spark)
-    parts = ranges = partitions(spark)
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"))
-    found = stages.put("found", compare_ranges(suffix_blobs(texts, how, splitters(texts, how, ranges)), parts, ranges))
+    texts = (df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"))
+             .withColumn("mark", row_mark()))
+    total = texts.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("body")).alias("bytes")).first()
+    parts = ranges = max(partitions(spark), -(-(total.bytes or 0) // how.range_bytes))
+    cuts = splitters(texts, how, ranges, total.rows)
+    found = stages.put("found", compare_ranges(suffix_blobs(texts, how, cuts), parts, ranges))
     none = lambda kind: F.lit(None).cast(kind)
 
     def packed(rows: DataFrame) -> DataFrame:
-        return rows.select("part", none("long").alias("id"), "body", none("long").alias("pos"), none("int").alias("flags"))
+        return rows.select("part", none("long").alias("id"), none("long").alias("mark"), "body", none("long").alias("pos"), none("int").alias("flags"))
 
-    edges = edge_entries(found).select(F.pmod("doc", F.lit(parts)).cast("int").alias("part"), F.col("doc").alias("id"),
-                                       none("binary").alias("body"), "pos", "flags")
+    edges = (edge_entries(found).withColumnRenamed("doc", "id")
+             .select(part_column(parts).alias("part"), "id", "mark", none("binary").alias("body"), "pos", "flags"))
     entries = stages.put("entries", packed(found.where("body is not null")).unionByName(edges))
     opened = stages.put("windows", open_windows(with_texts(texts, entries, parts), how, parts))
     across = stages.put("across", compare_windows(opened.where("range is not null").select("range", "body"), parts))

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 from llm_helpers import documents
+from pyspark.sql import functions as F
 
 from corpusmill.llm import suffix_dedup as sd
 from corpusmill.llm.common import Stages
@@ -71,6 +72,33 @@ def test_null_ids_repeats_and_no_rows(spark, words, empty_docs):
     assert got == {(None, b""), (4, b""), (2, (long + " x").encode()), (9, b"")}
 
 
+def test_texts_without_id_are_told_apart(spark, words):
+    passage, other = " ".join(words[:30]), " ".join(words[30:70])
+    df = spark.createDataFrame([(1, passage), (None, "x " * 10 + passage + " tail"), (None, other), (None, other + " " + passage),
+                                (None, None), ((1 << 63) - 1, other)], "doc_id long, text string")
+    got = sorted((r.id or 0, r.n_bytes, list(r.edges), bytes(r.kept)) for r in sd.dedup_suffixes(df, Stages(spark, "t")).collect())
+    p, q = len(passage.encode()), len(other.encode())
+    # the passage goes from both rows without an id, the rest of each stays; equal order (null, largest id) removes nothing
+    assert (0, q, [], other.encode()) in got and ((1 << 63) - 1, q, [], other.encode()) in got and (1, p, [], passage.encode()) in got
+    assert (0, 20 + p + 5, [20, 20 + p], ("x " * 10 + " tail").encode()) in got
+    assert (0, q + 1 + p, [q + 1, q + 1 + p], (other + " ").encode()) in got and (0, 0, [], b"") in got and len(got) == 6
+
+
+def test_parts_agree_and_spread(spark):
+    ids = [0, 1, -1, 64, 1 << 40, -(1 << 63), (1 << 63) - 2, *range(0, 64 * 4000, 64)]
+    df = spark.createDataFrame([(i,) for i in ids] + [(None,)], "id long").withColumn(
+        "mark", F.when(F.col("id").isNull(), F.lit(12345678901)).otherwise(F.lit(0)))
+    rows = df.select("id", "mark", sd.part_column(64).alias("part")).collect()
+    doc = np.array([sd.NO_ID if r.id is None else r.id for r in rows], np.int64)
+    want = sd.part_of(doc, np.array([r.mark for r in rows], np.int64), 64)
+    assert [r.part for r in rows] == want.tolist()
+    assert np.bincount(want, minlength=64).max() < 4 * len(ids) / 64  # ids of the partitions' stride
+
+
+def test_small_ranges_give_the_same(spark, small_docs):
+    check(spark, small_docs, sd.Suffixes(range_bytes=20_000))
+
+
 def test_multikey_order():
     rng = np.random.default_rng(1)
     keys = [rng.integers(0, 5, 500), rng.integers(0, 5, 500), rng.integers(0, 50, 500)]
