@@ -164,8 +164,9 @@ def train(df: DataFrame, labels: DataFrame, training: Training = Training(), id_
 
 def score(df: DataFrame, model: bytes, training: Training = Training(), text_col: str = "text",
           out_col: str = "score") -> DataFrame:
-    """`df` with a score for every row."""
+    """`df` with a score for every row; a column of that name is replaced."""
     small_batches(df.sparkSession)
+    df = df.drop(out_col)
     shared = df.sparkSession.sparkContext.broadcast(model)  # two numbers for each feature
     schema = StructType([*df.schema.fields, StructField(out_col, DoubleType())])
 

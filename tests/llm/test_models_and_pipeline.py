@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from llm_helpers import COLUMNS, documents
 from pyspark.sql import functions as F
+from test_native import brute_runs
 
 from corpusmill.llm import classifier, components, multi_index, near_dedup, shingles
 from corpusmill.llm.common import Stages
@@ -251,7 +252,7 @@ def test_components(spark):
 
 def test_stages_do_what_they_say(spark, small):
     import corpus_pipeline as cp
-    from corpusmill.llm import line_dedup, mixing
+    from corpusmill.llm import mixing
     docs = spark.read.parquet(f"{small}/documents.parquet")
     stages, kept = Stages(spark, "t"), []
     for i, (name, stage) in enumerate(cp.STAGES):
@@ -260,16 +261,10 @@ def test_stages_do_what_they_say(spark, small):
         assert docs.columns == (cp.COLUMNS if i < 4 else ["doc_id", "n_tokens", "ids", "round_trip"])
     quality = {r.doc_id: r.predicted for r in QUERIES["op8_quality_classifier"](spark, small).collect()}
     assert {r.doc_id for r in kept[0]} == {i for i, p in quality.items() if p}
-    chunks = {r.doc_id: [(c.n_lines, c.text) for c in r._chunks]
-              for r in line_dedup.chunked(spark.createDataFrame(kept[0], COLUMNS), "text").collect()}
-    seen = set()
-    for r in sorted(kept[1]):
-        rest = []
-        for n, text in chunks[r.doc_id]:
-            if n < 2 or text not in seen:
-                rest.append(text)
-            seen.update([text] if n > 1 else [])
-        assert r.text == "\n".join(rest) and r.n_chars == len(r.text)
+    runs = brute_runs({r.doc_id: r.text for r in kept[0]})
+    assert len(kept[1]) == len(kept[0]) and any(n for _, n in runs.values())
+    for r in kept[1]:
+        assert r.text == runs[r.doc_id][0] and r.n_chars == len(r.text)
     want = brute({r.doc_id: r.text for r in kept[1]})
     assert sorted(r.doc_id for r in kept[2]) == sorted(i for i, (_, _, k) in want.items() if k)
     words = {r.doc_id: len(WORD.findall(r.text)) for r in kept[2]}
@@ -285,6 +280,28 @@ def test_stages_do_what_they_say(spark, small):
     assert Counter(r.doc_id for r in kept[4]) == Counter(r.doc_id for r in kept[3]) and all(r.round_trip for r in kept[4])
 
 
+def test_pipeline_on_nulls_repeats_and_clashing_columns(spark, small, edge_docs, words):
+    import corpus_pipeline as cp
+    same, other = "\n".join(words[:60]), "\n".join(words[100:160])
+    more = spark.createDataFrame([(None, same), (None, same), (None, other), (7, None), (7, None), (3, "\n\n"), (200, same), (200, same)],
+                                 "doc_id long, text string")
+    docs = edge_docs.unionByName(more, allowMissingColumns=True).withColumns(
+        {c: F.lit("clash") for c in ("score", "drop", "part", "n", "taken", "component_id", "ids", "n_tokens", "round_trip")})
+    stages, kept = Stages(spark, "t"), [docs.collect()]
+    for name, stage in cp.STAGES:
+        docs = stages.put(name, stage(spark, docs, small))
+        kept.append(docs.collect())
+    of = lambda rows, *names: Counter(tuple(r[c] for c in names) for r in rows)
+    assert of(kept[1], "doc_id", "text") <= of(kept[0], "doc_id", "text")
+    assert of(kept[2], "doc_id") == of(kept[1], "doc_id")                  # line dedup loses no document
+    whole = lambda rows: of([r for r in rows if r.doc_id is None], "text")
+    assert whole(kept[2]) == whole(kept[1])                                # rows without an id stay as they are
+    assert of(kept[3], "doc_id", "text") <= of(kept[2], "doc_id", "text")
+    assert set(of(kept[4], "doc_id", "text")) <= set(of(kept[3], "doc_id", "text"))
+    assert of(kept[5], "doc_id") == of(kept[4], "doc_id") and all(r.round_trip for r in kept[5])
+    assert all(bytes(r.ids) == b"" for r in kept[5] if r.n_tokens == 0)
+
+
 def test_pipeline_without_rows(spark, small, empty_docs):
     import corpus_pipeline as cp
     docs = empty_docs
