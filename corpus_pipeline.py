@@ -1,7 +1,7 @@
 """The training-data pipeline over `documents`: five stages in a fixed order.
 
     quality classifier   documents scored under the limit go
-    line dedup           repeated multi-line chunks go from the texts
+    line dedup           repeated runs of two or more lines go from the texts
     near-dedup           one document of each group of near copies stays
     mixing               documents are drawn to their sources' target weights
     encoding             the texts as token ids, with the exact way back
@@ -34,8 +34,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts without repeated multi-line chunks; n_chars follows the text."""
-    left = line_dedup.dedup_lines(docs, Stages(spark, "lines"))
+    """The texts without repeated runs of lines; n_chars follows the text."""
+    left = line_dedup.dedup_runs(docs, Stages(spark, "lines"))
     return left.withColumn("n_chars", F.char_length("text").cast("long")).select(COLUMNS)
 
 
