@@ -88,6 +88,25 @@ def unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def joined(batches: list, *kinds: str) -> list[np.ndarray]:
+    """The columns packed in the bodies of `batches`, which is left empty; no column is held twice."""
+    pieces = []
+    while batches:
+        pieces += [unpack(b.as_py(), *kinds) for b in batches.pop(0).column("body")]
+    out = []
+    for i in range(len(kinds)):
+        out.append(np.concatenate([p[i] for p in pieces]))
+        for p in pieces:
+            p[i] = None
+    return out
+
+
+def in_order(columns: list[np.ndarray], order: np.ndarray):
+    """The columns in turn, each sorted and then dropped from the list."""
+    while columns:
+        yield columns.pop(0)[order]
+
+
 # a row is known by its id and, where that is null, by a mark; all other marks are 0 and take no room once packed
 SUFFIX = ("<u8", "<u4", "<u8", "<u2", "<u2", "<i8", "<i8", "<u4")  # lead, rest, around, left, right, doc, mark, pos
 ENTRY = ("<i8", "<i8", "<u4", "<u1")                              # doc, mark, pos, flags
@@ -318,10 +337,9 @@ def compare_ranges(blobs: DataFrame, parts: int, ranges: int) -> DataFrame:
     a range's ends."""
     def run(batches):
         for _, held in _by_key(batches, "range"):
-            pieces = [unpack(b, *SUFFIX) for batch in held for b in batch.column("body").to_pylist()]
-            columns = [np.concatenate(c) for c in zip(*pieces)]
+            columns = joined(held, *SUFFIX)
             order = multikey_order(columns[0], columns[1], columns[5])
-            lead, rest, around, left, right, doc, mark, pos = (c[order] for c in columns)
+            lead, rest, around, left, right, doc, mark, pos = in_order(columns, order)
             start = group_starts(lead) | group_starts(rest)
             group = np.cumsum(start) - 1
             first = np.flatnonzero(start)
@@ -495,10 +513,9 @@ def compare_windows(blobs: DataFrame, parts: int) -> DataFrame:
     """(part, body): entries of windows that another part holds in a smaller document."""
     def run(batches):
         for _, held in _by_key(batches, "range"):
-            pieces = [unpack(b, *WINDOW) for batch in held for b in batch.column("body").to_pylist()]
-            columns = [np.concatenate(c) for c in zip(*pieces)]
+            columns = joined(held, *WINDOW)
             order = multikey_order(columns[0], columns[1], columns[2])
-            a, b, doc, mark, pos = (c[order] for c in columns)
+            a, b, doc, mark, pos = in_order(columns, order)
             start = group_starts(a) | group_starts(b)
             hit = np.flatnonzero(doc > doc[start][np.cumsum(start) - 1])
             if len(hit):
@@ -543,6 +560,8 @@ def dedup_suffixes(df: DataFrame, stages: Stages, how: Suffixes = Suffixes(), id
     """(id, n_bytes, edges, kept): the removed runs' starts and ends in turn, and the remaining bytes."""
     spark = df.sparkSession
     small_batches(spark)
+    # packed rows are far longer than texts
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     texts = (df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"))
              .withColumn("mark", row_mark()))
     total = texts.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("body")).alias("bytes")).first()
