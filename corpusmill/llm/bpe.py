@@ -89,9 +89,9 @@ def pretoken_encoder(proto: bytes, ranks: dict[bytes, int]):
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
-           text_col: str = "text", cached: int = 100_000) -> DataFrame:
+           text_col: str = "text", cached: int = 50_000) -> DataFrame:
     """(id, n_tokens long, ids binary) of every row's whole text.  A worker
-    keeps the ids of about `cached` fragments, twice over, in some 60 MB."""
+    keeps the ids of about `cached` fragments, twice over, in some 30 MB."""
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((model_proto(ranks), ranks))  # size of the vocabulary
     key = f"bpe_{cached}_{zlib.crc32(repr((pattern, sorted(ranks.items()))).encode())}"
