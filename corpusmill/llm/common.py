@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import sys
 import types
@@ -61,6 +62,14 @@ def clear_worker() -> None:
     sys.modules.pop("_corpusmill_worker", None)
 
 
+def give_back() -> None:
+    """What Arrow and the C library hold of freed memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -42,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import Stages, partitions, small_batches
+from corpusmill.llm.common import Stages, clear_worker, give_back, partitions, small_batches
 from corpusmill.llm.shingles import mix, seeds
 
 U = np.uint64
@@ -93,11 +93,17 @@ def joined(batches: list, *kinds: str) -> list[np.ndarray]:
     pieces = []
     while batches:
         pieces += [unpack(b.as_py(), *kinds) for b in batches.pop(0).column("body")]
+    return merged(pieces)
+
+
+def merged(pieces: list[list]) -> list[np.ndarray]:
+    """Each column in one, of all pieces, which are left empty."""
     out = []
-    for i in range(len(kinds)):
+    for i in range(len(pieces[0])):
         out.append(np.concatenate([p[i] for p in pieces]))
         for p in pieces:
             p[i] = None
+    pieces.clear()
     return out
 
 
@@ -243,8 +249,9 @@ def group_starts(sorted_: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], sorted_[1:] != sorted_[:-1]]) if len(sorted_) else np.zeros(0, bool)
 
 
-def _texts(batch: pa.RecordBatch, max_bytes: int = 1_000_000):
-    """(docs, marks, texts as bytes) of bounded size out of a batch with id, mark and body."""
+def _texts(batch: pa.RecordBatch, max_bytes: int = 250_000):
+    """(docs, marks, texts as bytes) of bounded size out of a batch with id, mark
+    and body; numpy takes some 90 bytes for each byte of text."""
     ids, all_marks, bodies = (batch.column(c).to_pylist() for c in ("id", "mark", "body"))
     docs, marks, texts, size = [], [], [], 0
     for i, m, b in zip(ids, all_marks, bodies):
@@ -306,6 +313,8 @@ def suffix_blobs(df: DataFrame, how: Suffixes, cuts: np.ndarray) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(cuts)  # a key for each range
 
     def run(batches):
+        clear_worker()
+        give_back()
         held, n = [], 0
         for batch in batches:
             for docs, marks, texts in _texts(batch):
@@ -313,12 +322,13 @@ def suffix_blobs(df: DataFrame, how: Suffixes, cuts: np.ndarray) -> DataFrame:
                 n += len(held[-1][0])
                 if n >= how.deal_rows:
                     yield deal(held)
-                    held, n = [], 0
+                    n = 0
         if n:
             yield deal(held)
+        give_back()
 
     def deal(held):
-        columns = [np.concatenate(c) for c in zip(*held)]
+        columns = merged(held)
         number = np.searchsorted(shared.value, order_key(columns[0], columns[1], columns[5]), side="right")
         rows = [(k, pack(*own)) for k, own in _dealt(number, columns)]
         return pa.RecordBatch.from_arrays(
@@ -337,6 +347,7 @@ def compare_ranges(blobs: DataFrame, parts: int, ranges: int) -> DataFrame:
     a range's ends."""
     def run(batches):
         for _, held in _by_key(batches, "range"):
+            give_back()
             columns = joined(held, *SUFFIX)
             order = multikey_order(columns[0], columns[1], columns[5])
             lead, rest, around, left, right, doc, mark, pos = in_order(columns, order)
@@ -465,7 +476,7 @@ def open_windows(dealt: DataFrame, how: Suffixes, parts: int) -> DataFrame:
         for part, entries, batch in _part_stream(batches):
             if entries is None:
                 yield from compare(part, held)
-                held = []
+                give_back()
                 continue
             for docs, marks, texts in _texts(batch):
                 p = Prefixes(texts)
@@ -493,9 +504,9 @@ def open_windows(dealt: DataFrame, how: Suffixes, parts: int) -> DataFrame:
     def compare(part, held):
         if not held:
             return
-        columns = [np.concatenate(c) for c in zip(*held)]
+        columns = merged(held)
         order = multikey_order(columns[0], columns[1], columns[2])
-        a, b, doc, mark, pos = (c[order] for c in columns)
+        a, b, doc, mark, pos = in_order(columns, order)
         start = group_starts(a) | group_starts(b)
         smallest = doc[start][np.cumsum(start) - 1]
         later = np.flatnonzero(doc > smallest)
@@ -513,6 +524,7 @@ def compare_windows(blobs: DataFrame, parts: int) -> DataFrame:
     """(part, body): entries of windows that another part holds in a smaller document."""
     def run(batches):
         for _, held in _by_key(batches, "range"):
+            give_back()
             columns = joined(held, *WINDOW)
             order = multikey_order(columns[0], columns[1], columns[2])
             a, b, doc, mark, pos = in_order(columns, order)
@@ -532,6 +544,7 @@ def remaining(dealt: DataFrame, how: Suffixes) -> DataFrame:
     def run(batches):
         for _, entries, batch in _part_stream(batches):
             if entries is None:
+                give_back()
                 continue
             for docs, marks, texts in _texts(batch):
                 p = Prefixes(texts)

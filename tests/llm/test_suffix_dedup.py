@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from llm_helpers import documents
 from pyspark.sql import functions as F
 
@@ -114,3 +116,27 @@ def test_query(spark, small):
         n, edges, kept = want[r.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (
             n, n - len(kept), len(edges) // 2, hashlib.sha256(kept).hexdigest())
+
+
+def test_a_batch_takes_bounded_memory():
+    rng = random.Random(9)
+    texts = [bytes(rng.choices(range(97, 123), k=2000)) for _ in range(2000)]
+    n = len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([0] * n), pa.array(texts, pa.binary())], names=["id", "mark", "body"])
+    tracemalloc.start()
+    try:
+        rows = 0
+        for docs, marks, own in sd._texts(batch):
+            sd.suffix_columns(sd.Prefixes(own), docs, marks, sd.Suffixes())
+            rows += len(own)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        sd._power_cache.clear()
+    assert rows == n and peak < 60_000_000, peak
+
+
+def test_merged_columns_leave_no_pieces():
+    pieces = [[np.arange(3), np.arange(3) + 10], [np.arange(2), np.arange(2) + 20]]
+    a, b = sd.merged(pieces)
+    assert a.tolist() == [0, 1, 2, 0, 1] and b.tolist() == [10, 11, 12, 20, 21] and not pieces
