@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from corpusmill.llm.common import clear_worker, small_batches
+from corpusmill.llm.common import clear_worker, give_back, small_batches
 
 #: Runs of equal neighbours that count as n-grams of the equality sequence.
 EQUAL_RUNS = (1, 2, 3, 5, 8)
@@ -74,7 +74,7 @@ def fit(rows: list[tuple[str, int]], training: Training) -> tuple[np.ndarray, np
     """(ratios, weights, bias, slope, offset) from (text, label) rows in a fixed order."""
     size = (1 << training.bits) + len(EQUAL_RUNS)
     features = featurizer(training.bits)
-    docs = [features(text) for text, _ in rows]
+    docs = [features(text).astype(np.int32) for text, _ in rows]
     sign = np.array([1.0 if label else -1.0 for _, label in rows])
     counts = np.full((2, size), training.smoothing)
     for x, s in zip(docs, sign):
@@ -86,13 +86,15 @@ def fit(rows: list[tuple[str, int]], training: Training) -> tuple[np.ndarray, np
         rate = ((sign > 0).sum() + 1) / (len(sign) + 2)
         return ratios, weights, bias, 1.0, float(np.log(rate / (1 - rate)))
 
-    scaled = [_unit(ratios[x]) for x in docs]
+    # rows are scaled when they are met: scaled ones would take three times the room of all else
+    norms = [np.linalg.norm(ratios[x]) or 1.0 for x in docs]
     rng = np.random.default_rng(training.seed)
     aside = rng.random(len(docs)) < 0.2
     dual = np.zeros(len(docs))
     for _ in range(training.epochs):
         for i in rng.permutation(np.flatnonzero(~aside)):
-            x, v = docs[i], scaled[i]
+            x = docs[i]
+            v = ratios[x] / norms[i]
             gradient = sign[i] * (weights[x] @ v + bias) - 1
             new = min(max(dual[i] - gradient / 2.0, 0.0), training.cost)  # |v|^2 + 1 for the bias
             if new != dual[i]:
@@ -100,15 +102,10 @@ def fit(rows: list[tuple[str, int]], training: Training) -> tuple[np.ndarray, np
                 weights[x] += change * v
                 bias += change
                 dual[i] = new
-    margins = np.array([weights[x] @ v + bias for x, v in zip(docs, scaled)])
+    margins = np.array([weights[x] @ (ratios[x] / n) + bias for x, n in zip(docs, norms)])
     return ratios, weights, bias, *_logistic(margins[aside], sign[aside] > 0)
 
 
-def _unit(v: np.ndarray) -> np.ndarray:
-    n = np.linalg.norm(v)
-    return v / n if n else v
-
-
 def _logistic(margins: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the logistic curve of least squares of logarithm
     (Newton steps); the prior of two smoothed targets keeps it finite."""
@@ -144,13 +141,17 @@ def train(df: DataFrame, labels: DataFrame, training: Training = Training(), id_
               .dropDuplicates(["_label_id", "h"]))
 
     def run(batches):
+        clear_worker()
+        give_back()
         best: dict[int, tuple] = {}
         for batch in batches:
             for r in batch.to_pylist():
                 if r["_label_id"] not in best or r["h"] < best[r["_label_id"]][0]:
                     best[r["_label_id"]] = (r["h"], r["text"], r["_label"])
         ratios, weights, *rest = fit([best[k][1:] for k in sorted(best)], training)
+        best.clear()
         yield pa.RecordBatch.from_arrays([pa.array([model(ratios, weights, rest)], pa.binary())], names=["model"])
+        give_back()
 
     def model(ratios, weights, rest) -> bytes:
         return np.concatenate([ratios, weights, rest]).astype("<f8").tobytes()
@@ -172,6 +173,7 @@ def score(df: DataFrame, model: bytes, training: Training = Training(), text_col
 
     def run(batches):
         clear_worker()
+        give_back()
         data = np.frombuffer(shared.value, "<f8")
         size = (1 << training.bits) + len(EQUAL_RUNS)
         ratios, weights, (bias, slope, offset) = data[:size], data[size:2 * size], data[2 * size:]

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -323,3 +324,26 @@ def test_words_of_equal_power_sums_are_no_near_copies(spark):
     texts = ["".join(pair[b] for b in bits[:n]) for n in (1024, 2048) for pair in ("ab", "ba")]
     found = near_dedup.near_duplicates(documents(spark, texts), Stages(spark, "near"))
     assert sorted((r.id, r.n_shingles, r.component_id, r.kept) for r in found.collect()) == [(i, 1, i, True) for i in range(4)]
+
+
+def test_fit_holds_its_rows_once(words):
+    rng = random.Random(8)
+    rows = [(" ".join(rng.choice(words) for _ in range(400)), k % 2) for k in range(200)]
+    training = classifier.Training(bits=14, epochs=2)
+    features = sum(len(classifier.featurizer(14)(text)) for text, _ in rows)
+    tracemalloc.start()
+    try:
+        _, _, bias, slope, offset = classifier.fit(rows, training)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.isfinite([bias, slope, offset]).all()
+    assert peak < 8 * features + 3_000_000, (peak, features)
+
+
+def test_encoder_and_decoder_are_in_stages_of_their_own(spark, small, small_docs):
+    import corpus_pipeline as cp
+
+    encoded = cp.encode(spark, small_docs, small)
+    assert encoded._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert encoded.where("round_trip").count() == small_docs.count()
