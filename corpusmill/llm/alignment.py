@@ -26,9 +26,10 @@ ids may be null.  Extra columns are ignored; an empty table gives an empty resul
 
 from __future__ import annotations
 
+import os
 import zlib
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ BLANK = "▁"
 STEP = 4
 #: Longer fragments are not kept from one batch to the next.
 LONG = 64
+#: New fragments that are encoded as one text.
+TOGETHER = 256
 
 
 @dataclass(frozen=True)
@@ -121,14 +124,17 @@ def bytes_of_b(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return [bytes([int(p[3:-1], 16)]) if is_byte else p.replace(BLANK, " ").encode() for p, is_byte in pieces]
 
 
+def _runs(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of runs of n places each."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+
+
 class _Flat:
-    """The ids of several texts as one run of bytes, cut at `edges`."""
+    """The ids of several texts one after another, `n` of each."""
 
     def __init__(self, ids: list[list[int]], table: np.ndarray, lengths: np.ndarray):
-        self.n = np.array([len(x) for x in ids])
+        self.n = np.array([len(x) for x in ids], np.int64)
         self.ids = np.fromiter(chain.from_iterable(ids), "<u4", int(self.n.sum()))
-        self.data = self.ids.tobytes()
-        self.edges = np.concatenate([[0], np.cumsum(self.n) * 4]).tolist()
         self.table, self.lengths = table, lengths
 
     def spells(self, texts: list[bytes], size: np.ndarray) -> np.ndarray:
@@ -141,6 +147,12 @@ class _Flat:
             same = np.array([b"".join(words[lo:hi].tolist()) == t for lo, hi, t in zip(at[:-1].tolist(), at[1:].tolist(), texts)], bool)
         return same
 
+    def cut(self, edges: np.ndarray) -> np.ndarray | None:
+        """How many ids lie between the edges, in bytes; None if a token crosses one."""
+        ends = np.cumsum(self.lengths[self.ids])
+        last = np.searchsorted(ends, edges)
+        return np.diff(last + 1, prepend=0) if np.array_equal(ends[last], edges) else None
+
 
 class Aligner:
     """Aligns batches of texts.
@@ -149,8 +161,11 @@ class Aligner:
     with other characters than white space around it always begins a pre-token of
     A, and no piece of B holds the blank behind another character, so a text's
     tokens are those of its fragments, each behind a space, one after another;
-    fragments whose tokens do not spell them are no part of this.  Texts with any other arrangement
-    of spaces, or all texts where B has such pieces, are encoded whole."""
+    fragments whose tokens do not spell them are no part of this.  New fragments
+    are encoded many at a time for the same reason, joined by spaces.  Texts with any other arrangement
+    of spaces, or all texts where B has such pieces, are encoded whole.
+
+    Each fragment has a number: 0 if it is no safe cut, else its place among the kept ids."""
 
     def __init__(self, tokenizer_json: str, proto: bytes, how: Alignment):
         self.how = how
@@ -163,55 +178,111 @@ class Aligner:
         # each id as text: inside a list, and at its end
         self.spelled = np.array([f"{i}{end}".encode() for n, ends in zip(map(len, tables), (",|", ",;"))
                                  for end in ends for i in range(n)] + [None], object)[:-1]
-        self.known: tuple[dict[str, bytes | None], dict[str, bytes | None]] = ({}, {})  # None: not a safe cut
-
-    def _encode(self, texts: list[str]) -> list[tuple[bytes | None, bytes | None]]:
-        """A's ids of space + text and B's of the text as unsigned 32-bit integers;
-        None where either does not spell space + text."""
-        out = []
+        self.known: dict[str, int] = {}
+        self.kept = [(np.zeros(1, np.int64), np.zeros(0, "<u4")) for _ in tables]  # ids of each fragment, by number
+        self.uses = np.zeros(1, np.int64)
+
+    def _encode(self, texts: list[str], together: int = 1):
+        """Texts in some order, for one at a time in the given one, and for A and B
+        the number of ids of each text and the ids: A's of space + text, B's of the text;
+        none where either does not spell space + text.  So many texts together
+        are joined by spaces, if they are fragments; those that cannot be cut again, in ever fewer."""
+        order, again, out = [], [], [([np.zeros(0, np.int64)], [np.zeros(0, "<u4")]) for _ in self.bytes]
         for at in range(0, len(texts), 2000):
             part = texts[at:at + 2000]
-            coded = [e.ids for e in self.a.encode_batch_fast([" " + t for t in part], add_special_tokens=False)]
+            groups = [part[i:i + together] for i in range(0, len(part), together)]
+            lines = [" ".join(g) for g in groups]
+            coded = [e.ids for e in self.a.encode_batch_fast([" " + t for t in lines], add_special_tokens=False)]
             both = [_Flat(x, *tables) for x, *tables in zip(
-                (coded, self.b.encode(part, out_type=int, num_threads=1)), self.bytes, self.lengths)]
-            want = [b" " + t.encode() for t in part]
+                (coded, self.b.encode(lines, out_type=int, num_threads=1)), self.bytes, self.lengths)]
+            want = [b" " + t.encode() for t in lines]
             size = np.array([len(w) for w in want])
-            same = np.logical_and(*(x.spells(want, size) for x in both)).tolist()
-            out += [tuple(x.data[x.edges[i]:x.edges[i + 1]] if same[i] and t else None for x in both)
-                    for i, t in enumerate(part)]
+            same = np.logical_and(*(x.spells(want, size) for x in both)) & (size > 1)
+            for x in both:
+                x.ids, x.n = x.ids[np.repeat(same, x.n)], np.where(same, x.n, 0)
+            n = [x.n for x in both]
+            if together > 1:
+                whole = list(chain.from_iterable(compress(groups, same)))
+                edges = np.cumsum([len(f.encode()) + 1 for f in whole], dtype=np.int64)
+                n = [x.cut(edges) for x in both]
+                if n[0] is None or n[1] is None:
+                    again += part
+                    continue
+                again += chain.from_iterable(compress(groups, ~same))
+                part = whole
+            order += part
+            for (numbers, ids), x, k in zip(out, both, n):
+                numbers.append(k)
+                ids.append(x.ids)
+        if again:
+            rest, *more = self._encode(again, max(1, together // 16))
+            order += rest
+            for (numbers, ids), (k, x) in zip(out, more):
+                numbers.append(k)
+                ids.append(x)
+        return order, *((np.concatenate(numbers), np.concatenate(ids)) for numbers, ids in out)
+
+    def _forget(self) -> None:
+        """A full cache keeps what was used more than once since the last time, if that is no more than half."""
+        often = np.flatnonzero(self.uses > 1)
+        if len(often) > self.how.cached // 2:
+            often = often[:0]
+        number = np.zeros(len(self.uses), np.int64)
+        number[often] = np.arange(1, len(often) + 1)
+        number = number.tolist()
+        self.known = {f: number[i] for f, i in self.known.items() if number[i]}
+        self.kept = [(np.concatenate([[0], n[often]]), ids[_runs((np.cumsum(n) - n)[often], n[often])]) for n, ids in self.kept]
+        self.uses = np.zeros(len(often) + 1, np.int64)
+
+    def _coded(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and B the number of ids of each text that both can spell, 0 for the others, and all ids."""
+        if len(self.known) > self.how.cached:
+            self._forget()
+        known = self.known
+        parts = [t.split(" ") if self.apart else [""] for t in texts]
+        new = set(chain.from_iterable(parts)).difference(known)
+        safe = [f for f in new if f and not f[0].isspace() and not f[-1].isspace()]
+        known.update(dict.fromkeys(new, 0))
+        found = [self._encode([f for f in safe if (len(f) > LONG) == long], TOGETHER) for long in (False, True)]
+        at = len(self.uses)
+        for order, (n, _), _ in found:
+            # without ids: no safe cut
+            known.update(zip(order, np.where(n > 0, np.arange(at, at + len(n)), 0).tolist()))
+            at += len(n)
+        count = np.array([len(p) for p in parts], np.int64)
+        number = np.fromiter(map(known.__getitem__, chain.from_iterable(parts)), np.int64, int(count.sum()))
+        first = np.cumsum(count) - count
+        whole = np.logical_or.reduceat(number == 0, first)
+        # a text with a fragment that is no safe cut has one number of its own
+        stays = ~np.repeat(whole, count)
+        stays[first[whole]] = True
+        number[first[whole]] = np.arange(at, at + int(whole.sum()))
+        number, count = number[stays], np.where(whole, 1, count)
+        first = np.cumsum(count) - count
+        found.append(self._encode(list(compress(texts, whole))))
+        for f in new:
+            if len(f) > LONG:
+                del known[f]
+        keep = len(self.uses) + len(found[0][0])
+        self.uses = np.concatenate([self.uses, np.zeros(len(found[0][0]), np.int64)]) + np.bincount(number, minlength=at)[:keep]
+        out = []
+        for k, kept in enumerate(self.kept):
+            n, ids = (np.concatenate(x) for x in zip(kept, *(f[1 + k] for f in found)))
+            begin = np.cumsum(n) - n
+            self.kept[k] = n[:keep], ids[:int(n[:keep].sum())]
+            own = n[number]
+            out.append((np.add.reduceat(own, first), ids[_runs(begin[number], own)]))
         return out
 
     def tokens(self, texts: list[str]) -> list[list[np.ndarray]]:
         """A's and B's ids of each text that both can spell, empty arrays for the others."""
-        if len(self.known[0]) > self.how.cached:
-            self.known = ({}, {})
-        parts = [t.split(" ") if self.apart else [""] for t in texts]
-        new = list(set(chain.from_iterable(parts)).difference(self.known[0]))
-        for f, ids in zip(new, self._encode(new)):
-            safe = f and not f[0].isspace() and not f[-1].isspace()
-            for kept, x in zip(self.known, ids):
-                kept[f] = x if safe else None
-        find = [kept.__getitem__ for kept in self.known]
-        coded: list = []
-        for p in parts:
-            try:
-                coded.append([b"".join(map(f, p)) for f in find])
-            except TypeError:  # a fragment that is no safe cut
-                coded.append(None)
-        whole = iter(self._encode([t for t, c in zip(texts, coded) if c is None]))
-        coded = [c or next(whole) for c in coded]
-        for f in new:
-            if len(f) > LONG:
-                for kept in self.known:
-                    del kept[f]
-        return [[np.frombuffer(c[k] or b"", "<u4") for c in coded] for k in (0, 1)]
+        return [np.split(ids, np.cumsum(n)[:-1]) for n, ids in self._coded(texts)]
 
     def align(self, texts: list[str]):
         """(n_a, n_b, n_groups, n_links: arrays [texts]; groups: list of bytes; and the
         links by (text, id of A, id of B, number): arrays)."""
-        each = self.tokens(texts)
-        n = [np.array([len(x) for x in own], np.int64) for own in each]
-        ids = [np.concatenate([np.zeros(0, "<u4"), *own]).astype(np.int64) for own in each]
+        n, ids = zip(*self._coded(texts))
+        ids = [x.astype(np.int64) for x in ids]
         ends = [np.cumsum(table[x]) for table, x in zip(self.lengths, ids)]
         cut_a, cut_b = groups_of(ends[0].tolist(), ends[1].tolist())
         size_a, size_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
@@ -301,6 +372,7 @@ def align(df: DataFrame, tokenizer_path: str, model_path: str, how: Alignment =
             [pa.nulls(n, t) if columns.get(c) is None else pa.array(columns[c], t) for c, t in kinds.items()], names=list(kinds))
 
     def run(batches):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         aligner = per_worker(key, lambda: Aligner(*shared.value, how))
         block, held, size = TaskContext.get().partitionId() << 32, [], 0
         for ids, texts in text_batches(batches, "id", "text", keep=True):

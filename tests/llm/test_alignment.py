@@ -114,3 +114,56 @@ def test_fragments_equal_whole_texts(words, libraries):
         for text, x, y in zip(texts, *aligner.tokens(texts), strict=True):
             assert x.tolist() == a.encode(" " + text, add_special_tokens=False).ids, text
             assert y.tolist() == b.encode(text), text
+
+
+class Counted:
+    """The tokenizer, counting the texts that it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.n = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **how):
+        self.n += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def counted(cached=400_000):
+    aligner = alignment.Aligner(open(JSON, encoding="utf-8").read(), open(MODEL, "rb").read(), alignment.Alignment(cached=cached))
+    aligner.a = Counted(aligner.a)
+    return aligner
+
+
+def same_as_libraries(aligner, texts, libraries):
+    a, b, spell_a, spell_b = libraries
+    for text, x, y in zip(texts, *aligner.tokens(texts), strict=True):
+        ids = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        if not text or not all(b"".join(map(f, own)) == b" " + text.encode() for own, f in zip(ids, (spell_a, spell_b))):
+            ids = [], []
+        assert (x.tolist(), y.tolist()) == ids, text[:60]
+
+
+def test_new_fragments_are_encoded_together(libraries):
+    rng = random.Random(6)
+    fragments = ["".join(rng.choice("abcdeé漢.,'1") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    aligner = counted()
+    same_as_libraries(aligner, [" ".join(fragments[i:i + 100]) for i in range(0, 3000, 100)], libraries)
+    assert aligner.a.n <= 20
+    # a few that are no safe cut leave the others together
+    aligner = counted()
+    odd = ["a▁b", "▁", "x\n", "\ty", "z" * 200 + "▁", "w" * 200]
+    same_as_libraries(aligner, [*(" ".join(fragments[i:i + 100]) for i in range(0, 3000, 100)), *odd, " ".join(odd), ""], libraries)
+    assert aligner.a.n <= 100
+    assert not any(len(f) > alignment.LONG for f in aligner.known)
+
+
+def test_a_full_cache_keeps_what_is_used_often(libraries):
+    aligner, often = counted(cached=100), [f"often{i}" for i in range(40)]
+    for k in range(12):
+        once = [f"once{k}x{i}" for i in range(30)]
+        same_as_libraries(aligner, [" ".join([*often, *once]), " ".join(reversed(often))], libraries)
+        assert len(aligner.known) <= 140 and len(aligner.kept[0][0]) <= 141
+        assert k == 0 or set(often) <= set(aligner.known)
+    assert aligner.a.n == 12  # fragments of a batch are one text; the often used ones come but once
+    for k in range(12):  # too many are used often: all go
+        same_as_libraries(aligner, 2 * [" ".join(f"many{k}x{i}" for i in range(90))], libraries)
+        assert len(aligner.known) <= 240
